@@ -45,3 +45,103 @@ ORACLES["filter_in"] = (
 ORACLES["filter_range"] = (
     "SELECT o_orderkey FROM orders WHERE o_totalprice >= 1000.0 AND o_totalprice < 50000.0")
 ORACLES["filter_equal"] = "SELECT p_partkey, p_name FROM part WHERE p_brand = 'Brand#13'"
+
+# ---------------------------------------------------------------- recommenders
+BUCKET = "(CAST(concat('0x', substr(md5(concat('123', ':', key)), 1, 8)) AS BIGINT) % 100)"
+RATINGS = f"""(SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey) AS key,
+  o_custkey AS userId, l_partkey AS movieId, CAST(l_quantity AS DOUBLE) AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+SPLIT = f"(SELECT *, {BUCKET} < 80 AS is_train FROM {RATINGS} r0)"
+TRAIN = f"(SELECT * FROM {SPLIT} s0 WHERE is_train)"
+TEST = f"(SELECT * FROM {SPLIT} s1 WHERE NOT is_train)"
+G = f"(SELECT avg(rating) FROM {TRAIN} tg)"
+UM = f"(SELECT userId, avg(rating) AS user_mean FROM {TRAIN} tu GROUP BY userId)"
+IM = f"(SELECT movieId, avg(rating) AS item_mean FROM {TRAIN} ti GROUP BY movieId)"
+BIAS = f"""(SELECT t.key, t.userId, t.movieId, t.rating,
+  um.user_mean + im.item_mean - {G} AS prediction
+  FROM {TEST} t JOIN {IM} im USING (movieId) JOIN {UM} um USING (userId))"""
+
+ORACLES["split_by_key"] = f"SELECT key, is_train FROM {SPLIT} s"
+ORACLES["global_avg"] = f"SELECT round(avg(rating), 6) AS global_mean FROM {TRAIN} t"
+ORACLES["group_avg"] = f"SELECT userId, round(user_mean, 6) AS user_mean FROM {UM} u"
+ORACLES["global_mean_rmse"] = (
+    f"SELECT round(sqrt(avg((rating - {G}) * (rating - {G}))), 6) AS rmse FROM {TEST} t")
+ORACLES["means_and_interaction"] = f"""
+SELECT userId, movieId, rating, round(user_mean, 6) AS user_mean, round(item_mean, 6) AS item_mean,
+       round(rating - (user_mean + item_mean - {G}), 6) AS user_item_interaction
+FROM {TRAIN} t JOIN {IM} im USING (movieId) JOIN {UM} um USING (userId)
+ORDER BY userId, movieId, key LIMIT 50"""
+ORACLES["bias_predict"] = (
+    f"SELECT key, userId, movieId, rating, round(prediction, 6) AS prediction FROM {BIAS} p")
+ORACLES["rmse"] = (
+    f"SELECT round(sqrt(avg((rating - prediction) * (rating - prediction))), 6) AS rmse FROM {BIAS} p")
+
+
+# ---------------------------------------------------------------- baskets
+def pylist(lst: str) -> str:
+    """DuckDB twin of ``py_list_str``: a list rendered as Python prints it."""
+    return f"(CASE WHEN len({lst}) = 0 THEN '[]' ELSE '[''' || array_to_string({lst}, ''', ''') || ''']' END)"
+
+
+def _bi(col: str) -> str:
+    return (f"(SELECT DISTINCT l_orderkey AS basket, {col} AS item "
+            "FROM lineitem JOIN part ON l_partkey = p_partkey)")
+
+
+ORACLES["baskets"] = f"""
+SELECT basket, {pylist('list_sort(list(item))')} AS items FROM {_bi('p_brand')} bi GROUP BY basket"""
+
+# level-wise itemsets up to size 3 (no itemset of size 3 is frequent at this support,
+# so none of size 4 can be)
+ORACLES["frequent_itemsets"] = f"""
+WITH bi AS {_bi('p_brand')},
+th AS (SELECT ceil(0.02 * count(DISTINCT basket)) AS t FROM bi),
+f AS (
+  SELECT [item] AS items, count(*) AS freq FROM bi GROUP BY item
+  UNION ALL
+  SELECT [a.item, b.item], count(*) FROM bi a JOIN bi b ON a.basket = b.basket AND a.item < b.item
+  GROUP BY a.item, b.item
+  UNION ALL
+  SELECT [a.item, b.item, c.item], count(*) FROM bi a
+  JOIN bi b ON a.basket = b.basket AND a.item < b.item
+  JOIN bi c ON c.basket = a.basket AND b.item < c.item
+  GROUP BY a.item, b.item, c.item)
+SELECT {pylist('items')} AS items, freq FROM f
+WHERE freq >= (SELECT t FROM th)
+ORDER BY len(items) DESC, freq DESC, array_to_string(items, ',') LIMIT 50"""
+
+# every subset of the 6 part types as a bit mask, tested against basket masks
+TYPE_FI = f"""
+ty AS (SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS bit
+       FROM (SELECT DISTINCT p_type FROM part)),
+bm AS (SELECT basket, bit_or(CAST(1 AS BIGINT) << bit) AS mask
+       FROM {_bi('p_type')} bi JOIN ty ON item = p_type GROUP BY basket),
+nb AS (SELECT count(*) AS n FROM bm),
+sub AS (SELECT range AS s FROM range(1, CAST(1 AS BIGINT) << (SELECT count(*) FROM ty))),
+fs AS (SELECT s, count(*) AS freq FROM sub JOIN bm ON (mask & s) = s GROUP BY s
+       HAVING count(*) >= ceil({0.05} * (SELECT n FROM nb))),
+fi AS (SELECT s, freq, list(p_type ORDER BY p_type) AS items FROM fs JOIN ty ON ((s >> bit) & 1) = 1
+       GROUP BY s, freq),
+rules AS (SELECT a.items AS antecedent, [t.p_type] AS consequent,
+                 u.freq / a.freq AS confidence, u.s AS s, t.bit AS cbit
+          FROM fi u JOIN ty t ON ((u.s >> t.bit) & 1) = 1
+          JOIN fi a ON a.s = u.s - (CAST(1 AS BIGINT) << t.bit)
+          WHERE u.freq / a.freq >= 0.3)"""
+
+ORACLES["frequent_itemsets_types"] = f"""
+WITH {TYPE_FI}
+SELECT {pylist('items')} AS items, freq FROM fi"""
+ORACLES["association_rules"] = f"""
+WITH {TYPE_FI}
+SELECT {pylist('antecedent')} AS antecedent, {pylist('consequent')} AS consequent,
+       round(confidence, 6) AS confidence FROM rules
+ORDER BY len(antecedent) DESC, confidence DESC, array_to_string(antecedent, ','),
+         array_to_string(consequent, ',') LIMIT 50"""
+ORACLES["rule_interest"] = f"""
+WITH {TYPE_FI}
+SELECT {pylist('antecedent')} AS antecedent, {pylist('consequent')} AS consequent,
+       round(confidence, 6) AS confidence, {pylist('c.items')} AS items, c.freq AS freq,
+       round(abs(confidence - c.freq / (SELECT n FROM nb)), 6) AS interest
+FROM rules JOIN fi c ON c.s = (CAST(1 AS BIGINT) << cbit)
+ORDER BY len(antecedent) DESC, abs(confidence - c.freq / (SELECT n FROM nb)) DESC,
+         array_to_string(antecedent, ','), array_to_string(consequent, ',') LIMIT 50"""

@@ -105,3 +105,148 @@ def q_filter_range(spark, sf):
 def q_filter_equal(spark, sf):
     p = Tables(spark, sf).part.select("p_partkey", "p_brand", "p_name")
     return rel.filter_equal(p, "p_brand", "Brand#13").select("p_partkey", "p_name")
+
+
+# --------------------------------------------------------------------------
+# Recommenders (ratings re-expressed as customer x part x quantity)
+# --------------------------------------------------------------------------
+
+from quarry.functions import rounded  # noqa: E402
+from quarry.operators import recommend as rec  # noqa: E402
+
+
+def _split(spark, sf):
+    return rec.train_test(b.ratings(Tables(spark, sf)), "key", b.SEED)
+
+
+@query
+def q_split_by_key(spark, sf):
+    r = b.ratings(Tables(spark, sf))
+    return rec.split_by_key(r, "key", b.SEED).select("key", "is_train")
+
+
+@query
+def q_global_avg(spark, sf):
+    train, _ = _split(spark, sf)
+    return rec.global_avg(train).select(rounded("global_mean").alias("global_mean"))
+
+
+@query
+def q_group_avg(spark, sf):
+    train, _ = _split(spark, sf)
+    return rec.group_avg(train, "userId", name="user_mean").select(
+        "userId", rounded("user_mean").alias("user_mean"))
+
+
+@query
+def q_global_mean_rmse(spark, sf):
+    train, test = _split(spark, sf)
+    return rec.global_mean_rmse(train, test).select(rounded("rmse").alias("rmse"))
+
+
+@query
+def q_means_and_interaction(spark, sf):
+    train, _ = _split(spark, sf)
+    mi = rec.means_and_interaction(train)
+    return (mi.orderBy("userId", "movieId", "key").limit(50)
+            .select("userId", "movieId", "rating",
+                    rounded("user_mean").alias("user_mean"),
+                    rounded("item_mean").alias("item_mean"),
+                    rounded("user_item_interaction").alias("user_item_interaction")))
+
+
+@query
+def q_bias_predict(spark, sf):
+    train, test = _split(spark, sf)
+    p = rec.bias_predict(train, test)
+    return p.select("key", "userId", "movieId", "rating", rounded("prediction").alias("prediction"))
+
+
+@query
+def q_rmse(spark, sf):
+    train, test = _split(spark, sf)
+    return rec.rmse(rec.bias_predict(train, test)).select(rounded("rmse").alias("rmse"))
+
+
+def _pair_split(spark, sf):
+    """ALS input: mean rating per (user, item), split by the pair key."""
+    r = b.ratings(Tables(spark, sf))
+    pairs = (r.groupBy("userId", "movieId").agg(F.avg("rating").alias("rating"))
+             .withColumn("pair", F.concat_ws(":", "userId", "movieId")))
+    return rec.train_test(pairs, "pair", b.SEED)
+
+
+@query
+def q_als_rmse(spark, sf):
+    train, test = _pair_split(spark, sf)
+    return rec.als_rmse(train, test, b.SEED)
+
+
+@query
+def q_als_bias_rmse(spark, sf):
+    train, test = _pair_split(spark, sf)
+    return rec.als_bias_rmse(train, test, b.SEED)
+
+
+@query
+def q_predict_ratings(spark, sf):
+    train, test = _pair_split(spark, sf)
+    model = rec.als_fit(train, b.SEED)
+    return rec.predict_ratings(model, test).select("userId", "movieId", "rating", "prediction")
+
+
+# --------------------------------------------------------------------------
+# Market baskets: orders as baskets, part brands (25) or part types (6) as items
+# --------------------------------------------------------------------------
+
+from quarry.functions import py_list_str  # noqa: E402
+from quarry.operators import baskets as bk  # noqa: E402
+
+BRAND_SUPPORT = 0.02
+TYPE_SUPPORT, TYPE_CONFIDENCE = 0.05, 0.3
+TOP_N = 50
+
+
+def _baskets(spark, sf, item_col):
+    return bk.baskets(b.order_items(Tables(spark, sf), item_col))
+
+
+@query
+def q_baskets(spark, sf):
+    return _baskets(spark, sf, "p_brand").select("basket", py_list_str("items").alias("items"))
+
+
+@query
+def q_frequent_itemsets(spark, sf):
+    model = bk.fit(_baskets(spark, sf, "p_brand"), BRAND_SUPPORT, 0.5)
+    fi = bk.frequent_itemsets(model, TOP_N)
+    return fi.select(py_list_str("items").alias("items"), "freq")
+
+
+@query
+def q_frequent_itemsets_types(spark, sf):
+    model = bk.fit(_baskets(spark, sf, "p_type"), TYPE_SUPPORT, TYPE_CONFIDENCE)
+    fi = bk.frequent_itemsets(model)
+    return fi.select(py_list_str("items").alias("items"), "freq")
+
+
+@query
+def q_association_rules(spark, sf):
+    model = bk.fit(_baskets(spark, sf, "p_type"), TYPE_SUPPORT, TYPE_CONFIDENCE)
+    r = bk.association_rules(model, TOP_N)
+    return r.select(py_list_str("antecedent").alias("antecedent"),
+                    py_list_str("consequent").alias("consequent"),
+                    rounded("confidence").alias("confidence"))
+
+
+@query
+def q_rule_interest(spark, sf):
+    bs = _baskets(spark, sf, "p_type")
+    model = bk.fit(bs, TYPE_SUPPORT, TYPE_CONFIDENCE)
+    n = bs.count()
+    r = bk.rule_interest(model, n, TOP_N)
+    return r.select(py_list_str("antecedent").alias("antecedent"),
+                    py_list_str("consequent").alias("consequent"),
+                    rounded("confidence").alias("confidence"),
+                    py_list_str("items").alias("items"), "freq",
+                    rounded("interest").alias("interest"))
