@@ -76,3 +76,38 @@ def nation_parts(t: Tables) -> DataFrame:
             .select("c_nationkey", "l_partkey").distinct()
             .join(n, F.col("c_nationkey") == n.n_nationkey)
             .select(F.col("n_name").alias("entity"), F.col("l_partkey").cast("long").alias("feature")))
+
+
+def supplier_nation_parts(t: Tables) -> DataFrame:
+    """Distinct ``(entity, feature)`` asked pairs: supplier nation, part supplied."""
+    li = t.lineitem.select("l_suppkey", "l_partkey")
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    n = t.nation.select("n_nationkey", "n_name")
+    return (li.join(s, li.l_suppkey == s.s_suppkey).select("s_nationkey", "l_partkey").distinct()
+            .join(n, F.col("s_nationkey") == n.n_nationkey)
+            .select(F.col("n_name").alias("entity"), F.col("l_partkey").cast("long").alias("feature")))
+
+
+def trade_nation_pairs(t: Tables) -> DataFrame:
+    """Distinct ``(entity1, entity2)``: supplier nation < customer nation of a line item."""
+    li = t.lineitem.select("l_orderkey", "l_suppkey")
+    o = t.orders.select("o_orderkey", "o_custkey")
+    c = t.customer.select("c_custkey", "c_nationkey")
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    pairs = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+             .join(s, F.col("l_suppkey") == s.s_suppkey)
+             .select("s_nationkey", "c_nationkey").distinct())
+    n1 = t.nation.select(F.col("n_nationkey").alias("k1"), F.col("n_name").alias("entity1"))
+    n2 = t.nation.select(F.col("n_nationkey").alias("k2"), F.col("n_name").alias("entity2"))
+    return (pairs.join(n1, pairs.s_nationkey == n1.k1).join(n2, pairs.c_nationkey == n2.k2)
+            .where(F.col("entity1") < F.col("entity2")).select("entity1", "entity2"))
+
+
+def customer_brands(t: Tables) -> DataFrame:
+    """Distinct ``(entity, feature)``: customer key (as text), brand bought."""
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    o = t.orders.select("o_orderkey", "o_custkey")
+    p = t.part.select("p_partkey", "p_brand")
+    return (li.join(o, li.l_orderkey == o.o_orderkey).join(p, F.col("l_partkey") == p.p_partkey)
+            .select(F.col("o_custkey").cast("string").alias("entity"),
+                    F.col("p_brand").alias("feature")).distinct())

@@ -145,3 +145,91 @@ SELECT {pylist('antecedent')} AS antecedent, {pylist('consequent')} AS consequen
 FROM rules JOIN fi c ON c.s = (CAST(1 AS BIGINT) << cbit)
 ORDER BY len(antecedent) DESC, abs(confidence - c.freq / (SELECT n FROM nb)) DESC,
          array_to_string(antecedent, ','), array_to_string(consequent, ',') LIMIT 50"""
+
+
+# ---------------------------------------------------------------- clustering
+NATION_PARTS = """SELECT DISTINCT n_name AS entity, l_partkey AS feature
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
+CUSTOMER_BRANDS = """SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS entity, p_brand AS feature
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
+SUPPLIER_NATION_PARTS = """SELECT DISTINCT n_name AS entity, l_partkey AS feature
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""
+TRADE_PAIRS = """SELECT DISTINCT n1.n_name AS entity1, n2.n_name AS entity2
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN supplier ON l_suppkey = s_suppkey
+  JOIN nation n1 ON s_nationkey = n1.n_nationkey JOIN nation n2 ON c_nationkey = n2.n_nationkey
+  WHERE n1.n_name < n2.n_name"""
+
+
+def start_sql(k: int, seed: int = 123) -> str:
+    return f"""SELECT CAST(row_number() OVER (ORDER BY entity) - 1 AS INTEGER) AS cluster, entity
+  FROM (SELECT entity FROM (SELECT DISTINCT entity FROM inc)
+        ORDER BY md5(concat('{seed}', ':', entity)), entity LIMIT {k})"""
+
+
+def _dbl(x: str) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+def kmeans_ctes(inc_sql: str, k: int, passes: int, seed: int = 123) -> str:
+    """CTE chain: start, then ``passes`` rounds of update + assign (count form)."""
+    out = [f"inc AS MATERIALIZED ({inc_sql})",
+           "nx AS MATERIALIZED (SELECT entity, count(*) AS nx FROM inc GROUP BY entity)",
+           f"st AS MATERIALIZED ({start_sql(k, seed)})",
+           "c0 AS MATERIALIZED (SELECT st.cluster, inc.feature, CAST(1 AS BIGINT) AS cnt "
+           "FROM st JOIN inc USING (entity))",
+           "m0 AS MATERIALIZED (SELECT st.cluster, CAST(1 AS BIGINT) AS sz, "
+           "CAST(coalesce(nx.nx, 0) AS BIGINT) AS s2 FROM st LEFT JOIN nx USING (entity))"]
+
+    def assign(j):
+        dist = (f"{_dbl('n.nx')} - CAST(2.0 AS DOUBLE) * {_dbl('coalesce(s.s1, 0)')} / {_dbl('m.sz')}"
+                f" + {_dbl('m.s2')} / ({_dbl('m.sz')} * {_dbl('m.sz')})")
+        return (f"a{j} AS MATERIALIZED (SELECT entity, cluster, dist FROM (SELECT n.entity, m.cluster, {dist} AS dist, "
+                f"row_number() OVER (PARTITION BY n.entity ORDER BY {dist}, m.cluster) AS rn "
+                f"FROM nx n CROSS JOIN m{j} m LEFT JOIN (SELECT i.entity, c.cluster, sum(c.cnt) AS s1 "
+                f"FROM inc i JOIN c{j} c USING (feature) GROUP BY i.entity, c.cluster) s "
+                f"ON s.entity = n.entity AND s.cluster = m.cluster) WHERE rn = 1)")
+
+    out.append(assign(0))
+    for j in range(1, passes + 1):
+        p = j - 1
+        out.append(f"n{j} AS MATERIALIZED (SELECT a.cluster, i.feature, count(*) AS cnt "
+                   f"FROM inc i JOIN a{p} a USING (entity) GROUP BY a.cluster, i.feature)")
+        out.append(f"c{j} AS MATERIALIZED (SELECT * FROM n{j} UNION ALL SELECT * FROM c{p} "
+                   f"WHERE cluster NOT IN (SELECT cluster FROM a{p}))")
+        out.append(f"m{j} AS MATERIALIZED (SELECT z.cluster, z.sz, CAST(coalesce(q.s2, 0) AS BIGINT) AS s2 "
+                   f"FROM (SELECT cluster, count(*) AS sz FROM a{p} GROUP BY cluster) z "
+                   f"LEFT JOIN (SELECT cluster, sum(cnt * cnt) AS s2 FROM n{j} GROUP BY cluster) q USING (cluster) "
+                   f"UNION ALL SELECT * FROM m{p} WHERE cluster NOT IN (SELECT cluster FROM a{p}))")
+        out.append(assign(j))
+    return "WITH " + ",\n".join(out)
+
+
+def classes_sql(inc_sql: str, k: int, passes: int) -> str:
+    return (kmeans_ctes(inc_sql, k, passes) +
+            f"\nSELECT l.leader, a.entity AS member FROM a{passes} a JOIN "
+            f"(SELECT cluster, min(entity) AS leader FROM a{passes} GROUP BY cluster) l USING (cluster)")
+
+
+ORACLES["incidence_lookup"] = f"""
+SELECT q.entity, q.feature, (i.entity IS NOT NULL) AS present
+FROM ({SUPPLIER_NATION_PARTS}) q LEFT JOIN ({NATION_PARTS}) i
+  ON i.entity = q.entity AND i.feature = q.feature"""
+ORACLES["sq_distance"] = f"""
+WITH inc AS ({NATION_PARTS}), nx AS (SELECT entity, count(*) AS nx FROM inc GROUP BY entity)
+SELECT p.entity1, p.entity2,
+  CAST(coalesce(n1.nx, 0) + coalesce(n2.nx, 0) - 2 * coalesce(
+    (SELECT count(*) FROM inc a JOIN inc b ON a.feature = b.feature
+     WHERE a.entity = p.entity1 AND b.entity = p.entity2), 0) AS BIGINT) AS distance
+FROM ({TRADE_PAIRS}) p LEFT JOIN nx n1 ON n1.entity = p.entity1 LEFT JOIN nx n2 ON n2.entity = p.entity2"""
+ORACLES["init_centroids"] = f"WITH inc AS ({NATION_PARTS}) {start_sql(3)}"
+ORACLES["kmeans_first_iter"] = (
+    kmeans_ctes(NATION_PARTS, 3, 0) +
+    "\nSELECT st.entity AS centroid, a0.entity AS member FROM a0 JOIN st USING (cluster)")
+ORACLES["kmeans_update"] = (
+    kmeans_ctes(NATION_PARTS, 3, 1) +
+    "\nSELECT c1.cluster, c1.feature, round(CAST(c1.cnt AS DOUBLE) / m1.sz, 6) AS weight "
+    "FROM c1 JOIN m1 USING (cluster)")
+ORACLES["kmeans"] = classes_sql(NATION_PARTS, 3, 10)
+ORACLES["kmeans_customers"] = classes_sql(CUSTOMER_BRANDS, 5, 10)

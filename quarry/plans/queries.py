@@ -250,3 +250,62 @@ def q_rule_interest(spark, sf):
                     rounded("confidence").alias("confidence"),
                     py_list_str("items").alias("items"), "freq",
                     rounded("interest").alias("interest"))
+
+
+# --------------------------------------------------------------------------
+# Clustering: nations (entities) over the parts their customers bought
+# --------------------------------------------------------------------------
+
+from quarry.operators import cluster as cl  # noqa: E402
+from quarry.operators import incidence as ic  # noqa: E402
+
+K, KMEANS_PASSES = 3, 10
+K_CUST = 5
+
+
+@query
+def q_incidence_lookup(spark, sf):
+    t = Tables(spark, sf)
+    return ic.lookup(b.nation_parts(t), b.supplier_nation_parts(t))
+
+
+@query
+def q_sq_distance(spark, sf):
+    t = Tables(spark, sf)
+    return ic.sq_distance(b.nation_parts(t), b.trade_nation_pairs(t))
+
+
+@query
+def q_init_centroids(spark, sf):
+    return cl.init_centroids(b.nation_parts(Tables(spark, sf)), K, b.SEED)
+
+
+@query
+def q_kmeans_first_iter(spark, sf):
+    inc = b.nation_parts(Tables(spark, sf))
+    return cl.first_iter(inc, cl.init_centroids(inc, K, b.SEED))
+
+
+@query
+def q_kmeans_update(spark, sf):
+    inc = b.nation_parts(Tables(spark, sf))
+    start = cl.init_centroids(inc, K, b.SEED)
+    cnt, meta = cl.initial_state(inc, start)
+    a = cl.assign(inc, ic.sizes(inc), cnt, cl._meta_dict(meta), K)
+    cnt1, meta1 = cl.update(inc, a, cnt, meta)
+    w = cl.weights(cnt1, meta1)
+    return w.select("cluster", "feature", rounded("weight").alias("weight"))
+
+
+@query
+def q_kmeans(spark, sf):
+    inc = b.nation_parts(Tables(spark, sf))
+    a, _ = cl.kmeans(inc, cl.init_centroids(inc, K, b.SEED), KMEANS_PASSES)
+    return cl.classes(a)
+
+
+@query
+def q_kmeans_customers(spark, sf):
+    inc = b.customer_brands(Tables(spark, sf))
+    a, _ = cl.kmeans(inc, cl.init_centroids(inc, K_CUST, b.SEED), KMEANS_PASSES)
+    return cl.classes(a)
