@@ -233,3 +233,144 @@ ORACLES["kmeans_update"] = (
     "FROM c1 JOIN m1 USING (cluster)")
 ORACLES["kmeans"] = classes_sql(NATION_PARTS, 3, 10)
 ORACLES["kmeans_customers"] = classes_sql(CUSTOMER_BRANDS, 5, 10)
+
+
+# ---------------------------------------------------------------- primes / hashing / LSH
+# The driver checks oracles at sf0.01. Hash parameters depend on a row count
+# (m) of that data and on Python's seeded RNG, which SQL cannot express, so
+# the family is computed here and inlined as VALUES; everything else is SQL.
+import functools  # noqa: E402
+import math  # noqa: E402
+import random  # noqa: E402
+
+ORACLE_DIR = "/root/testdata/sf0.01"
+
+
+@functools.lru_cache(maxsize=None)
+def _scalar(sql: str) -> int:
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("part", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{ORACLE_DIR}/{t}.parquet')")
+    return int(con.execute(sql).fetchone()[0])
+
+
+def _is_prime(v: int) -> bool:
+    return v >= 2 and all(v % d for d in range(2, math.isqrt(v) + 1))
+
+
+def _family(seed: int, n: int, m: int) -> str:
+    rng = random.Random(seed)
+    ps, v = [], max(m, 2)
+    while len(ps) < n:
+        if _is_prime(v):
+            ps.append(v)
+        v += 1
+    rows = []
+    for i, p in enumerate(ps):
+        a = rng.randint(1, m)
+        b = rng.randint(1, m)
+        rows.append(f"({i}, {a}, {b}, {p})")
+    return f"(SELECT CAST(i AS INTEGER) AS i, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, CAST(p AS BIGINT) AS p FROM (VALUES {', '.join(rows)}) v(i, a, b, p))"
+
+
+def _lazy(fn):
+    """Register an oracle whose text needs the data (built on first access)."""
+    _LAZY[fn.__name__.removeprefix("o_")] = fn
+    return fn
+
+
+_LAZY: dict = {}
+
+NO_DIVISOR = "NOT EXISTS (SELECT 1 FROM range(2, CAST(floor(sqrt({k})) AS BIGINT) + 1) d(d) WHERE {k} % d = 0)"
+
+ORACLES["prime_keys"] = (
+    "SELECT o_orderkey FROM orders WHERE o_orderkey >= 2 AND "
+    + NO_DIVISOR.format(k="o_orderkey"))
+ORACLES["next_primes"] = f"""
+SELECT CAST(row_number() OVER (ORDER BY p) - 1 AS INTEGER) AS i, p FROM (
+  SELECT v AS p FROM range((SELECT count(*) FROM part), (SELECT count(*) FROM part) + 100000) t(v)
+  WHERE v >= 2 AND {NO_DIVISOR.format(k='v')} ORDER BY v LIMIT 50)"""
+
+PART_M = "SELECT count(*) FROM part"
+PART_IDX = "(SELECT p_partkey AS feature, row_number() OVER (ORDER BY p_partkey) - 1 AS idx FROM part)"
+
+
+@_lazy
+def o_hash_column():
+    fam = _family(123, 1, _scalar(PART_M))
+    return f"SELECT p_partkey, (f.a * p_partkey + f.b) % f.p AS h FROM part, {fam} f"
+
+
+@_lazy
+def o_hash_family_apply():
+    fam = _family(123, 10, _scalar(PART_M))
+    return f"SELECT p_partkey, f.i, (f.a * p_partkey + f.b) % f.p AS h FROM part, {fam} f"
+
+
+def _nation_sig(n: int) -> str:
+    fam = _family(123, n, _scalar(PART_M))
+    return (f"(SELECT entity, f.i, min((f.a * x.idx + f.b) % f.p) AS h "
+            f"FROM ({NATION_PARTS}) inc JOIN {PART_IDX} x USING (feature), {fam} f GROUP BY entity, f.i)")
+
+
+def _bands(sig: str, r: int) -> str:
+    return (f"(SELECT entity, CAST(i // {r} AS INTEGER) AS band, "
+            f"md5(string_agg(CAST(h AS VARCHAR), ',' ORDER BY i)) AS bucket FROM {sig} s GROUP BY entity, i // {r})")
+
+
+def _buckets(bands: str) -> str:
+    return (f"WITH bd AS {bands}, sz AS (SELECT band, bucket, count(*) AS size FROM bd GROUP BY band, bucket "
+            f"HAVING count(*) >= 2) SELECT band, bucket, entity AS member, size FROM bd JOIN sz USING (band, bucket)")
+
+
+@_lazy
+def o_minhash_signatures():
+    return f"SELECT entity, i, h FROM {_nation_sig(35)} s"
+
+
+@_lazy
+def o_band_hash():
+    return f"SELECT entity, bucket FROM {_bands(_nation_sig(12), 2)} b WHERE band = 2"
+
+
+@_lazy
+def o_lsh_buckets():
+    return _buckets(_bands(_nation_sig(35), 7))
+
+
+ORACLES["lsh_band_plan"] = """
+WITH req AS (SELECT DISTINCT CAST(p_size + 50 AS BIGINT) AS n,
+                    0.5::DOUBLE + CAST(p_size % 5 AS DOUBLE) / 10.0::DOUBLE AS s FROM part),
+bb AS (SELECT n, s, (SELECT max(b) FROM range(1, n + 1) t(b)
+                     WHERE CAST(b AS DOUBLE) * ln(CAST(b AS DOUBLE)) <= -CAST(n AS DOUBLE) * ln(s)) AS b FROM req)
+SELECT n, round(s, 9) AS s, b, n // b AS r, (n // b) * b AS n_real,
+       round(pow(1.0::DOUBLE / b, 1.0::DOUBLE / (n // b)), 9) AS s_real FROM bb"""
+
+DOC_WORDS = "list_filter(string_split_regex(text, '[ \\t\\n\\r\\f\\x0B]+'), lambda w: w <> '')"
+DOC_INC = f"""(SELECT DISTINCT entity, feature FROM (
+  SELECT doc_id AS entity, unnest(CASE WHEN len(w) >= 3
+           THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS feature
+  FROM (SELECT doc_id, {DOC_WORDS} AS w FROM documents)))"""
+
+
+@_lazy
+def o_doc_lsh_buckets():
+    m = _scalar(f"SELECT count(DISTINCT feature) FROM {DOC_INC} d")
+    fam = _family(123, 40, m)
+    idx = f"(SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS idx FROM (SELECT DISTINCT feature FROM {DOC_INC} d0))"
+    sig = (f"(SELECT entity, f.i, min((f.a * x.idx + f.b) % f.p) AS h FROM {DOC_INC} inc "
+           f"JOIN {idx} x USING (feature), {fam} f GROUP BY entity, f.i)")
+    return _buckets(_bands(sig, 4))
+
+
+def all_oracles() -> dict[str, str]:
+    out = dict(ORACLES)
+    for name, fn in _LAZY.items():
+        try:
+            out[name] = fn()
+        except Exception:  # noqa: BLE001 - data folder missing: no oracle for it
+            pass
+    return out

@@ -309,3 +309,95 @@ def q_kmeans_customers(spark, sf):
     inc = b.customer_brands(Tables(spark, sf))
     a, _ = cl.kmeans(inc, cl.init_centroids(inc, K_CUST, b.SEED), KMEANS_PASSES)
     return cl.classes(a)
+
+
+# --------------------------------------------------------------------------
+# Primes, hashing, min-hash and LSH: nations over parts, documents over shingles
+# --------------------------------------------------------------------------
+
+from quarry.operators import lsh  # noqa: E402
+
+N_PRIMES = 50
+N_FAMILY = 10
+N_BANDS, N_ROWS = 5, 7
+BAND_N, BAND_B, BAND_R = 12, 2, 2
+
+
+@query
+def q_prime_keys(spark, sf):
+    o = Tables(spark, sf).orders.select("o_orderkey")
+    return lsh.primes_in(o, "o_orderkey")
+
+
+@query
+def q_next_primes(spark, sf):
+    m = Tables(spark, sf).part.count()
+    return lsh.next_primes(spark, N_PRIMES, m)
+
+
+def _part_family(spark, sf, n):
+    m = Tables(spark, sf).part.count()
+    return lsh.hash_family(spark, b.SEED, n, m), m
+
+
+@query
+def q_hash_column(spark, sf):
+    (fam, m) = _part_family(spark, sf, 1)
+    _, a, bb, p = fam[0]
+    part = Tables(spark, sf).part.select("p_partkey")
+    return lsh.hash_column(part, "p_partkey", a, bb, p, "h")
+
+
+@query
+def q_hash_family_apply(spark, sf):
+    fam, _ = _part_family(spark, sf, N_FAMILY)
+    part = Tables(spark, sf).part.select("p_partkey")
+    return lsh.hash_family_apply(part, "p_partkey", fam)
+
+
+def _nation_sig(spark, sf, n):
+    t = Tables(spark, sf)
+    fam, m = _part_family(spark, sf, n)
+    idx = lsh.row_index(t.part.select(F.col("p_partkey").alias("feature")), ["feature"])
+    inc = b.nation_parts(t).join(idx, "feature")
+    return lsh.signatures_wide(inc, fam, x_max=m - 1)
+
+
+@query
+def q_minhash_signatures(spark, sf):
+    return lsh.signatures_long(_nation_sig(spark, sf, N_BANDS * N_ROWS))
+
+
+@query
+def q_band_hash(spark, sf):
+    return lsh.band_hash(_nation_sig(spark, sf, BAND_N), BAND_B, BAND_R)
+
+
+@query
+def q_lsh_buckets(spark, sf):
+    bands = lsh.band_hashes(_nation_sig(spark, sf, N_BANDS * N_ROWS), N_BANDS, N_ROWS)
+    return lsh.lsh_buckets(bands)
+
+
+@query
+def q_lsh_band_plan(spark, sf):
+    p = Tables(spark, sf).part
+    req = p.select((F.col("p_size") + 50).cast("long").alias("n"),
+                   (F.lit(0.5) + (F.col("p_size") % 5).cast("double") / F.lit(10.0)).alias("s")).distinct()
+    out = lsh.band_plan(req)
+    return out.select("n", rounded("s", 9).alias("s"), "b", "r", "n_real",
+                      rounded("s_real", 9).alias("s_real"))
+
+
+DOC_SHINGLE = 3
+DOC_BANDS, DOC_ROWS = 10, 4
+
+
+@query
+def q_doc_lsh_buckets(spark, sf):
+    from quarry.operators import text
+
+    docs = Tables(spark, sf).documents.select(F.col("doc_id").alias("entity"), "text")
+    inc = text.shingle_incidence(docs, DOC_SHINGLE)
+    _, _, buckets = lsh.minhash_lsh(inc, ["feature"], b.SEED, DOC_BANDS, DOC_ROWS)
+    return buckets
