@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_dir
+from quarry.operators.indexing import row_index
 
 LONG_SAFE = (1 << 63) - 1
 
@@ -130,31 +130,6 @@ def hash_family_apply(df: DataFrame, col: str, family, x_max: int | None = None)
     return df.select("*", F.inline(arr))
 
 
-# ----------------------------------------------------------------- indexing
-def row_index(df: DataFrame, order: Sequence[str], name: str = "idx",
-              num_partitions: int | None = None) -> DataFrame:
-    """0-based position of every row in ``order`` (keys must be unique).
-
-    Range-partition and sort, count rows per partition, turn the counts into
-    offsets (one row per partition, so that window is tiny) and add each
-    row's position inside its partition. The sorted data is checkpointed so
-    both uses see the same partitioning, also after a lost executor.
-    """
-    spark = df.sparkSession
-    scratch_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-         .checkpoint())
-    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    return (s.join(F.broadcast(offsets), "__pid")
-            .withColumn(name, (F.col("__off") + F.col("__pos")).cast("long"))
-            .drop("__pid", "__pos", "__off"))
-
-
 # ----------------------------------------------------------------- min-hash
 def signatures_wide(inc: DataFrame, family, x_max: int | None = None,
                     entity: str = "entity", idx: str = "idx") -> DataFrame:

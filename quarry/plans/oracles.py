@@ -374,3 +374,27 @@ def all_oracles() -> dict[str, str]:
         except Exception:  # noqa: BLE001 - data folder missing: no oracle for it
             pass
     return out
+
+
+# ---------------------------------------------------------------- sources and sinks
+PART_CSV = (f"SELECT p_partkey, concat_ws(', ', p_name, p_brand) AS label, {PARK} AS park, "
+            "p_size, p_retailprice FROM part")
+ORACLES["scan_csv"] = PART_CSV
+ORACLES["skip_header"] = PART_CSV
+ORACLES["parse_delimited"] = f"SELECT userId, movieId, rating, key FROM {RATINGS} r"
+ORACLES["parse_ragged"] = ORACLES["baskets"]
+ORACLES["row_index"] = ("SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name, p_partkey) - 1 AS idx "
+                        "FROM part")
+ORACLES["inline_table"] = """
+WITH req AS (SELECT * FROM (VALUES (100, 0.8), (35, 0.5), (60, 0.7)) v(n, s)),
+req2 AS (SELECT CAST(n AS BIGINT) AS n, CAST(s AS DOUBLE) AS s FROM req),
+sz AS (SELECT CAST(p_size AS BIGINT) AS n, count(*) AS parts FROM part GROUP BY p_size),
+bb AS (SELECT r.n, r.s, sz.parts, (SELECT max(b) FROM range(1, r.n + 1) t(b)
+        WHERE CAST(b AS DOUBLE) * ln(CAST(b AS DOUBLE)) <= -CAST(r.n AS DOUBLE) * ln(r.s)) AS b
+       FROM req2 r LEFT JOIN sz USING (n))
+SELECT n, parts, b, n // b AS r, (n // b) * b AS n_real,
+       round(pow(1.0::DOUBLE / b, 1.0::DOUBLE / (n // b)), 9) AS s_real FROM bb"""
+ORACLES["to_csv_lines"] = (
+    f"SELECT park || ',' || CAST(count(*) AS VARCHAR) AS line FROM {TREES} t WHERE {PRESENT} GROUP BY park")
+ORACLES["to_lines"] = ORACLES["distinct_sorted"]
+ORACLES["to_map"] = "SELECT p_brand, count(*) AS parts FROM part GROUP BY p_brand"

@@ -401,3 +401,94 @@ def q_doc_lsh_buckets(spark, sf):
     inc = text.shingle_incidence(docs, DOC_SHINGLE)
     _, _, buckets = lsh.minhash_lsh(inc, ["feature"], b.SEED, DOC_BANDS, DOC_ROWS)
     return buckets
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks: whole tables written below the shared scratch folder,
+# read back with the operator under test, compared with SQL on the parquet
+# --------------------------------------------------------------------------
+
+from quarry.operators.indexing import row_index  # noqa: E402
+from quarry.session import fresh_path  # noqa: E402
+from quarry.sinks import lines as sk  # noqa: E402
+from quarry.sources import files as src  # noqa: E402
+
+NULL_MARK = "\\N"
+PART_CSV_SCHEMA = "p_partkey LONG, label STRING, park STRING, p_size INT, p_retailprice DOUBLE"
+
+
+def _part_csv_frame(spark, sf):
+    p = Tables(spark, sf).part
+    return p.select("p_partkey", F.concat_ws(", ", "p_name", "p_brand").alias("label"),
+                    b.park_expr().alias("park"), "p_size", "p_retailprice")
+
+
+@query
+def q_scan_csv(spark, sf):
+    path = fresh_path(spark, "part-csv")
+    sk.write_csv(_part_csv_frame(spark, sf), path, header=True, null_value=NULL_MARK)
+    return src.scan_csv(spark, path, PART_CSV_SCHEMA, header=True, null_value=NULL_MARK)
+
+
+@query
+def q_skip_header(spark, sf):
+    path = fresh_path(spark, "part-csv-text")
+    sk.write_csv(_part_csv_frame(spark, sf), path, header=True, null_value=NULL_MARK)
+    body = src.skip_header(src.scan_text(spark, path))
+    return src.parse_csv_line(body, PART_CSV_SCHEMA, null_value=NULL_MARK)
+
+
+@query
+def q_parse_delimited(spark, sf):
+    r = b.ratings(Tables(spark, sf))
+    path = fresh_path(spark, "ratings-text")
+    sk.write_lines(r.select(F.concat_ws("::", "userId", "movieId", "rating", "key").alias("value")), path)
+    return src.parse_delimited(src.scan_text(spark, path), ["userId", "movieId", "rating", "key"],
+                               ["long", "long", "double", "string"])
+
+
+@query
+def q_parse_ragged(spark, sf):
+    bs = _baskets(spark, sf, "p_brand")
+    path = fresh_path(spark, "baskets-text")
+    sk.write_lines(bs.select(F.concat_ws(",", F.col("basket").cast("string"),
+                                         F.array_join("items", ",")).alias("value")), path)
+    parsed = src.parse_ragged(src.scan_text(spark, path), key="basket")
+    return parsed.select(F.col("basket").cast("long").alias("basket"), py_list_str("items").alias("items"))
+
+
+@query
+def q_row_index(spark, sf):
+    p = Tables(spark, sf).part.select("p_partkey", "p_name")
+    return row_index(p, ["p_name", "p_partkey"], "idx")
+
+
+@query
+def q_inline_table(spark, sf):
+    # the (n, s) requests of the band plan, given inline, joined to the data
+    req = src.inline_table(spark, [(100, 0.8), (35, 0.5), (60, 0.7)], "n LONG, s DOUBLE")
+    sizes = Tables(spark, sf).part.groupBy(F.col("p_size").cast("long").alias("n")).agg(
+        F.count(F.lit(1)).alias("parts"))
+    return lsh.band_plan(req.join(sizes, "n", "left")).select(
+        "n", "parts", "b", "r", "n_real", rounded("s_real", 9).alias("s_real"))
+
+
+@query
+def q_to_csv_lines(spark, sf):
+    g = rel.group_count(b.trees_weighted(Tables(spark, sf)), "park", weight="n")
+    return sk.to_csv_lines(g)
+
+
+@query
+def q_to_lines(spark, sf):
+    d = rel.distinct_sorted(b.trees_weighted(Tables(spark, sf)), "park")
+    path = fresh_path(spark, "parks-lines")
+    sk.write_sorted_lines(d, "park", path)
+    return src.scan_text(spark, path).select(F.col("value").alias("park"))
+
+
+@query
+def q_to_map(spark, sf):
+    p = Tables(spark, sf).part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"))
+    m = sk.to_map(p, "p_brand", "parts", max_entries=10_000)
+    return m.select(F.explode("map").alias("p_brand", "parts"))
