@@ -48,18 +48,16 @@ def init_centroids(entities: DataFrame, k: int, seed: int | None = None,
 
 
 def initial_state(inc: DataFrame, start: DataFrame):
-    """Count form of the start centroids: each is one entity (``sz`` = 1)."""
+    """Count form of the start centroids: each is one entity (``sz`` = 1).
+
+    Returns ``(cnt, meta)``: the ``(cluster, feature, cnt)`` table and the
+    driver-side ``{cluster: (sz, s2)}`` of ``k`` entries.
+    """
     cnt = (inc.join(start, "entity")
            .select("cluster", "feature", F.lit(1).cast("long").alias("cnt")))
-    meta = (start.join(sizes(inc), "entity", "left")
-            .select("cluster", F.lit(1).cast("long").alias("sz"),
-                    F.coalesce("nx", F.lit(0)).cast("long").alias("s2")))
-    return cnt, meta
-
-
-def _meta_dict(meta: DataFrame) -> dict[int, tuple[int, int]]:
-    # bounded by k rows
-    return {r["cluster"]: (r["sz"], r["s2"]) for r in meta.collect()}
+    rows = (start.join(sizes(inc), "entity", "left")
+            .select("cluster", F.coalesce("nx", F.lit(0)).cast("long").alias("s2")).collect())
+    return cnt, {r["cluster"]: (1, r["s2"]) for r in rows}
 
 
 def assign(inc: DataFrame, nx: DataFrame, cnt: DataFrame, meta: dict[int, tuple[int, int]],
@@ -82,31 +80,41 @@ def assign(inc: DataFrame, nx: DataFrame, cnt: DataFrame, meta: dict[int, tuple[
                     best.getField("dist").alias("dist"))
 
 
-def update(inc: DataFrame, assignment: DataFrame, old_cnt: DataFrame, old_meta: DataFrame):
-    """New centroid counts from an assignment; an emptied cluster keeps its old centroid."""
+def update(inc: DataFrame, assignment: DataFrame, old_cnt: DataFrame,
+           old_meta: dict[int, tuple[int, int]], checkpoint: bool = False):
+    """New centroid counts from an assignment; an emptied cluster keeps its old centroid.
+
+    Returns ``(cnt, meta)`` like ``initial_state``. Two aggregates of at most
+    ``k`` rows each reach the driver.
+    """
     a = assignment.select("entity", "cluster")
     cnt = (inc.join(a, "entity").groupBy("cluster", "feature")
            .agg(F.count(F.lit(1)).alias("cnt")))
-    sz = a.groupBy("cluster").agg(F.count(F.lit(1)).alias("sz"))
-    s2 = cnt.groupBy("cluster").agg(F.sum(F.col("cnt") * F.col("cnt")).alias("s2"))
-    meta = sz.join(s2, "cluster", "left").select("cluster", "sz", F.coalesce("s2", F.lit(0)).cast("long").alias("s2"))
-    kept = old_meta.join(sz, "cluster", "left_anti")
-    meta = meta.unionByName(kept.select("cluster", "sz", "s2"))
-    cnt = cnt.unionByName(old_cnt.join(sz, "cluster", "left_anti").select("cluster", "feature", "cnt"))
+    if checkpoint:
+        cnt = cnt.checkpoint()
+    sz = {r["cluster"]: r["sz"] for r in a.groupBy("cluster").agg(F.count(F.lit(1)).alias("sz")).collect()}
+    s2 = {r["cluster"]: r["s2"] for r in
+          cnt.groupBy("cluster").agg(F.sum(F.col("cnt") * F.col("cnt")).alias("s2")).collect()}
+    meta = {c: (sz[c], int(s2.get(c) or 0)) for c in sz}
+    empty = [c for c in old_meta if c not in sz]
+    for c in empty:
+        meta[c] = old_meta[c]
+    if empty:
+        cnt = cnt.unionByName(old_cnt.where(F.col("cluster").isin(empty)).select("cluster", "feature", "cnt"))
     return cnt, meta
 
 
-def weights(cnt: DataFrame, meta: DataFrame) -> DataFrame:
+def weights(cnt: DataFrame, meta: dict[int, tuple[int, int]]) -> DataFrame:
     """``(cluster, feature, weight)``: the mean vector in long form."""
-    return cnt.join(meta, "cluster").select("cluster", "feature",
-                                            (F.col("cnt") / F.col("sz")).alias("weight"))
+    sz = F.create_map(*[x for c, (n, _) in sorted(meta.items()) for x in (F.lit(c), F.lit(n))])
+    return cnt.select("cluster", "feature", (F.col("cnt") / F.element_at(sz, F.col("cluster"))).alias("weight"))
 
 
 def first_iter(inc: DataFrame, start: DataFrame) -> DataFrame:
     """``(centroid, member)``: each entity under its nearest start entity."""
     k = start.count()
     cnt, meta = initial_state(inc, start)
-    a = assign(inc, sizes(inc), cnt, _meta_dict(meta), k)
+    a = assign(inc, sizes(inc), cnt, meta, k)
     return a.join(start.withColumnRenamed("entity", "centroid"), "cluster").select("centroid",
                                                                                    F.col("entity").alias("member"))
 
@@ -115,30 +123,35 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,
            num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """Iterate assign/update until no entity changes cluster (or ``max_iter``).
 
-    Returns the final ``(entity, cluster, dist)`` and the passes run. Each
-    pass's assignment and centroid counts are checkpointed to the shared
-    checkpoint folder, so the plan stays one pass long and a lost executor
-    recomputes at most one pass.
+    Returns the final ``(entity, cluster, dist)`` and the passes run.
+
+    The incidence is stored twice, hash-partitioned by feature (for the
+    distance join with the centroid counts) and by entity (for the update
+    join with the assignment), so no pass re-shuffles it: only the centroid
+    counts and the assignment move. Each pass's assignment and counts are
+    checkpointed to the shared folder, so the plan stays one pass long and a
+    lost executor recomputes at most one pass.
     """
     spark = inc.sparkSession
     scratch_dir(spark)
+    start = start.checkpoint()
     k = start.count()
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    inc_p = inc.select("entity", "feature").repartition(n, "feature").checkpoint()
-    nx = sizes(inc_p).checkpoint()
-    cnt, meta = initial_state(inc_p, start)
-    meta_d = _meta_dict(meta)
-    a = assign(inc_p, nx, cnt, meta_d, k).checkpoint()
+    base = inc.select("entity", "feature")
+    inc_f = base.repartition(n, "feature").checkpoint()
+    inc_e = base.repartition(n, "entity").checkpoint()
+    nx = sizes(inc_e).checkpoint()
+    cnt, meta = initial_state(inc_e, start)
+    a = assign(inc_f, nx, cnt, meta, k).checkpoint()
     passes = 0
     for passes in range(1, max_iter + 1):
-        cnt, meta = update(inc_p, a, cnt, meta)
-        cnt = cnt.checkpoint()
-        meta = meta.checkpoint()
-        meta_d = _meta_dict(meta)
-        nxt = assign(inc_p, nx, cnt, meta_d, k).checkpoint()
-        changed = (nxt.alias("n").join(a.alias("o"), "entity")
-                   .where(F.col("n.cluster") != F.col("o.cluster")).count())
-        a = nxt
+        cnt, meta = update(inc_e, a, cnt, meta, checkpoint=True)
+        nxt = (assign(inc_f, nx, cnt, meta, k)
+               .join(a.select("entity", F.col("cluster").alias("__old")), "entity")
+               .withColumn("__changed", F.col("cluster") != F.col("__old"))
+               .drop("__old").checkpoint())
+        changed = nxt.where("__changed").count()
+        a = nxt.drop("__changed")
         if changed == 0:
             break
     return a, passes

@@ -3,8 +3,8 @@
 ``row_number().over(Window.orderBy(k))`` moves every row into one task. Here
 each partition counts its rows, the per-partition counts (one row per
 partition) become offsets, and a row's position is its partition's offset
-plus its place inside the partition. Cost: one extra pass over the data and
-a broadcast of ``num_partitions`` offsets.
+plus its place inside the partition. Cost: one write and two reads of the
+positioned rows; ``num_partitions`` offsets travel as literals.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_dir
+from quarry.session import written_table
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the in-partition position in the low 33 bits
 
@@ -25,29 +25,38 @@ def with_positions(df: DataFrame) -> DataFrame:
               .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
 
 
-def _finish(s: DataFrame, name: str) -> DataFrame:
-    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition reaches this window
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    return (s.join(F.broadcast(offsets), "__pid")
-            .withColumn(name, (F.col("__off") + F.col("__pos")).cast("long"))
-            .drop("__pid", "__pos", "__off"))
+def _finish(s: DataFrame, name: str) -> tuple[DataFrame, int]:
+    # one row per partition reaches the driver
+    counts = sorted((r["__pid"], r["__n"]) for r in
+                    s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
+    offsets, total = [], 0
+    for pid, n in counts:
+        offsets += [F.lit(pid), F.lit(total)]
+        total += n
+    if not counts:
+        return s.withColumn(name, F.lit(None).cast("long")).drop("__pid", "__pos"), 0
+    off = F.element_at(F.create_map(*offsets), F.col("__pid"))
+    return (s.withColumn(name, (off + F.col("__pos")).cast("long"))
+            .drop("__pid", "__pos"), total)
 
 
 def row_index(df: DataFrame, order: Sequence[str] | None = None, name: str = "idx",
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, with_total: bool = False):
     """0-based position of every row.
 
     ``order`` given: position in that order (keys should be unique for a
     stable answer); the data is range-partitioned and sorted. ``order``
     omitted: position in the current partition order, e.g. file order right
-    after a text scan. Positioned rows are checkpointed to the shared folder
-    so the counting pass and the final pass see identical partitions.
+    after a text scan. The positioned rows are written once to the shared
+    folder, so the counting pass and the final pass read identical rows (also
+    after a lost executor) and the sort is not repeated.
+
+    Returns the indexed DataFrame, or ``(DataFrame, row_count)`` with
+    ``with_total``.
     """
     spark = df.sparkSession
-    scratch_dir(spark)
     if order:
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return _finish(with_positions(df).checkpoint(), name)
+    out, total = _finish(written_table(with_positions(df), "row-index"), name)
+    return (out, total) if with_total else out

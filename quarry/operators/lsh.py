@@ -172,13 +172,15 @@ def minhash_lsh(inc: DataFrame, feature_order: Sequence[str], seed: int, n_bands
     Feature index = 0-based rank in ``feature_order`` over ``features`` (all
     known features; defaults to those in ``inc``); ``m`` defaults to the
     number of features, as the original used the number of input lines.
+    ``inc`` may repeat a pair: a repeat cannot change a minimum.
     Returns ``(signature_wide, bands, buckets)``.
     """
     spark = inc.sparkSession
     feats = features if features is not None else inc.select("feature").distinct()
-    idx = row_index(feats.select("feature", *[c for c in feature_order if c != "feature"]),
-                    feature_order).select("feature", "idx")
-    m = m if m is not None else idx.count()
+    idx, total = row_index(feats.select("feature", *[c for c in feature_order if c != "feature"]),
+                           feature_order, with_total=True)
+    idx = idx.select("feature", "idx")
+    m = m if m is not None else total
     family = hash_family(spark, seed, n_bands * n_rows, m)
     x_max = max(m - 1, 0)
     inc_i = inc.join(idx, "feature")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import spread
+
 # fixed value: the whitespace class used to cut words (same in Java regex and RE2)
 WHITESPACE = "[ \\t\\n\\r\\f\\x0B]+"
 
@@ -16,21 +18,36 @@ def words(text) -> Column:
 
 def shingles(words_col: Column, k: int) -> Column:
     """All ``k``-word windows joined by a space; a text shorter than ``k``
-    words gives one shingle of all its words, an empty text none."""
+    words gives one shingle of all its words, an empty text none.
+
+    ``k`` shifted slices of equal length zipped element-wise: no lambda, so
+    the whole projection stays in generated code.
+    """
     n = F.size(words_col)
-    full = F.transform(F.sequence(F.lit(1), n - k + 1),
-                       lambda i: F.concat_ws(" ", *[F.element_at(words_col, i + j) for j in range(k)]))
+    cnt = n - k + 1
+    zipped = F.arrays_zip(*[F.slice(words_col, j + 1, F.greatest(cnt, F.lit(1))) for j in range(k)])
+    full = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[str(j)] for j in range(k)]))
     return (F.when(n >= k, full)
             .when(n > 0, F.array(F.array_join(words_col, " ")))
             .otherwise(F.array().cast("array<string>")))
 
 
-def shingle_incidence(docs: DataFrame, k: int, entity: str = "entity", text: str = "text") -> DataFrame:
-    """Distinct ``(entity, feature)`` with feature = a ``k``-word shingle.
+def shingle_occurrences(docs: DataFrame, k: int, entity: str = "entity", text: str = "text") -> DataFrame:
+    """``(entity, feature)`` for every shingle occurrence (repeats kept).
 
-    The word array is projected once and the shingles index into it, so a
-    text costs one regex split plus ``k`` element reads per shingle.
+    Enough for min-hash, where a repeat cannot change a minimum, and saves
+    the shuffle of a distinct.
     """
-    w = docs.select(entity, words(text).alias("__w"))
-    return (w.select(entity, F.explode(shingles(F.col("__w"), k)).alias("feature"))
-            .distinct())
+    w = spread(docs.select(entity, text)).select(entity, words(text).alias("__w"))
+    n = F.size("__w")
+    zipped = F.arrays_zip(*[F.slice("__w", j + 1, F.greatest(n - k + 1, F.lit(1))) for j in range(k)])
+    full = (w.where(n >= k).select(entity, F.explode(zipped).alias("__s"))
+            .select(entity, F.concat_ws(" ", *[F.col(f"__s.{j}") for j in range(k)]).alias("feature")))
+    short = (w.where((n > 0) & (n < k))
+             .select(entity, F.array_join("__w", " ").alias("feature")))
+    return full.unionByName(short)
+
+
+def shingle_incidence(docs: DataFrame, k: int, entity: str = "entity", text: str = "text") -> DataFrame:
+    """Distinct ``(entity, feature)`` with feature = a ``k``-word shingle."""
+    return shingle_occurrences(docs, k, entity, text).distinct()

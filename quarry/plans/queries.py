@@ -257,6 +257,7 @@ def q_rule_interest(spark, sf):
 # --------------------------------------------------------------------------
 
 from quarry.operators import cluster as cl  # noqa: E402
+from quarry.session import scratch_dir  # noqa: E402
 from quarry.operators import incidence as ic  # noqa: E402
 
 K, KMEANS_PASSES = 3, 10
@@ -280,18 +281,25 @@ def q_init_centroids(spark, sf):
     return cl.init_centroids(b.nation_parts(Tables(spark, sf)), K, b.SEED)
 
 
+def _written_incidence(spark, sf, fn=None):
+    """The incidence, computed once and kept in the shared folder: the
+    clustering operators act on it several times."""
+    scratch_dir(spark)
+    return (fn or b.nation_parts)(Tables(spark, sf)).checkpoint()
+
+
 @query
 def q_kmeans_first_iter(spark, sf):
-    inc = b.nation_parts(Tables(spark, sf))
+    inc = _written_incidence(spark, sf)
     return cl.first_iter(inc, cl.init_centroids(inc, K, b.SEED))
 
 
 @query
 def q_kmeans_update(spark, sf):
-    inc = b.nation_parts(Tables(spark, sf))
+    inc = _written_incidence(spark, sf)
     start = cl.init_centroids(inc, K, b.SEED)
     cnt, meta = cl.initial_state(inc, start)
-    a = cl.assign(inc, ic.sizes(inc), cnt, cl._meta_dict(meta), K)
+    a = cl.assign(inc, ic.sizes(inc), cnt, meta, K)
     cnt1, meta1 = cl.update(inc, a, cnt, meta)
     w = cl.weights(cnt1, meta1)
     return w.select("cluster", "feature", rounded("weight").alias("weight"))
@@ -299,14 +307,14 @@ def q_kmeans_update(spark, sf):
 
 @query
 def q_kmeans(spark, sf):
-    inc = b.nation_parts(Tables(spark, sf))
+    inc = _written_incidence(spark, sf)
     a, _ = cl.kmeans(inc, cl.init_centroids(inc, K, b.SEED), KMEANS_PASSES)
     return cl.classes(a)
 
 
 @query
 def q_kmeans_customers(spark, sf):
-    inc = b.customer_brands(Tables(spark, sf))
+    inc = _written_incidence(spark, sf, b.customer_brands)
     a, _ = cl.kmeans(inc, cl.init_centroids(inc, K_CUST, b.SEED), KMEANS_PASSES)
     return cl.classes(a)
 
@@ -398,7 +406,7 @@ def q_doc_lsh_buckets(spark, sf):
     from quarry.operators import text
 
     docs = Tables(spark, sf).documents.select(F.col("doc_id").alias("entity"), "text")
-    inc = text.shingle_incidence(docs, DOC_SHINGLE)
+    inc = text.shingle_occurrences(docs, DOC_SHINGLE)
     _, _, buckets = lsh.minhash_lsh(inc, ["feature"], b.SEED, DOC_BANDS, DOC_ROWS)
     return buckets
 

@@ -69,3 +69,32 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
 def ensure_parent(path: str) -> None:
     if "://" not in path:
         os.makedirs(os.path.dirname(path), exist_ok=True)
+
+
+def written_table(df, tag: str):
+    """Write ``df`` once as parquet below the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but in a single job, and the file
+    survives executor loss; use it when the partitioning need not be kept.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, tag)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's cores when it comes from few files.
+
+    A parquet file is split by row groups, so an input of a few files (each
+    one row group) is read by as few tasks. Before expensive per-row work
+    (text splitting, shingling) such an input is spread once; an input of
+    many files (the normal case at scale) is left alone, with no shuffle.
+    """
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    try:
+        files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 - not file based
+        return df
+    return df.repartition(par) if 0 < files < par else df
