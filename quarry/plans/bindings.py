@@ -54,6 +54,12 @@ def ratings(t: Tables) -> DataFrame:
                     F.col("l_quantity").cast("double").alias("rating")))
 
 
+def year_range(col: str, year: int) -> Column:
+    """``year(col) = year`` as a range, so parquet can skip row groups."""
+    return (F.col(col) >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) & \
+           (F.col(col) < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz"))
+
+
 def order_items(t: Tables, item_col: str) -> DataFrame:
     """``(order, item)`` rows: the ``item_col`` of each part of each order."""
     li = t.lineitem.select("l_orderkey", "l_partkey")
@@ -64,18 +70,19 @@ def order_items(t: Tables, item_col: str) -> DataFrame:
 def nation_parts(t: Tables) -> DataFrame:
     """Distinct ``(entity, feature)``: nation name of the buyer, part key.
 
-    Distinct on ``(custkey, partkey)`` right after the big join cuts the
-    rows before the customer and nation joins.
+    Orders meet customers first (order-sized join), so the one line-item
+    sized join yields ``(nation, part)`` rows that a partial aggregate
+    de-duplicates before they are shuffled.
     """
-    li = t.lineitem.select("l_orderkey", "l_partkey")
     o = t.orders.select("o_orderkey", "o_custkey")
-    cp = li.join(o, li.l_orderkey == o.o_orderkey).select("o_custkey", "l_partkey").distinct()
     c = t.customer.select("c_custkey", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_name")
-    return (cp.join(c, cp.o_custkey == c.c_custkey)
-            .select("c_nationkey", "l_partkey").distinct()
-            .join(n, F.col("c_nationkey") == n.n_nationkey)
-            .select(F.col("n_name").alias("entity"), F.col("l_partkey").cast("long").alias("feature")))
+    on = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+          .select("o_orderkey", "n_name"))
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    return (li.join(on, li.l_orderkey == on.o_orderkey)
+            .select(F.col("n_name").alias("entity"), F.col("l_partkey").cast("long").alias("feature"))
+            .distinct())
 
 
 def supplier_nation_parts(t: Tables) -> DataFrame:

@@ -55,7 +55,7 @@ def q_top_k_groups(spark, sf):
 
 
 def _year(y):
-    return F.year("o_orderdate") == y
+    return b.year_range("o_orderdate", y)
 
 
 @query
@@ -113,10 +113,19 @@ def q_filter_equal(spark, sf):
 
 from quarry.functions import rounded  # noqa: E402
 from quarry.operators import recommend as rec  # noqa: E402
+from quarry.session import scratch_dir, written_table  # noqa: E402
+
+
+def _flagged(spark, sf):
+    """Ratings with the split flag, joined and split ONCE and kept as a table
+    in the shared folder; every later step (means, joins, RMSE) reads it."""
+    scratch_dir(spark)
+    return written_table(rec.split_by_key(b.ratings(Tables(spark, sf)), "key", b.SEED), "ratings")
 
 
 def _split(spark, sf):
-    return rec.train_test(b.ratings(Tables(spark, sf)), "key", b.SEED)
+    f = _flagged(spark, sf)
+    return f.where("is_train").drop("is_train"), f.where(~F.col("is_train")).drop("is_train")
 
 
 @query
@@ -173,7 +182,9 @@ def _pair_split(spark, sf):
     r = b.ratings(Tables(spark, sf))
     pairs = (r.groupBy("userId", "movieId").agg(F.avg("rating").alias("rating"))
              .withColumn("pair", F.concat_ws(":", "userId", "movieId")))
-    return rec.train_test(pairs, "pair", b.SEED)
+    scratch_dir(spark)
+    f = written_table(rec.split_by_key(pairs, "pair", b.SEED), "rating-pairs")
+    return f.where("is_train").drop("is_train"), f.where(~F.col("is_train")).drop("is_train")
 
 
 @query

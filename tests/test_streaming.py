@@ -1,0 +1,27 @@
+import os
+
+from quarry.operators import relational as rel
+from quarry.streaming import incremental as inc
+
+
+def test_stream_counts_equal_batch(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    schema = "park STRING"
+    batches = [["a", "b", None, ""], ["a", "c", "a"], ["b", ""]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame([(v,) for v in rows], schema).write.parquet(os.path.join(src, f"b{i}"))
+    stream = inc.read_stream(spark, os.path.join(src, "*"), schema, max_files_per_trigger=1)
+    q = inc.start_complete(inc.stream_group_count(stream, "park"), "parks_live")
+    top = inc.start_complete(inc.stream_top_k(stream, "park", k=2), "parks_top")
+    try:
+        q.processAllAvailable()
+        top.processAllAvailable()
+        got = {r.park: r["count"] for r in spark.sql("SELECT * FROM parks_live").collect()}
+        got_top = [(r.park, r["count"]) for r in spark.sql("SELECT * FROM parks_top").collect()]
+    finally:
+        q.stop()
+        top.stop()
+    allrows = spark.createDataFrame([(v,) for b in batches for v in b], schema)
+    want = {r.park: r["count"] for r in rel.group_count(allrows, "park").collect()}
+    assert got == want == {"a": 3, "b": 2, "c": 1}
+    assert got_top == [("a", 3), ("b", 2)]
