@@ -80,19 +80,27 @@ def assign(inc: DataFrame, nx: DataFrame, cnt: DataFrame, meta: dict[int, tuple[
                     best.getField("dist").alias("dist"))
 
 
+def cluster_sizes(assignment: DataFrame) -> dict[int, int]:
+    """``{cluster: members}`` (at most ``k`` rows reach the driver)."""
+    return {r["cluster"]: r["sz"] for r in
+            assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("sz")).collect()}
+
+
 def update(inc: DataFrame, assignment: DataFrame, old_cnt: DataFrame,
-           old_meta: dict[int, tuple[int, int]], checkpoint: bool = False):
+           old_meta: dict[int, tuple[int, int]], checkpoint: bool = False,
+           sz: dict[int, int] | None = None):
     """New centroid counts from an assignment; an emptied cluster keeps its old centroid.
 
-    Returns ``(cnt, meta)`` like ``initial_state``. Two aggregates of at most
-    ``k`` rows each reach the driver.
+    Returns ``(cnt, meta)`` like ``initial_state``. Aggregates of at most
+    ``k`` rows reach the driver (``sz`` may be passed in when known).
     """
     a = assignment.select("entity", "cluster")
     cnt = (inc.join(a, "entity").groupBy("cluster", "feature")
            .agg(F.count(F.lit(1)).alias("cnt")))
     if checkpoint:
         cnt = cnt.checkpoint()
-    sz = {r["cluster"]: r["sz"] for r in a.groupBy("cluster").agg(F.count(F.lit(1)).alias("sz")).collect()}
+    if sz is None:
+        sz = cluster_sizes(a)
     s2 = {r["cluster"]: r["s2"] for r in
           cnt.groupBy("cluster").agg(F.sum(F.col("cnt") * F.col("cnt")).alias("s2")).collect()}
     meta = {c: (sz[c], int(s2.get(c) or 0)) for c in sz}
@@ -143,14 +151,19 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,
     nx = sizes(inc_e).checkpoint()
     cnt, meta = initial_state(inc_e, start)
     a = assign(inc_f, nx, cnt, meta, k).checkpoint()
+    sz = cluster_sizes(a)
     passes = 0
     for passes in range(1, max_iter + 1):
-        cnt, meta = update(inc_e, a, cnt, meta, checkpoint=True)
+        cnt, meta = update(inc_e, a, cnt, meta, checkpoint=True, sz=sz)
         nxt = (assign(inc_f, nx, cnt, meta, k)
                .join(a.select("entity", F.col("cluster").alias("__old")), "entity")
-               .withColumn("__changed", F.col("cluster") != F.col("__old"))
+               .withColumn("__changed", (F.col("cluster") != F.col("__old")).cast("int"))
                .drop("__old").checkpoint())
-        changed = nxt.where("__changed").count()
+        # one k-row aggregate gives the next sizes and the number of moves
+        stats = (nxt.groupBy("cluster").agg(F.count(F.lit(1)).alias("sz"),
+                                            F.sum("__changed").alias("moved")).collect())
+        sz = {r["cluster"]: r["sz"] for r in stats}
+        changed = sum(r["moved"] for r in stats)
         a = nxt.drop("__changed")
         if changed == 0:
             break
