@@ -8,6 +8,9 @@ The mean vector is ``cnt / sz``, so the squared distance of entity ``x``
     nx - 2 * s1 / sz + s2 / sz^2,   s1 = sum of cnt over the features of x
 
 with exact integer sums and the same few double operations on any engine.
+Real-valued vectors (a ``value`` column) use the same formula with
+``cnt`` = sum of member values, ``nx`` = squared norm and ``s1`` = the dot
+product of the entity with ``cnt``.
 
 Per pass, the only wide inputs are the incidence rows (pre-partitioned by
 feature once and checkpointed) and the centroid counts (clusters x features).
@@ -47,25 +50,38 @@ def init_centroids(entities: DataFrame, k: int, seed: int | None = None,
                        "entity")
 
 
-def initial_state(inc: DataFrame, start: DataFrame):
+def _v(value: str | None):
+    return F.col(value).cast("double") if value else F.lit(1).cast("long")
+
+
+def norms(inc: DataFrame, value: str | None = None, name: str = "nx") -> DataFrame:
+    """``(entity, nx)``: squared norm (= number of features for 0/1 vectors)."""
+    if value is None:
+        return sizes(inc, name)
+    return inc.groupBy("entity").agg(F.sum(_v(value) * _v(value)).alias(name))
+
+
+def initial_state(inc: DataFrame, start: DataFrame, value: str | None = None):
     """Count form of the start centroids: each is one entity (``sz`` = 1).
 
     Returns ``(cnt, meta)``: the ``(cluster, feature, cnt)`` table and the
     driver-side ``{cluster: (sz, s2)}`` of ``k`` entries.
     """
     cnt = (inc.join(start, "entity")
-           .select("cluster", "feature", F.lit(1).cast("long").alias("cnt")))
-    rows = (start.join(sizes(inc), "entity", "left")
-            .select("cluster", F.coalesce("nx", F.lit(0)).cast("long").alias("s2")).collect())
+           .select("cluster", "feature", _v(value).alias("cnt")))
+    zero = F.lit(0.0) if value else F.lit(0).cast("long")
+    rows = (start.join(norms(inc, value), "entity", "left")
+            .select("cluster", F.coalesce("nx", zero).alias("s2")).collect())
     return cnt, {r["cluster"]: (1, r["s2"]) for r in rows}
 
 
 def assign(inc: DataFrame, nx: DataFrame, cnt: DataFrame, meta: dict[int, tuple[int, int]],
-           k: int) -> DataFrame:
+           k: int, value: str | None = None) -> DataFrame:
     """``(entity, cluster, dist)``: the nearest cluster, ties to the smaller id."""
+    contrib = F.col("cnt") * _v(value) if value else F.col("cnt")
     dots = (inc.join(cnt, "feature")
             .groupBy("entity")
-            .agg(*[F.sum(F.when(F.col("cluster") == c, F.col("cnt"))).alias(f"s1_{c}")
+            .agg(*[F.sum(F.when(F.col("cluster") == c, contrib)).alias(f"s1_{c}")
                    for c in range(k)]))
     j = nx.join(dots, "entity", "left")
     cands = []
@@ -88,7 +104,7 @@ def cluster_sizes(assignment: DataFrame) -> dict[int, int]:
 
 def update(inc: DataFrame, assignment: DataFrame, old_cnt: DataFrame,
            old_meta: dict[int, tuple[int, int]], checkpoint: bool = False,
-           sz: dict[int, int] | None = None):
+           sz: dict[int, int] | None = None, value: str | None = None):
     """New centroid counts from an assignment; an emptied cluster keeps its old centroid.
 
     Returns ``(cnt, meta)`` like ``initial_state``. Aggregates of at most
@@ -96,14 +112,14 @@ def update(inc: DataFrame, assignment: DataFrame, old_cnt: DataFrame,
     """
     a = assignment.select("entity", "cluster")
     cnt = (inc.join(a, "entity").groupBy("cluster", "feature")
-           .agg(F.count(F.lit(1)).alias("cnt")))
+           .agg(F.sum(_v(value)).alias("cnt")))
     if checkpoint:
         cnt = cnt.checkpoint()
     if sz is None:
         sz = cluster_sizes(a)
     s2 = {r["cluster"]: r["s2"] for r in
           cnt.groupBy("cluster").agg(F.sum(F.col("cnt") * F.col("cnt")).alias("s2")).collect()}
-    meta = {c: (sz[c], int(s2.get(c) or 0)) for c in sz}
+    meta = {c: (sz[c], s2.get(c) or 0) for c in sz}
     empty = [c for c in old_meta if c not in sz]
     for c in empty:
         meta[c] = old_meta[c]
@@ -118,17 +134,17 @@ def weights(cnt: DataFrame, meta: dict[int, tuple[int, int]]) -> DataFrame:
     return cnt.select("cluster", "feature", (F.col("cnt") / F.element_at(sz, F.col("cluster"))).alias("weight"))
 
 
-def first_iter(inc: DataFrame, start: DataFrame) -> DataFrame:
+def first_iter(inc: DataFrame, start: DataFrame, value: str | None = None) -> DataFrame:
     """``(centroid, member)``: each entity under its nearest start entity."""
     k = start.count()
-    cnt, meta = initial_state(inc, start)
-    a = assign(inc, sizes(inc), cnt, meta, k)
+    cnt, meta = initial_state(inc, start, value)
+    a = assign(inc, norms(inc, value), cnt, meta, k, value)
     return a.join(start.withColumnRenamed("entity", "centroid"), "cluster").select("centroid",
                                                                                    F.col("entity").alias("member"))
 
 
 def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,
-           num_partitions: int | None = None) -> tuple[DataFrame, int]:
+           num_partitions: int | None = None, value: str | None = None) -> tuple[DataFrame, int]:
     """Iterate assign/update until no entity changes cluster (or ``max_iter``).
 
     Returns the final ``(entity, cluster, dist)`` and the passes run.
@@ -145,17 +161,17 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,
     start = start.checkpoint()
     k = start.count()
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = inc.select("entity", "feature")
+    base = inc.select("entity", "feature", *([value] if value else []))
     inc_f = base.repartition(n, "feature").checkpoint()
     inc_e = base.repartition(n, "entity").checkpoint()
-    nx = sizes(inc_e).checkpoint()
-    cnt, meta = initial_state(inc_e, start)
-    a = assign(inc_f, nx, cnt, meta, k).checkpoint()
+    nx = norms(inc_e, value).checkpoint()
+    cnt, meta = initial_state(inc_e, start, value)
+    a = assign(inc_f, nx, cnt, meta, k, value).checkpoint()
     sz = cluster_sizes(a)
     passes = 0
     for passes in range(1, max_iter + 1):
-        cnt, meta = update(inc_e, a, cnt, meta, checkpoint=True, sz=sz)
-        nxt = (assign(inc_f, nx, cnt, meta, k)
+        cnt, meta = update(inc_e, a, cnt, meta, checkpoint=True, sz=sz, value=value)
+        nxt = (assign(inc_f, nx, cnt, meta, k, value)
                .join(a.select("entity", F.col("cluster").alias("__old")), "entity")
                .withColumn("__changed", (F.col("cluster") != F.col("__old")).cast("int"))
                .drop("__old").checkpoint())

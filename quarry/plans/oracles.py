@@ -172,33 +172,40 @@ def _dbl(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
-def kmeans_ctes(inc_sql: str, k: int, passes: int, seed: int = 123) -> str:
-    """CTE chain: start, then ``passes`` rounds of update + assign (count form)."""
+def kmeans_ctes(inc_sql: str, k: int, passes: int, seed: int = 123, valued: bool = False) -> str:
+    """CTE chain: start, then ``passes`` rounds of update + assign (count form).
+
+    ``valued``: ``inc`` carries a double ``value`` column (real vectors)."""
+    nx = "sum(value * value)" if valued else "count(*)"
+    one = "value" if valued else "CAST(1 AS BIGINT)"
+    s2t = "DOUBLE" if valued else "BIGINT"
     out = [f"inc AS MATERIALIZED ({inc_sql})",
-           "nx AS MATERIALIZED (SELECT entity, count(*) AS nx FROM inc GROUP BY entity)",
+           f"nx AS MATERIALIZED (SELECT entity, {nx} AS nx FROM inc GROUP BY entity)",
            f"st AS MATERIALIZED ({start_sql(k, seed)})",
-           "c0 AS MATERIALIZED (SELECT st.cluster, inc.feature, CAST(1 AS BIGINT) AS cnt "
+           f"c0 AS MATERIALIZED (SELECT st.cluster, inc.feature, {one} AS cnt "
            "FROM st JOIN inc USING (entity))",
            "m0 AS MATERIALIZED (SELECT st.cluster, CAST(1 AS BIGINT) AS sz, "
-           "CAST(coalesce(nx.nx, 0) AS BIGINT) AS s2 FROM st LEFT JOIN nx USING (entity))"]
+           f"CAST(coalesce(nx.nx, 0) AS {s2t}) AS s2 FROM st LEFT JOIN nx USING (entity))"]
+    dot = "c.cnt * i.value" if valued else "c.cnt"
+    add = "sum(i.value)" if valued else "count(*)"
 
     def assign(j):
         dist = (f"{_dbl('n.nx')} - CAST(2.0 AS DOUBLE) * {_dbl('coalesce(s.s1, 0)')} / {_dbl('m.sz')}"
                 f" + {_dbl('m.s2')} / ({_dbl('m.sz')} * {_dbl('m.sz')})")
         return (f"a{j} AS MATERIALIZED (SELECT entity, cluster, dist FROM (SELECT n.entity, m.cluster, {dist} AS dist, "
                 f"row_number() OVER (PARTITION BY n.entity ORDER BY {dist}, m.cluster) AS rn "
-                f"FROM nx n CROSS JOIN m{j} m LEFT JOIN (SELECT i.entity, c.cluster, sum(c.cnt) AS s1 "
+                f"FROM nx n CROSS JOIN m{j} m LEFT JOIN (SELECT i.entity, c.cluster, sum({dot}) AS s1 "
                 f"FROM inc i JOIN c{j} c USING (feature) GROUP BY i.entity, c.cluster) s "
                 f"ON s.entity = n.entity AND s.cluster = m.cluster) WHERE rn = 1)")
 
     out.append(assign(0))
     for j in range(1, passes + 1):
         p = j - 1
-        out.append(f"n{j} AS MATERIALIZED (SELECT a.cluster, i.feature, count(*) AS cnt "
+        out.append(f"n{j} AS MATERIALIZED (SELECT a.cluster, i.feature, {add} AS cnt "
                    f"FROM inc i JOIN a{p} a USING (entity) GROUP BY a.cluster, i.feature)")
         out.append(f"c{j} AS MATERIALIZED (SELECT * FROM n{j} UNION ALL SELECT * FROM c{p} "
                    f"WHERE cluster NOT IN (SELECT cluster FROM a{p}))")
-        out.append(f"m{j} AS MATERIALIZED (SELECT z.cluster, z.sz, CAST(coalesce(q.s2, 0) AS BIGINT) AS s2 "
+        out.append(f"m{j} AS MATERIALIZED (SELECT z.cluster, z.sz, CAST(coalesce(q.s2, 0) AS {s2t}) AS s2 "
                    f"FROM (SELECT cluster, count(*) AS sz FROM a{p} GROUP BY cluster) z "
                    f"LEFT JOIN (SELECT cluster, sum(cnt * cnt) AS s2 FROM n{j} GROUP BY cluster) q USING (cluster) "
                    f"UNION ALL SELECT * FROM m{p} WHERE cluster NOT IN (SELECT cluster FROM a{p}))")
@@ -206,8 +213,8 @@ def kmeans_ctes(inc_sql: str, k: int, passes: int, seed: int = 123) -> str:
     return "WITH " + ",\n".join(out)
 
 
-def classes_sql(inc_sql: str, k: int, passes: int) -> str:
-    return (kmeans_ctes(inc_sql, k, passes) +
+def classes_sql(inc_sql: str, k: int, passes: int, valued: bool = False) -> str:
+    return (kmeans_ctes(inc_sql, k, passes, valued=valued) +
             f"\nSELECT l.leader, a.entity AS member FROM a{passes} a JOIN "
             f"(SELECT cluster, min(entity) AS leader FROM a{passes} GROUP BY cluster) l USING (cluster)")
 
@@ -233,6 +240,12 @@ ORACLES["kmeans_update"] = (
     "FROM c1 JOIN m1 USING (cluster)")
 ORACLES["kmeans"] = classes_sql(NATION_PARTS, 3, 10)
 ORACLES["kmeans_customers"] = classes_sql(CUSTOMER_BRANDS, 5, 10)
+EMBEDDING_VALUES = """SELECT vec_id AS entity, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS feature,
+  CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings"""
+ORACLES["kmeans_embeddings_first_iter"] = (
+    kmeans_ctes(EMBEDDING_VALUES, 10, 0, valued=True) +
+    "\nSELECT st.entity AS centroid, a0.entity AS member FROM a0 JOIN st USING (cluster)")
+ORACLES["kmeans_embeddings"] = classes_sql(EMBEDDING_VALUES, 10, 10, valued=True)
 
 
 # ---------------------------------------------------------------- primes / hashing / LSH

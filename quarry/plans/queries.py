@@ -511,3 +511,28 @@ def q_to_map(spark, sf):
     p = Tables(spark, sf).part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"))
     m = sk.to_map(p, "p_brand", "parts", max_entries=10_000)
     return m.select(F.explode("map").alias("p_brand", "parts"))
+
+
+# k-means second use: real-valued embedding vectors in long form (entity, dimension, value)
+K_EMB = 10
+
+
+def _embedding_values(spark, sf):
+    scratch_dir(spark)
+    e = Tables(spark, sf).embeddings.select("vec_id", "embedding")
+    return (e.select(F.col("vec_id").alias("entity"), F.posexplode("embedding").alias("feature", "value"))
+            .select("entity", "feature", F.col("value").cast("double").alias("value"))
+            .checkpoint())
+
+
+@query
+def q_kmeans_embeddings_first_iter(spark, sf):
+    inc = _embedding_values(spark, sf)
+    return cl.first_iter(inc, cl.init_centroids(inc, K_EMB, b.SEED), value="value")
+
+
+@query
+def q_kmeans_embeddings(spark, sf):
+    inc = _embedding_values(spark, sf)
+    a, _ = cl.kmeans(inc, cl.init_centroids(inc, K_EMB, b.SEED), KMEANS_PASSES, value="value")
+    return cl.classes(a)

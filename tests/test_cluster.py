@@ -85,3 +85,25 @@ def test_first_iter_and_seeded_init(spark):
     assert s1 == s2 and len(set(s1)) == 3
     fi = {r.member: r.centroid for r in cl.first_iter(inc, cl.init_centroids(inc, 2, chosen=["a", "d"])).collect()}
     assert fi["b"] == "a" and fi["e"] == "d"
+
+
+def test_valued_kmeans_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    pts = np.vstack([rng.normal(0, 0.3, (8, 3)), rng.normal(3, 0.3, (8, 3)), rng.normal([0, 4, 0], 0.3, (8, 3))])
+    names = [f"p{i:02d}" for i in range(len(pts))]
+    rows = [(n, j, float(v)) for n, p in zip(names, pts) for j, v in enumerate(p)]
+    inc = spark.createDataFrame(rows, "entity STRING, feature INT, value DOUBLE")
+    start = ["p00", "p01", "p08"]
+    a, _ = cl.kmeans(inc, cl.init_centroids(inc, 3, chosen=start), max_iter=10, value="value")
+    got = {r.entity: r.cluster for r in a.collect()}
+    x = dict(zip(names, pts))
+    cents = [x[s] for s in sorted(start)]
+    assign = None
+    for _ in range(11):
+        new = {n: min(range(3), key=lambda c: (float(((x[n] - cents[c]) ** 2).sum()), c)) for n in names}
+        if new == assign:
+            break
+        assign = new
+        cents = [np.mean([x[n] for n in names if assign[n] == c], axis=0) if any(assign[n] == c for n in names)
+                 else cents[c] for c in range(3)]
+    assert got == assign
