@@ -4,8 +4,8 @@ Design
 ------
 * Primes come from a segmented sieve written as Spark relations: the
   multiples of every prime ``q <= sqrt(hi)`` inside ``[lo, hi]`` are
-  generated with ``explode(sequence(...))`` and removed by an equi
-  left-anti join. Work is ``(hi - lo) * log log hi`` rows, all codegen'd.
+  generated in bounded chunks with ``explode(sequence(...))`` and removed by
+  an equi left-anti join. Work is ``(hi - lo) * log log hi`` rows.
 * A hash family is ``n`` tuples ``(i, a, b, p)``: ``a`` and ``b`` drawn on the
   driver with Python's seeded ``random.randint(1, m)`` (``a`` before ``b``,
   function by function), ``p`` the ``i``-th prime ``>= m``. ``n`` is a
@@ -35,17 +35,35 @@ LONG_SAFE = (1 << 63) - 1
 
 
 # ----------------------------------------------------------------- primes
+CHUNK = 1 << 20  # multiples generated by one row: bounds the work of one task
+
+
 def _composites(spark: SparkSession, lo: int, hi: int) -> DataFrame:
-    """``(v)``: composite numbers in ``[lo, hi]`` (with repeats)."""
+    """``(v)``: composite numbers in ``[lo, hi]`` (with repeats).
+
+    For each prime ``q <= sqrt(hi)`` its multiples in the range are cut into
+    chunks of at most ``CHUNK`` values; one row per (prime, chunk) is spread
+    over the cluster and then exploded, so the many multiples of a small
+    prime never land in one task.
+    """
     root = math.isqrt(hi)
     if root < 2:
         return spark.range(0).select(F.col("id").alias("v"))
     small = primes_between(spark, 2, root)
     q = F.col("q")
     first = F.greatest(q * q, F.ceil(F.lit(lo) / q).cast("long") * q)
-    return (small.select(F.col("p").alias("q"))
-            .where(first <= F.lit(hi))
-            .select(F.explode(F.sequence(first, F.lit(hi).cast("long"), q)).alias("v")))
+    count = F.floor((F.lit(hi) - F.col("first")) / q).cast("long") + 1
+    chunks = (small.select(F.col("p").alias("q")).withColumn("first", first)
+              .where(F.col("first") <= F.lit(hi))
+              .withColumn("n", count)
+              .select("q", "first", "n",
+                      F.explode(F.sequence(F.lit(0).cast("long"),
+                                           F.ceil(F.col("n") / F.lit(CHUNK)).cast("long") - 1)).alias("ch")))
+    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    start = F.col("first") + F.col("ch") * F.lit(CHUNK) * q
+    stop = F.least(start + (F.lit(CHUNK) - 1) * q, F.lit(hi).cast("long"))
+    return (chunks.repartition(n_part)
+            .select(F.explode(F.sequence(start, stop, q)).alias("v")))
 
 
 def primes_between(spark: SparkSession, lo: int, hi: int) -> DataFrame:
@@ -65,7 +83,7 @@ def primes_in(df: DataFrame, col: str) -> DataFrame:
     if r is None or r["hi"] is None or r["hi"] < 2:
         return df.limit(0)
     lo, hi = max(int(r["lo"]), 2), int(r["hi"])
-    comp = _composites(spark, lo, hi).distinct()
+    comp = _composites(spark, lo, hi)
     keep = df.where(F.col(col) >= 2)
     return keep.join(comp, keep[col] == comp.v, "left_anti")
 

@@ -75,3 +75,12 @@ def test_row_index_orders_globally(spark):
 
     got = {r.feature: r.idx for r in row_index(df, ["feature"]).collect()}
     assert got == {f"w{i:03d}": i for i in range(200)}
+
+
+def test_chunked_sieve_small_chunks(spark, monkeypatch):
+    monkeypatch.setattr(lsh, "CHUNK", 7)
+    got = sorted(r.p for r in lsh.primes_between(spark, 2, 3000).collect())
+    want = [v for v in range(2, 3001) if all(v % d for d in range(2, math.isqrt(v) + 1))]
+    assert got == want
+    seg = sorted(r.p for r in lsh.primes_between(spark, 2500, 2700).collect())
+    assert seg == [v for v in want if 2500 <= v <= 2700]
