@@ -43,9 +43,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def _checkpoint_dir(spark: SparkSession) -> str | None:
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jdir.isDefined():
-        return jdir.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir
@@ -53,12 +50,17 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only if none is named."""
-    d = _checkpoint_dir(spark)
-    if not d:
-        d = tempfile.mkdtemp(prefix="quarry-ckpt-")
+    """The shared checkpoint folder; set a local one only if none is named.
+
+    ``SparkContext.setCheckpointDir`` is called only when no checkpoint
+    folder is active yet (it adds a fresh sub-folder on every call).
+    """
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    d = _checkpoint_dir(spark) or tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/")
+    return (spark.sparkContext.getCheckpointDir() or d).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
