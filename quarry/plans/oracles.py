@@ -411,3 +411,9 @@ ORACLES["to_csv_lines"] = (
     f"SELECT park || ',' || CAST(count(*) AS VARCHAR) AS line FROM {TREES} t WHERE {PRESENT} GROUP BY park")
 ORACLES["to_lines"] = ORACLES["distinct_sorted"]
 ORACLES["to_map"] = "SELECT p_brand, count(*) AS parts FROM part GROUP BY p_brand"
+ORACLES["data_frame"] = f"""
+WITH bi AS {_bi('p_brand')},
+b AS (SELECT basket, list_sort(list(item)) AS items FROM bi GROUP BY basket),
+l AS (SELECT CAST(basket AS VARCHAR) || ',' || array_to_string(items, ',') AS line,
+             CAST(basket AS VARCHAR) AS plant, items FROM b)
+SELECT row_number() OVER (ORDER BY line) - 1 AS id, plant, {pylist('items')} AS items FROM l"""

@@ -536,3 +536,16 @@ def q_kmeans_embeddings(spark, sf):
     inc = _embedding_values(spark, sf)
     a, _ = cl.kmeans(inc, cl.init_centroids(inc, K_EMB, b.SEED), KMEANS_PASSES, value="value")
     return cl.classes(a)
+
+
+@query
+def q_data_frame(spark, sf):
+    """Baskets as a ragged text file (written sorted, in several part files),
+    read back as ``(id = line number - 1, plant = key, items = rest)``."""
+    bs = _baskets(spark, sf, "p_brand")
+    lines = bs.select(F.concat_ws(",", F.col("basket").cast("string"), F.array_join("items", ",")).alias("value"))
+    path = fresh_path(spark, "plants-text")
+    sk.write_sorted_lines(lines, "value", path)
+    indexed = src.file_row_index(src.scan_text(spark, path), "id")
+    parsed = src.parse_ragged(indexed.select("id", "value"), key="plant")
+    return parsed.select("id", "plant", py_list_str("items").alias("items"))

@@ -78,9 +78,12 @@ def parse_delimited(lines: DataFrame, names: Sequence[str], types: Sequence[str]
 
 def parse_ragged(lines: DataFrame, sep: str = ",", key: str = "key", items: str = "items",
                  value: str = "value") -> DataFrame:
-    """First field is the key, the remaining fields (file order) the items."""
+    """First field is the key, the remaining fields (file order) the items.
+
+    Columns other than ``value`` (e.g. a line number) are kept."""
     parts = F.split(F.col(value), _literal_regex(sep))
-    return lines.select(F.element_at(parts, 1).alias(key),
+    keep = [c for c in lines.columns if c != value]
+    return lines.select(*keep, F.element_at(parts, 1).alias(key),
                         F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).alias(items))
 
 
@@ -101,3 +104,19 @@ def _literal_regex(sep: str) -> str:
     import re
 
     return re.escape(sep).replace("\\:", ":")
+
+
+def file_row_index(lines: DataFrame, name: str = "id") -> DataFrame:
+    """0-based line number over all files of a text scan, files in path order.
+
+    Spark packs files into partitions by size, not by name, so a plain
+    position index follows no file order. Here each line gets the key
+    ``(file path, split start, position in its task)``, which is increasing
+    inside every file, and the global index is taken in that key's order.
+    """
+    from quarry.operators.indexing import row_index
+
+    keyed = lines.select("*", F.col("_metadata.file_path").alias("__file"),
+                         F.col("_metadata.file_block_start").alias("__start"),
+                         F.monotonically_increasing_id().alias("__mono"))
+    return row_index(keyed, ["__file", "__start", "__mono"], name).drop("__file", "__start", "__mono")

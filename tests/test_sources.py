@@ -76,3 +76,23 @@ def test_to_map_refuses_unbounded(spark):
     assert m[3] == 6 and len(m) == 20
     with pytest.raises(ValueError):
         sk.to_map(df, "k", "v", max_entries=5)
+
+
+def test_file_row_index_follows_path_order(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "plants")
+    os.makedirs(d)
+    sizes = {"part-0.txt": 3, "part-1.txt": 400, "part-2.txt": 40}
+    want, n = {}, 0
+    for fname in sorted(sizes):
+        lines = [f"{fname}-{i}" for i in range(sizes[fname])]
+        _write(os.path.join(d, fname), "".join(x + "\n" for x in lines))
+        for x in lines:
+            want[x] = n
+            n += 1
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        got = {r.value: r.id for r in src.file_row_index(src.scan_text(spark, d)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == want
