@@ -12,12 +12,12 @@ Real-valued vectors (a ``value`` column) use the same formula with
 ``cnt`` = sum of member values, ``nx`` = squared norm and ``s1`` = the dot
 product of the entity with ``cnt``.
 
-Per pass, the only wide inputs are the incidence rows (pre-partitioned by
-feature once and checkpointed) and the centroid counts (clusters x features).
-Per-entity distances to the ``k`` clusters are produced by one aggregation
-keyed by entity holding ``k`` conditional sums, so no entity x cluster grid
-and no cross product is ever built. ``k`` scalars per cluster travel to the
-driver per pass (sizes), bounded by ``k``.
+Per pass, the incidence rows (written once, balanced) meet the centroid
+counts (clusters x features) and the assignment (one row per entity).
+Per-entity distances to the ``k`` clusters come from one aggregation keyed
+by entity holding ``k`` conditional sums, so no entity x cluster grid and no
+cross product is ever built. Per pass, two scalars per cluster (size and sum
+of squares) travel to the driver, so the driver gets at most 2k values.
 """
 
 from __future__ import annotations
@@ -143,16 +143,23 @@ def first_iter(inc: DataFrame, start: DataFrame, value: str | None = None) -> Da
                                                                                    F.col("entity").alias("member"))
 
 
+BROADCAST_ROWS = 2_000_000  # largest centroid-count / assignment table sent whole to every task
+
+
 def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,
-           num_partitions: int | None = None, value: str | None = None) -> tuple[DataFrame, int]:
+           num_partitions: int | None = None, value: str | None = None,
+           broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
     """Iterate assign/update until no entity changes cluster (or ``max_iter``).
 
     Returns the final ``(entity, cluster, dist)`` and the passes run.
 
-    The incidence is stored twice, hash-partitioned by feature (for the
-    distance join with the centroid counts) and by entity (for the update
-    join with the assignment), so no pass re-shuffles it: only the centroid
-    counts and the assignment move. Each pass's assignment and counts are
+    The incidence is written once in balanced partitions and is never
+    shuffled while its small partner fits a checked bound. The centroid
+    counts have at most ``k x features`` rows, and the assignment one row per
+    entity. Both sizes are counted once. Under ``broadcast_rows`` they are
+    broadcast, so a hot feature or a hot entity costs nothing extra. Above it
+    they are shuffle-joined, and AQE splits skewed partitions. Per-entity sums
+    are partial aggregates. Each pass's assignment and counts are
     checkpointed to the shared folder, so the plan stays one pass long and a
     lost executor recomputes at most one pass.
     """
@@ -160,18 +167,26 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,
     scratch_dir(spark)
     start = start.checkpoint()
     k = start.count()
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = inc.select("entity", "feature", *([value] if value else []))
-    inc_f = base.repartition(n, "feature").checkpoint()
-    inc_e = base.repartition(n, "entity").checkpoint()
-    nx = norms(inc_e, value).checkpoint()
-    cnt, meta = initial_state(inc_e, start, value)
-    a = assign(inc_f, nx, cnt, meta, k, value).checkpoint()
+    if num_partitions:
+        base = base.repartition(num_partitions)
+    inc_b = base.checkpoint()
+    nx = norms(inc_b, value).checkpoint()
+    n_entities = nx.count()
+    n_features = inc_b.select("feature").distinct().count()
+    small_cnt = k * n_features <= broadcast_rows
+    small_a = n_entities <= broadcast_rows
+
+    def bc(df, ok):
+        return F.broadcast(df) if ok else df
+
+    cnt, meta = initial_state(inc_b, start, value)
+    a = assign(inc_b, nx, bc(cnt, small_cnt), meta, k, value).checkpoint()
     sz = cluster_sizes(a)
     passes = 0
     for passes in range(1, max_iter + 1):
-        cnt, meta = update(inc_e, a, cnt, meta, checkpoint=True, sz=sz, value=value)
-        nxt = (assign(inc_f, nx, cnt, meta, k, value)
+        cnt, meta = update(inc_b, bc(a, small_a), cnt, meta, checkpoint=True, sz=sz, value=value)
+        nxt = (assign(inc_b, nx, bc(cnt, small_cnt), meta, k, value)
                .join(a.select("entity", F.col("cluster").alias("__old")), "entity")
                .withColumn("__changed", (F.col("cluster") != F.col("__old")).cast("int"))
                .drop("__old").checkpoint())

@@ -107,3 +107,11 @@ def test_valued_kmeans_matches_numpy(spark):
         cents = [np.mean([x[n] for n in names if assign[n] == c], axis=0) if any(assign[n] == c for n in names)
                  else cents[c] for c in range(3)]
     assert got == assign
+
+
+def test_kmeans_shuffle_path_equals_broadcast_path(spark):
+    inc = _inc(spark, {k: v for k, v in VECS.items() if v})
+    start = cl.init_centroids(inc, 2, chosen=["a", "d"])
+    a1, _ = cl.kmeans(inc, start, max_iter=10)
+    a2, _ = cl.kmeans(inc, start, max_iter=10, broadcast_rows=0)
+    assert {r.entity: r.cluster for r in a1.collect()} == {r.entity: r.cluster for r in a2.collect()}
