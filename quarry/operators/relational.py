@@ -85,10 +85,14 @@ def top_k_groups(df: DataFrame, col: str, k: int = 10, weight: str | None = None
 
 
 def intersect_sorted(a: DataFrame, b: DataFrame, col: str, col_b: str | None = None) -> DataFrame:
-    """Present values found in both inputs, sorted once at the end."""
+    """Present values found in both inputs, sorted once at the end.
+
+    Both sides are de-duplicated first (partial aggregates), so a value that
+    fills a third of one input is one row per task before the semi-join.
+    """
     col_b = col_b or col
-    left = a.where(present(col)).select(F.col(col))
-    right = b.where(present(col_b)).select(F.col(col_b).alias(col))
+    left = a.where(present(col)).select(F.col(col)).distinct()
+    right = b.where(present(col_b)).select(F.col(col_b).alias(col)).distinct()
     return left.intersect(right).orderBy(col)
 
 
