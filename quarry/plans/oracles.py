@@ -264,6 +264,7 @@ def _scalar(sql: str) -> int:
     import duckdb
 
     con = duckdb.connect()
+    con.execute("SET enable_progress_bar = false")
     for t in ("part", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{ORACLE_DIR}/{t}.parquet')")
     return int(con.execute(sql).fetchone()[0])
