@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.indexing import row_index
+from quarry.session import scratch_dir
 
 LONG_SAFE = (1 << 63) - 1
 
@@ -184,16 +185,22 @@ def lsh_buckets(bands: DataFrame, min_size: int = 2, entity: str = "entity") ->
 
 
 def minhash_lsh(inc: DataFrame, feature_order: Sequence[str], seed: int, n_bands: int,
-                n_rows: int, m: int | None = None, features: DataFrame | None = None):
+                n_rows: int, m: int | None = None, features: DataFrame | None = None,
+                materialize: bool = True):
     """Signatures and banded buckets for ``inc(entity, feature)``.
 
     Feature index = 0-based rank in ``feature_order`` over ``features`` (all
     known features; defaults to those in ``inc``); ``m`` defaults to the
     number of features, as the original used the number of input lines.
     ``inc`` may repeat a pair: a repeat cannot change a minimum.
+    ``inc`` is read twice (feature index, signatures); with ``materialize``
+    it is checkpointed once to the shared folder instead of derived twice.
     Returns ``(signature_wide, bands, buckets)``.
     """
     spark = inc.sparkSession
+    if materialize:
+        scratch_dir(spark)
+        inc = inc.checkpoint()
     feats = features if features is not None else inc.select("feature").distinct()
     idx, total = row_index(feats.select("feature", *[c for c in feature_order if c != "feature"]),
                            feature_order, with_total=True)
