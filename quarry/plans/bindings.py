@@ -1,6 +1,6 @@
 """Shared derived inputs of the query bindings.
 
-The reference's inputs (a tree census CSV, a ratings file, a plant/state
+The original exercises' inputs (a tree census CSV, a ratings file, a plant/state
 file) are not part of the test data, so each is re-expressed on the shared
 TPC-H-like tables with the same shape:
 
