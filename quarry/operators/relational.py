@@ -103,10 +103,6 @@ def union_all(*dfs: DataFrame) -> DataFrame:
     return out
 
 
-def sort_by(df: DataFrame, *keys: Column | str) -> DataFrame:
-    return df.orderBy(*keys)
-
-
 def rows_head(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """First ``n`` rows by an explicit order (``limit`` alone is not ordered)."""
     return df.orderBy(*order).limit(n) if order else df.limit(n)

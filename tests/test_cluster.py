@@ -115,3 +115,10 @@ def test_kmeans_shuffle_path_equals_broadcast_path(spark):
     a1, _ = cl.kmeans(inc, start, max_iter=10)
     a2, _ = cl.kmeans(inc, start, max_iter=10, broadcast_rows=0)
     assert {r.entity: r.cluster for r in a1.collect()} == {r.entity: r.cluster for r in a2.collect()}
+
+
+def test_as_map_gives_zero_one_vector(spark):
+    inc = _inc(spark).where("entity = 'c'")
+    feats = spark.createDataFrame([(f,) for f in [1, 2, 3, 7]], "feature LONG")
+    got = {r.feature: r.value for r in ic.as_map(inc, feats).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 7: 0}

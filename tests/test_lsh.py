@@ -84,3 +84,13 @@ def test_chunked_sieve_small_chunks(spark, monkeypatch):
     assert got == want
     seg = sorted(r.p for r in lsh.primes_between(spark, 2500, 2700).collect())
     assert seg == [v for v in want if 2500 <= v <= 2700]
+
+
+def test_family_frame_and_apply(spark):
+    fam = lsh.hash_family(spark, 123, 3, 20)
+    ff = lsh.family_frame(spark, fam)
+    assert [tuple(r) for r in ff.orderBy("i").collect()] == fam
+    assert [r.p for r in ff.orderBy("i").collect()] == [23, 29, 31]
+    keys = spark.range(5).withColumnRenamed("id", "x")
+    got = {(r.x, r.i): r.h for r in lsh.hash_family_apply(keys, "x", fam).collect()}
+    assert got == {(x, i): (a * x + b) % p for x in range(5) for i, a, b, p in fam}
