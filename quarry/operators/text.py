@@ -13,7 +13,7 @@ WHITESPACE = "[ \\t\\n\\r\\f\\x0B]+"
 
 def words(text) -> Column:
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(t, WHITESPACE), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(t, WHITESPACE), "")
 
 
 def shingles(words_col: Column, k: int) -> Column:
