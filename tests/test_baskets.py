@@ -49,3 +49,9 @@ def test_rules_and_interest(spark):
         assert math.isclose(r["confidence"], fi[union] / fi[ante])
         assert math.isclose(r["interest"], abs(r["confidence"] - fi[cons] / n))
         assert r["freq"] == fi[cons]
+
+
+def test_baskets_dedupe_items_and_skip_null(spark):
+    rows = [(1, "x"), (1, "x"), (1, "y"), (2, None), (2, "z")]
+    got = {r.basket: list(r["items"]) for r in bk.baskets(spark.createDataFrame(rows, "basket LONG, item STRING")).collect()}
+    assert got == {1: ["x", "y"], 2: ["z"]}

@@ -122,3 +122,10 @@ def test_as_map_gives_zero_one_vector(spark):
     feats = spark.createDataFrame([(f,) for f in [1, 2, 3, 7]], "feature LONG")
     got = {r.feature: r.value for r in ic.as_map(inc, feats).collect()}
     assert got == {1: 0, 2: 1, 3: 1, 7: 0}
+
+
+def test_kmeans_stops_at_max_iter(spark):
+    inc = _inc(spark, {k: v for k, v in VECS.items() if v})
+    start = cl.init_centroids(inc, 3, chosen=["a", "b", "c"])
+    _, passes = cl.kmeans(inc, start, max_iter=1)
+    assert passes == 1

@@ -94,3 +94,30 @@ def test_family_frame_and_apply(spark):
     keys = spark.range(5).withColumnRenamed("id", "x")
     got = {(r.x, r.i): r.h for r in lsh.hash_family_apply(keys, "x", fam).collect()}
     assert got == {(x, i): (a * x + b) % p for x in range(5) for i, a, b, p in fam}
+
+
+def _sig_buckets(spark, vecs, n_bands=4, n_rows=3):
+    rows = [(e, x) for e, xs in vecs.items() for x in xs]
+    inc = spark.createDataFrame(rows, "entity STRING, idx LONG")
+    fam = lsh.hash_family(spark, 123, n_bands * n_rows, 50)
+    sig = lsh.signatures_wide(inc, fam, x_max=50)
+    return lsh.lsh_buckets(lsh.band_hashes(sig, n_bands, n_rows))
+
+
+def test_lsh_all_equal_and_none_similar(spark):
+    same = {e: [1, 5, 9, 20] for e in "abcde"}
+    got = _sig_buckets(spark, same).collect()
+    assert {r.band for r in got} == {0, 1, 2, 3}
+    assert all(r["size"] == 5 for r in got) and len(got) == 4 * 5
+    far = {"a": [0, 1, 2, 3], "b": [10, 11, 12, 13], "c": [20, 21, 22, 23], "d": [30, 31, 32, 33]}
+    assert _sig_buckets(spark, far, n_bands=2, n_rows=6).count() == 0
+
+
+def test_band_plan_rounds_down_to_whole_bands(spark):
+    req = spark.createDataFrame([(10, 0.5), (7, 0.9), (50, 0.2)], "n LONG, s DOUBLE")
+    for r in lsh.band_plan(req).collect():
+        x = -r.n * math.log(r.s)
+        assert 1 <= r.b <= r.n and r.b * math.log(r.b) <= x
+        assert r.b == r.n or (r.b + 1) * math.log(r.b + 1) > x
+        assert r.r == r.n // r.b and r.n_real == r.r * r.b <= r.n
+        assert math.isclose(r.s_real, (1 / r.b) ** (1 / r.r))

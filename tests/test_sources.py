@@ -96,3 +96,25 @@ def test_file_row_index_follows_path_order(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == want
+
+
+def test_quoted_newline_counts_records_not_lines(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "ml.csv")
+    _write(p, 'id,Nom_parc\n1,"LINE ONE\nLINE TWO"\n2,PARC\n')
+    df = src.scan_csv(spark, p, "id INT, Nom_parc STRING", multiline=True)
+    rows = sorted((r.id, r.Nom_parc) for r in df.collect())
+    assert rows == [(1, "LINE ONE\nLINE TWO"), (2, "PARC")]
+
+
+def test_empty_and_header_only_files(spark, tmp_dir):
+    from quarry.operators import relational as rel
+
+    empty = os.path.join(tmp_dir, "empty.csv")
+    _write(empty, "")
+    head = os.path.join(tmp_dir, "head.csv")
+    _write(head, "id,Nom_parc\n")
+    for p in (empty, head):
+        df = src.scan_csv(spark, p, "id INT, Nom_parc STRING")
+        assert rel.count_rows(df).first()["n_rows"] == 0
+        assert rel.top_k_groups(df, "Nom_parc").count() == 0
+    assert src.skip_header(src.scan_text(spark, head)).count() == 0
