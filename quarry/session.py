@@ -85,18 +85,42 @@ def written_table(df, tag: str):
     return spark.read.parquet(path)
 
 
+def _row_groups(uri: str) -> int | None:
+    """Row groups of one parquet file from its footer, or None if unreadable."""
+    from urllib.parse import urlparse
+
+    u = urlparse(uri)
+    if u.scheme not in ("", "file"):
+        return None
+    try:
+        import pyarrow.parquet as pq
+
+        return pq.ParquetFile(u.path).metadata.num_row_groups
+    except Exception:  # noqa: BLE001 - not parquet or unreadable: unknown
+        return None
+
+
 def spread(df):
-    """Round-robin ``df`` over the cluster's cores when it comes from few files.
+    """Round-robin ``df`` over the cluster's cores when its scan cannot be parallel.
 
-    A parquet file is split by row groups, so an input of a few files (each
-    one row group) is read by as few tasks. Before expensive per-row work
-    (text splitting, shingling) such an input is spread once; an input of
-    many files (the normal case at scale) is left alone, with no shuffle.
+    A parquet file is split by row groups, so an input with fewer row groups
+    than cores is read by that few tasks. Before expensive per-row work
+    (text splitting, shingling) such an input is spread once. Inputs with at
+    least as many files as cores, or whose footers cannot be read here, are
+    left alone (no shuffle), which is the normal case at scale.
     """
     spark = df.sparkSession
     par = spark.sparkContext.defaultParallelism
     try:
-        files = len(df.inputFiles())
+        files = df.inputFiles()
     except Exception:  # noqa: BLE001 - not file based
         return df
-    return df.repartition(par) if 0 < files < par else df
+    if not files or len(files) >= par:
+        return df
+    groups = 0
+    for f in files:
+        g = _row_groups(f)
+        if g is None:
+            return df
+        groups += g
+    return df.repartition(par) if groups < par else df
