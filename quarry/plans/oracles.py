@@ -7,6 +7,10 @@ DuckDB's ``sum`` of integers is HUGEINT, so counts are cast to BIGINT.
 
 from __future__ import annotations
 
+import functools
+import math
+import random
+
 ORACLES: dict[str, str] = {}
 
 PARK = ("CASE WHEN p_brand = 'Brand#1' THEN NULL WHEN p_brand = 'Brand#2' THEN '' "
@@ -252,9 +256,6 @@ ORACLES["kmeans_embeddings"] = classes_sql(EMBEDDING_VALUES, 10, 10, valued=True
 # The driver checks oracles at sf0.01. Hash parameters depend on a row count
 # (m) of that data and on Python's seeded RNG, which SQL cannot express, so
 # the family is computed here and inlined as VALUES; everything else is SQL.
-import functools  # noqa: E402
-import math  # noqa: E402
-import random  # noqa: E402
 
 ORACLE_DIR = "/root/testdata/sf0.01"
 

@@ -12,8 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions import py_list_str, rounded
+from quarry.operators import baskets as bk
+from quarry.operators import cluster as cl
+from quarry.operators import incidence as ic
+from quarry.operators import lsh
+from quarry.operators import recommend as rec
 from quarry.operators import relational as rel
+from quarry.operators.indexing import row_index
 from quarry.plans import bindings as b
+from quarry.session import fresh_path, scratch_dir, written_table
+from quarry.sinks import lines as sk
+from quarry.sources import files as src
 from quarry.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,10 +121,6 @@ def q_filter_equal(spark, sf):
 # Recommenders (ratings re-expressed as customer x part x quantity)
 # --------------------------------------------------------------------------
 
-from quarry.functions import rounded  # noqa: E402
-from quarry.operators import recommend as rec  # noqa: E402
-from quarry.session import scratch_dir, written_table  # noqa: E402
-
 
 def _flagged(spark, sf):
     """Ratings with the split flag, joined and split ONCE and kept as a table
@@ -210,8 +216,6 @@ def q_predict_ratings(spark, sf):
 # Market baskets: orders as baskets, part brands (25) or part types (6) as items
 # --------------------------------------------------------------------------
 
-from quarry.functions import py_list_str  # noqa: E402
-from quarry.operators import baskets as bk  # noqa: E402
 
 BRAND_SUPPORT = 0.02
 TYPE_SUPPORT, TYPE_CONFIDENCE = 0.05, 0.3
@@ -267,9 +271,6 @@ def q_rule_interest(spark, sf):
 # Clustering: nations (entities) over the parts their customers bought
 # --------------------------------------------------------------------------
 
-from quarry.operators import cluster as cl  # noqa: E402
-from quarry.session import scratch_dir  # noqa: E402
-from quarry.operators import incidence as ic  # noqa: E402
 
 K, KMEANS_PASSES = 3, 10
 K_CUST = 5
@@ -334,7 +335,6 @@ def q_kmeans_customers(spark, sf):
 # Primes, hashing, min-hash and LSH: nations over parts, documents over shingles
 # --------------------------------------------------------------------------
 
-from quarry.operators import lsh  # noqa: E402
 
 N_PRIMES = 50
 N_FAMILY = 10
@@ -427,10 +427,6 @@ def q_doc_lsh_buckets(spark, sf):
 # read back with the operator under test, compared with SQL on the parquet
 # --------------------------------------------------------------------------
 
-from quarry.operators.indexing import row_index  # noqa: E402
-from quarry.session import fresh_path  # noqa: E402
-from quarry.sinks import lines as sk  # noqa: E402
-from quarry.sources import files as src  # noqa: E402
 
 NULL_MARK = "\\N"
 PART_CSV_SCHEMA = "p_partkey LONG, label STRING, park STRING, p_size INT, p_retailprice DOUBLE"
