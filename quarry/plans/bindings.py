@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from quarry.sources.tables import Tables
 
+# fixed value: the seed of the original exercises
 SEED = 123
 
 

@@ -26,6 +26,17 @@ from quarry.sinks import lines as sk
 from quarry.sources import files as src
 from quarry.sources.tables import Tables
 
+# fixed values: parameters of the original exercises' own tests, kept as-is
+# (seed 123 lives in bindings.SEED; ALS parameters in recommend.ALS_DEFAULTS)
+N_PRIMES = 50                          # fifty consecutive primes
+N_FAMILY = 10                          # ten hash functions in the family
+N_BANDS, N_ROWS = 5, 7                 # LSH: five bands of seven rows
+BAND_N, BAND_B, BAND_R = 12, 2, 2      # one band hash: n=12, band 2, two rows
+K = 3                                  # k of the first k-means pass
+
+# our own choices for the shared test tables
+KMEANS_PASSES = 10
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -272,7 +283,6 @@ def q_rule_interest(spark, sf):
 # --------------------------------------------------------------------------
 
 
-K, KMEANS_PASSES = 3, 10
 K_CUST = 5
 
 
@@ -336,10 +346,6 @@ def q_kmeans_customers(spark, sf):
 # --------------------------------------------------------------------------
 
 
-N_PRIMES = 50
-N_FAMILY = 10
-N_BANDS, N_ROWS = 5, 7
-BAND_N, BAND_B, BAND_R = 12, 2, 2
 
 
 @query
