@@ -134,11 +134,26 @@ def weights(cnt: DataFrame, meta: dict[int, tuple[int, int]]) -> DataFrame:
     return cnt.select("cluster", "feature", (F.col("cnt") / F.element_at(sz, F.col("cluster"))).alias("weight"))
 
 
-def first_iter(inc: DataFrame, start: DataFrame, value: str | None = None) -> DataFrame:
-    """``(centroid, member)``: each entity under its nearest start entity."""
+def _all_norms(inc: DataFrame, value: str | None, entities: DataFrame | None) -> DataFrame:
+    """Norms of the incidence's entities, plus norm 0 for listed entities without features."""
+    nx = norms(inc, value)
+    if entities is None:
+        return nx
+    zero = F.lit(0.0) if value else F.lit(0).cast("long")
+    return (entities.select("entity").distinct().join(nx, "entity", "left")
+            .select("entity", F.coalesce("nx", zero).alias("nx")))
+
+
+def first_iter(inc: DataFrame, start: DataFrame, value: str | None = None,
+               entities: DataFrame | None = None) -> DataFrame:
+    """``(centroid, member)``: each entity under its nearest start entity.
+
+    ``entities`` lists entities to place even when they have no feature (an
+    all-zero vector).
+    """
     k = start.count()
     cnt, meta = initial_state(inc, start, value)
-    a = assign(inc, norms(inc, value), cnt, meta, k, value)
+    a = assign(inc, _all_norms(inc, value, entities), cnt, meta, k, value)
     return a.join(start.withColumnRenamed("entity", "centroid"), "cluster").select("centroid",
                                                                                    F.col("entity").alias("member"))
 
@@ -148,10 +163,12 @@ BROADCAST_ROWS = 2_000_000  # largest centroid-count / assignment table sent who
 
 def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,
            num_partitions: int | None = None, value: str | None = None,
-           broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
+           broadcast_rows: int = BROADCAST_ROWS,
+           entities: DataFrame | None = None) -> tuple[DataFrame, int]:
     """Iterate assign/update until no entity changes cluster (or ``max_iter``).
 
     Returns the final ``(entity, cluster, dist)`` and the passes run.
+    ``entities`` lists entities to cluster even when they have no feature.
 
     The incidence is written once in balanced partitions and is never
     shuffled while its small partner fits a checked bound. The centroid
@@ -171,7 +188,7 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,
     if num_partitions:
         base = base.repartition(num_partitions)
     inc_b = base.checkpoint()
-    nx = norms(inc_b, value).checkpoint()
+    nx = _all_norms(inc_b, value, entities).checkpoint()
     n_entities = nx.count()
     n_features = inc_b.select("feature").distinct().count()
     small_cnt = k * n_features <= broadcast_rows

@@ -129,3 +129,15 @@ def test_kmeans_stops_at_max_iter(spark):
     start = cl.init_centroids(inc, 3, chosen=["a", "b", "c"])
     _, passes = cl.kmeans(inc, start, max_iter=1)
     assert passes == 1
+
+
+def test_featureless_entity_is_placed(spark):
+    inc = _inc(spark)  # "h" has no feature rows
+    ents = spark.createDataFrame([(e,) for e in VECS], "entity STRING")
+    start = cl.init_centroids(inc, 2, chosen=["a", "d"])
+    a, _ = cl.kmeans(inc, start, max_iter=10, entities=ents)
+    got = {r.entity: r.cluster for r in a.collect()}
+    want = _brute_kmeans(VECS, ["a", "d"])
+    assert got == want and "h" in got
+    fi = {r.member: r.centroid for r in cl.first_iter(inc, start, entities=ents).collect()}
+    assert "h" in fi
