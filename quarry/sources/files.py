@@ -18,17 +18,21 @@ from quarry.operators.indexing import with_positions
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True,
              mode: str = "DROPMALFORMED", multiline: bool = False,
-             exact_drops: bool = False, null_value: str = "") -> DataFrame:
+             exact_drops: bool | None = None, null_value: str = "") -> DataFrame:
     """Header CSV with quoted fields; malformed records dropped by default.
 
     ``multiline`` lets a quoted field span lines (then a file is one split).
     With DROPMALFORMED, Spark's CSV column pruning parses only the selected
-    columns, so a record malformed in a pruned column is still counted;
-    ``exact_drops`` turns pruning off for this session so drops are exact.
+    columns, so a record malformed in a pruned column would still be counted
+    (a bare row count parses none). ``exact_drops`` (default: on under
+    DROPMALFORMED) turns CSV column pruning off for the session, so every
+    count and every projection sees the same surviving records.
     With the default ``null_value`` an empty field reads as null (as the
     original DataFrame code saw it); a file written with another null marker
     keeps ``''`` and null apart.
     """
+    if exact_drops is None:
+        exact_drops = mode.upper() == "DROPMALFORMED"
     if exact_drops:
         spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     return (spark.read.schema(schema)

@@ -118,3 +118,14 @@ def test_empty_and_header_only_files(spark, tmp_dir):
         assert rel.count_rows(df).first()["n_rows"] == 0
         assert rel.top_k_groups(df, "Nom_parc").count() == 0
     assert src.skip_header(src.scan_text(spark, head)).count() == 0
+
+
+def test_dropmalformed_counts_only_surviving_records(spark, tmp_dir):
+    from quarry.operators import relational as rel
+
+    p = os.path.join(tmp_dir, "short_long.csv")
+    _write(p, 'id,Nom_parc,n\n1,A,3\n2,B\n3,C,4,extra\n4,"D, E",5\n')
+    df = src.scan_csv(spark, p, "id INT, Nom_parc STRING, n INT")
+    assert rel.count_rows(df).first()["n_rows"] == 2
+    assert df.count() == 2
+    assert sorted(r.Nom_parc for r in df.select("Nom_parc").collect()) == ["A", "D, E"]
