@@ -36,8 +36,7 @@ PARK = "Nom_parc"
 # ----------------------------------------------------------------- trees
 def _trees(spark: SparkSession, filename: str) -> DataFrame:
     """All columns as strings, names from the header; records, not lines."""
-    return (spark.read.option("header", True).option("mode", "DROPMALFORMED")
-            .option("multiLine", True).option("escape", '"').csv(filename))
+    return src.scan_csv(spark, filename, None, header=True, multiline=True)
 
 
 def count(spark: SparkSession, filename: str) -> DataFrame:

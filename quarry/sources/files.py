@@ -16,11 +16,14 @@ from pyspark.sql.types import StructType
 from quarry.operators.indexing import with_positions
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True,
+def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None, header: bool = True,
              mode: str = "DROPMALFORMED", multiline: bool = False,
              exact_drops: bool | None = None, null_value: str = "") -> DataFrame:
     """Header CSV with quoted fields; malformed records dropped by default.
 
+    Without a ``schema`` every column is a string named by the header (no
+    type inference pass).
+
     ``multiline`` lets a quoted field span lines (then a file is one split).
     With DROPMALFORMED, Spark's CSV column pruning parses only the selected
     columns, so a record malformed in a pruned column would still be counted
@@ -35,7 +38,8 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str, header: b
         exact_drops = mode.upper() == "DROPMALFORMED"
     if exact_drops:
         spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    return (spark.read.schema(schema)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return (reader
             .option("header", header).option("mode", mode)
             .option("multiLine", multiline).option("escape", '"')
             .option("nullValue", null_value)
