@@ -48,6 +48,7 @@ def sq_distance(inc: DataFrame, pairs: DataFrame) -> DataFrame:
     Driven by the asked pairs: each pair meets the features of its first
     entity, which are then probed in the second one by an equi-join on
     ``(entity, feature)``. No pair is generated that was not asked for.
+    ``inc`` is read three times; pass a materialized table when it is costly.
     """
     p = pairs.select(F.col("entity1"), F.col("entity2")).distinct()
     a = inc.select(F.col("entity").alias("entity1"), "feature")

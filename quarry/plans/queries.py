@@ -286,6 +286,13 @@ def q_rule_interest(spark, sf):
 K_CUST = 5
 
 
+def _written_incidence(spark, sf, fn=None):
+    """The incidence, computed once and kept in the shared folder: the
+    clustering operators act on it several times."""
+    scratch_dir(spark)
+    return (fn or b.nation_parts)(Tables(spark, sf)).checkpoint()
+
+
 @query
 def q_incidence_lookup(spark, sf):
     t = Tables(spark, sf)
@@ -294,8 +301,9 @@ def q_incidence_lookup(spark, sf):
 
 @query
 def q_sq_distance(spark, sf):
+    # the incidence is read three times (pairs, probes, sizes): write it once
     t = Tables(spark, sf)
-    return ic.sq_distance(b.nation_parts(t), b.trade_nation_pairs(t))
+    return ic.sq_distance(_written_incidence(spark, sf), b.trade_nation_pairs(t))
 
 
 @query
@@ -303,13 +311,6 @@ def q_init_centroids(spark, sf):
     return cl.init_centroids(b.nation_parts(Tables(spark, sf)), K, b.SEED)
 
 
-def _written_incidence(spark, sf, fn=None):
-    """The incidence, computed once and kept in the shared folder: the
-    clustering operators act on it several times."""
-    scratch_dir(spark)
-    return (fn or b.nation_parts)(Tables(spark, sf)).checkpoint()
-
-
 @query
 def q_kmeans_first_iter(spark, sf):
     inc = _written_incidence(spark, sf)
