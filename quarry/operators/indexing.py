@@ -27,15 +27,17 @@ def with_positions(df: DataFrame) -> DataFrame:
 
 def _finish(s: DataFrame, name: str) -> tuple[DataFrame, int]:
     # one row per partition reaches the driver
-    counts = sorted((r["__pid"], r["__n"]) for r in
-                    s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
-    offsets, total = [], 0
-    for pid, n in counts:
-        offsets += [F.lit(pid), F.lit(total)]
-        total += n
+    counts = dict((r["__pid"], r["__n"]) for r in
+                  s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
     if not counts:
         return s.withColumn(name, F.lit(None).cast("long")).drop("__pid", "__pos"), 0
-    off = F.element_at(F.create_map(*offsets), F.col("__pid"))
+    # partition ids are dense, so the offsets form an array indexed by id:
+    # an O(1) lookup per row even with tens of thousands of partitions
+    offsets, total = [], 0
+    for pid in range(max(counts) + 1):
+        offsets.append(total)
+        total += counts.get(pid, 0)
+    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__pid") + 1)
     return (s.withColumn(name, (off + F.col("__pos")).cast("long"))
             .drop("__pid", "__pos"), total)
 

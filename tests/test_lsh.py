@@ -121,3 +121,11 @@ def test_band_plan_rounds_down_to_whole_bands(spark):
         assert r.b == r.n or (r.b + 1) * math.log(r.b + 1) > x
         assert r.r == r.n // r.b and r.n_real == r.r * r.b <= r.n
         assert math.isclose(r.s_real, (1 / r.b) ** (1 / r.r))
+
+
+def test_row_index_many_partitions(spark):
+    from quarry.operators.indexing import row_index
+
+    df = spark.range(0, 5000, 3).withColumnRenamed("id", "k")
+    got = row_index(df, ["k"], "pos", num_partitions=300).orderBy("k").collect()
+    assert [r.pos for r in got] == list(range(len(got))) and [r.k for r in got] == list(range(0, 5000, 3))
