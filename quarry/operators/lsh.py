@@ -128,11 +128,27 @@ def family_frame(spark: SparkSession, family: Sequence[tuple[int, int, int, int]
     return spark.createDataFrame(list(family), "i INT, a LONG, b LONG, p LONG")
 
 
+SPLIT = 1 << 20
+SPLIT_LIMIT = 1 << 40
+
+
 def hash_expr(x, a: int, b: int, p: int, x_max: int | None = None) -> Column:
-    """``(a * x + b) % p`` exactly; decimal arithmetic when a long could overflow."""
+    """``(a * x + b) % p`` exactly, in the cheapest arithmetic that cannot overflow.
+
+    * ``a * x_max + b`` fits a long: plain long arithmetic;
+    * ``a, b, p, x_max < 2^40`` (about 10^12 features): ``x`` is split into
+      two 20-bit halves, ``((a * x_hi % p) * 2^20 + a * x_lo + b) % p``, every
+      intermediate below 2^62;
+    * otherwise decimal(38, 0).
+    """
     x = F.col(x) if isinstance(x, str) else x
     if x_max is not None and a * x_max + b <= LONG_SAFE:
         return (F.lit(a) * x.cast("long") + F.lit(b)) % F.lit(p)
+    if x_max is not None and max(a, b, p, x_max + 1) <= SPLIT_LIMIT:
+        xl = x.cast("long")
+        hi = F.shiftright(xl, 20)
+        lo = xl.bitwiseAND(F.lit(SPLIT - 1))
+        return (((F.lit(a) * hi) % F.lit(p)) * F.lit(SPLIT) + F.lit(a) * lo + F.lit(b)) % F.lit(p)
     d = "decimal(38,0)"
     return ((F.lit(a).cast(d) * x.cast(d) + F.lit(b).cast(d)) % F.lit(p).cast(d)).cast("long")
 

@@ -129,3 +129,16 @@ def test_row_index_many_partitions(spark):
     df = spark.range(0, 5000, 3).withColumnRenamed("id", "k")
     got = row_index(df, ["k"], "pos", num_partitions=300).orderBy("k").collect()
     assert [r.pos for r in got] == list(range(len(got))) and [r.k for r in got] == list(range(0, 5000, 3))
+
+
+def test_hash_expr_all_arithmetic_paths(spark):
+    xs = [0, 1, 12345, (1 << 20) - 1, 1 << 20, 987654321012, (1 << 40) - 1]
+    df = spark.createDataFrame([(x,) for x in xs], "x LONG")
+    cases = [
+        (12, 5, 7, 100),                                 # plain long
+        (1_099_511_627_000, 1_000_000_007, 1_099_511_627_689, (1 << 40) - 1),  # 20-bit split
+        (3_000_000_019_000, 7, 4_000_000_007_001, (1 << 40) - 1),              # decimal
+    ]
+    for a, b, p, x_max in cases:
+        got = [r.h for r in df.select(lsh.hash_expr("x", a, b, p, x_max).alias("h")).collect()]
+        assert got == [(a * x + b) % p for x in xs], (a, b, p)
