@@ -114,17 +114,38 @@ def _literal_regex(sep: str) -> str:
     return re.escape(sep).replace("\\:", ":")
 
 
+BROADCAST_SPLITS = 2_000_000  # split-offset rows sent whole to every task
+
+
 def file_row_index(lines: DataFrame, name: str = "id") -> DataFrame:
     """0-based line number over all files of a text scan, files in path order.
 
     Spark packs files into partitions by size, not by name, so a plain
-    position index follows no file order. Here each line gets the key
-    ``(file path, split start, position in its task)``, which is increasing
-    inside every file, and the global index is taken in that key's order.
+    position index follows no file order. Lines of one split (file, start
+    byte) are read by one task in file order, so a line's number is the
+    split's offset (lines in all earlier splits, by path then start) plus
+    its place inside the split. Only one row per split is aggregated and
+    ordered; that table is joined back by broadcast when its counted size is
+    under ``BROADCAST_SPLITS``, else by a shuffle join. Nothing is sorted.
+    The positioned lines are written once to the shared folder so both uses
+    see the same ids.
     """
-    from quarry.operators.indexing import row_index
-
-    keyed = lines.select("*", F.col("_metadata.file_path").alias("__file"),
-                         F.col("_metadata.file_block_start").alias("__start"),
-                         F.monotonically_increasing_id().alias("__mono"))
-    return row_index(keyed, ["__file", "__start", "__mono"], name).drop("__file", "__start", "__mono")
+    from pyspark.sql import Window
+
+    from quarry.session import written_table
+
+    keyed = written_table(
+        lines.select("*", F.col("_metadata.file_path").alias("__file"),
+                     F.col("_metadata.file_block_start").alias("__start"),
+                     F.monotonically_increasing_id().alias("__mono")), "file-lines")
+    splits = keyed.groupBy("__file", "__start").agg(F.min("__mono").alias("__m0"),
+                                                    F.count(F.lit(1)).alias("__n"))
+    # one row per input split reaches this window
+    w = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("__file", "__start", "__m0",
+                            F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    if splits.count() <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
+    return (keyed.join(offsets, ["__file", "__start"])
+            .withColumn(name, (F.col("__off") + F.col("__mono") - F.col("__m0")).cast("long"))
+            .drop("__file", "__start", "__mono", "__m0", "__off"))
