@@ -75,9 +75,56 @@ def initial_state(inc: DataFrame, start: DataFrame, value: str | None = None):
     return cnt, {r["cluster"]: (1, r["s2"]) for r in rows}
 
 
+WIDE_K = 32  # up to this many clusters, one aggregate holds a sum per cluster
+
+
+def _dist(nx, s1, sz, s2):
+    return (nx.cast("double") - F.lit(2.0) * s1.cast("double") / sz.cast("double")
+            + s2.cast("double") / (sz.cast("double") * sz.cast("double")))
+
+
+def _assign_long(inc: DataFrame, nx: DataFrame, cnt: DataFrame, meta: dict[int, tuple[int, int]],
+                 value: str | None) -> DataFrame:
+    """Argmin for many clusters, in long form.
+
+    Overlapping clusters: one row per (entity, cluster) with ``s1``, scored
+    with the cluster's ``sz, s2`` from a k-row table joined on ``cluster``.
+    Clusters an entity does not touch score ``nx + s2/sz^2``; in the global
+    order of that constant (then id), the best of them is the first one the
+    entity does not touch: the smallest rank missing from its overlap ranks.
+    """
+    spark = inc.sparkSession
+    order = sorted(meta, key=lambda c: (float(meta[c][1]) / (float(meta[c][0]) * float(meta[c][0])), c))
+    ranks = {c: i for i, c in enumerate(order)}
+    mt = spark.createDataFrame([(c, meta[c][0], meta[c][1], ranks[c]) for c in meta],
+                               f"cluster INT, sz LONG, s2 {'DOUBLE' if value else 'LONG'}, rk INT")
+    contrib = F.col("cnt") * _v(value) if value else F.col("cnt")
+    dots = inc.join(cnt, "feature").groupBy("entity", "cluster").agg(F.sum(contrib).alias("s1"))
+    scored = (dots.join(F.broadcast(mt), "cluster").join(nx, "entity")
+              .select("entity", "rk", F.struct(_dist(F.col("nx"), F.col("s1"), F.col("sz"), F.col("s2")).alias("dist"),
+                                               F.col("cluster").alias("cluster")).alias("cand")))
+    per = scored.groupBy("entity").agg(F.min("cand").alias("over"),
+                                       F.array_sort(F.collect_list("rk")).alias("rks"))
+    # smallest rank not among the (sorted, distinct) overlap ranks: the first i with rks[i] != i
+    mex = F.aggregate("rks", F.lit(0), lambda acc, r: F.when(r == acc, acc + 1).otherwise(acc))
+    # per-rank constants as arrays: O(1) lookups by the rank found
+    by_rank = F.array(*[F.lit(c) for c in order])
+    sz_by_rank = F.array(*[F.lit(meta[c][0]) for c in order])
+    s2_by_rank = F.array(*[F.lit(meta[c][1]) for c in order])
+    j = nx.join(per, "entity", "left").withColumn("__mex", F.coalesce(mex, F.lit(0)) + 1)
+    free = F.when(F.col("__mex") <= F.lit(len(order)), F.struct(
+        _dist(F.col("nx"), F.lit(0), F.element_at(sz_by_rank, F.col("__mex")),
+              F.element_at(s2_by_rank, F.col("__mex"))).alias("dist"),
+        F.element_at(by_rank, F.col("__mex")).alias("cluster")))
+    best = F.least(F.col("over"), free)
+    return j.select("entity", best.getField("cluster").alias("cluster"), best.getField("dist").alias("dist"))
+
+
 def assign(inc: DataFrame, nx: DataFrame, cnt: DataFrame, meta: dict[int, tuple[int, int]],
            k: int, value: str | None = None) -> DataFrame:
     """``(entity, cluster, dist)``: the nearest cluster, ties to the smaller id."""
+    if k > WIDE_K:
+        return _assign_long(inc, nx, cnt, meta, value)
     contrib = F.col("cnt") * _v(value) if value else F.col("cnt")
     dots = (inc.join(cnt, "feature")
             .groupBy("entity")

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from quarry.operators import cluster as cl
 from quarry.operators import incidence as ic
@@ -141,3 +142,21 @@ def test_featureless_entity_is_placed(spark):
     assert got == want and "h" in got
     fi = {r.member: r.centroid for r in cl.first_iter(inc, start, entities=ents).collect()}
     assert "h" in fi
+
+
+@pytest.mark.parametrize("value", [None, "value"])
+def test_long_form_assign_equals_wide(spark, monkeypatch, value):
+    rng = np.random.default_rng(11)
+    if value:
+        rows = [(f"e{i}", j, float(v)) for i in range(30) for j, v in enumerate(rng.normal(size=4))]
+        inc = spark.createDataFrame(rows, "entity STRING, feature INT, value DOUBLE")
+    else:
+        rows = [(f"e{i}", int(f)) for i in range(30) for f in rng.choice(12, size=rng.integers(0, 6), replace=False)]
+        inc = spark.createDataFrame(rows, "entity STRING, feature LONG")
+    ents = spark.createDataFrame([(f"e{i}",) for i in range(30)], "entity STRING")
+    start = cl.init_centroids(ents, 6, seed=5)
+    wide, _ = cl.kmeans(inc, start, max_iter=6, value=value, entities=ents)
+    want = {r.entity: r.cluster for r in wide.collect()}
+    monkeypatch.setattr(cl, "WIDE_K", 1)
+    long_, _ = cl.kmeans(inc, start, max_iter=6, value=value, entities=ents)
+    assert {r.entity: r.cluster for r in long_.collect()} == want
