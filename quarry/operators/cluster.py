@@ -15,8 +15,9 @@ product of the entity with ``cnt``.
 Per pass, the incidence rows (written once, balanced) meet the centroid
 counts (clusters x features) and the assignment (one row per entity).
 Per-entity distances to the ``k`` clusters come from one aggregation keyed
-by entity holding ``k`` conditional sums, so no entity x cluster grid and no
-cross product is ever built. Per pass, two scalars per cluster (size and sum
+by entity holding ``k`` conditional sums (``k <= WIDE_K``), or, for more
+clusters, from long-form ``(entity, cluster)`` rows plus the best untouched
+cluster; no entity x cluster grid and no cross product is ever built. Per pass, two scalars per cluster (size and sum
 of squares) travel to the driver, so the driver gets at most 2k values.
 """
 
