@@ -193,7 +193,14 @@ def band_hash(sig: DataFrame, band: int, n_rows: int, entity: str = "entity") ->
 
 
 def lsh_buckets(bands: DataFrame, min_size: int = 2, entity: str = "entity") -> DataFrame:
-    """``(band, bucket, member, size)`` for buckets with at least ``min_size`` members."""
+    """``(band, bucket, member, size)`` for buckets with at least ``min_size`` members.
+
+    ``bands`` is read twice (bucket sizes, then the join back); it is
+    checkpointed once (entities x bands rows) so the signature aggregate
+    behind it runs once.
+    """
+    scratch_dir(bands.sparkSession)
+    bands = bands.checkpoint()
     sizes = (bands.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"))
              .where(F.col("size") >= min_size))
     return bands.join(sizes, ["band", "bucket"]).select(
