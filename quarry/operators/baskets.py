@@ -27,7 +27,11 @@ def fit(basket_df: DataFrame, min_support: float, min_confidence: float,
     fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    return fp.fit(basket_df.select(items))
+    model = fp.fit(basket_df.select(items))
+    # itemsets feed both the itemset output and the rules (and the interest
+    # join): keep them so the tree mining runs once (spills to disk if large)
+    model.freqItemsets.persist()
+    return model
 
 
 def _key(c: str) -> Column:
