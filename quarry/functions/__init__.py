@@ -4,9 +4,10 @@ from quarry.functions.columns import (
     key_bucket,
     md5_order_key,
     present,
+    py_float_str,
     py_list_str,
     py_str,
     rounded,
 )
 
-__all__ = ["key_bucket", "md5_order_key", "present", "py_list_str", "py_str", "rounded"]
+__all__ = ["key_bucket", "md5_order_key", "present", "py_float_str", "py_list_str", "py_str", "rounded"]

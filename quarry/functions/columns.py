@@ -56,3 +56,44 @@ def py_list_str(c) -> Column:
 def rounded(c, digits: int = 6) -> Column:
     """Round a double for comparison against another engine."""
     return F.round(_c(c).cast("double"), digits)
+
+
+def py_float_str(c) -> Column:
+    """Render a double the way Python's ``str`` does (shortest round-trip digits).
+
+    Digits: the shortest of Java's ``%.{p-1}e`` forms (p = 1..17 significant
+    digits) that reads back as the same double, trailing zeros dropped.
+    Layout: Python's, plain for 1e-4 <= |x| < 1e16 (``12345678.0``,
+    ``0.0005``), else ``1e+16`` / ``1.5e-07``; ``nan``, ``inf``, ``-inf``.
+    Built-in string functions only.
+    """
+    x = _c(c).cast("double")
+    cands = [F.format_string(f"%.{p - 1}e", x) for p in range(1, 18)]
+    s = cands[-1]
+    for cand in reversed(cands[:-1]):
+        s = F.when(cand.try_cast("double") == x, cand).otherwise(s)
+    pat = r"^(-?)(\d)(?:\.(\d+))?e([+-]\d+)$"
+    sign = F.regexp_extract(s, pat, 1)
+    lead = F.regexp_extract(s, pat, 2)
+    frac = F.regexp_replace(F.regexp_extract(s, pat, 3), "0+$", "")
+    digits = F.concat(lead, frac)
+    e = F.regexp_replace(F.regexp_extract(s, pat, 4), "[+]", "").try_cast("int")
+    nd = F.length(digits)
+    # plain layout for -4 <= e < 16
+    int_part = F.when(nd > e + 1, F.substr(digits, F.lit(1), e + 1)).otherwise(F.rpad(digits, e + 1, F.lit("0")))
+    frac_part = F.when(nd > e + 1, F.substr(digits, e + 2, nd)).otherwise(F.lit("0"))
+    pos = F.concat(sign, int_part, F.lit("."), frac_part)
+    neg = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)
+    plain = F.when(e >= 0, pos).otherwise(neg)
+    # scientific layout otherwise: 1e+16, 1.5e-07, 2.5e-300
+    mant = F.concat(lead, F.when(F.length(frac) > 0, F.concat(F.lit("."), frac)).otherwise(F.lit("")))
+    ae = F.abs(e).cast("string")
+    exp = F.concat(F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.when(F.length(ae) < 2, F.concat(F.lit("0"), ae)).otherwise(ae))
+    sci = F.concat(sign, mant, F.lit("e"), exp)
+    return (F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(F.isnan(x), F.lit("nan"))
+            .when(x == F.lit(float("inf")), F.lit("inf"))
+            .when(x == F.lit(float("-inf")), F.lit("-inf"))
+            .when((e >= -4) & (e < 16), plain)
+            .otherwise(sci))

@@ -2,19 +2,17 @@
 
 ``to_csv_lines`` reproduces the text the original helper printed: values
 joined by commas, never quoted (a comma inside a value stays as it is),
-``str()`` of each value, lists as ``['a', 'b']``, nulls as ``None``.
-Doubles are rendered by Spark's cast, which agrees with Python's ``str``
-in the range ``1e-3 <= |x| < 1e7``; outside it Java uses ``1.0E7`` where
-Python writes ``10000000.0``.
+``str()`` of each value, lists as ``['a', 'b']``, nulls as ``None``, doubles
+with Python's shortest round-trip digits and layout (``functions.py_float_str``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, MapType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, MapType
 
-from quarry.functions import py_list_str
+from quarry.functions import py_float_str, py_list_str
 
 
 def _render(df: DataFrame, name: str):
@@ -22,6 +20,8 @@ def _render(df: DataFrame, name: str):
     c = F.col(name)
     if isinstance(dt, ArrayType):
         r = py_list_str(c.cast("array<string>"))
+    elif isinstance(dt, (DoubleType, FloatType)):
+        r = py_float_str(c)
     elif isinstance(dt, BooleanType):
         r = F.when(c, F.lit("True")).otherwise(F.lit("False"))
     elif isinstance(dt, MapType):

@@ -129,3 +129,10 @@ def test_dropmalformed_counts_only_surviving_records(spark, tmp_dir):
     assert rel.count_rows(df).first()["n_rows"] == 2
     assert df.count() == 2
     assert sorted(r.Nom_parc for r in df.select("Nom_parc").collect()) == ["A", "D, E"]
+
+
+def test_to_csv_lines_doubles_like_python(spark):
+    vals = [0.9860296172115116, 1e7, 12345678.5, 5e-4, 1e16, -2.5e-7]
+    df = spark.createDataFrame([(f"r{i}", v) for i, v in enumerate(vals)], "k STRING, x DOUBLE")
+    got = {r.line for r in sk.to_csv_lines(df).collect()}
+    assert got == {f"r{i},{v}" for i, v in enumerate(vals)}
