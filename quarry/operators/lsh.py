@@ -52,8 +52,11 @@ def _composites(spark: SparkSession, lo: int, hi: int) -> DataFrame:
         return spark.range(0).select(F.col("id").alias("v"))
     small = primes_between(spark, 2, root)
     q = F.col("q")
-    first = F.greatest(q * q, F.ceil(F.lit(lo) / q).cast("long") * q)
-    count = F.floor((F.lit(hi) - F.col("first")) / q).cast("long") + 1
+    # integer arithmetic only: the smallest multiple >= lo, and the number of
+    # multiples in [first, hi] (span - span mod q is an exact multiple of q)
+    first = F.greatest(q * q, F.lit(lo).cast("long") + F.pmod(-F.lit(lo).cast("long"), q))
+    span = F.lit(hi).cast("long") - F.col("first")
+    count = ((span - F.pmod(span, q)) / q).cast("long") + 1
     chunks = (small.select(F.col("p").alias("q")).withColumn("first", first)
               .where(F.col("first") <= F.lit(hi))
               .withColumn("n", count)
@@ -119,6 +122,7 @@ def hash_family(spark: SparkSession, seed: int, n: int, m: int) -> list[tuple[in
 
     ``n`` rows (a parameter) reach the driver.
     """
+    m = max(int(m), 1)
     ps = [r["p"] for r in next_primes(spark, n, m).orderBy("i").collect()]
     ab = draw_ab(seed, n, m)
     return [(i, a, b, p) for i, ((a, b), p) in enumerate(zip(ab, ps))]

@@ -142,3 +142,10 @@ def test_hash_expr_all_arithmetic_paths(spark):
     for a, b, p, x_max in cases:
         got = [r.h for r in df.select(lsh.hash_expr("x", a, b, p, x_max).alias("h")).collect()]
         assert got == [(a * x + b) % p for x in xs], (a, b, p)
+
+
+def test_sieve_segment_far_from_zero(spark):
+    lo, hi = 10**9 + 7, 10**9 + 3000
+    got = sorted(r.p for r in lsh.primes_between(spark, lo, hi).collect())
+    want = [v for v in range(lo, hi + 1) if all(v % d for d in range(2, math.isqrt(v) + 1))]
+    assert got == want and len(want) > 100
