@@ -172,24 +172,42 @@ def distance2(spark: SparkSession, filename: str, state1: str, state2: str) -> D
     return ic.sq_distance(_incidence(spark, filename), pairs)
 
 
+def _chosen(k: int, seed: int, chosen: Sequence[str] | None,
+            candidates: Sequence[str] | None) -> Sequence[str] | None:
+    """Start entities: given ones, or Python's seeded ``random.sample`` of a
+    caller's candidate list (k names on the driver), else None (md5 choice)."""
+    if chosen is not None or candidates is None:
+        return chosen
+    import random
+
+    return random.Random(seed).sample(list(candidates), k)
+
+
 def init_centroids(spark: SparkSession, filename: str, k: int, seed: int,
-                   chosen: Sequence[str] | None = None) -> DataFrame:
-    """``(cluster, entity)``: ``k`` start states (seeded md5 choice, or ``chosen``)."""
-    return cl.init_centroids(_incidence(spark, filename), k, seed, chosen)
+                   chosen: Sequence[str] | None = None,
+                   candidates: Sequence[str] | None = None) -> DataFrame:
+    """``(cluster, entity)``: ``k`` start states.
+
+    ``chosen`` names them; ``candidates`` is a list to draw ``k`` from with
+    ``random.Random(seed).sample``; otherwise a seeded md5 choice.
+    """
+    return cl.init_centroids(_incidence(spark, filename), k, seed, _chosen(k, seed, chosen, candidates))
 
 
 def first_iter(spark: SparkSession, filename: str, k: int, seed: int,
-               chosen: Sequence[str] | None = None) -> DataFrame:
+               chosen: Sequence[str] | None = None,
+               candidates: Sequence[str] | None = None) -> DataFrame:
     """``(centroid, member)``: each state under its nearest start state."""
     inc = _incidence(spark, filename).checkpoint()
-    return cl.first_iter(inc, cl.init_centroids(inc, k, seed, chosen))
+    return cl.first_iter(inc, cl.init_centroids(inc, k, seed, _chosen(k, seed, chosen, candidates)))
 
 
 def kmeans(spark: SparkSession, filename: str, k: int, seed: int,
-           chosen: Sequence[str] | None = None, max_iter: int = 20) -> DataFrame:
+           chosen: Sequence[str] | None = None, max_iter: int = 20,
+           candidates: Sequence[str] | None = None) -> DataFrame:
     """``(leader, member)``: the classes, each named by its smallest member."""
     inc = _incidence(spark, filename).checkpoint()
-    a, _ = cl.kmeans(inc, cl.init_centroids(inc, k, seed, chosen), max_iter)
+    a, _ = cl.kmeans(inc, cl.init_centroids(inc, k, seed, _chosen(k, seed, chosen, candidates)), max_iter)
     return cl.classes(a)
 
 

@@ -116,3 +116,15 @@ def test_lsh_functions(spark, files):
     assert any({"ak", "yt"} <= m for m in members.values())
     assert api.hash_band(spark, pl, 123, "ak", 6, 1, 2).first().bucket == \
         api.hash_band(spark, pl, 123, "yt", 6, 1, 2).first().bucket
+
+
+def test_start_states_from_a_candidate_list(spark, files):
+    import random
+
+    pl = files[2]
+    cands = ["yt", "fl", "ak", "nc", "bc", "ga"]
+    want = random.Random(123).sample(cands, 3)
+    random.seed(123)
+    assert want == random.sample(cands, 3)
+    got = [r.entity for r in api.init_centroids(spark, pl, 3, 123, candidates=cands).orderBy("cluster").collect()]
+    assert got == sorted(want)
