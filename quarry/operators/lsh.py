@@ -213,19 +213,18 @@ def lsh_buckets(bands: DataFrame, min_size: int = 2, entity: str = "entity") ->
 
 def minhash_lsh(inc: DataFrame, feature_order: Sequence[str], seed: int, n_bands: int,
                 n_rows: int, m: int | None = None, features: DataFrame | None = None,
-                materialize: bool = False):
+                materialize: bool = True):
     """Signatures and banded buckets for ``inc(entity, feature)``.
 
     Feature index = 0-based rank in ``feature_order`` over ``features`` (all
     known features; defaults to those in ``inc``); ``m`` defaults to the
     number of features, as the original used the number of input lines.
     ``inc`` may repeat a pair: a repeat cannot change a minimum.
-    ``inc`` is read twice (feature index, signatures). By default it is
-    derived twice: for shingles that means scanning and tokenizing the text
-    twice, which moves fewer bytes than writing the occurrences (about three
-    times the text) and reading them back. ``materialize`` checkpoints it
-    once instead, the better choice when ``inc`` is costly to derive and
-    small to store.
+    ``inc`` is read twice (feature index, signatures). With ``materialize``
+    (default) it is checkpointed once to the shared folder: for shingles,
+    splitting and joining the words is CPU-heavy, and measured twice as slow
+    as writing the occurrences once. Pass ``False`` when ``inc`` is cheap
+    to derive and large to store.
     Returns ``(signature_wide, bands, buckets)``.
     """
     spark = inc.sparkSession
