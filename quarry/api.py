@@ -28,6 +28,7 @@ from quarry.operators import recommend as rec
 from quarry.operators import relational as rel
 from quarry.operators.indexing import row_index
 from quarry.sinks.lines import to_csv_lines
+from quarry.session import bounded_side
 from quarry.sources import files as src
 
 PARK = "Nom_parc"
@@ -238,7 +239,7 @@ def _signatures(spark: SparkSession, datafile: str, seed: int, n: int, states: S
     inc = ic.from_baskets(plants, "plant", "items")
     if states is not None:
         inc = inc.where(F.col("entity").isin(list(states)))
-    inc_i = inc.join(idx.select("feature", "idx").distinct(), "feature")
+    inc_i = inc.join(bounded_side(idx.select("feature", "idx").distinct(), m), "feature")
     return lsh.signatures_wide(inc_i, family, x_max=max(m - 1, 0))
 
 

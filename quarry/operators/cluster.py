@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import md5_order_key
 from quarry.operators.incidence import sizes
-from quarry.session import scratch_dir
+from quarry.session import BROADCAST_ROWS, scratch_dir
 
 
 def init_centroids(entities: DataFrame, k: int, seed: int | None = None,
@@ -206,7 +206,6 @@ def first_iter(inc: DataFrame, start: DataFrame, value: str | None = None,
                                                                                    F.col("entity").alias("member"))
 
 
-BROADCAST_ROWS = 2_000_000  # largest centroid-count / assignment table sent whole to every task
 
 
 def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.indexing import row_index
-from quarry.session import scratch_dir
+from quarry.session import bounded_side, scratch_dir
 
 LONG_SAFE = (1 << 63) - 1
 
@@ -234,7 +234,7 @@ def minhash_lsh(inc: DataFrame, feature_order: Sequence[str], seed: int, n_bands
     feats = features if features is not None else inc.select("feature").distinct()
     idx, total = row_index(feats.select("feature", *[c for c in feature_order if c != "feature"]),
                            feature_order, with_total=True)
-    idx = idx.select("feature", "idx")
+    idx = bounded_side(idx.select("feature", "idx"), total)
     m = m if m is not None else total
     family = hash_family(spark, seed, n_bands * n_rows, m)
     x_max = max(m - 1, 0)

@@ -21,7 +21,7 @@ from quarry.operators import recommend as rec
 from quarry.operators import relational as rel
 from quarry.operators.indexing import row_index
 from quarry.plans import bindings as b
-from quarry.session import fresh_path, scratch_dir, written_table
+from quarry.session import bounded_side, fresh_path, scratch_dir, written_table
 from quarry.sinks import lines as sk
 from quarry.sources import files as src
 from quarry.sources.tables import Tables
@@ -384,8 +384,8 @@ def q_hash_family_apply(spark, sf):
 def _nation_sig(spark, sf, n):
     t = Tables(spark, sf)
     fam, m = _part_family(spark, sf, n)
-    idx = lsh.row_index(t.part.select(F.col("p_partkey").alias("feature")), ["feature"])
-    inc = b.nation_parts(t).join(idx, "feature")
+    idx, n_idx = row_index(t.part.select(F.col("p_partkey").alias("feature")), ["feature"], with_total=True)
+    inc = b.nation_parts(t).join(bounded_side(idx, n_idx), "feature")
     return lsh.signatures_wide(inc, fam, x_max=m - 1)
 
 

@@ -125,3 +125,16 @@ def spread(df):
             return df
         groups += g
     return df.repartition(par) if groups < par else df
+
+
+BROADCAST_ROWS = 2_000_000  # largest counted table sent whole to every task
+
+
+def bounded_side(df, rows: int, bound: int = BROADCAST_ROWS):
+    """Join side with a counted size: broadcast under ``bound`` rows, else a
+    sort-merge join. A table written as parquet compresses well, so Spark's
+    size estimate from its files can be far below its size in memory; the
+    exact row count decides instead of that estimate."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if rows <= bound else df.hint("merge")

@@ -114,7 +114,6 @@ def _literal_regex(sep: str) -> str:
     return re.escape(sep).replace("\\:", ":")
 
 
-BROADCAST_SPLITS = 2_000_000  # split-offset rows sent whole to every task
 
 
 def file_row_index(lines: DataFrame, name: str = "id") -> DataFrame:
@@ -126,13 +125,14 @@ def file_row_index(lines: DataFrame, name: str = "id") -> DataFrame:
     split's offset (lines in all earlier splits, by path then start) plus
     its place inside the split. Only one row per split is aggregated and
     ordered; that table is joined back by broadcast when its counted size is
-    under ``BROADCAST_SPLITS``, else by a shuffle join. Nothing is sorted.
+    under ``session.BROADCAST_ROWS``, else by a sort-merge join. Nothing is
+    sorted.
     The positioned lines are written once to the shared folder so both uses
     see the same ids.
     """
     from pyspark.sql import Window
 
-    from quarry.session import written_table
+    from quarry.session import bounded_side, written_table
 
     keyed = written_table(
         lines.select("*", F.col("_metadata.file_path").alias("__file"),
@@ -144,8 +144,7 @@ def file_row_index(lines: DataFrame, name: str = "id") -> DataFrame:
     w = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("__file", "__start", "__m0",
                             F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    if splits.count() <= BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
+    offsets = bounded_side(offsets, splits.count())
     return (keyed.join(offsets, ["__file", "__start"])
             .withColumn(name, (F.col("__off") + F.col("__mono") - F.col("__m0")).cast("long"))
             .drop("__file", "__start", "__mono", "__m0", "__off"))
