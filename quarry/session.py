@@ -51,7 +51,7 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only if none is named.
+    """The shared checkpoint folder; set a local one only in local mode.
 
     ``SparkContext.setCheckpointDir`` is called only when no checkpoint
     folder is active yet (it adds a fresh sub-folder on every call).
@@ -59,7 +59,12 @@ def scratch_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    d = _checkpoint_dir(spark) or tempfile.mkdtemp(prefix="quarry-ckpt-")
+    d = _checkpoint_dir(spark)
+    if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors; "
+                               "a machine-local temporary folder does not work on a cluster")
+        d = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return (spark.sparkContext.getCheckpointDir() or d).rstrip("/")
 
