@@ -8,7 +8,6 @@ pick a folder of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,11 +73,6 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def ensure_parent(path: str) -> None:
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-
-
 def written_table(df, tag: str):
     """Write ``df`` once as parquet below the shared folder and read it back.
 
