@@ -59,3 +59,23 @@ def test_union_keeps_duplicates_and_filters(spark):
     assert rel.filter_range(r, "k", 3, 6).count() == 3
     assert rel.filter_in(r, "k", [1, 2, 42]).count() == 2
     assert rel.filter_in(r, "k", a).count() == 2
+
+
+def test_bounded_side_broadcasts_only_under_the_bound(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    from quarry.session import bounded_side
+
+    big = spark.range(10000).withColumnRenamed("id", "k")
+    small = spark.range(100).withColumnRenamed("id", "k")
+
+    def plan(df):
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+
+    assert "BroadcastHashJoin" in plan(big.join(bounded_side(small, 100, bound=1000), "k"))
+    merged = plan(big.join(bounded_side(small, 100, bound=10), "k"))
+    assert "SortMergeJoin" in merged and "BroadcastHashJoin" not in merged
