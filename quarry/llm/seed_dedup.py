@@ -36,7 +36,7 @@ from quarry.llm import rolling as r
 from quarry.llm.common import Scratch, attach, id_or_last, id_or_null, n_buckets, row_tag
 
 WINDOW, GRAM = 13, 3
-FLUSH = 3_000_000  # windows that a map task packs at a time
+FLUSH = 1_000_000  # windows that a map task packs at a time
 
 _PACK = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("tags", pa.binary()), ("runs", pa.binary()),
                    ("p0", pa.binary()), ("cnt", pa.binary()), ("seed", pa.binary()), ("wh", pa.binary())])
@@ -218,7 +218,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Marked windows: ``(_id, _tag, spans)`` with spans packed as uint32 pairs (first window, count)."""
     spark = docs.sparkSession
     src = docs.select(id_or_last(id_col).alias("_id"), row_tag(F.col(text_col)).alias("_tag"), F.col(text_col).alias("_text"))
-    packed = src.mapInArrow(_map(n, k, n_buckets(spark)), _PACK_DDL)
+    packed = src.mapInArrow(_map(n, k, n_buckets(spark, 2)), _PACK_DDL)
     return packed.groupBy("bucket").applyInArrow(_reduce, _MARK_DDL)
 
 
