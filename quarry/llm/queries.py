@@ -9,7 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.jaccard import jaccard_join
 from quarry.llm.seed_dedup import seed_dedup
+from quarry.llm.suffix_dedup import suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,11 +24,20 @@ def _digest(column: str) -> Column:
     return F.sha2(column, 256)
 
 
+def op5_suffix_dedup(spark, sf):
+    return suffix_dedup(_documents(spark, sf)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", _digest("kept").alias("kept_sha256"))
+
+
 def op8_seed_dedup(spark, sf):
     return seed_dedup(_documents(spark, sf)).select(
         "doc_id", "n_words", "n_removed", _digest("kept_text").alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op8_seed_dedup,)}
+def op9_jaccard_join(spark, sf):
+    return jaccard_join(_documents(spark, sf))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_suffix_dedup, op8_seed_dedup, op9_jaccard_join)}
 
 ORACLES: dict[str, str] = {}
