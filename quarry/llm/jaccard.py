@@ -396,3 +396,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return info.join(named, ["n", "s1", "s2"], "left").select(
         id_or_null("_id").alias(id_col), F.col("n").alias("n_shingles"),
         id_or_null(F.when(alone, F.col("_id")).otherwise(F.col("component"))).alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = 80) -> DataFrame:
+    """The rows, with all their columns, whose id is their component's; rows without an id stay."""
+    joined = jaccard_join(docs, id_col, text_col, n, percent)
+    gone = Scratch(docs.sparkSession).write(
+        joined.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).cast("long").alias("_gone")).distinct(), "jaccard-gone")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    d = docs.toDF(*names).withColumn("_gone", F.col(names[docs.columns.index(id_col)]).cast("long"))
+    return attach(d, gone, ["_gone"], F.lit(8), "left_anti").select(*names).toDF(*docs.columns)

@@ -106,6 +106,13 @@ def slices(off: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
         i = min(j, n)
 
 
+def pieces(batch: pa.RecordBatch, at: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``limit`` bytes in column ``at`` each, or one row: bounds what a task holds as objects."""
+    _, off = bytes_of(batch.column(at))
+    for i, j in slices(off, limit):
+        yield batch.slice(i, j - i)
+
+
 def word_bounds(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word; words end at the end of their row."""
     n = len(data)
