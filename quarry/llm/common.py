@@ -21,7 +21,7 @@ NO_ID = 2**63 - 1
 
 #: largest measured side that is sent whole to every task, in bytes and rows
 BROADCAST_BYTES = 24 << 20
-BROADCAST_BYTES_ROWS = 400_000
+BROADCAST_ROWS = 400_000
 
 
 class Scratch:
@@ -66,16 +66,19 @@ def row_tag(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def attach(left: DataFrame, right: DataFrame, on: list[str], size: Column, how: str = "left") -> DataFrame:
-    """Join a side table with one row per key to a large table.
+def attach(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join a side table with one small row per key to a table with texts.
 
-    ``right`` must be a written table; its rows and bytes (``size`` per row)
-    are counted. Under the bound it is broadcast, so the large table is not
-    shuffled; above it both sides are shuffled and the smaller one is hashed.
-    """
-    n, b = right.agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
-    small = n <= BROADCAST_BYTES_ROWS and b + 32 * n <= BROADCAST_BYTES
-    return left.join(F.broadcast(right) if small else right.hint("shuffle_hash"), on, how)
+    Both sides are shuffled by the key and the side table is hashed, so no
+    text is sorted; the plan is the same at every size."""
+    return left.join(right.hint("shuffle_hash"), on, how)
+
+
+def sent_whole(df: DataFrame, size: Column) -> DataFrame:
+    """A written side table for a join on few, uneven keys: broadcast if its
+    counted rows and bytes (``size`` per row) are under the bound, else as it is."""
+    n, b = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and b + 32 * n <= BROADCAST_BYTES else df
 
 
 def n_buckets(spark: SparkSession, factor: float = 1) -> int:

@@ -9,12 +9,11 @@ text: 64-bit key, SHA-256, smallest id, rows. A directory over the key's leading
 bits points to buckets: one that holds more than ``capacity`` entries splits by
 its next bit, and the directory doubles where a bucket uses all its bits. Each
 bucket is a key range with one owner task, which writes its entries in key
-order. Texts with one key form a chain, and wherever a key has more than one
-row, the entries come from comparing whole texts, byte by byte.
+order. Texts with one key form a chain, whose entries come from comparing whole
+texts, byte by byte.
 
 Scale. Copies are aggregated before they are shuffled, so a group that holds a
-third of all rows is one entry. Only texts whose key repeats are read for
-comparing. The directory has at most ``2 ** MAX_BITS`` slots at any input.
+third of all rows is one entry per task. The directory has at most ``2 ** MAX_BITS`` slots at any input.
 
 Edge cases. A null id follows all others; when rows repeat with one id and one
 text, exactly one of them stays. Empty tables give empty results; other columns
@@ -69,13 +68,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = normalised(F.col(text_col))
     source = docs.select(id_or_last(id_col).alias("_id"), text.alias("norm")).withColumn("key", F.xxhash64("norm"))
     rows = scratch.write(source.select("_id", "key", F.sha2("norm", 256).alias("sha")), "exact-rows")
-    keys = scratch.write(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("keep"), F.first("sha").alias("sha")), "exact-keys")
-    again = scratch.write(keys.where("n > 1").select("key"), "exact-again")
-    # chains: all rows under a repeated key, grouped by their bytes
-    chains = (attach(source, again, ["key"], F.lit(8), "left_semi").groupBy("key", "norm")
-              .agg(F.min("_id").alias("keep"), F.count(F.lit(1)).alias("n"))
-              .select("key", F.sha2("norm", 256).alias("sha"), "keep", "n"))
-    entries = scratch.write(keys.where("n = 1").select("key", "sha", "keep", "n").unionByName(chains), "exact-entries")
+    # chains: whole texts under their key, compared by their bytes; copies meet in each task before the shuffle
+    entries = scratch.write(
+        source.groupBy("key", "norm").agg(F.min("_id").alias("keep"), F.count(F.lit(1)).alias("n"))
+        .select("key", F.sha2("norm", 256).alias("sha"), "keep", "n"), "exact-entries")
     counts = {x["slot"]: x["count"] for x in entries.groupBy(_slot("key", max_bits).alias("slot")).count().collect()}  # 2**max_bits rows at most
     found = directory(counts, capacity, max_bits)
     buckets = spark.createDataFrame(found, "bucket int, depth int, entries long")
@@ -84,7 +80,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     index = scratch.write(
         entries.withColumn("slot", _slot("key", max_bits)).join(F.broadcast(slots), "slot").drop("slot")
         .repartition(min(len(found), n_buckets(spark)), "bucket").sortWithinPartitions("bucket", "key", "sha"), "exact-index")
-    scratch.drop(keys, again, entries)
+    scratch.drop(entries)
     return rows, index, buckets
 
 
@@ -101,19 +97,20 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows, with all their columns, that stay: one of each group of equal texts."""
     scratch = Scratch(docs.sparkSession)
     rows, index, _ = build_index(docs, id_col, text_col, capacity)
-    groups = scratch.write(index.where("n > 1").select("key", "sha", "keep"), "exact-groups")
+    copies = scratch.write(rows.join(index.where("n > 1").select("key", "sha", "keep"), ["key", "sha"]), "exact-copies")
+    gone = copies.where("_id != keep").select("_id", "key", "sha").distinct()
     # rows that repeat with the id that stays; there are hardly ever any
-    ties = scratch.write(rows.join(groups, ["key", "sha"]).where("_id = keep").groupBy("key", "sha").agg(F.count(F.lit(1)).alias("n"))
+    ties = scratch.write(copies.where("_id = keep").groupBy("key", "sha").agg(F.count(F.lit(1)).alias("n"))
                          .where("n > 1").select("key", "sha"), "exact-ties")
     names = [f"c{i}" for i in range(len(docs.columns))]  # free of clashes
     d = docs.toDF(*names)
     norm = normalised(F.col(names[docs.columns.index(text_col)]))
     d = d.select(*names, id_or_last(names[docs.columns.index(id_col)]).alias("_id"), norm.alias("_norm"))
     d = d.select(*names, "_id", F.xxhash64("_norm").alias("key"), F.sha2("_norm", 256).alias("sha"))
-    d = attach(d, groups, ["key", "sha"], F.lit(96)).where("keep IS NULL OR _id = keep")
+    d = attach(d, gone, ["_id", "key", "sha"], "left_anti")
     if ties.limit(1).count():
-        tied = attach(d, ties, ["key", "sha"], F.lit(96), "left_semi")
-        d = attach(d, ties, ["key", "sha"], F.lit(96), "left_anti").unionByName(tied.dropDuplicates(["key", "sha"]))
+        tied = attach(d, ties, ["key", "sha"], "left_semi")
+        d = attach(d, ties, ["key", "sha"], "left_anti").unionByName(tied.dropDuplicates(["key", "sha"]))
     return d.select(*names).toDF(*docs.columns)
 
 

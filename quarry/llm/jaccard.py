@@ -361,7 +361,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
         classes.where((F.col("n") >= MIN_LINKED) & (F.col("rep") != NO_ID))
         .join(others, F.col("rep") == F.col("_id"), "left")
         .where(5 * (F.col("m") - F.coalesce("c", F.lit(0))) <= F.col("n")).select(F.col("rep").alias("_id")).distinct(), "jaccard-left")
-    packed = attach(src, left, ["_id"], F.lit(8), "left_semi").select("_id", "_text").mapInArrow(_map_all(n, b), _PACK_DDL)
+    packed = attach(src, left, ["_id"], "left_semi").select("_id", "_text").mapInArrow(_map_all(n, b), _PACK_DDL)
     shared = packed.groupBy("bucket").applyInArrow(_reduce_all, "_id long, n long, toks binary, dfs binary")
     sets = scratch.write(
         shared.groupBy("_id").agg(F.sum("n").alias("n"), F.collect_list("toks").alias("toks"), F.collect_list("dfs").alias("dfs"))
@@ -405,4 +405,4 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         joined.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).cast("long").alias("_gone")).distinct(), "jaccard-gone")
     names = [f"c{i}" for i in range(len(docs.columns))]
     d = docs.toDF(*names).withColumn("_gone", F.col(names[docs.columns.index(id_col)]).cast("long"))
-    return attach(d, gone, ["_gone"], F.lit(8), "left_anti").select(*names).toDF(*docs.columns)
+    return attach(d, gone, ["_gone"], "left_anti").select(*names).toDF(*docs.columns)

@@ -15,8 +15,7 @@ a run names is the smallest.
 Scale. Keys are aggregated map-side before the shuffle; a line in a third of
 all documents is one row per task. Only keys that lose lines are joined back to
 the lines; they come from a written table, so adaptive execution can split a
-frequent one. Texts are shuffled only when the lost lines' positions outgrow a
-broadcast.
+frequent one. Texts are shuffled once, to meet the positions of their lost lines.
 
 Edge cases. A null or empty text is one empty line. Rows without an id count as
 one document that follows all others; rows with the same id are one document.
@@ -153,7 +152,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .groupBy("_id", "_tag").agg(F.collect_set("pos").alias("drops")), "line-drops")
     src = docs.select(id_or_last(id_col).alias("_id"), row_tag(F.col(text_col)).alias("_tag"),
                       F.coalesce(text_col, F.lit("")).alias("_text"))
-    d = attach(src, drops, ["_id", "_tag"], F.size("drops") * 8 + 16)
+    d = attach(src, drops, ["_id", "_tag"])
     d = d.select("_id", "_text", "drops", F.split("_text", "\n").alias("lines"))
     # array_except hashes: its cost is linear in the lines, whatever is dropped
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))

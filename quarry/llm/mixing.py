@@ -27,7 +27,7 @@ from math import lcm
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WORD, Scratch, id_or_last, id_or_null
+from quarry.llm.common import WORD, Scratch, id_or_last, id_or_null, sent_whole
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -134,7 +134,7 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = docs.toDF(*names).select(*names, _source_key(of[source_col]).alias("src"), F.struct(
         _sample_key(of[id_col], of[text_col], seed).alias("key"), id_or_last(of[id_col]).alias("_id"),
         word_count(of[text_col]).alias("size")).alias("place"))
-    d = attach(d, plan, ["src"], F.length("src") + 48, "inner")
+    d = d.join(sent_whole(plan, F.length("src") + 48), "src")
     taken = F.when(F.col("place.size") > 0, F.col("epochs") + F.coalesce((F.col("place") <= F.col("last")).cast("int"), F.lit(0))).otherwise(F.lit(0))
     return (d.select(*names, F.explode(F.array_repeat(F.lit(1), taken.cast("int"))).alias("_copy")).drop("_copy")).toDF(*docs.columns)
 

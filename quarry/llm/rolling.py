@@ -20,18 +20,28 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 PIECE = 1 << 20  # bytes or words hashed at a time
 
-_pow = np.ones(1, dtype=np.uint64)
-_inv = np.ones(1, dtype=np.uint64)
+_tables: list[np.ndarray] = []
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i for i <= n, kept per worker."""
-    global _pow, _inv
-    if len(_pow) <= n:
-        m = max(n + 1, PIECE + 1)
-        _pow = np.cumprod(np.concatenate([[U64(1)], np.full(m - 1, BASE, dtype=np.uint64)]))
-        _inv = np.cumprod(np.concatenate([[U64(1)], np.full(m - 1, INVERSE, dtype=np.uint64)]))
-    return _pow, _inv
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """BASE**i and BASE**-i for i < PIECE, made once per worker; larger powers are products."""
+    if not _tables:
+        for base in (BASE, INVERSE):
+            t = np.full(PIECE, base, dtype=np.uint64)
+            t[0] = 1
+            np.cumprod(t, out=t)
+            _tables.append(t)
+    return _tables[0], _tables[1]
+
+
+def inverse(at: np.ndarray) -> np.ndarray:
+    """BASE**-at for an array of positions."""
+    inv = _powers()[1]
+    if not len(at) or int(at.max()) < PIECE:
+        return inv[at]
+    step = pow(INVERSE, PIECE, 1 << 64)
+    high = np.array([pow(step, k, 1 << 64) for k in range((int(at.max()) >> 20) + 1)], dtype=np.uint64)
+    return inv[at & (PIECE - 1)] * high[at >> 20]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -50,25 +60,38 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def prefix(values: np.ndarray) -> np.ndarray:
-    p, _ = powers(len(values))
+def prefix(values: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Prefix hashes, one more than values; with ``table``, values are indices into it."""
+    p = _powers()[0]
     out = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * p[: len(values)], out=out[1:])
+    for k, at in enumerate(range(0, len(values), PIECE)):
+        part = values[at: at + PIECE]
+        x = (part if table is None else table[part]) * p[: len(part)]
+        if k:
+            x *= U64(pow(BASE, at, 1 << 64))
+        np.cumsum(x, out=x)
+        x += out[at]
+        out[at + 1: at + 1 + len(part)] = x
     return out
 
 
 def span(h: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Hash of each span [lo, hi), the same wherever it stands."""
-    _, inv = powers(len(h))
-    return (h[hi] - h[lo]) * inv[lo]
+    return (h[hi] - h[lo]) * inverse(lo)
 
 
 def ngrams(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of every n consecutive values."""
     if len(h) <= n:
         return np.zeros(0, dtype=np.uint64)
-    _, inv = powers(len(h))
-    return (h[n:] - h[:-n]) * inv[: len(h) - n]
+    out = h[n:] - h[:-n]
+    inv = _powers()[1]
+    for k, at in enumerate(range(0, len(out), PIECE)):
+        part = out[at: at + PIECE]
+        part *= inv[: len(part)]
+        if k:
+            part *= U64(pow(INVERSE, at, 1 << 64))
+    return out
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -139,7 +162,7 @@ def word_hashes(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
             continue
         j = max(i + 1, int(np.searchsorted(hi, lo[i] + PIECE, side="right")))
         at = lo[i]
-        h = prefix(BYTE_VALUES[data[at: hi[j - 1]]])
+        h = prefix(data[at: hi[j - 1]], BYTE_VALUES)
         out[i:j] = mix(span(h, lo[i:j] - at, hi[i:j] - at) + (hi[i:j] - lo[i:j]).astype(np.uint64))
         i = j
     return out

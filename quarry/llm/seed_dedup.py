@@ -36,13 +36,16 @@ from quarry.llm import rolling as r
 from quarry.llm.common import Scratch, attach, id_or_last, id_or_null, n_buckets, row_tag
 
 WINDOW, GRAM = 13, 3
-FLUSH = 1_000_000  # windows that a map task packs at a time
+FLUSH = 600_000  # windows that a map task packs at a time
 
 _PACK = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("tags", pa.binary()), ("runs", pa.binary()),
                    ("p0", pa.binary()), ("cnt", pa.binary()), ("seed", pa.binary()), ("wh", pa.binary())])
 _PACK_DDL = "bucket int, docs binary, tags binary, runs binary, p0 binary, cnt binary, seed binary, wh binary"
+_PART = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("tags", pa.binary()), ("cnt", pa.binary()), ("spans", pa.binary())])
+_PART_DDL = "part int, docs binary, tags binary, cnt binary, spans binary"
 _MARK = pa.schema([("_id", pa.int64()), ("_tag", pa.int64()), ("spans", pa.binary())])
 _MARK_DDL = "_id long, _tag long, spans binary"
+TAG = 0xFFFF  # bits of the row tag that tell apart rows with one id
 
 
 def _windows(ids, tags, col, n, k):
@@ -94,20 +97,27 @@ def _pack(buckets, ids, tags, p, anchor, seed, wh, n_buckets_):
                wh[r.ragged(s, c)].tobytes() if n_buckets_ else b"")
 
 
-def _spans(ids, tags, p):
-    """Marked windows (grouped by row, ascending) as (id, tag, packed [first, count])."""
+def _spans(ids, tags, p, b):
+    """Marked windows (grouped by row, ascending), packed by the part that gathers a document's marks:
+    its rows and their (first window, count) pairs."""
     new_row = np.ones(len(p), dtype=bool)
     new_row[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
     new = new_row.copy()
     new[1:] |= p[1:] != p[:-1] + 1
     start = np.flatnonzero(new)
     pairs = np.stack([p[start], np.diff(np.append(start, len(p)))], axis=1).astype(np.uint32)
-    rows = np.searchsorted(start, np.flatnonzero(new_row))
-    ends = np.append(rows[1:], len(start))
-    first = start[rows]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids[first]), pa.array(tags[first].astype(np.int64)),
-         pa.array([pairs[a:b].tobytes() for a, b in zip(rows, ends, strict=True)], type=pa.binary())], schema=_MARK)
+    first = np.flatnonzero(new_row)
+    at = np.searchsorted(start, first)
+    cnt = np.diff(np.append(at, len(start)))
+    ids, tags = ids[first], tags[first]
+    part = (((r.mix(ids.view(np.uint64)) >> r.U64(32)) * r.U64(b)) >> r.U64(32)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    found, lo = np.unique(part[order], return_index=True)
+    rows = []
+    for k, s, e in zip(found.tolist(), lo, np.append(lo[1:], len(order)), strict=True):
+        o = order[s:e]
+        rows.append((k, ids[o].tobytes(), tags[o].tobytes(), cnt[o].astype(np.uint32).tobytes(), pairs[r.ragged(at[o], cnt[o])].tobytes()))
+    return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), _PART, strict=True)], schema=_PART)
 
 
 def _first_per_key(key, seed, ids):
@@ -145,7 +155,7 @@ def _map(n, k, b):
         parts, held, slice_no = [], 0, 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            tags = (batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64) & r.U64(0xFFFF)).astype(np.uint16)
+            tags = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint16)
             for x in _windows(ids, tags, batch.column(2), n, k):
                 x = list(x)
                 x[3] = x[3] + (slice_no << 40)  # anchors of different slices differ
@@ -161,50 +171,58 @@ def _map(n, k, b):
     return run
 
 
-def _reduce(table: pa.Table) -> pa.Table:
-    """All entries of one hash range: mark the windows that a smaller document has."""
-    bucket = table.column("bucket")[0].as_py()
+def _joined(table, name, dtype):
+    return np.concatenate([np.frombuffer(x.as_buffer(), dtype=dtype) for c in table.column(name).chunks for x in c])
 
-    def joined(name, dtype):
-        return np.concatenate([np.frombuffer(x.as_buffer(), dtype=dtype) for c in table.column(name).chunks for x in c])
 
-    docs, tags, runs = joined("docs", np.int64), joined("tags", np.uint16), joined("runs", np.uint32)
-    p0, cnt = joined("p0", np.uint32).astype(np.int64), joined("cnt", np.uint8)
-    of_run = np.repeat(np.arange(len(docs)), runs)
-    if bucket < 0:
-        row, p = np.repeat(of_run, cnt), r.ragged(p0, cnt)
-    else:
-        seed, wh = np.repeat(joined("seed", np.uint32), cnt), joined("wh", np.uint64)
-        row = np.repeat(of_run, cnt)
-        hit = np.flatnonzero(_first_per_key(wh, seed, docs[row]) != docs[row])
-        row, p = row[hit], r.ragged(p0, cnt)[hit]
-    if not len(row):
-        return _MARK.empty_table()
-    return pa.Table.from_batches([_spans(docs[row], tags[row], p)])
+def _reduce(b):
+    def run(table):
+        """All entries of one hash range: mark the windows that a smaller document has."""
+        docs, tags, runs = _joined(table, "docs", np.int64), _joined(table, "tags", np.uint16), _joined(table, "runs", np.uint32)
+        p0, cnt = _joined(table, "p0", np.uint32).astype(np.int64), _joined(table, "cnt", np.uint8)
+        row = np.repeat(np.repeat(np.arange(len(docs)), runs), cnt)
+        p = r.ragged(p0, cnt)
+        if table.column("bucket")[0].as_py() >= 0:
+            hit = _first_per_key(_joined(table, "wh", np.uint64), np.repeat(_joined(table, "seed", np.uint32), cnt), docs[row]) != docs[row]
+            row, p = row[hit], p[hit]
+        return _spans(docs[row], tags[row], p, b) if len(row) else _PART.empty_table()
+
+    return run
+
+
+def _gather(table):
+    """One row per marked text of a part."""
+    docs, tags, cnt = _joined(table, "docs", np.int64), _joined(table, "tags", np.uint16), _joined(table, "cnt", np.uint32).astype(np.int64)
+    pairs = _joined(table, "spans", np.uint32).reshape(-1, 2)
+    at = np.cumsum(cnt) - cnt
+    order = np.lexsort((tags, docs))
+    d, t = docs[order], tags[order]
+    new = np.ones(len(d), dtype=bool)
+    new[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1])
+    lo = np.flatnonzero(new)
+    spans = [pairs[r.ragged(at[order[s:e]], cnt[order[s:e]])].tobytes() for s, e in zip(lo, np.append(lo[1:], len(d)), strict=True)]
+    return pa.Table.from_arrays([pa.array(d[lo]), pa.array(t[lo].astype(np.int64)), pa.array(spans, pa.binary())], schema=_MARK)
 
 
 def _cut(n):
     out = pa.schema([("_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.large_string())])
 
     def run(batches):
-        for batch in batches:
-            texts, tags = batch.column("_text"), batch.column("_tag")
+        for batch in (p for whole in batches for p in r.pieces(whole, 1)):
+            texts = batch.column("_text")
             cols = [[], [], []]
-            for text, tag, mark_tags, marks in zip(texts, tags, batch.column("tags"), batch.column("marks"), strict=True):
+            for text, spans in zip(texts, batch.column("spans"), strict=True):
                 # bytes.split() splits at exactly the six ASCII white-space bytes
                 words = (text.as_py() or "").encode().split()
                 removed = 0
-                if marks.is_valid:
-                    own = tag.as_py() & 0xFFFF
-                    spans = [np.frombuffer(m, dtype=np.uint32) for m, t in zip(marks.as_py(), mark_tags.as_py(), strict=True) if t == own]
-                    if spans:
-                        x = np.concatenate(spans).reshape(-1, 2).astype(np.int64)
-                        cover = np.zeros(len(words) + 1, dtype=np.int64)
-                        np.add.at(cover, x[:, 0], 1)
-                        np.add.at(cover, x[:, 0] + x[:, 1] - 1 + n, -1)
-                        gone = np.cumsum(cover[:-1]) > 0
-                        removed = int(gone.sum())
-                        total, words = len(words), [words[i] for i in np.flatnonzero(~gone)]
+                if spans.is_valid:
+                    x = np.frombuffer(spans.as_buffer(), dtype=np.uint32).reshape(-1, 2).astype(np.int64)
+                    cover = np.zeros(len(words) + 1, dtype=np.int64)
+                    np.add.at(cover, x[:, 0], 1)
+                    np.add.at(cover, x[:, 0] + x[:, 1] - 1 + n, -1)
+                    gone = np.cumsum(cover[:-1]) > 0
+                    removed = int(gone.sum())
+                    words = [words[i] for i in np.flatnonzero(~gone)]
                 cols[0].append(len(words) + removed)
                 cols[1].append(removed)
                 cols[2].append(b" ".join(words).decode())
@@ -214,24 +232,22 @@ def _cut(n):
     return run
 
 
+def _source(docs, id_col, text_col):
+    tag = row_tag(F.col(text_col)).bitwiseAND(F.lit(TAG))
+    return docs.select(id_or_last(id_col).alias("_id"), tag.alias("_tag"), F.col(text_col).alias("_text"))
+
+
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, k: int = GRAM) -> DataFrame:
-    """Marked windows: ``(_id, _tag, spans)`` with spans packed as uint32 pairs (first window, count)."""
-    spark = docs.sparkSession
-    src = docs.select(id_or_last(id_col).alias("_id"), row_tag(F.col(text_col)).alias("_tag"), F.col(text_col).alias("_text"))
-    packed = src.mapInArrow(_map(n, k, n_buckets(spark, 2)), _PACK_DDL)
-    return packed.groupBy("bucket").applyInArrow(_reduce, _MARK_DDL)
+    """One row per text with marked windows: ``(_id, _tag, spans)``, spans packed as uint32 pairs (first window, count)."""
+    b = n_buckets(docs.sparkSession, 8)
+    packed = _source(docs, id_col, text_col).mapInArrow(_map(n, k, b), _PACK_DDL)
+    return packed.groupBy("bucket").applyInArrow(_reduce(b), _PART_DDL).groupBy("part").applyInArrow(_gather, _MARK_DDL)
 
 
 def seed_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, k: int = GRAM) -> DataFrame:
     """One row per input row: ``(id_col, n_words, n_removed, kept_text)``; kept
     words are joined by one space. See the module's docstring for the rules."""
-    spark = docs.sparkSession
-    marks = Scratch(spark).write(
-        repeated_windows(docs, id_col, text_col, n, k).groupBy("_id").agg(
-            F.collect_list("_tag").alias("tags"), F.collect_list("spans").alias("marks")), "seed-marks")
-    src = docs.select(id_or_last(id_col).alias("_id"), row_tag(F.col(text_col)).alias("_tag"), F.col(text_col).alias("_text"))
-    size = F.aggregate("marks", F.lit(0), lambda a, x: a + F.length(x) + 24)
-    joined = attach(src, marks, ["_id"], size)
-    cut = joined.select("_id", "_tag", "_text", "tags", "marks").mapInArrow(
-        _cut(n), "_id long, n_words long, n_removed long, kept_text string")
+    marks = Scratch(docs.sparkSession).write(repeated_windows(docs, id_col, text_col, n, k), "seed-marks")
+    joined = attach(_source(docs, id_col, text_col), marks, ["_id", "_tag"])
+    cut = joined.select("_id", "_text", "spans").mapInArrow(_cut(n), "_id long, n_words long, n_removed long, kept_text string")
     return cut.select(id_or_null("_id").alias(id_col), "n_words", "n_removed", "kept_text")

@@ -411,8 +411,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     b = n_buckets(spark, 2)
 
     def wanted(hot_part):
-        return attach(src, scratch.write(want.where("hot" if hot_part else "NOT hot").drop("hot"), "suffix-want"), key,
-                      F.size("want") * 40, "inner").select(*key, "_text", "want")
+        return attach(src, scratch.write(want.where("hot" if hot_part else "NOT hot").drop("hot"), "suffix-want"), key, "inner").select(*key, "_text", "want")
 
     marks = whole.unionByName(
         wanted(False).mapInArrow(_map_bodies(length, b), _TEXT_DDL).groupBy("bucket").applyInArrow(
@@ -435,6 +434,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     removed run in turn, ``kept`` the remaining bytes."""
     runs = repeated_bytes(docs, id_col, text_col, length, gram, hot)
     src = docs.select(id_or_last(id_col).alias("_id"), row_tag(F.col(text_col)).alias("_tag"), F.col(text_col).alias("_text"))
-    cut = attach(src, runs, ["_id", "_tag"], F.length("runs") + 16).select("_id", "_text", "runs").mapInArrow(
+    cut = attach(src, runs, ["_id", "_tag"]).select("_id", "_text", "runs").mapInArrow(
         _cut, "_id long, n_bytes long, n_removed long, n_spans long, runs array<long>, kept binary")
     return cut.select(id_or_null("_id").alias(id_col), "n_bytes", "n_removed", "n_spans", "runs", "kept")
