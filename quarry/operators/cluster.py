@@ -1,4 +1,4 @@
-"""K-means over binary incidence with chosen start centroids.
+"""K-means over binary incidence with chosen start centroids, to a stable state.
 
 Centroids are held as integer counts: ``cnt(cluster, feature)`` = members of
 the cluster having the feature, ``sz`` = members, ``s2`` = sum of ``cnt^2``.
@@ -7,23 +7,25 @@ The mean vector is ``cnt / sz``, so the squared distance of entity ``x``
 
     nx - 2 * s1 / sz + s2 / sz^2,   s1 = sum of cnt over the features of x
 
-with exact integer sums and the same few double operations on any engine.
-Real-valued vectors (a ``value`` column) use the same formula with
-``cnt`` = sum of member values, ``nx`` = squared norm and ``s1`` = the dot
-product of the entity with ``cnt``.
-
-Per pass, the incidence rows (written once, balanced) meet the centroid
-counts (clusters x features) and the assignment (one row per entity).
-Per-entity distances to the ``k`` clusters come from one aggregation keyed
-by entity holding ``k`` conditional sums (``k <= WIDE_K``), or, for more
-clusters, from long-form ``(entity, cluster)`` rows plus the best untouched
-cluster; no entity x cluster grid and no cross product is ever built. Per pass, two scalars per cluster (size and sum
-of squares) travel to the driver, so the driver gets at most 2k values.
+with exact integer sums. Real-valued vectors (a ``value`` column) use the same
+formula with ``cnt`` = sum of member values, ``nx`` = squared norm and ``s1`` =
+the dot product of the entity with ``cnt``. Distances are rounded to
+``DIGITS`` decimals before they are compared, so that two clusters at the same
+distance tie whatever the order of the additions, and a tie goes to the
+smaller id.
+
+Per pass, the incidence rows (written once, balanced) meet one row per feature
+that holds the counts of up to ``GROUP`` clusters, a 1:1 join, and an
+aggregation keyed by entity sums them. More clusters are handled ``GROUP`` at a
+time with the same formula, and the nearest of the groups' best wins; no entity
+x cluster grid and no cross product is built. Two scalars per cluster (size and
+sum of squares) travel to the driver per pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,72 +78,45 @@ def initial_state(inc: DataFrame, start: DataFrame, value: str | None = None):
     return cnt, {r["cluster"]: (1, r["s2"]) for r in rows}
 
 
-WIDE_K = 32  # up to this many clusters, one aggregate holds a sum per cluster
+GROUP = 32   # clusters whose sums one aggregate holds
+DIGITS = 9   # decimals that distances are compared at
 
 
-def _dist(nx, s1, sz, s2):
-    return (nx.cast("double") - F.lit(2.0) * s1.cast("double") / sz.cast("double")
-            + s2.cast("double") / (sz.cast("double") * sz.cast("double")))
+def wide_counts(cnt: DataFrame, clusters: Sequence[int]) -> DataFrame:
+    """One row per feature with a column ``c_<id>`` for each of the clusters."""
+    return (cnt.where(F.col("cluster").isin(list(clusters))).groupBy("feature")
+            .agg(*[F.sum(F.when(F.col("cluster") == c, F.col("cnt"))).alias(f"c_{c}") for c in clusters]))
 
 
-def _assign_long(inc: DataFrame, nx: DataFrame, cnt: DataFrame, meta: dict[int, tuple[int, int]],
-                 value: str | None) -> DataFrame:
-    """Argmin for many clusters, in long form.
-
-    Overlapping clusters: one row per (entity, cluster) with ``s1``, scored
-    with the cluster's ``sz, s2`` from a k-row table joined on ``cluster``.
-    Clusters an entity does not touch score ``nx + s2/sz^2``; in the global
-    order of that constant (then id), the best of them is the first one the
-    entity does not touch: the smallest rank missing from its overlap ranks.
-    """
-    spark = inc.sparkSession
-    order = sorted(meta, key=lambda c: (float(meta[c][1]) / (float(meta[c][0]) * float(meta[c][0])), c))
-    ranks = {c: i for i, c in enumerate(order)}
-    mt = spark.createDataFrame([(c, meta[c][0], meta[c][1], ranks[c]) for c in meta],
-                               f"cluster INT, sz LONG, s2 {'DOUBLE' if value else 'LONG'}, rk INT")
-    contrib = F.col("cnt") * _v(value) if value else F.col("cnt")
-    dots = inc.join(cnt, "feature").groupBy("entity", "cluster").agg(F.sum(contrib).alias("s1"))
-    scored = (dots.join(F.broadcast(mt), "cluster").join(nx, "entity")
-              .select("entity", "rk", F.struct(_dist(F.col("nx"), F.col("s1"), F.col("sz"), F.col("s2")).alias("dist"),
-                                               F.col("cluster").alias("cluster")).alias("cand")))
-    per = scored.groupBy("entity").agg(F.min("cand").alias("over"),
-                                       F.array_sort(F.collect_list("rk")).alias("rks"))
-    # smallest rank not among the (sorted, distinct) overlap ranks: the first i with rks[i] != i
-    mex = F.aggregate("rks", F.lit(0), lambda acc, r: F.when(r == acc, acc + 1).otherwise(acc))
-    # per-rank constants as arrays: O(1) lookups by the rank found
-    by_rank = F.array(*[F.lit(c) for c in order])
-    sz_by_rank = F.array(*[F.lit(meta[c][0]) for c in order])
-    s2_by_rank = F.array(*[F.lit(meta[c][1]) for c in order])
-    j = nx.join(per, "entity", "left").withColumn("__mex", F.coalesce(mex, F.lit(0)) + 1)
-    free = F.when(F.col("__mex") <= F.lit(len(order)), F.struct(
-        _dist(F.col("nx"), F.lit(0), F.element_at(sz_by_rank, F.col("__mex")),
-              F.element_at(s2_by_rank, F.col("__mex"))).alias("dist"),
-        F.element_at(by_rank, F.col("__mex")).alias("cluster")))
-    best = F.least(F.col("over"), free)
-    return j.select("entity", best.getField("cluster").alias("cluster"), best.getField("dist").alias("dist"))
+def _best_of(inc, nx, cnt, meta, clusters, value, side):
+    """``(entity, best)``: the nearest of some clusters as ``struct(dist, cluster)``."""
+    dots = (inc.join(side(wide_counts(cnt, clusters)), "feature").groupBy("entity")
+            .agg(*[F.sum(F.col(f"c_{c}") * _v(value) if value else F.col(f"c_{c}")).alias(f"s1_{c}") for c in clusters]))
+    cands = []
+    for c in clusters:
+        sz, s2 = (float(x) for x in meta[c])
+        s1 = F.coalesce(F.col(f"s1_{c}"), F.lit(0)).cast("double")
+        d = F.col("nx").cast("double") - F.lit(2.0) * s1 / F.lit(sz) + F.lit(s2) / (F.lit(sz) * F.lit(sz))
+        cands.append(F.struct(F.round(d, DIGITS).alias("dist"), F.lit(c).alias("cluster")))
+    best = F.least(*cands) if len(cands) > 1 else cands[0]
+    return nx.join(dots, "entity", "left").select("entity", best.alias("best"))
 
 
 def assign(inc: DataFrame, nx: DataFrame, cnt: DataFrame, meta: dict[int, tuple[int, int]],
-           k: int, value: str | None = None) -> DataFrame:
-    """``(entity, cluster, dist)``: the nearest cluster, ties to the smaller id."""
-    if k > WIDE_K:
-        return _assign_long(inc, nx, cnt, meta, value)
-    contrib = F.col("cnt") * _v(value) if value else F.col("cnt")
-    dots = (inc.join(cnt, "feature")
-            .groupBy("entity")
-            .agg(*[F.sum(F.when(F.col("cluster") == c, contrib)).alias(f"s1_{c}")
-                   for c in range(k)]))
-    j = nx.join(dots, "entity", "left")
-    cands = []
-    for c in range(k):
-        sz, s2 = meta[c]
-        s1 = F.coalesce(F.col(f"s1_{c}"), F.lit(0)).cast("double")
-        d = (F.col("nx").cast("double") - F.lit(2.0) * s1 / F.lit(float(sz))
-             + F.lit(float(s2)) / (F.lit(float(sz)) * F.lit(float(sz))))
-        cands.append(F.struct(d.alias("dist"), F.lit(c).alias("cluster")))
-    best = F.least(*cands) if k > 1 else cands[0]
-    return j.select("entity", best.getField("cluster").alias("cluster"),
-                    best.getField("dist").alias("dist"))
+           k: int | None = None, value: str | None = None, broadcast_counts: bool = False) -> DataFrame:
+    """``(entity, cluster, dist)``: the nearest cluster, ties to the smaller id.
+
+    ``broadcast_counts``: the caller has counted the features and knows that a
+    row per feature and group of clusters is small."""
+    ids = sorted(meta) if k is None else sorted(meta)[:k]
+    side = F.broadcast if broadcast_counts else (lambda df: df)
+    best = None
+    for at in range(0, len(ids), GROUP):
+        part = _best_of(inc, nx, cnt, meta, ids[at:at + GROUP], value, side)
+        best = part if best is None else best.unionByName(part)
+    if len(ids) > GROUP:
+        best = best.groupBy("entity").agg(F.min("best").alias("best"))
+    return best.select("entity", F.col("best.cluster").alias("cluster"), F.col("best.dist").alias("dist"))
 
 
 def cluster_sizes(assignment: DataFrame) -> dict[int, int]:
@@ -206,63 +181,71 @@ def first_iter(inc: DataFrame, start: DataFrame, value: str | None = None,
                                                                                    F.col("entity").alias("member"))
 
 
+class NotStable(RuntimeError):
+    """K-means was stopped while entities still moved."""
+
+
+class KMeansResult(NamedTuple):
+    assignment: DataFrame   # (entity, cluster, dist)
+    passes: int             # assignments after the first
+    moved: int              # entities that the last pass moved; 0 when stable
 
 
-def kmeans(inc: DataFrame, start: DataFrame, max_iter: int = 20,
+def kmeans(inc: DataFrame, start: DataFrame, max_iter: int | None = None,
            num_partitions: int | None = None, value: str | None = None,
            broadcast_rows: int = BROADCAST_ROWS,
-           entities: DataFrame | None = None) -> tuple[DataFrame, int]:
-    """Iterate assign/update until no entity changes cluster (or ``max_iter``).
+           entities: DataFrame | None = None, written: bool = False) -> KMeansResult:
+    """Assign and update until no entity changes cluster.
 
-    Returns the final ``(entity, cluster, dist)`` and the passes run.
+    Without ``max_iter`` the result is stable. With it, at most so many passes
+    run and ``moved`` says whether the last one still moved entities. Should
+    the assignments ever return to an earlier one without being stable (equal
+    distances beyond the compared digits), ``NotStable`` is raised.
     ``entities`` lists entities to cluster even when they have no feature.
 
-    The incidence is written once in balanced partitions and is never
-    shuffled while its small partner fits a checked bound. The centroid
-    counts have at most ``k x features`` rows, and the assignment one row per
-    entity. Both sizes are counted once. Under ``broadcast_rows`` they are
-    broadcast, so a hot feature or a hot entity costs nothing extra. Above it
-    they are shuffle-joined, and AQE splits skewed partitions. Per-entity sums
-    are partial aggregates. Each pass's assignment and counts are
-    checkpointed to the shared folder, so the plan stays one pass long and a
-    lost executor recomputes at most one pass.
+    The incidence is written once in balanced partitions (``written``: the
+    caller has done that) and is never shuffled while its small partner fits a
+    checked bound: one row per feature, or one per entity. Both are counted
+    once; up to ``broadcast_rows`` they are broadcast, so a hot feature or a
+    hot entity costs nothing extra, above it they are shuffle-joined. Each
+    pass's assignment and counts are checkpointed to the shared folder, so the
+    plan stays one pass long and a lost executor recomputes at most one pass.
     """
-    spark = inc.sparkSession
-    scratch_dir(spark)
+    scratch_dir(inc.sparkSession)
     start = start.checkpoint()
-    k = start.count()
     base = inc.select("entity", "feature", *([value] if value else []))
     if num_partitions:
         base = base.repartition(num_partitions)
-    inc_b = base.checkpoint()
+    inc_b = base if written and not num_partitions else base.checkpoint()
     nx = _all_norms(inc_b, value, entities).checkpoint()
     n_entities = nx.count()
     n_features = inc_b.select("feature").distinct().count()
-    small_cnt = k * n_features <= broadcast_rows
+    small_cnt = n_features * min(GROUP, start.count()) <= broadcast_rows
     small_a = n_entities <= broadcast_rows
 
-    def bc(df, ok):
-        return F.broadcast(df) if ok else df
-
     cnt, meta = initial_state(inc_b, start, value)
-    a = assign(inc_b, nx, bc(cnt, small_cnt), meta, k, value).checkpoint()
+    a = assign(inc_b, nx, cnt, meta, None, value, small_cnt).checkpoint()
     sz = cluster_sizes(a)
-    passes = 0
-    for passes in range(1, max_iter + 1):
-        cnt, meta = update(inc_b, bc(a, small_a), cnt, meta, checkpoint=True, sz=sz, value=value)
-        nxt = (assign(inc_b, nx, bc(cnt, small_cnt), meta, k, value)
+    passes, moved, seen = 0, n_entities, set()
+    while moved and (max_iter is None or passes < max_iter):
+        passes += 1
+        cnt, meta = update(inc_b, F.broadcast(a) if small_a else a, cnt, meta, checkpoint=True, sz=sz, value=value)
+        nxt = (assign(inc_b, nx, cnt, meta, None, value, small_cnt)
                .join(a.select("entity", F.col("cluster").alias("__old")), "entity")
                .withColumn("__changed", (F.col("cluster") != F.col("__old")).cast("int"))
                .drop("__old").checkpoint())
-        # one k-row aggregate gives the next sizes and the number of moves
-        stats = (nxt.groupBy("cluster").agg(F.count(F.lit(1)).alias("sz"),
-                                            F.sum("__changed").alias("moved")).collect())
+        # one k-row aggregate gives the next sizes, the number of moves and a mark of the state
+        stats = (nxt.groupBy("cluster").agg(F.count(F.lit(1)).alias("sz"), F.sum("__changed").alias("moved"),
+                                            F.sum(F.xxhash64("entity", "cluster").cast("decimal(38,0)")).alias("mark"))
+                 .collect())
         sz = {r["cluster"]: r["sz"] for r in stats}
-        changed = sum(r["moved"] for r in stats)
+        moved = sum(r["moved"] for r in stats)
         a = nxt.drop("__changed")
-        if changed == 0:
-            break
-    return a, passes
+        mark = sum(r["mark"] for r in stats)
+        if moved and mark in seen:
+            raise NotStable(f"{moved} entities still move after {passes} passes, and the state has come up before")
+        seen.add(mark)
+    return KMeansResult(a, passes, moved)
 
 
 def classes(assignment: DataFrame) -> DataFrame:

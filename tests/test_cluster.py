@@ -63,7 +63,8 @@ def test_from_baskets_tests_items_only(spark):
 def test_kmeans_matches_brute_force(spark):
     inc = _inc(spark, {k: v for k, v in VECS.items() if v})
     start = cl.init_centroids(inc, 2, chosen=["a", "d"])
-    a, passes = cl.kmeans(inc, start, max_iter=10)
+    a, passes, moved = cl.kmeans(inc, start)
+    assert moved == 0
     got = {r.entity: r.cluster for r in a.collect()}
     want = _brute_kmeans({k: v for k, v in VECS.items() if v}, ["a", "d"])
     assert got == want and passes >= 1
@@ -74,7 +75,7 @@ def test_kmeans_keeps_emptied_cluster(spark):
     inc = _inc(spark, vecs)
     # "a" and "b" are equal; both start centroids are equal vectors, ties go to cluster 0
     start = cl.init_centroids(inc, 3, chosen=["a", "b", "c"])
-    a, _ = cl.kmeans(inc, start, max_iter=5)
+    a, *_ = cl.kmeans(inc, start)
     got = {r.entity: r.cluster for r in a.collect()}
     assert got == {"a": 0, "b": 0, "c": 2}
 
@@ -95,7 +96,7 @@ def test_valued_kmeans_matches_numpy(spark):
     rows = [(n, j, float(v)) for n, p in zip(names, pts) for j, v in enumerate(p)]
     inc = spark.createDataFrame(rows, "entity STRING, feature INT, value DOUBLE")
     start = ["p00", "p01", "p08"]
-    a, _ = cl.kmeans(inc, cl.init_centroids(inc, 3, chosen=start), max_iter=10, value="value")
+    a, *_ = cl.kmeans(inc, cl.init_centroids(inc, 3, chosen=start), value="value")
     got = {r.entity: r.cluster for r in a.collect()}
     x = dict(zip(names, pts))
     cents = [x[s] for s in sorted(start)]
@@ -113,30 +114,23 @@ def test_valued_kmeans_matches_numpy(spark):
 def test_kmeans_shuffle_path_equals_broadcast_path(spark):
     inc = _inc(spark, {k: v for k, v in VECS.items() if v})
     start = cl.init_centroids(inc, 2, chosen=["a", "d"])
-    a1, _ = cl.kmeans(inc, start, max_iter=10)
-    a2, _ = cl.kmeans(inc, start, max_iter=10, broadcast_rows=0)
+    a1, *_ = cl.kmeans(inc, start)
+    a2, *_ = cl.kmeans(inc, start, broadcast_rows=0)
     assert {r.entity: r.cluster for r in a1.collect()} == {r.entity: r.cluster for r in a2.collect()}
 
 
-def test_as_map_gives_zero_one_vector(spark):
-    inc = _inc(spark).where("entity = 'c'")
-    feats = spark.createDataFrame([(f,) for f in [1, 2, 3, 7]], "feature LONG")
-    got = {r.feature: r.value for r in ic.as_map(inc, feats).collect()}
-    assert got == {1: 0, 2: 1, 3: 1, 7: 0}
-
-
 def test_kmeans_stops_at_max_iter(spark):
     inc = _inc(spark, {k: v for k, v in VECS.items() if v})
     start = cl.init_centroids(inc, 3, chosen=["a", "b", "c"])
-    _, passes = cl.kmeans(inc, start, max_iter=1)
-    assert passes == 1
+    _, passes, moved = cl.kmeans(inc, start, max_iter=1)
+    assert passes == 1 and moved >= 0
 
 
 def test_featureless_entity_is_placed(spark):
     inc = _inc(spark)  # "h" has no feature rows
     ents = spark.createDataFrame([(e,) for e in VECS], "entity STRING")
     start = cl.init_centroids(inc, 2, chosen=["a", "d"])
-    a, _ = cl.kmeans(inc, start, max_iter=10, entities=ents)
+    a, *_ = cl.kmeans(inc, start, entities=ents)
     got = {r.entity: r.cluster for r in a.collect()}
     want = _brute_kmeans(VECS, ["a", "d"])
     assert got == want and "h" in got
@@ -145,7 +139,7 @@ def test_featureless_entity_is_placed(spark):
 
 
 @pytest.mark.parametrize("value", [None, "value"])
-def test_long_form_assign_equals_wide(spark, monkeypatch, value):
+def test_grouped_clusters_equal_one_aggregate(spark, monkeypatch, value):
     rng = np.random.default_rng(11)
     if value:
         rows = [(f"e{i}", j, float(v)) for i in range(30) for j, v in enumerate(rng.normal(size=4))]
@@ -155,8 +149,31 @@ def test_long_form_assign_equals_wide(spark, monkeypatch, value):
         inc = spark.createDataFrame(rows, "entity STRING, feature LONG")
     ents = spark.createDataFrame([(f"e{i}",) for i in range(30)], "entity STRING")
     start = cl.init_centroids(ents, 6, seed=5)
-    wide, _ = cl.kmeans(inc, start, max_iter=6, value=value, entities=ents)
+    wide, *_ = cl.kmeans(inc, start, value=value, entities=ents)
     want = {r.entity: r.cluster for r in wide.collect()}
-    monkeypatch.setattr(cl, "WIDE_K", 1)
-    long_, _ = cl.kmeans(inc, start, max_iter=6, value=value, entities=ents)
+    monkeypatch.setattr(cl, "GROUP", 2)
+    long_, *_ = cl.kmeans(inc, start, value=value, entities=ents)
     assert {r.entity: r.cluster for r in long_.collect()} == want
+
+
+def test_equal_distance_goes_to_smaller_cluster(spark):
+    """Five features, two clusters exactly 4 away: the sums give 4.0 and 3.9999999999999996."""
+    nx = spark.createDataFrame([("x", 5)], "entity STRING, nx LONG")
+    inc = spark.createDataFrame([("x", f) for f in range(5)], "entity STRING, feature INT")
+    cnt = spark.createDataFrame([(0, f, c) for f, c in enumerate((2, 2, 2, 1, 1))] + [(1, f, c) for f, c in enumerate((2, 2, 1, 1, 1))],
+                                "cluster INT, feature INT, cnt LONG")
+    row = cl.assign(inc, nx, cnt, {0: (12, 48), 1: (3, 33)}).first()
+    assert (row.cluster, row.dist) == (0, 4.0)
+
+
+def test_result_has_no_move_left(spark):
+    rng = np.random.default_rng(3)
+    vecs = {f"e{i:02d}": set(rng.choice(15, size=rng.integers(1, 7), replace=False).tolist()) for i in range(60)}
+    a, passes, moved = cl.kmeans(_inc(spark, vecs), cl.init_centroids(_inc(spark, vecs), 4, seed=2))
+    got = {r.entity: r.cluster for r in a.collect()}
+    x = _dense(vecs)
+    cents = {c: np.mean([x[e] for e in got if got[e] == c], axis=0) for c in set(got.values())}
+    for e, c in got.items():
+        best = min((round(float(((x[e] - m) ** 2).sum()), 9), k) for k, m in cents.items())
+        assert best[1] == c
+    assert moved == 0 and passes > 1
