@@ -6,8 +6,9 @@ from quarry.functions.columns import (
     present,
     py_float_str,
     py_list_str,
-    py_str,
+    py_str_repr,
+    py_value,
     rounded,
 )
 
-__all__ = ["key_bucket", "md5_order_key", "present", "py_float_str", "py_list_str", "py_str", "rounded"]
+__all__ = ["key_bucket", "md5_order_key", "present", "py_float_str", "py_list_str", "py_str_repr", "py_value", "rounded"]

@@ -2,38 +2,22 @@
 
 ``to_csv_lines`` reproduces the text the original helper printed: values
 joined by commas, never quoted (a comma inside a value stays as it is),
-``str()`` of each value, lists as ``['a', 'b']``, nulls as ``None``, doubles
-with Python's shortest round-trip digits and layout (``functions.py_float_str``).
+``str()`` of each value, lists as Python prints them (``['a', 1.5, None]``),
+nulls as ``None``, doubles with the shortest round-trip digits
+(``functions.py_value``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, MapType
 
-from quarry.functions import py_float_str, py_list_str
-
-
-def _render(df: DataFrame, name: str):
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, ArrayType):
-        r = py_list_str(c.cast("array<string>"))
-    elif isinstance(dt, (DoubleType, FloatType)):
-        r = py_float_str(c)
-    elif isinstance(dt, BooleanType):
-        r = F.when(c, F.lit("True")).otherwise(F.lit("False"))
-    elif isinstance(dt, MapType):
-        r = c.cast("string")
-    else:
-        r = c.cast("string")
-    return F.coalesce(r, F.lit("None"))
+from quarry.functions import py_value
 
 
 def to_csv_lines(df: DataFrame, name: str = "line") -> DataFrame:
     """One unquoted comma-joined text line per row, column ``line``."""
-    return df.select(F.concat_ws(",", *[_render(df, c) for c in df.columns]).alias(name))
+    return df.select(F.concat_ws(",", *[py_value(f"`{f.name}`", f.dataType) for f in df.schema.fields]).alias(name))
 
 
 def write_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -53,14 +37,10 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
      .option("nullValue", null_value).csv(path))
 
 
-def to_map(df: DataFrame, key: str, value: str, max_entries: int = 100_000) -> DataFrame:
-    """A one-row ``map<key, value>`` of a table, for small, bounded tables only.
+def to_map(df: DataFrame, key: str, value: str) -> DataFrame:
+    """The key to value map of a table in long form: one row ``(key, value)`` per key.
 
-    The size is counted first; above ``max_entries`` this refuses instead of
-    building one huge row. Duplicate keys keep the largest value.
-    """
-    n = df.select(key).distinct().count()
-    if n > max_entries:
-        raise ValueError(f"to_map: {n} keys exceed the bound {max_entries}; keep the long form")
-    pairs = df.groupBy(key).agg(F.max(value).alias(value))
-    return pairs.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value)))).alias("map"))
+    Duplicate keys keep the largest value, null keys are left out. A map in
+    one row would gather the whole table in one task, so look-ups are joins on
+    ``key``, at any size."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias(value))

@@ -26,19 +26,21 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None, he
 
     ``multiline`` lets a quoted field span lines (then a file is one split).
     With DROPMALFORMED, Spark's CSV column pruning parses only the selected
-    columns, so a record malformed in a pruned column would still be counted
+    columns, so a record with a wrong number of fields would still be counted
     (a bare row count parses none). ``exact_drops`` (default: on under
-    DROPMALFORMED) turns CSV column pruning off for the session, so every
-    count and every projection sees the same surviving records.
+    DROPMALFORMED) turns CSV column pruning off for this read, so every count
+    and projection drops such records; the session's settings are left alone.
+    A value that doesn't fit its column's type drops the record wherever that
+    column is read.
     With the default ``null_value`` an empty field reads as null (as the
     original DataFrame code saw it); a file written with another null marker
     keeps ``''`` and null apart.
     """
     if exact_drops is None:
         exact_drops = mode.upper() == "DROPMALFORMED"
-    if exact_drops:
-        spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     reader = spark.read.schema(schema) if schema is not None else spark.read
+    if exact_drops:
+        reader = reader.option("columnPruning", False)
     return (reader
             .option("header", header).option("mode", mode)
             .option("multiLine", multiline).option("escape", '"')

@@ -14,3 +14,12 @@ def test_py_float_str_matches_python(spark):
     for i, v in enumerate(vals):
         assert got[i] == str(v), (v, got[i])
     assert spark.createDataFrame([(None,)], "x DOUBLE").select(py_float_str("x").alias("s")).first().s is None
+
+
+def test_py_float_str_is_shortest_and_reads_back(spark):
+    rng = random.Random(8)
+    vals = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300) for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x DOUBLE")
+    rows = df.select("x", py_float_str("x").alias("s")).collect()
+    assert all(float(r.s) == r.x and len(r.s) == len(str(r.x)) for r in rows)
+    assert sum(r.s != str(r.x) for r in rows) <= 20

@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 
@@ -70,12 +71,35 @@ def test_to_csv_lines_format(spark):
     assert sk.to_csv_lines(empty).first().line == "[]"
 
 
-def test_to_map_refuses_unbounded(spark):
-    df = spark.range(20).selectExpr("id AS k", "id * 2 AS v")
-    m = sk.to_map(df, "k", "v", max_entries=100).first()["map"]
-    assert m[3] == 6 and len(m) == 20
-    with pytest.raises(ValueError):
-        sk.to_map(df, "k", "v", max_entries=5)
+def test_to_map_is_long(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2), (None, 9)], "k STRING, v INT")
+    assert {r.k: r.v for r in sk.to_map(df, "k", "v").collect()} == {"a": 3, "b": 2}
+
+
+def test_csv_lines_equal_python_str(spark):
+    """Lists of ints, floats, strings with quotes and nulls, nested lists."""
+    rng = random.Random(4)
+    texts = ["x", "it's", 'say "hi"', "both ' and \"", "back\\slash", "tab\tnew\nline", "é 漢", "", "bell\x07", None]
+    rows = []
+    for _ in range(300):
+        pick = lambda f: [f() if rng.random() > 0.15 else None for _ in range(rng.randrange(4))]
+        rows.append((rng.randrange(-99, 99), pick(lambda: rng.randrange(10**12)), pick(lambda: rng.choice(texts)),
+                     pick(lambda: float(f"{rng.uniform(-1, 1) * 10.0 ** rng.randrange(-20, 20):.14e}")), pick(lambda: rng.random() < 0.5),
+                     [pick(lambda: rng.randrange(5))], rng.choice(texts), float(rng.randrange(100)) / 8))
+    df = spark.createDataFrame(rows, "a LONG, i ARRAY<LONG>, t ARRAY<STRING>, d ARRAY<DOUBLE>, b ARRAY<BOOLEAN>, n ARRAY<ARRAY<LONG>>, s STRING, f DOUBLE")
+    got = sorted(r.line for r in sk.to_csv_lines(df).collect())
+    assert got == sorted(",".join(map(str, r)) for r in rows)
+
+
+def test_scan_csv_leaves_the_session_alone(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bad.csv")
+    _write(path, "a,b\n1,2\n3\n4,5,6\n7,8\n9,x\n")
+    key = "spark.sql.csv.parser.columnPruning.enabled"
+    before = spark.conf.get(key)
+    df = src.scan_csv(spark, path, "a INT, b INT")
+    assert sorted(r.a for r in df.collect()) == [1, 7]
+    assert df.count() == 3 and sorted(r.a for r in df.select("a").collect()) == [1, 7, 9]  # b isn't read
+    assert spark.conf.get(key) == before
 
 
 def test_file_row_index_follows_path_order(spark, tmp_dir):
