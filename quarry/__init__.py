@@ -10,7 +10,6 @@ sinks      line renderers and writers
 functions  column-expression helpers (presence, keyed split, list rendering)
 operators  relational core, recommenders, market baskets, clustering, min-hash/LSH
 plans      bindings of the operators to the shared test tables, plus DuckDB oracles
-streaming  the relational core over a file stream
 api        file-level functions with the original exercises' names and arguments
 """
 

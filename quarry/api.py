@@ -35,39 +35,42 @@ PARK = "Nom_parc"
 
 
 # ----------------------------------------------------------------- trees
-def _trees(spark: SparkSession, filename: str) -> DataFrame:
-    """All columns as strings, names from the header; records, not lines."""
-    return src.scan_csv(spark, filename, None, header=True, multiline=True)
+def _trees(spark: SparkSession, filename: str, multiline: bool = True) -> DataFrame:
+    """All columns as strings, names from the header; records, not lines.
 
+    ``multiline`` lets a quoted field span lines, but then one task reads a
+    whole file. Set it to False for large files without such fields."""
+    return src.scan_csv(spark, filename, None, header=True, multiline=multiline)
 
-def count(spark: SparkSession, filename: str) -> DataFrame:
+
+def count(spark: SparkSession, filename: str, multiline: bool = True) -> DataFrame:
     """``(n_rows)``: number of trees (data records)."""
-    return rel.count_rows(_trees(spark, filename))
+    return rel.count_rows(_trees(spark, filename, multiline))
 
 
-def parks(spark: SparkSession, filename: str) -> DataFrame:
+def parks(spark: SparkSession, filename: str, multiline: bool = True) -> DataFrame:
     """``(n_present)``: trees located in a park."""
-    return rel.count_present(_trees(spark, filename), PARK)
+    return rel.count_present(_trees(spark, filename, multiline), PARK)
 
 
-def uniq_parks(spark: SparkSession, filename: str) -> DataFrame:
+def uniq_parks(spark: SparkSession, filename: str, multiline: bool = True) -> DataFrame:
     """``(Nom_parc)``: the parks, sorted."""
-    return rel.distinct_sorted(_trees(spark, filename), PARK)
+    return rel.distinct_sorted(_trees(spark, filename, multiline), PARK)
 
 
-def uniq_parks_counts(spark: SparkSession, filename: str) -> DataFrame:
+def uniq_parks_counts(spark: SparkSession, filename: str, multiline: bool = True) -> DataFrame:
     """``(line)``: ``park,count`` per park, sorted by park."""
-    return to_csv_lines(rel.group_count(_trees(spark, filename), PARK))
+    return to_csv_lines(rel.group_count(_trees(spark, filename, multiline), PARK))
 
 
-def frequent_parks_count(spark: SparkSession, filename: str, k: int = 10) -> DataFrame:
+def frequent_parks_count(spark: SparkSession, filename: str, k: int = 10, multiline: bool = True) -> DataFrame:
     """``(line)``: the ``k`` parks with most trees, ties by name."""
-    return to_csv_lines(rel.top_k_groups(_trees(spark, filename), PARK, k))
+    return to_csv_lines(rel.top_k_groups(_trees(spark, filename, multiline), PARK, k))
 
 
-def intersection(spark: SparkSession, filename1: str, filename2: str) -> DataFrame:
+def intersection(spark: SparkSession, filename1: str, filename2: str, multiline: bool = True) -> DataFrame:
     """``(Nom_parc)``: parks present in both files, sorted."""
-    return rel.intersect_sorted(_trees(spark, filename1), _trees(spark, filename2), PARK)
+    return rel.intersect_sorted(_trees(spark, filename1, multiline), _trees(spark, filename2, multiline), PARK)
 
 
 # ----------------------------------------------------------------- ratings
@@ -157,8 +160,8 @@ def association_rules(spark: SparkSession, filename: str, n: int, s: float, c: f
 
 def interests(spark: SparkSession, filename: str, n: int, s: float, c: float) -> DataFrame:
     """First ``n`` rules by antecedent size desc, interest desc."""
-    model, baskets = _model(spark, filename, s, c)
-    return bk.rule_interest(model, baskets.count(), n)
+    model, _ = _model(spark, filename, s, c)
+    return bk.rule_interest(model, n)
 
 
 def data_preparation(spark: SparkSession, filename: str, plant: str, state: str) -> DataFrame:
@@ -204,12 +207,12 @@ def first_iter(spark: SparkSession, filename: str, k: int, seed: int,
 
 
 def kmeans(spark: SparkSession, filename: str, k: int, seed: int,
-           chosen: Sequence[str] | None = None, max_iter: int = 20,
+           chosen: Sequence[str] | None = None,
            candidates: Sequence[str] | None = None) -> DataFrame:
     """``(leader, member)``: the classes, each named by its smallest member."""
     inc = _incidence(spark, filename).checkpoint()
-    a, _ = cl.kmeans(inc, cl.init_centroids(inc, k, seed, _chosen(k, seed, chosen, candidates)), max_iter)
-    return cl.classes(a)
+    start = cl.init_centroids(inc, k, seed, _chosen(k, seed, chosen, candidates))
+    return cl.classes(cl.kmeans(inc, start, written=True).assignment)
 
 
 # ----------------------------------------------------------------- min-hash / LSH
@@ -231,15 +234,17 @@ def hash_list(spark: SparkSession, s: int, m: int, n: int, i: int, x: int) -> Da
 
 
 def _signatures(spark: SparkSession, datafile: str, seed: int, n: int, states: Sequence[str] | None = None):
-    """Wide signatures; feature index = rank of the plant (then line) among all lines."""
+    """Wide signatures; feature index = rank of the plant (then line) among all lines.
+
+    A plant's index belongs to its line: lines that repeat a name are features
+    of their own, so states meet the index by line."""
     plants = _plants(spark, datafile).checkpoint()
-    idx, m = row_index(plants.select(F.col("plant").alias("feature"), "id"), ["feature", "id"],
-                           with_total=True)
+    idx, m = row_index(plants.select("plant", "id"), ["plant", "id"], with_total=True)
     family = lsh.hash_family(spark, seed, n, m)
-    inc = ic.from_baskets(plants, "plant", "items")
+    inc = ic.from_baskets(plants, "id", "items")
     if states is not None:
         inc = inc.where(F.col("entity").isin(list(states)))
-    inc_i = inc.join(bounded_side(idx.select("feature", "idx").distinct(), m), "feature")
+    inc_i = inc.join(bounded_side(idx.select(F.col("id").alias("feature"), "idx"), m), "feature")
     return lsh.signatures_wide(inc_i, family, x_max=max(m - 1, 0))
 
 
@@ -265,6 +270,10 @@ def get_b_and_r(spark: SparkSession, n: int, s: float) -> DataFrame:
     return lsh.band_plan(spark.createDataFrame([(n, s)], "n LONG, s DOUBLE"))
 
 
-__all__ = [name for name in dir() if not name.startswith("_") and name not in (
-    "annotations", "Sequence", "DataFrame", "SparkSession", "F", "bk", "cl", "ic", "lsh",
-    "rec", "rel", "src", "to_csv_lines", "row_index", "PARK")]
+__all__ = [
+    "count", "parks", "uniq_parks", "uniq_parks_counts", "frequent_parks_count", "intersection",
+    "basic_als_recommender", "global_average", "global_average_recommender", "means_and_interaction", "als_with_bias_recommender", "data_frame",
+    "frequent_itemsets", "association_rules", "interests", "data_preparation", "distance2", "init_centroids",
+    "first_iter", "kmeans", "primes", "hash_plants", "hash_list", "signatures",
+    "hash_band", "hash_bands", "get_b_and_r",
+]

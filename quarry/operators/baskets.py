@@ -59,20 +59,22 @@ def association_rules(model, n: int | None = None) -> DataFrame:
     return r.limit(n) if n else r
 
 
-def rule_interest(model, n_baskets: int, n: int | None = None) -> DataFrame:
+def rule_interest(model, n: int | None = None) -> DataFrame:
     """Rules with ``interest = |confidence - freq(consequent) / baskets|``.
 
-    The consequent's frequency comes from joining the size-one itemsets
-    (at most one row per item) on the consequent array.
+    The share of baskets with the consequent is ``confidence / lift``, so the
+    baskets need not be counted again. The consequent's frequency comes from
+    joining the size-one itemsets (at most one row per item) on the consequent
+    array.
     """
     rules = model.associationRules.select(F.array_sort("antecedent").alias("antecedent"),
                                           F.array_sort("consequent").alias("consequent"),
-                                          "confidence")
+                                          "confidence", "lift")
     singles = (model.freqItemsets.where(F.size("items") == 1)
                .select(F.col("items"), F.col("freq")))
     j = rules.join(singles, rules.consequent == singles["items"])
-    j = j.withColumn("interest", F.abs(F.col("confidence") - F.col("freq") / F.lit(n_baskets)))
-    j = j.orderBy(F.desc(F.size("antecedent")), F.desc("interest"),
+    j = j.withColumn("interest", F.abs(F.col("confidence") - F.col("confidence") / F.col("lift")))
+    j = j.orderBy(F.desc(F.size("antecedent")), F.desc(F.round("interest", 12)),
                   _key("antecedent"), _key("consequent"))
     out = j.select("antecedent", "consequent", "confidence", "items", "freq", "interest")
     return out.limit(n) if n else out

@@ -35,13 +35,6 @@ def lookup(inc: DataFrame, asked: DataFrame) -> DataFrame:
             .select("entity", "feature", F.coalesce("__hit", F.lit(False)).alias("present")))
 
 
-def as_map(inc: DataFrame, features: DataFrame) -> DataFrame:
-    """One entity's 0/1 vector over a feature list, in long form ``(feature, value)``."""
-    hit = inc.select("feature", F.lit(1).alias("__v"))
-    return (features.select("feature").join(hit, "feature", "left")
-            .select("feature", F.coalesce("__v", F.lit(0)).alias("value")))
-
-
 def sq_distance(inc: DataFrame, pairs: DataFrame) -> DataFrame:
     """Squared Euclidean distance of asked entity pairs: ``|A| + |B| - 2|A n B|``.
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.indexing import row_index
-from quarry.session import bounded_side, scratch_dir
+from quarry.session import bounded_side, scratch_dir, written_table
 
 LONG_SAFE = (1 << 63) - 1
 
@@ -80,16 +80,62 @@ def primes_between(spark: SparkSession, lo: int, hi: int) -> DataFrame:
     return cand.join(comp, cand.p == comp.v, "left_anti")
 
 
+# fixed values: bases that make Miller-Rabin exact below 3,215,031,751 and below 3.3e24
+BASES_32 = (2, 3, 5, 7)
+BASES_64 = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37)
+ROOT_63 = 3_037_000_499  # squares of smaller numbers fit a long
+
+
+def _strong_probable(v: Column, bases: Sequence[int], kind: str, bits: int) -> Column:
+    """Whether odd ``v`` passes Miller-Rabin for every base, in arithmetic of type ``kind``."""
+    even = v - 1
+    twos = F.bit_count(even.bitwiseAND(-even) - 1)            # v - 1 = odd part * 2^twos
+    odd = F.call_function("shiftright", even, twos.cast("int"))
+    m = v.cast(kind)
+    top = (m - 1).cast(kind)
+
+    def times(x, y):
+        return ((x * y) % m).cast(kind)
+
+    def passes(a: int) -> Column:
+        def step(acc, i):
+            sq = times(acc, acc)
+            bit = F.call_function("shiftright", odd, i).bitwiseAND(F.lit(1).cast("long"))
+            return F.when(bit == 1, times(sq, F.lit(a).cast(kind))).otherwise(sq)
+
+        power = F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0)), F.lit(1).cast(kind), step)
+        first = F.struct(power.alias("x"), F.lit(False).alias("ok"))
+
+        def square(acc, r):
+            return F.struct(times(acc["x"], acc["x"]).alias("x"),
+                            (acc["ok"] | ((r <= twos) & (acc["x"] == top)) | ((r == 1) & (acc["x"] == 1))).alias("ok"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(bits)), first, square)["ok"]
+
+    out = passes(bases[0])
+    for a in bases[1:]:
+        out = out & passes(a)
+    return out
+
+
+def is_prime(v: Column) -> Column:
+    """Whether a long is prime: exact Miller-Rabin, the same bounded work for every value."""
+    small = v.isin(*BASES_64)
+    factor = F.lit(False)
+    for q in BASES_64:
+        factor = factor | (v % q == 0)
+    return (F.when(v < 2, F.lit(False)).when(small, F.lit(True)).when(factor, F.lit(False))
+            .when(v < 37 * 37, F.lit(True))
+            .when(v < min(ROOT_63, 3_215_031_751), _strong_probable(v, BASES_32, "long", 32))
+            .otherwise(_strong_probable(v, BASES_64, "decimal(38,0)", 63)))
+
+
 def primes_in(df: DataFrame, col: str) -> DataFrame:
-    """Rows of ``df`` whose integer ``col`` is prime (segmented over its range)."""
-    spark = df.sparkSession
-    r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if r is None or r["hi"] is None or r["hi"] < 2:
-        return df.limit(0)
-    lo, hi = max(int(r["lo"]), 2), int(r["hi"])
-    comp = _composites(spark, lo, hi)
-    keep = df.where(F.col(col) >= 2)
-    return keep.join(comp, keep[col] == comp.v, "left_anti")
+    """Rows of ``df`` whose integer ``col`` is prime.
+
+    A filter: the work follows the rows, not the range that their keys span,
+    and nothing is shuffled."""
+    return df.where(is_prime(F.col(col).cast("long")))
 
 
 def next_primes(spark: SparkSession, n: int, c: int) -> DataFrame:
@@ -128,10 +174,6 @@ def hash_family(spark: SparkSession, seed: int, n: int, m: int) -> list[tuple[in
     return [(i, a, b, p) for i, ((a, b), p) in enumerate(zip(ab, ps))]
 
 
-def family_frame(spark: SparkSession, family: Sequence[tuple[int, int, int, int]]) -> DataFrame:
-    return spark.createDataFrame(list(family), "i INT, a LONG, b LONG, p LONG")
-
-
 SPLIT = 1 << 20
 SPLIT_LIMIT = 1 << 40
 
@@ -205,8 +247,9 @@ def lsh_buckets(bands: DataFrame, min_size: int = 2, entity: str = "entity") ->
     """
     scratch_dir(bands.sparkSession)
     bands = bands.checkpoint()
-    sizes = (bands.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"))
-             .where(F.col("size") >= min_size))
+    # written before it is joined: above an aggregate on the join key a hot bucket isn't split
+    sizes = written_table(bands.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"))
+                          .where(F.col("size") >= min_size), "bucket-sizes")
     return bands.join(sizes, ["band", "bucket"]).select(
         "band", "bucket", F.col(entity).alias("member"), "size")
 
@@ -251,9 +294,11 @@ def band_plan(requests: DataFrame, n: str = "n", s: str = "s") -> DataFrame:
     ``b`` is the largest integer in ``[1, n]`` with ``b * ln b <= -n * ln s``,
     i.e. ``floor(exp(W(-n ln s)))`` without a Lambert-W; then ``r = n div b``,
     ``n_real = r * b`` and ``s_real = (1/b)^(1/r)``. A per-row fold over
-    ``1..n``; no join, no shuffle.
+    ``1..n``; no join, no shuffle. Rows without a threshold in (0, 1] or
+    without a hash function have no plan and give nulls.
     """
-    nn, ss = F.col(n).cast("long"), F.col(s).cast("double")
+    valid = (F.col(n) >= 1) & (F.col(s) > 0) & (F.col(s) <= 1)
+    nn, ss = F.when(valid, F.col(n).cast("long")), F.when(valid, F.col(s).cast("double"))
     limit = -nn.cast("double") * F.log(ss)
     bcol = F.aggregate(F.sequence(F.lit(1).cast("long"), nn), F.lit(0).cast("long"),
                        lambda acc, x: F.when(x.cast("double") * F.log(x.cast("double")) <= limit, x)

@@ -48,11 +48,12 @@ def filter_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
 def filter_in(df: DataFrame, col: str, values: DataFrame | Sequence) -> DataFrame:
     """Membership in a list or in the first column of another table.
 
-    A table argument becomes a left-semi join, so it may be of any size;
-    Spark broadcasts it only when its measured size is under the threshold.
+    A table argument becomes a left-semi join, so it may be of any size and
+    may repeat values; Spark broadcasts it only when its measured size is under
+    the threshold, and otherwise splits a hot value of ``col``.
     """
     if isinstance(values, DataFrame):
-        other = values.select(F.col(values.columns[0]).alias("__v")).distinct()
+        other = values.select(F.col(values.columns[0]).alias("__v"))
         return df.join(other, F.col(col) == F.col("__v"), "left_semi")
     return df.where(F.col(col).isin(list(values)))
 

@@ -34,9 +34,6 @@ N_BANDS, N_ROWS = 5, 7                 # LSH: five bands of seven rows
 BAND_N, BAND_B, BAND_R = 12, 2, 2      # one band hash: n=12, band 2, two rows
 K = 3                                  # k of the first k-means pass
 
-# our own choices for the shared test tables
-KMEANS_PASSES = 10
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -220,7 +217,9 @@ def q_als_bias_rmse(spark, sf):
 def q_predict_ratings(spark, sf):
     train, test = _pair_split(spark, sf)
     model = rec.als_fit(train, b.SEED)
-    return rec.predict_ratings(model, test).select("userId", "movieId", "rating", "prediction")
+    # which test rows get a prediction; the predicted values are scored by als_rmse
+    return rec.predict_ratings(model, test).select("userId", "movieId", rounded("rating").alias("rating"),
+                                                   F.col("prediction").isNotNull().alias("predicted"))
 
 
 # --------------------------------------------------------------------------
@@ -230,7 +229,6 @@ def q_predict_ratings(spark, sf):
 
 BRAND_SUPPORT = 0.02
 TYPE_SUPPORT, TYPE_CONFIDENCE = 0.05, 0.3
-TOP_N = 50
 
 
 def _baskets(spark, sf, item_col):
@@ -245,7 +243,7 @@ def q_baskets(spark, sf):
 @query
 def q_frequent_itemsets(spark, sf):
     model = bk.fit(_baskets(spark, sf, "p_brand"), BRAND_SUPPORT, 0.5)
-    fi = bk.frequent_itemsets(model, TOP_N)
+    fi = bk.frequent_itemsets(model)
     return fi.select(py_list_str("items").alias("items"), "freq")
 
 
@@ -259,7 +257,7 @@ def q_frequent_itemsets_types(spark, sf):
 @query
 def q_association_rules(spark, sf):
     model = bk.fit(_baskets(spark, sf, "p_type"), TYPE_SUPPORT, TYPE_CONFIDENCE)
-    r = bk.association_rules(model, TOP_N)
+    r = bk.association_rules(model)
     return r.select(py_list_str("antecedent").alias("antecedent"),
                     py_list_str("consequent").alias("consequent"),
                     rounded("confidence").alias("confidence"))
@@ -267,10 +265,8 @@ def q_association_rules(spark, sf):
 
 @query
 def q_rule_interest(spark, sf):
-    bs = _baskets(spark, sf, "p_type")
-    model = bk.fit(bs, TYPE_SUPPORT, TYPE_CONFIDENCE)
-    n = bs.count()
-    r = bk.rule_interest(model, n, TOP_N)
+    model = bk.fit(_baskets(spark, sf, "p_type"), TYPE_SUPPORT, TYPE_CONFIDENCE)
+    r = bk.rule_interest(model)
     return r.select(py_list_str("antecedent").alias("antecedent"),
                     py_list_str("consequent").alias("consequent"),
                     rounded("confidence").alias("confidence"),
@@ -331,15 +327,13 @@ def q_kmeans_update(spark, sf):
 @query
 def q_kmeans(spark, sf):
     inc = _written_incidence(spark, sf)
-    a, _ = cl.kmeans(inc, cl.init_centroids(inc, K, b.SEED), KMEANS_PASSES)
-    return cl.classes(a)
+    return cl.classes(cl.kmeans(inc, cl.init_centroids(inc, K, b.SEED), written=True).assignment)
 
 
 @query
 def q_kmeans_customers(spark, sf):
     inc = _written_incidence(spark, sf, b.customer_brands)
-    a, _ = cl.kmeans(inc, cl.init_centroids(inc, K_CUST, b.SEED), KMEANS_PASSES)
-    return cl.classes(a)
+    return cl.classes(cl.kmeans(inc, cl.init_centroids(inc, K_CUST, b.SEED), written=True).assignment)
 
 
 # --------------------------------------------------------------------------
@@ -371,14 +365,14 @@ def q_hash_column(spark, sf):
     (fam, m) = _part_family(spark, sf, 1)
     _, a, bb, p = fam[0]
     part = Tables(spark, sf).part.select("p_partkey")
-    return lsh.hash_column(part, "p_partkey", a, bb, p, "h")
+    return lsh.hash_column(part, "p_partkey", a, bb, p, "h", x_max=part.agg(F.max("p_partkey")).first()[0])
 
 
 @query
 def q_hash_family_apply(spark, sf):
     fam, _ = _part_family(spark, sf, N_FAMILY)
     part = Tables(spark, sf).part.select("p_partkey")
-    return lsh.hash_family_apply(part, "p_partkey", fam)
+    return lsh.hash_family_apply(part, "p_partkey", fam, x_max=part.agg(F.max("p_partkey")).first()[0])
 
 
 def _nation_sig(spark, sf, n):
@@ -424,6 +418,8 @@ def q_doc_lsh_buckets(spark, sf):
     from quarry.operators import text
 
     docs = Tables(spark, sf).documents.select(F.col("doc_id").alias("entity"), "text")
+    # the test table is one row group, which one task reads: deal it out before the words are split
+    docs = docs.repartition(spark.sparkContext.defaultParallelism) if len(docs.inputFiles()) == 1 else docs
     inc = text.shingle_occurrences(docs, DOC_SHINGLE)
     _, _, buckets = lsh.minhash_lsh(inc, ["feature"], b.SEED, DOC_BANDS, DOC_ROWS)
     return buckets
@@ -512,8 +508,7 @@ def q_to_lines(spark, sf):
 @query
 def q_to_map(spark, sf):
     p = Tables(spark, sf).part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"))
-    m = sk.to_map(p, "p_brand", "parts", max_entries=10_000)
-    return m.select(F.explode("map").alias("p_brand", "parts"))
+    return sk.to_map(p, "p_brand", "parts")
 
 
 # k-means second use: real-valued embedding vectors in long form (entity, dimension, value)
@@ -537,8 +532,7 @@ def q_kmeans_embeddings_first_iter(spark, sf):
 @query
 def q_kmeans_embeddings(spark, sf):
     inc = _embedding_values(spark, sf)
-    a, _ = cl.kmeans(inc, cl.init_centroids(inc, K_EMB, b.SEED), KMEANS_PASSES, value="value")
-    return cl.classes(a)
+    return cl.classes(cl.kmeans(inc, cl.init_centroids(inc, K_EMB, b.SEED), value="value", written=True).assignment)
 
 
 @query

@@ -85,55 +85,23 @@ def written_table(df, tag: str):
     return spark.read.parquet(path)
 
 
-def _row_groups(uri: str) -> int | None:
-    """Row groups of one parquet file from its footer, or None if unreadable."""
-    from urllib.parse import urlparse
+BROADCAST_ROWS = 2_000_000     # largest counted table sent whole to every task,
+BROADCAST_BYTES = 128 << 20    # and its strings and numbers in bytes
 
-    u = urlparse(uri)
-    if u.scheme not in ("", "file"):
-        return None
-    try:
-        import pyarrow.parquet as pq
 
-        return pq.ParquetFile(u.path).metadata.num_row_groups
-    except Exception:  # noqa: BLE001 - not parquet or unreadable: unknown
-        return None
-
-
-def spread(df):
-    """Round-robin ``df`` over the cluster's cores when its scan cannot be parallel.
-
-    A parquet file is split by row groups, so an input with fewer row groups
-    than cores is read by that few tasks. Before expensive per-row work
-    (text splitting, shingling) such an input is spread once. Inputs with at
-    least as many files as cores, or whose footers cannot be read here, are
-    left alone (no shuffle), which is the normal case at scale.
-    """
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    try:
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 - not file based
-        return df
-    if not files or len(files) >= par:
-        return df
-    groups = 0
-    for f in files:
-        g = _row_groups(f)
-        if g is None:
-            return df
-        groups += g
-    return df.repartition(par) if groups < par else df
-
-
-BROADCAST_ROWS = 2_000_000  # largest counted table sent whole to every task
-
-
-def bounded_side(df, rows: int, bound: int = BROADCAST_ROWS):
-    """Join side with a counted size: broadcast under ``bound`` rows, else a
-    sort-merge join. A table written as parquet compresses well, so Spark's
-    size estimate from its files can be far below its size in memory; the
-    exact row count decides instead of that estimate."""
+def bounded_side(df, rows: int, bound: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES):
+    """Join side with a counted size: broadcast under ``bound`` rows and
+    ``max_bytes``, else a sort-merge join. A table written as parquet
+    compresses well, so Spark's size estimate from its files can be far below
+    its size in memory; the exact row count, and the counted length of its
+    text and binary columns, decide instead of that estimate."""
     from pyspark.sql import functions as F
-
-    return F.broadcast(df) if rows <= bound else df.hint("merge")
+    from pyspark.sql.types import BinaryType, StringType
+
+    if rows > bound:
+        return df.hint("merge")
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, StringType | BinaryType)]
+    size = rows * 24 * len(df.columns)
+    if texts:
+        size += df.agg(F.sum(sum(texts[1:], texts[0]).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df.hint("merge")

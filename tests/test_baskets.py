@@ -36,6 +36,11 @@ def test_order_and_limit(spark):
     rows = bk.frequent_itemsets(model, 3).collect()
     keys = [(-r["size"], -r["freq"], ",".join(r["items"])) for r in rows]
     assert keys == sorted(keys) and len(rows) == 3
+    every = [tuple(r["items"]) for r in bk.frequent_itemsets(model).collect()]
+    assert [tuple(r["items"]) for r in rows] == every[:3] and len(every) > 3
+    rules = bk.association_rules(model).collect()
+    assert [r.asDict() for r in bk.association_rules(model, 2).collect()] == [r.asDict() for r in rules[:2]]
+    assert len(bk.rule_interest(model, 1).collect()) == 1
 
 
 def test_rules_and_interest(spark):
@@ -43,7 +48,7 @@ def test_rules_and_interest(spark):
     model = bk.fit(bs, 0.2, 0.1)
     n = bs.count()
     fi = _brute(BASKETS, 0.2)
-    for r in bk.rule_interest(model, n).collect():
+    for r in bk.rule_interest(model).collect():
         ante, cons = tuple(r["antecedent"]), tuple(r["consequent"])
         union = tuple(sorted(ante + cons))
         assert math.isclose(r["confidence"], fi[union] / fi[ante])

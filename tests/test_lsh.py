@@ -86,11 +86,9 @@ def test_chunked_sieve_small_chunks(spark, monkeypatch):
     assert seg == [v for v in want if 2500 <= v <= 2700]
 
 
-def test_family_frame_and_apply(spark):
+def test_family_and_apply(spark):
     fam = lsh.hash_family(spark, 123, 3, 20)
-    ff = lsh.family_frame(spark, fam)
-    assert [tuple(r) for r in ff.orderBy("i").collect()] == fam
-    assert [r.p for r in ff.orderBy("i").collect()] == [23, 29, 31]
+    assert [p for *_, p in fam] == [23, 29, 31]
     keys = spark.range(5).withColumnRenamed("id", "x")
     got = {(r.x, r.i): r.h for r in lsh.hash_family_apply(keys, "x", fam).collect()}
     assert got == {(x, i): (a * x + b) % p for x in range(5) for i, a, b, p in fam}
@@ -149,3 +147,29 @@ def test_sieve_segment_far_from_zero(spark):
     got = sorted(r.p for r in lsh.primes_between(spark, lo, hi).collect())
     want = [v for v in range(lo, hi + 1) if all(v % d for d in range(2, math.isqrt(v) + 1))]
     assert got == want and len(want) > 100
+
+
+def test_prime_keys_far_apart(spark):
+    """A handful of keys between 2 and 2^63: the work follows the keys."""
+    primes = [2, 3, 37, 41, 1369 + 4, 1_000_003, 2_147_483_647, 3_037_000_493, 999_999_999_989, 9_223_372_036_854_775_783]
+    others = [-7, 0, 1, 4, 1369, 1681, 25_326_001, 3_215_031_751, 1_000_003 * 1_000_003, 2_147_483_647 * 2_147_483_629,
+              3_825_123_056_546_413_051, 9_223_372_036_854_775_807]
+    df = spark.createDataFrame([(v,) for v in primes + others] + [(None,)], "k LONG")
+    assert sorted(r.k for r in lsh.primes_in(df, "k").collect()) == sorted(primes)
+    got = [r.id for r in lsh.primes_in(spark.range(0, 20000), "id").collect()]
+    assert sorted(got) == [v for v in range(2, 20000) if all(v % d for d in range(2, math.isqrt(v) + 1))]
+
+
+def test_hash_plans_have_no_decimal(spark):
+    from quarry.plans.queries import QUERIES
+
+    for name in ("hash_column", "hash_family_apply"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "decimal" not in plan
+
+
+def test_band_plan_without_a_valid_threshold(spark):
+    df = spark.createDataFrame([(10, 1.5), (10, 0.0), (0, 0.5), (10, 1.0), (100, 0.8)], "n LONG, s DOUBLE")
+    got = {(r.n, r.s): (r.b, r.r) for r in lsh.band_plan(df).collect()}
+    assert got[(10, 1.5)] == got[(10, 0.0)] == got[(0, 0.5)] == (None, None)
+    assert got[(10, 1.0)] == (1, 10) and got[(100, 0.8)] == (9, 11)

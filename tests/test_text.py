@@ -11,25 +11,6 @@ def test_shingles_whole_text_and_short_texts(spark):
     assert occ == [(0, "a b c"), (0, "b c d"), (0, "c d e"), (1, "x y"), (4, "solo"), (5, "a b c")]
 
 
-def test_incidence_is_distinct(spark):
+def test_repeated_shingles_are_kept(spark):
     docs = _docs(spark, ["p q r p q r"])
-    inc = sorted(r.feature for r in text.shingle_incidence(docs, 3).collect())
-    assert inc == ["p q r", "q r p", "r p q"]
-    occ = text.shingle_occurrences(docs, 3).count()
-    assert occ == 4
-
-
-def test_spread_only_for_few_row_groups(spark, tmp_dir):
-    import os
-
-    from quarry.session import spread
-
-    one = os.path.join(tmp_dir, "one")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    df = spark.read.parquet(one)
-    assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = os.path.join(tmp_dir, "many")
-    spark.range(1000).repartition(spark.sparkContext.defaultParallelism).write.parquet(many)
-    df2 = spark.read.parquet(many)
-    assert spread(df2) is df2
-    assert spread(spark.range(10)) is not None
+    assert sorted(r.feature for r in text.shingle_occurrences(docs, 3).collect()) == ["p q r", "p q r", "q r p", "r p q"]
