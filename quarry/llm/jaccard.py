@@ -18,7 +18,7 @@ counted fragment by fragment.
 4. Documents are put in blocks of like candidates. Blocks that share such a
    shingle are compared: per fragment the partial overlaps of all their
    documents, then the sum per pair, then the exact test.
-5. Links inside a pair of blocks shrink to a spanning forest, so a large group
+5. Links inside a pair of blocks shrink to stars, so a large group
    of near copies costs its blocks, not its pairs; connected components follow.
 
 No cap, sample or probability is involved. Hash collisions aside (64 bits per
@@ -131,25 +131,55 @@ def _joined(table, name, dtype):
     return np.concatenate([np.frombuffer(x.as_buffer(), dtype=dtype) for c in table.column(name).chunks for x in c])
 
 
-_FIRST = pa.schema([(c, pa.int64()) for c in ("_id", "n", "s1", "s2", "m", "c")])
+_FIRST = pa.schema([*((c, pa.int64()) for c in ("_id", "n", "s1", "s2", "m")), ("part", pa.int32()), ("docs", pa.binary()), ("c", pa.binary())])
+_FIRST_DDL = "_id long, n long, s1 long, s2 long, m long, part int, docs binary, c binary"
 
 
-def _reduce_first(table):
-    if table.column("bucket")[0].as_py() < 0:
-        info = _joined(table, "info", np.int64).reshape(-1, 5)
-        return pa.Table.from_arrays([*(pa.array(info[:, k]) for k in range(5)), pa.nulls(len(info), pa.int64())], schema=_FIRST)
-    docs, cnt, toks = _joined(table, "docs", np.int64), _joined(table, "cnt", np.uint32), _joined(table, "toks", np.uint32)
-    entry = np.repeat(np.arange(len(docs)), cnt)
-    order = np.argsort(toks, kind="stable")
-    t, d = toks[order], docs[entry[order]]
-    new = np.ones(len(t), dtype=bool)
-    new[1:] = t[1:] != t[:-1]
-    at = np.flatnonzero(new)
-    shared = np.repeat(np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at), np.diff(np.append(at, len(t))))
-    c = np.bincount(entry[order[shared]], minlength=len(docs))
-    x = np.flatnonzero(c)
-    none = pa.nulls(len(x), pa.int64())
-    return pa.Table.from_arrays([pa.array(docs[x]), none, none, none, none, pa.array(c[x])], schema=_FIRST)
+def _parts(ids, b):
+    """Part that gathers each document's results: a hash of its id."""
+    return (((r.mix(ids.view(np.uint64)) >> r.U64(32)) * r.U64(b)) >> r.U64(32)).astype(np.int64)
+
+
+def _by_part(ids, b):
+    """Order of documents by part, and each part with its range."""
+    part = _parts(ids, b)
+    order = np.argsort(part, kind="stable")
+    found, at = np.unique(part[order], return_index=True)
+    return order, zip(found.tolist(), at, np.append(at[1:], len(order)), strict=True)
+
+
+def _reduce_first(b):
+    def run(table):
+        if table.column("bucket")[0].as_py() < 0:
+            info = _joined(table, "info", np.int64).reshape(-1, 5)
+            k = len(info)
+            return pa.Table.from_arrays([*(pa.array(info[:, i]) for i in range(5)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()),
+                                         pa.nulls(k, pa.binary())], schema=_FIRST)
+        docs, cnt, toks = _joined(table, "docs", np.int64), _joined(table, "cnt", np.uint32), _joined(table, "toks", np.uint32)
+        entry = np.repeat(np.arange(len(docs)), cnt)
+        order = np.argsort(toks, kind="stable")
+        t, d = toks[order], docs[entry[order]]
+        new = np.ones(len(t), dtype=bool)
+        new[1:] = t[1:] != t[:-1]
+        at = np.flatnonzero(new)
+        shared = np.repeat(np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at), np.diff(np.append(at, len(t))))
+        c = np.bincount(entry[order[shared]], minlength=len(docs))
+        x = np.flatnonzero(c)
+        ids, c = docs[x], c[x]
+        order, parts = _by_part(ids, b)
+        rows = [(k, ids[order[s:e]].tobytes(), c[order[s:e]].astype(np.int64).tobytes()) for k, s, e in parts]
+        none = pa.nulls(len(rows), pa.int64())
+        return pa.Table.from_arrays([*([none] * 5), *(pa.array([y[i] for y in rows], type=t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary())))],
+                                    schema=_FIRST)
+
+    return run
+
+
+def _sum_first(table):
+    """How many of its shingles each document of a part shares with others."""
+    ids, c = _joined(table, "docs", np.int64), _joined(table, "c", np.int64)
+    found, at = np.unique(ids, return_inverse=True)
+    return pa.table({"_id": pa.array(found), "c": pa.array(np.bincount(at, weights=c).astype(np.int64))})
 
 
 def _map_all(n, b):
@@ -169,53 +199,62 @@ def _map_all(n, b):
     return run
 
 
-_SHARED = pa.schema([("_id", pa.int64()), ("n", pa.int64()), ("toks", pa.binary()), ("dfs", pa.binary())])
+_SHARED = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("docs", "ns", "cnt", "toks", "dfs"))])
+_SHARED_DDL = "part int, docs binary, ns binary, cnt binary, toks binary, dfs binary"
 
 
-def _reduce_all(table):
+def _reduce_all(b):
     """Per document: how many shingles of this fragment it has; those that others have, with their frequency."""
-    docs, cnt, toks = _joined(table, "docs", np.int64), _joined(table, "cnt", np.uint32), _joined(table, "toks", np.uint64)
-    d = np.repeat(docs, cnt)
-    order = np.lexsort((d, toks))
-    t, d = toks[order], d[order]
-    new_tok = np.ones(len(t), dtype=bool)
-    new_tok[1:] = t[1:] != t[:-1]
-    keep = new_tok.copy()
-    keep[1:] |= d[1:] != d[:-1]
-    t, d, new_tok = t[keep], d[keep], new_tok[keep]
-    at = np.flatnonzero(new_tok)
-    f = np.diff(np.append(at, len(t)))
-    df = np.repeat(f, f)
-    order = np.argsort(d, kind="stable")
-    t, d, df = t[order], d[order], df[order].astype(np.uint32)
-    new = np.ones(len(d), dtype=bool)
-    new[1:] = d[1:] != d[:-1]
-    at = np.flatnonzero(new)
-    cols = [[], [], [], []]
-    for s, e in zip(at, np.append(at[1:], len(d)), strict=True):
-        x = df[s:e] > 1
-        cols[0].append(int(d[s])); cols[1].append(int(e - s))  # noqa: E702
-        cols[2].append(t[s:e][x].tobytes()); cols[3].append(df[s:e][x].tobytes())  # noqa: E702
-    return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, _SHARED, strict=True)], schema=_SHARED)
+    def run(table):
+        docs, cnt, toks = _joined(table, "docs", np.int64), _joined(table, "cnt", np.uint32), _joined(table, "toks", np.uint64)
+        d = np.repeat(docs, cnt)
+        order = np.lexsort((d, toks))
+        t, d = toks[order], d[order]
+        new_tok = np.ones(len(t), dtype=bool)
+        new_tok[1:] = t[1:] != t[:-1]
+        keep = new_tok.copy()
+        keep[1:] |= d[1:] != d[:-1]
+        t, d, new_tok = t[keep], d[keep], new_tok[keep]
+        f = np.diff(np.append(np.flatnonzero(new_tok), len(t)))
+        df = np.repeat(f, f)
+        ids, n = np.unique(d, return_counts=True)
+        x = df > 1
+        order = np.argsort(d[x], kind="stable")  # shared shingles by document
+        d, t, df = d[x][order], t[x][order], df[x][order].astype(np.uint32)
+        lo, hi = np.searchsorted(d, ids), np.searchsorted(d, ids, side="right")
+        order, parts = _by_part(ids, b)
+        rows = []
+        for k, s, e in parts:
+            o = order[s:e]
+            at = r.ragged(lo[o], hi[o] - lo[o])
+            rows.append((k, ids[o].tobytes(), n[o].astype(np.int64).tobytes(), (hi - lo)[o].astype(np.int64).tobytes(),
+                         t[at].tobytes(), df[at].tobytes()))
+        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), _SHARED, strict=True)], schema=_SHARED)
+
+    return run
 
 
+_SETS = pa.schema([("_id", pa.int64()), ("n", pa.int64()), ("toks", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 _SETS_DDL = "_id long, n long, toks binary, prefix array<long>"
 
 
-def _prefixes(batches):
+def _prefixes(table):
     """Documents that can still link, their shared shingles, and the rare ones that partners must share."""
-    schema = pa.schema([("_id", pa.int64()), ("n", pa.int64()), ("toks", pa.binary()), ("prefix", pa.list_(pa.int64()))])
-    for batch in batches:
-        rows = []
-        for i, n, toks, dfs in zip(*(batch.column(c).to_pylist() for c in ("_id", "n", "toks", "dfs")), strict=True):
-            t = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in toks])
-            f = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in dfs])
-            k = (n - (4 * n + 4) // 5 + 1) - (n - len(t))  # places left by shingles that nobody else has
-            if k > 0:
-                rare = t[np.lexsort((t, f))[:k]]
-                rows.append((i, n, t.tobytes(), rare.view(np.int64).tolist()))
-        cols = list(zip(*rows, strict=True)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+    docs, ns, cnt = (_joined(table, c, np.int64) for c in ("docs", "ns", "cnt"))
+    toks, dfs = _joined(table, "toks", np.uint64), _joined(table, "dfs", np.uint32)
+    ids, at = np.unique(docs, return_inverse=True)
+    total = np.bincount(at, weights=ns).astype(np.int64)
+    own = np.repeat(at, cnt)
+    order = np.lexsort((toks, dfs, own))  # the global order: rare first
+    toks = toks[order]
+    ends = np.cumsum(np.bincount(own, minlength=len(ids)))
+    rows = []
+    for i, n, s, e in zip(ids.tolist(), total.tolist(), np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+        k = (n - (4 * n + 4) // 5 + 1) - (n - (e - s))  # places left by shingles that nobody else has
+        if k > 0:
+            rows.append((i, n, toks[s:e].tobytes(), toks[s: min(e, s + k)].view(np.int64)))
+    cols = list(zip(*rows, strict=True)) or [[], [], [], []]
+    return pa.Table.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(cols, _SETS, strict=True)], schema=_SETS)
 
 
 _BLOCK = pa.schema([("block", pa.int64()), ("frag", pa.int32()), ("ids", pa.list_(pa.int64())), ("ns", pa.binary()),
@@ -223,8 +262,12 @@ _BLOCK = pa.schema([("block", pa.int64()), ("frag", pa.int32()), ("ids", pa.list
 _BLOCK_DDL = "block long, frag int, ids array<long>, ns binary, cnt binary, toks binary"
 
 
-def _blocks(batches):
+def _blocks(block_docs):
     """Consecutive documents as blocks of bounded size, one row per block and fragment."""
+    return lambda batches: _cut_blocks(batches, block_docs)
+
+
+def _cut_blocks(batches, block_docs):
     seq, held, tokens = 0, [], 0
 
     def rows():
@@ -243,7 +286,7 @@ def _blocks(batches):
 
     for batch in batches:
         for x in zip(*(batch.column(c).to_pylist() for c in ("_id", "n", "toks")), strict=True):
-            if held and (len(held) >= BLOCK_DOCS or tokens + len(x[2]) // 8 > BLOCK_TOKENS):
+            if held and (len(held) >= block_docs or tokens + len(x[2]) // 8 > BLOCK_TOKENS):
                 yield batch_of(list(rows()))
                 seq, held, tokens = seq + 1, [], 0
             held.append(x)
@@ -266,8 +309,12 @@ def _runs_of(t, d):
     return t[at], at, np.diff(np.append(at, len(t))), d
 
 
-def _partial(table):
+def _partial(block_docs):
     """Overlaps of one pair of blocks within one fragment of the order."""
+    return lambda table: _overlaps(table, block_docs)
+
+
+def _overlaps(table, block_docs):
     row = table.to_pylist()[0]
     same = row["a"] == row["b"]
 
@@ -279,7 +326,7 @@ def _partial(table):
     tb, sb, nb, db = (ta, sa, na, da) if same else _runs_of(*side("b"))
     _, ia, ib = np.intersect1d(ta, tb, assume_unique=True, return_indices=True)
     work = na[ia] * nb[ib]
-    counts = np.zeros(BLOCK_DOCS * BLOCK_DOCS, dtype=np.int64)
+    counts = np.zeros(block_docs * block_docs, dtype=np.int64)
     cut = np.searchsorted(np.cumsum(work), np.arange(0, int(work.sum()) + 1, 2_000_000))
     edges = np.unique(np.append(cut, len(ia)))
     for lo, hi in zip(np.append(0, edges[:-1]), edges, strict=True):
@@ -287,10 +334,10 @@ def _partial(table):
         # each document of A that has the shingle, with each of B
         left = r.ragged(sa[x], na[x])
         reps = np.repeat(nb[y], na[x])
-        code = np.repeat(da[left], reps) * BLOCK_DOCS + db[r.ragged(np.repeat(sb[y], na[x]), reps)]
+        code = np.repeat(da[left], reps) * block_docs + db[r.ragged(np.repeat(sb[y], na[x]), reps)]
         counts += np.bincount(code, minlength=len(counts))
     if same:
-        i, j = np.divmod(np.arange(len(counts)), BLOCK_DOCS)
+        i, j = np.divmod(np.arange(len(counts)), block_docs)
         counts[i >= j] = 0
     found = np.flatnonzero(counts)
     return pa.Table.from_pylist([{**{c: row[c] for c in ("a", "b", "ids_a", "ns_a", "ids_b", "ns_b")},
@@ -300,16 +347,16 @@ def _partial(table):
 _LINK = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
 
-def _links(percent):
+def _links(percent, block_docs):
     def run(table):
-        """Sums the fragments of a pair of blocks, tests every pair, returns a spanning forest of the links."""
-        counts = np.zeros(BLOCK_DOCS * BLOCK_DOCS, dtype=np.int64)
+        """Sums the fragments of a pair of blocks, tests every pair, returns stars that keep the links' components."""
+        counts = np.zeros(block_docs * block_docs, dtype=np.int64)
         for code, common in zip(table.column("code").to_pylist(), table.column("common").to_pylist(), strict=True):
             counts[np.frombuffer(code, dtype=np.uint32)] += np.frombuffer(common, dtype=np.uint32)
         ids_a, ids_b = (np.array(table.column(c)[0].as_py(), dtype=np.int64) for c in ("ids_a", "ids_b"))
         ns_a, ns_b = (np.frombuffer(table.column(c)[0].as_py(), dtype=np.int64) for c in ("ns_a", "ns_b"))
         at = np.flatnonzero(counts)
-        i, j = np.divmod(at, BLOCK_DOCS)
+        i, j = np.divmod(at, block_docs)
         common = counts[at]
         ok = 100 * common >= percent * (ns_a[i] + ns_b[j] - common)
         root: dict[int, int] = {}
@@ -320,30 +367,30 @@ def _links(percent):
                 v = root[v]
             return v
 
-        out = []
         for x, y in zip(ids_a[i[ok]].tolist(), ids_b[j[ok]].tolist(), strict=True):
             p, q = find(x), find(y)
             if p != q:
                 root[max(p, q)] = min(p, q)
-                out.append((x, y))
+        out = [(v, find(v)) for v in root]  # one link per document, to the smallest of its tree
         return pa.Table.from_arrays([pa.array([k[c] for k in out], type=pa.int64()) for c in (0, 1)], schema=_LINK)
 
     return run
 
 
-def _block_table(sets: DataFrame, tokens: DataFrame, scratch: Scratch) -> DataFrame:
+def _block_table(sets: DataFrame, tokens: DataFrame, scratch: Scratch, block_docs: int) -> DataFrame:
     """Blocks of documents, neighbours by the smallest document that shared rare shingles lead to."""
     label = sets.select("_id", F.col("_id").alias("label"))
     for _ in range(2):
         least = scratch.write(tokens.join(label, "_id").groupBy("tok").agg(F.min("label").alias("label")), "jaccard-least")
         label = scratch.write(tokens.join(least, "tok").groupBy("_id").agg(F.min("label").alias("label")), "jaccard-label")
-    tasks = max(1, sets.count() // (16 * BLOCK_DOCS))
+    tasks = max(1, sets.count() // (16 * block_docs))
     return scratch.write(
         sets.join(label, "_id").repartitionByRange("label", "_id").sortWithinPartitions("label", "_id").coalesce(tasks)
-        .select("_id", "n", "toks").mapInArrow(_blocks, _BLOCK_DDL), "jaccard-blocks")
+        .select("_id", "n", "toks").mapInArrow(_blocks(block_docs), _BLOCK_DDL), "jaccard-blocks")
 
 
-def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = 80):
+def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = 80,
+           block_docs: int = BLOCK_DOCS):
     """``(sets, links)``: per input row its set's size, class and class
     representative; links between representatives that keep all components."""
     if percent < 80:
@@ -352,22 +399,20 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     scratch = Scratch(spark)
     b = n_buckets(spark)
     src = docs.select(id_or_last(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    first = scratch.write(src.mapInArrow(_map_first(n, b), _PACK_DDL).groupBy("bucket").applyInArrow(
-        _reduce_first, "_id long, n long, s1 long, s2 long, m long, c long"), "jaccard-first")
+    first = scratch.write(src.mapInArrow(_map_first(n, b), _PACK_DDL).groupBy("bucket").applyInArrow(_reduce_first(b), _FIRST_DDL),
+                          "jaccard-first")
     info = first.where("n IS NOT NULL").select("_id", "n", "s1", "s2", "m")
     classes = scratch.write(info.groupBy("n", "s1", "s2").agg(F.min("_id").alias("rep"), F.first("m").alias("m")), "jaccard-classes")
-    others = first.where("c IS NOT NULL").groupBy("_id").agg(F.sum("c").alias("c"))
+    others = first.where("part IS NOT NULL").select("part", "docs", "c").groupBy("part").applyInArrow(_sum_first, "_id long, c long")
     left = scratch.write(
         classes.where((F.col("n") >= MIN_LINKED) & (F.col("rep") != NO_ID))
         .join(others, F.col("rep") == F.col("_id"), "left")
         .where(5 * (F.col("m") - F.coalesce("c", F.lit(0))) <= F.col("n")).select(F.col("rep").alias("_id")).distinct(), "jaccard-left")
     packed = attach(src, left, ["_id"], "left_semi").select("_id", "_text").mapInArrow(_map_all(n, b), _PACK_DDL)
-    shared = packed.groupBy("bucket").applyInArrow(_reduce_all, "_id long, n long, toks binary, dfs binary")
-    sets = scratch.write(
-        shared.groupBy("_id").agg(F.sum("n").alias("n"), F.collect_list("toks").alias("toks"), F.collect_list("dfs").alias("dfs"))
-        .mapInArrow(_prefixes, _SETS_DDL), "jaccard-sets")
+    shared = packed.groupBy("bucket").applyInArrow(_reduce_all(b), _SHARED_DDL)
+    sets = scratch.write(shared.groupBy("part").applyInArrow(_prefixes, _SETS_DDL), "jaccard-sets")
     tokens = scratch.write(sets.select(F.explode("prefix").alias("tok"), "_id"), "jaccard-tokens")
-    blocks = _block_table(sets, tokens, scratch)
+    blocks = _block_table(sets, tokens, scratch, block_docs)
     where = blocks.where("frag = 0").select("block", F.explode("ids").alias("_id"))
     by_block = scratch.write(tokens.join(where, "_id").select("tok", "block").distinct(), "jaccard-where")
     pairs = (by_block.withColumnRenamed("block", "a").join(by_block.withColumnRenamed("block", "b"), "tok")
@@ -377,16 +422,17 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     def sided(x):
         return blocks.select(F.col("block").alias(x), "frag", *(F.col(c).alias(f"{c}_{x}") for c in ("ids", "ns", "cnt", "toks")))
 
-    parts = pairs.join(sided("a"), "a").join(sided("b"), ["b", "frag"]).groupBy("a", "b", "frag").applyInArrow(_partial, _PART_DDL)
-    links = scratch.write(parts.groupBy("a", "b").applyInArrow(_links(percent), "x long, y long"), "jaccard-links")
+    parts = pairs.join(sided("a"), "a").join(sided("b"), ["b", "frag"]).groupBy("a", "b", "frag").applyInArrow(_partial(block_docs), _PART_DDL)
+    links = scratch.write(parts.groupBy("a", "b").applyInArrow(_links(percent, block_docs), "x long, y long"), "jaccard-links")
     scratch.drop(left, sets, tokens, blocks, by_block)
     return info, classes, links
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = 80) -> DataFrame:
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = 80,
+                 block_docs: int = BLOCK_DOCS) -> DataFrame:
     """One row per input row: ``(id_col, n_shingles, component_id)``."""
     scratch = Scratch(docs.sparkSession)
-    info, classes, links = linked(docs, id_col, text_col, n, percent)
+    info, classes, links = linked(docs, id_col, text_col, n, percent, block_docs)
     comp = components(links, "x", "y")
     named = scratch.write(
         classes.join(comp, F.col("rep") == F.col("vertex"), "left")
