@@ -121,8 +121,9 @@ def lost_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, batch
     spark = docs.sparkSession
     scratch = Scratch(spark)
     ids = id_or_last(id_col)
-    cuts = docs.select(ids.alias("i")).where(F.col("i") != NO_ID).approxQuantile("i", [k / batches for k in range(1, batches)], 0.02)
-    edges = sorted({int(c) for c in cuts or []})
+    shares = [k / batches for k in range(1, batches)]
+    cuts = docs.select(ids.alias("i")).where(F.col("i") != NO_ID).approxQuantile("i", shares, 0.02) if shares else []
+    edges = sorted({int(c) for c in cuts})
     runs, lost = LineRuns(spark, fanout), None
     for lo, hi in zip([None, *edges], [*edges, None], strict=True):
         part = docs

@@ -2,7 +2,8 @@
 
 Method. Spark counts, over a bounded sample of labelled documents, in how many
 toxic and clean documents each word stands, and in how many different contexts;
-words that are far commoner in toxic ones form the lexicon, held as a trie.
+words that are far commoner in toxic ones than chance allows form the lexicon,
+held as a trie; copies of a document share their contexts and count once.
 Words of a text match exactly or within ``max_edits`` insertions, deletions or
 substitutions: the word's Levenshtein automaton is intersected with the trie,
 whose edges advance the automaton's state row and are pruned once no state is
@@ -38,7 +39,7 @@ from quarry.llm.rolling import pieces
 
 SAMPLE = 20_000        # labelled rows to learn from, at most
 LEXICON = 4_000        # terms, at most
-MIN_CONTEXTS = 4       # different neighbourhoods of a term in toxic documents
+MIN_EVIDENCE = 10.0    # log-likelihood ratio of a term's share of toxic documents; chance words stay below
 MIN_FUZZY = 5          # shorter terms match exactly only
 WINDOW = 6             # words on each side of a hit
 CACHE = 300_000
@@ -225,10 +226,13 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
         return Model({}, frozenset(), max_edits, flat)
     toxic, clean = F.sum("y"), F.sum(1 - F.col("y"))
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
+    evidence = F.col("t") * F.log(F.col("share") / base) + F.when(F.col("clean") > 0, F.col("clean") * F.log(
+        F.greatest(1 - F.col("share"), F.lit(1e-12)) / (1 - base))).otherwise(0.0)
     terms = (own.mapInArrow(_word_rows, "word string, y int, context long").groupBy("word")
              .agg(toxic.alias("toxic"), clean.alias("clean"), F.countDistinct(F.when(F.col("y") == 1, F.col("context"))).alias("contexts"))
-             .where((F.col("contexts") >= min(MIN_CONTEXTS, n1)) & (F.col("clean") <= 0.02 * n0))
-             .withColumn("odds", odds).where("odds > 2.5")
+             .withColumn("t", F.least("toxic", "contexts").cast("double")).withColumn("share", F.col("t") / (F.col("t") + F.col("clean")))
+             .where((F.col("share") > base) & (F.col("clean") <= 0.02 * n0))
+             .withColumn("odds", odds).where((F.col("odds") > 2.5) & (evidence >= MIN_EVIDENCE))
              .orderBy(F.desc("toxic"), "word").limit(LEXICON).select("word", "odds"))
     weights = {r["word"]: float(r["odds"]) for r in terms.collect()}  # at most LEXICON rows
     fuzzy = frozenset(weights)
