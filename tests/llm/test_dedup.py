@@ -34,7 +34,7 @@ def test_line_runs_are_levelled(spark):
         assert lost.count() == (2 if k else 0)  # two keys of the batch before
     assert [len(x) for x in runs.levels] == [1, 0, 1]
     assert sum(x.count() for x in runs.runs()) == 52
-    plan = spark.range(1).select(F.unhex(F.md5(F.lit("3"))).alias("key")).join(runs.runs()[0].hint("merge"), "key", "left_anti")
+    plan = spark.range(50).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("key")).join(runs.runs()[0].hint("merge"), "key", "left_anti")
     assert plan._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 1  # the run isn't shuffled
     runs.close()
 
@@ -110,10 +110,9 @@ def test_jaccard_join(docs, rows, empty):
         jaccard.jaccard_join(docs, percent=70)
 
 
-def test_jaccard_join_across_blocks(docs, rows, monkeypatch):
+def test_jaccard_join_across_blocks(docs, rows):
     """Blocks of two documents: every family is spread over several."""
-    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 2)
-    assert got(jaccard.jaccard_join(docs), "n_shingles", "component_id") == Counter(brute.jaccard(texts(rows)))
+    assert got(jaccard.jaccard_join(docs, block_docs=2), "n_shingles", "component_id") == Counter(brute.jaccard(texts(rows)))
 
 
 def test_one_per_group(docs, rows):

@@ -65,7 +65,7 @@ def test_toxicity_held_out_and_misspelled(labelled):
 def test_models_without_usable_labels(labelled, spark):
     docs, labels = labelled
     none = labels.where("false")
-    assert {r.score for r in gam_quality.quality(docs, none).collect()} == {pytest.approx(0, abs=1e-6)}
+    assert all(r.score < 1e-6 for r in gam_quality.quality(docs, none).collect())
     assert {r.predicted for r in toxicity.toxicity(docs, none).collect()} == {0}
     one = labels.where("toxic = 0 AND quality = 1")
     assert {r.predicted for r in toxicity.toxicity(docs, one).collect()} == {0}
