@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import ship_package
 from quarry.llm.rolling import mix, pieces
 
 GROUP = 1 << 20           # bytes of text encoded at a time
@@ -179,6 +180,7 @@ def _encoder(shared, pattern):
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``(id_col, n_tokens, ids)``; ``ids`` packs the ids as little-endian unsigned 32-bit integers."""
+    ship_package(docs.sparkSession)
     tokens = read_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast((tokens, PerfectHash(tokens)))
     out = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
@@ -188,6 +190,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
 def decode(ids: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Adds the bytes that packed ids stand for; null ids give no bytes."""
+    ship_package(ids.sparkSession)
     shared = ids.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     fields = ids.schema
     at = ids.columns.index(ids_col)

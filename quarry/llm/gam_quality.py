@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import ship_package
 from quarry.llm.labels import fold, labelled_sample
 from quarry.llm.text_features import NAMES, features
 
@@ -174,6 +175,7 @@ def _feature_rows(batches):
 def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
           label: str = "quality", sample: int = SAMPLE) -> Gam:
     """Learns from at most ``sample`` labelled rows outside ``held_out``."""
+    ship_package(docs.sparkSession)
     rows = labelled_sample(labels, label, held_out, sample, id_col)
     own = docs.join(F.broadcast(rows), F.col(id_col).cast("long") == F.col("_lid")).select(F.col(text_col).alias("_text"), F.col("y"))
     got = own.mapInArrow(_feature_rows, "y int, x array<double>").toPandas()  # bounded by `sample`
@@ -188,6 +190,7 @@ _SCORE = pa.schema([("_id", pa.int64()), ("score", pa.float64())])
 
 def score(docs: DataFrame, gam: Gam, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``(id_col, score)``."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(gam)
 
     def run(batches):

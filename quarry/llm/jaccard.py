@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import rolling as r
-from quarry.llm.common import NO_ID, Scratch, attach, id_or_last, id_or_null, n_buckets
+from quarry.llm.common import NO_ID, Scratch, attach, id_or_last, id_or_null, n_buckets, ship_package
 from quarry.llm.components import components
 
 SHINGLE = 5
@@ -396,6 +396,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     if percent < 80:
         raise ValueError("the bounds used here hold for a similarity of 0.8 or more")
     spark = docs.sparkSession
+    ship_package(spark)
     scratch = Scratch(spark)
     b = n_buckets(spark)
     src = docs.select(id_or_last(id_col).alias("_id"), F.col(text_col).alias("_text"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import rolling as r
-from quarry.llm.common import Scratch
+from quarry.llm.common import Scratch, ship_package
 
 ORDER = 4
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -76,6 +76,7 @@ def _count(batches):
 
 def ngram_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(code, n)`` over all whole texts; at most 32 ** ORDER rows."""
+    ship_package(docs.sparkSession)
     return docs.select(text_col).mapInArrow(_count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 

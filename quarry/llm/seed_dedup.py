@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import rolling as r
-from quarry.llm.common import Scratch, attach, id_or_last, id_or_null, n_buckets, row_tag
+from quarry.llm.common import Scratch, attach, id_or_last, id_or_null, n_buckets, row_tag, ship_package
 
 WINDOW, GRAM = 13, 3
 FLUSH = 600_000  # windows that a map task packs at a time
@@ -233,6 +233,7 @@ def _cut(n):
 
 
 def _source(docs, id_col, text_col):
+    ship_package(docs.sparkSession)
     tag = row_tag(F.col(text_col)).bitwiseAND(F.lit(TAG))
     return docs.select(id_or_last(id_col).alias("_id"), tag.alias("_tag"), F.col(text_col).alias("_text"))
 

@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import Scratch, ship_package
 from quarry.llm.labels import fold, labelled_sample
 from quarry.llm.rolling import pieces
 
@@ -215,8 +216,10 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
           label: str = "toxic", sample: int = SAMPLE, max_edits: int = 1) -> Model:
     """Learns lexicon and weights from at most ``sample`` labelled rows outside ``held_out``."""
     spark = docs.sparkSession
+    ship_package(spark)
     rows = labelled_sample(labels, label, held_out, sample, id_col)
-    own = docs.join(F.broadcast(rows), F.col(id_col).cast("long") == F.col("_lid")).select(F.col(text_col).alias("_text"), F.col("y"))
+    own = Scratch(spark).write(  # read several times; bounded by `sample`
+        docs.join(F.broadcast(rows), F.col(id_col).cast("long") == F.col("_lid")).select(F.col(text_col).alias("_text"), F.col("y")), "toxic-sample")
     total = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}  # two rows
     n1, n0 = total.get(1, 0), total.get(0, 0)
     base = n1 / (n0 + n1) if n0 + n1 else 0.0
@@ -271,6 +274,7 @@ def _scorer(shared):
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``(id_col, score)``."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
         _scorer(shared), "_id long, score double").withColumnRenamed("_id", id_col)
@@ -278,6 +282,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def not_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows, with all their columns, that score under ``threshold``."""
+    ship_package(docs.sparkSession)
     at = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
