@@ -42,6 +42,7 @@ SAMPLE = 20_000        # labelled rows to learn from, at most
 LEXICON = 4_000        # terms, at most
 MIN_EVIDENCE = 10.0    # log-likelihood ratio of a term's share of toxic documents; chance words stay below
 MIN_FUZZY = 5          # shorter terms match exactly only
+NEAR = 0.8             # share of a term's weight that a word one edit away has
 WINDOW = 6             # words on each side of a hit
 CACHE = 300_000
 
@@ -135,28 +136,25 @@ def _quoted(text: str, words: list[re.Match], i: int) -> bool:
     return any(words[j].group().lower() in SAYING for j in range(max(0, i - 3), i))
 
 
-N_FEATURES = 7
+N_FEATURES = 5
 
 
 def context_features(text: str, lex: Lexicon) -> list[float]:
-    """Sums over the hits of a text, abuse apart from quotation."""
+    """Sums and maxima of the hits' weights, abuse apart from quotation, and whether there is any abuse."""
     low = text.lower()
     hits = lex.known(set(WORD.findall(low)))
     if not hits:
         return [0.0] * N_FEATURES
     words = list(WORD.finditer(low))
-    sums = [0.0] * 6
+    total, top = [0.0, 0.0], [0.0, 0.0]
     for i, m in enumerate(words):
         hit = hits.get(m.group())
         if hit:
-            weight, distance, _ = hit
-            at = (2 if _quoted(low, words, i) else 0) + (1 if distance else 0)
-            sums[at] += weight
-            if at < 2:
-                sums[4] = max(sums[4], weight / (1 + distance))
-            else:
-                sums[5] = max(sums[5], weight / (1 + distance))
-    return [*(float(np.log1p(s)) for s in sums[:4]), sums[4], sums[5], 1.0 if sums[4] else 0.0]
+            weight = hit[0] * NEAR ** hit[1]
+            at = int(_quoted(low, words, i))
+            total[at] += weight
+            top[at] = max(top[at], weight)
+    return [float(np.log1p(total[0])), float(np.log1p(total[1])), *top, float(top[0] > 0)]
 
 
 def _word_rows(batches):
@@ -250,7 +248,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
             for near, label_ in zip(got["fuzzy"], y, strict=True):
                 for t in near:
                     (good if label_ else bad)[t] = (good if label_ else bad).get(t, 0) + 1
-            kept = frozenset(t for t in weights if bad.get(t, 0) / n0 <= 0.05 * good.get(t, 0) / n1 or not bad.get(t))
+            kept = frozenset(t for t in weights if bad.get(t, 0) / n0 <= 0.01 * good.get(t, 0) / n1)
             if kept == fuzzy:
                 break
             fuzzy = kept
