@@ -46,11 +46,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import rolling as r
-from quarry.llm.common import Scratch, attach, id_or_last, id_or_null, n_buckets, row_tag
+from quarry.llm.common import Scratch, attach, id_or_last, id_or_null, n_buckets, row_tag, ship_package
 
-LENGTH, GRAM = 400, 64
+LENGTH, GRAM = 400, 200
 HOT = 20_000            # different spans of one anchor that a task takes
 CHUNK = 1 << 20         # window starts hashed at a time
+BATCH_BYTES = 1 << 20   # of spans matched at a time
 
 _KEY = [("_id", pa.int64()), ("_tag", pa.int64())]
 _SPAN = pa.schema([*_KEY, ("seed", pa.int64()), ("same", pa.int64()), ("first", pa.int64()), ("n", pa.int32()), ("off", pa.int32())])
@@ -76,7 +77,7 @@ def _spans_of(col, length, gram):
         part = data[lo:hi]
         if len(part) < length:
             continue
-        h = r.prefix(r.BYTE_VALUES[part])
+        h = r.prefix(part, r.BYTE_VALUES)
         g = r.mix(r.ngrams(h, gram))
         bits = r.U64(max(1, int(len(g)).bit_length()))
         low = (r.U64(1) << bits) - r.U64(1)
@@ -119,7 +120,7 @@ _TEXT_DDL = "bucket int, _id long, _tag long, seed long, first long, n int, off
 def _map_bodies(length, b):
     """The bytes of the spans asked for."""
     def run(batches):
-        for batch in batches:
+        for batch in (p for whole in batches for p in r.pieces(whole, 2)):
             out = []
             for i, tag, text, want in zip(batch.column("_id").to_pylist(), batch.column("_tag").to_pylist(), batch.column("_text"),
                                           batch.column("want").to_pylist(), strict=True):
@@ -128,7 +129,7 @@ def _map_bodies(length, b):
                     bucket = (((x["seed"] & MASK) >> 32) * b) >> 32
                     out.append((bucket, i, tag, x["seed"], x["first"], x["n"], x["off"], x["alone"],
                                 raw[x["first"]: x["first"] + x["n"] - 1 + length]))
-                if len(out) >= 20_000:
+                if len(out) >= 5_000:
                     yield _rows(out, _TEXT)
                     out = []
             if out:
@@ -151,7 +152,7 @@ class _Suffixes:
         size = np.array([len(x) for x in bodies], dtype=np.int64)
         start = np.cumsum(size) - size
         self.text = np.frombuffer(b"".join(bodies) + b"\0", dtype=np.uint8)
-        self.h = r.prefix(r.BYTE_VALUES[self.text])
+        self.h = r.prefix(self.text, r.BYTE_VALUES)
         self.at = start + off
         self.right, self.left = size - off, off
 
@@ -310,19 +311,34 @@ def match(seed, bodies, off, n, length):
     return by[who], s.left[who] - o_hi, o_hi - o_lo + 1
 
 
+def _batches(seed, size):
+    """Ranges of spans in seed order that hold whole groups and about BATCH_BYTES, or one larger group."""
+    order = np.argsort(seed, kind="stable")
+    s = seed[order]
+    new = np.ones(len(s), dtype=bool)
+    new[1:] = s[1:] != s[:-1]
+    at = np.append(np.flatnonzero(new), len(s))
+    upto = np.append(0, np.cumsum(size[order]))
+    lo = 0
+    while lo < len(at) - 1:
+        hi = max(lo + 1, int(np.searchsorted(upto[at], upto[at[lo]] + BATCH_BYTES, side="right")) - 1)
+        yield order[at[lo]: at[hi]]
+        lo = hi
+
+
 def _reduce(length):
     def run(table):
-        seed = table.column("seed").to_numpy()
-        off = table.column("off").to_numpy().astype(np.int64)
-        n = table.column("n").to_numpy()
-        bodies = [x.as_buffer().to_pybytes() for c in table.column("body").chunks for x in c]
-        who, first, count = match(seed, bodies, off, n, length)
+        ids, tags, base, seed, n, off = (table.column(c).to_numpy() for c in ("_id", "_tag", "first", "seed", "n", "off"))
         alone = table.column("alone").to_numpy(zero_copy_only=False).astype(bool)
-        keep = alone[who] if len(who) else np.zeros(0, dtype=bool)  # spans with copies are marked whole anyway
-        who, first, count = who[keep], first[keep], count[keep]
-        base = table.column("first").to_numpy()
-        return pa.Table.from_arrays([pa.array(table.column("_id").to_numpy()[who]), pa.array(table.column("_tag").to_numpy()[who]),
-                                     pa.array(base[who] + first), pa.array(count)], schema=_MARK)
+        bodies = [x for c in table.column("body").chunks for x in c]
+        out: list[list[np.ndarray]] = [[], [], [], []]
+        for part in _batches(seed, n.astype(np.int64) + length):
+            who, first, count = match(seed[part], [bodies[i].as_buffer().to_pybytes() for i in part], off[part].astype(np.int64), n[part], length)
+            keep = alone[part[who]]  # spans with copies are marked whole anyway
+            who, first, count = part[who[keep]], first[keep], count[keep]
+            for k, x in enumerate((ids[who], tags[who], base[who] + first, count)):
+                out[k].append(x)
+        return pa.Table.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], schema=_MARK)
 
     return run
 
@@ -333,13 +349,13 @@ _WIN = pa.schema([*_KEY, ("seed", pa.int64()), ("wh", pa.int64()), ("first", pa.
 def _map_windows(length):
     """Hot anchors: every window of a span by its hash."""
     def run(batches):
-        for batch in batches:
+        for batch in (p for whole in batches for p in r.pieces(whole, 2)):
             for i, tag, text, want in zip(batch.column("_id").to_pylist(), batch.column("_tag").to_pylist(), batch.column("_text"),
                                           batch.column("want").to_pylist(), strict=True):
                 raw = np.frombuffer((text.as_py() or "").encode(), dtype=np.uint8)
                 for x in want:
                     body = raw[x["first"]: x["first"] + x["n"] - 1 + length]
-                    wh = r.mix(r.ngrams(r.prefix(r.BYTE_VALUES[body]), length))
+                    wh = r.mix(r.ngrams(r.prefix(body, r.BYTE_VALUES), length))
                     k = len(wh)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(k, i)), pa.array(np.full(k, tag)), pa.array(np.full(k, x["seed"])), pa.array(wh.view(np.int64)),
@@ -373,7 +389,7 @@ _CUT = pa.schema([("_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa
 
 
 def _cut(batches):
-    for batch in batches:
+    for batch in (p for whole in batches for p in r.pieces(whole, 1)):
         out = []
         for i, text, runs in zip(batch.column("_id").to_pylist(), batch.column("_text"), batch.column("runs").to_pylist(), strict=True):
             raw = (text.as_py() or "").encode()
@@ -394,6 +410,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not gram < length <= LENGTH_MAX:
         raise ValueError(f"gram < length <= {LENGTH_MAX} is needed")
     spark = docs.sparkSession
+    ship_package(spark)
     scratch = Scratch(spark)
     key = ["_id", "_tag"]
     src = docs.select(id_or_last(id_col).alias("_id"), row_tag(F.col(text_col)).alias("_tag"), F.col(text_col).alias("_text"))
@@ -408,7 +425,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "one.*", "seed", (F.col("copies") == 1).alias("alone"), (F.col("kinds") > hot).alias("hot"))
     want = scratch.write(
         asked.groupBy(*key, "hot").agg(F.collect_list(F.struct("seed", "first", "n", "off", "alone")).alias("want")), "suffix-want")
-    b = n_buckets(spark, 2)
+    b = n_buckets(spark, 8)
 
     def wanted(hot_part):
         return attach(src, scratch.write(want.where("hot" if hot_part else "NOT hot").drop("hot"), "suffix-want"), key, "inner").select(*key, "_text", "want")
