@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import md5_order_key
 from quarry.operators.incidence import sizes
-from quarry.session import BROADCAST_ROWS, scratch_dir
+from quarry.session import BROADCAST_ROWS, scratch_dir, written_table
 
 
 def init_centroids(entities: DataFrame, k: int, seed: int | None = None,
@@ -137,7 +137,7 @@ def update(inc: DataFrame, assignment: DataFrame, old_cnt: DataFrame,
     cnt = (inc.join(a, "entity").groupBy("cluster", "feature")
            .agg(F.sum(_v(value)).alias("cnt")))
     if checkpoint:
-        cnt = cnt.checkpoint()
+        cnt = written_table(cnt, "kmeans-counts")
     if sz is None:
         sz = cluster_sizes(a)
     s2 = {r["cluster"]: r["s2"] for r in
@@ -148,6 +148,8 @@ def update(inc: DataFrame, assignment: DataFrame, old_cnt: DataFrame,
         meta[c] = old_meta[c]
     if empty:
         cnt = cnt.unionByName(old_cnt.where(F.col("cluster").isin(empty)).select("cluster", "feature", "cnt"))
+        if checkpoint:  # or the plan would grow with every pass that keeps an emptied cluster
+            cnt = written_table(cnt, "kmeans-counts")
     return cnt, meta
 
 
@@ -208,8 +210,10 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int | None = None,
     checked bound: one row per feature, or one per entity. Both are counted
     once; up to ``broadcast_rows`` they are broadcast, so a hot feature or a
     hot entity costs nothing extra, above it they are shuffle-joined. Each
-    pass's assignment and counts are checkpointed to the shared folder, so the
+    pass's assignment and counts are written below the shared folder, so the
     plan stays one pass long and a lost executor recomputes at most one pass.
+    (A checkpoint keeps the constraints of the plan behind it, which grow with
+    every pass.)
     """
     scratch_dir(inc.sparkSession)
     start = start.checkpoint()
@@ -224,16 +228,16 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int | None = None,
     small_a = n_entities <= broadcast_rows
 
     cnt, meta = initial_state(inc_b, start, value)
-    a = assign(inc_b, nx, cnt, meta, None, value, small_cnt).checkpoint()
+    a = written_table(assign(inc_b, nx, cnt, meta, None, value, small_cnt), "kmeans-assigned")
     sz = cluster_sizes(a)
     passes, moved, seen = 0, n_entities, set()
     while moved and (max_iter is None or passes < max_iter):
         passes += 1
         cnt, meta = update(inc_b, F.broadcast(a) if small_a else a, cnt, meta, checkpoint=True, sz=sz, value=value)
-        nxt = (assign(inc_b, nx, cnt, meta, None, value, small_cnt)
-               .join(a.select("entity", F.col("cluster").alias("__old")), "entity")
-               .withColumn("__changed", (F.col("cluster") != F.col("__old")).cast("int"))
-               .drop("__old").checkpoint())
+        nxt = written_table(assign(inc_b, nx, cnt, meta, None, value, small_cnt)
+                            .join(a.select("entity", F.col("cluster").alias("__old")), "entity")
+                            .withColumn("__changed", (F.col("cluster") != F.col("__old")).cast("int"))
+                            .drop("__old"), "kmeans-assigned")
         # one k-row aggregate gives the next sizes, the number of moves and a mark of the state
         stats = (nxt.groupBy("cluster").agg(F.count(F.lit(1)).alias("sz"), F.sum("__changed").alias("moved"),
                                             F.sum(F.xxhash64("entity", "cluster").cast("decimal(38,0)")).alias("mark"))

@@ -171,7 +171,7 @@ TRADE_PAIRS = """SELECT DISTINCT n1.n_name AS entity1, n2.n_name AS entity2
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation n1 ON s_nationkey = n1.n_nationkey JOIN nation n2 ON c_nationkey = n2.n_nationkey
-  WHERE n1.n_name < n2.n_name"""
+  WHERE n1.n_name < n2.n_name AND n1.n_regionkey = n2.n_regionkey"""
 
 
 def start_sql(k: int, seed: int = 123) -> str:

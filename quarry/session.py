@@ -82,7 +82,17 @@ def written_table(df, tag: str):
     spark = df.sparkSession
     path = fresh_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def drop_written(*tables) -> None:
+    """Delete tables that ``written_table`` made and no later step reads."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._written_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 BROADCAST_ROWS = 2_000_000     # largest counted table sent whole to every task,
