@@ -39,16 +39,33 @@ BATCHES = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def trimmed(line: Column) -> Column:
+    """Without white space at both ends; most lines have none there and are left as they are."""
+    ends = [F.left(line, F.lit(1)).isin(*WHITE), F.right(line, F.lit(1)).isin(*WHITE)]
+    return F.when(ends[0] | ends[1], F.btrim(line, F.lit(WHITE))).otherwise(line)
+
+
+def lower_ascii(line: Column) -> Column:
+    """A-Z in lower case and nothing else. In pure ASCII that is what lower() does;
+    other lines replace the capitals they have."""
+    one_by_one = line
+    for big, small in zip(UPPER, LOWER, strict=True):
+        one_by_one = F.replace(one_by_one, F.lit(big), F.lit(small))
+    return (F.when(F.octet_length(line) == F.char_length(line), F.lower(line))
+            .when(line.rlike("[A-Z]"), one_by_one).otherwise(line))
+
+
 def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(WHITE)), UPPER, LOWER)
+    return lower_ascii(trimmed(line))
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """``(_id, _tag, pos, key)`` of every line whose key is long enough; key is the hash."""
     d = docs.select(id_or_last(id_col).alias("_id"), row_tag(F.col(text_col)).alias("_tag"),
                     F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("pos", "line"))
-    d = d.select("_id", "_tag", "pos", line_key(F.col("line")).alias("line")).where(F.char_length("line") >= min_chars)
-    return d.select("_id", "_tag", "pos", F.unhex(F.md5("line")).alias("key"))
+    # lower case doesn't change the length: it is left for the lines that are long enough
+    d = d.select("_id", "_tag", "pos", trimmed(F.col("line")).alias("line")).where(F.char_length("line") >= min_chars)
+    return d.select("_id", "_tag", "pos", F.unhex(F.md5(lower_ascii(F.col("line")))).alias("key"))
 
 
 class LineRuns:
