@@ -87,10 +87,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row per input row: ``(id_col, keep_id, group_size, kept, text_sha256)``."""
     rows, index, _ = build_index(docs, id_col, text_col, capacity)
-    one = F.row_number().over(Window.partitionBy("key", "sha", "_id").orderBy("keep")) == 1
+    # one of the rows that repeat with an id; numbered by id, apart from the join, which may then split a large group
+    rows = rows.withColumn("one", F.row_number().over(Window.partitionBy("key", "sha", "_id").orderBy(F.lit(1))) == 1)
     return rows.join(index, ["key", "sha"]).select(
         id_or_null("_id").alias(id_col), id_or_null("keep").alias("keep_id"), F.col("n").alias("group_size"),
-        ((F.col("_id") == F.col("keep")) & one).alias("kept"), F.col("sha").alias("text_sha256"))
+        ((F.col("_id") == F.col("keep")) & F.col("one")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
