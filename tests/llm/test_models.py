@@ -100,9 +100,9 @@ def test_quotation_is_apart_from_abuse():
     lex = toxicity.Lexicon({"idiot": 2.0}, frozenset(["idiot"]))
     abuse = toxicity.context_features("you are an idiot and I know it", lex)
     quoted = toxicity.context_features('the word "idiot" comes from Greek', lex)
-    assert abuse[0] > 0 == abuse[2] and quoted[0] == 0 < quoted[2]
-    near = toxicity.context_features("you idiott", lex)
-    assert near[1] > 0 == near[0]
+    assert abuse[0] > 0 == abuse[1] and quoted[0] == 0 < quoted[1]
+    near = toxicity.context_features("you are an idiott and I know it", lex)
+    assert 0 < near[0] < abuse[0] and near[1] == 0
     assert toxicity.context_features("", lex) == [0.0] * toxicity.N_FEATURES
 
 
