@@ -33,7 +33,7 @@ from quarry.llm.common import ship_package
 from quarry.llm.rolling import mix, pieces
 
 GROUP = 1 << 20           # bytes of text encoded at a time
-CACHE = 250_000           # pre-tokens whose ids a task keeps
+CACHE = 150_000           # pre-tokens whose ids a task keeps
 TRIES = 64                # displacements tried at a time
 U64 = np.uint64
 
@@ -203,3 +203,21 @@ def decode(ids: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str =
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{out_col}` binary"
     return ids.mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encoding and decoding in one pass, with one Python worker a task: ``(id_col, n_tokens, ids, decoded)``."""
+    ship_package(docs.sparkSession)
+    tokens = read_ranks(ranks_path)
+    shared = docs.sparkSession.sparkContext.broadcast((tokens, PerfectHash(tokens)))
+    encoded = _encoder(shared, pattern)
+
+    def run(batches):
+        get = shared.value[0].__getitem__
+        for batch in encoded(batches):
+            got = [b"".join(map(get, np.frombuffer(x.as_buffer(), dtype="<u4").tolist())) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.large_binary())], names=[*batch.schema.names, "decoded"])
+
+    out = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).mapInArrow(
+        run, "_id long, n_tokens long, ids binary, decoded binary")
+    return out.withColumnRenamed("_id", id_col)

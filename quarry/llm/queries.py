@@ -78,7 +78,7 @@ def op9_jaccard_join(spark, sf):
 def tokens(docs: DataFrame) -> DataFrame:
     """Ids of every text and the digests of the ids and of what they decode to."""
     path = public_tokenizers.path(RANKS)
-    return bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path).select(
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id", "n_tokens", "ids", _digest("ids").alias("ids_sha256"), _digest("decoded").alias("decoded_sha256"))
 
 
