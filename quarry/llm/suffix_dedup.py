@@ -59,12 +59,14 @@ _SPAN_DDL = "_id long, _tag long, seed long, same long, first long, n int, off i
 
 
 def _chunks(data, off):
-    """Window starts are taken from each part's documents, or from pieces of a long one."""
+    """Window starts are taken from each part's documents, or from pieces of a long one: rows, bytes read, and the
+    number of window starts that a row may have here."""
     for i, j in r.slices(off, CHUNK):
         if j == i + 1 and off[j] - off[i] > 2 * CHUNK:
-            yield from ((i, j, at, min(off[j], at + CHUNK + LENGTH_MAX)) for at in range(int(off[i]), int(off[j]), CHUNK))
+            # a piece can read to the text's end and still not be the last: its starts end where the next piece begins
+            yield from ((i, j, at, min(off[j], at + CHUNK + LENGTH_MAX), CHUNK) for at in range(int(off[i]), int(off[j]), CHUNK))
         else:
-            yield i, j, off[i], off[j]
+            yield i, j, off[i], off[j], off[j] - off[i]
 
 
 LENGTH_MAX = 1 << 16
@@ -73,7 +75,7 @@ LENGTH_MAX = 1 << 16
 def _spans_of(col, length, gram):
     """Spans of a batch: row, first window, number of windows, anchor's offset, anchor hash, span hash."""
     data, off = r.bytes_of(col)
-    for i, j, lo, hi in _chunks(data, off):
+    for i, j, lo, hi, most in _chunks(data, off):
         part = data[lo:hi]
         if len(part) < length:
             continue
@@ -83,9 +85,7 @@ def _spans_of(col, length, gram):
         low = (r.U64(1) << bits) - r.U64(1)
         least = r.sliding_min((g & ~low) | np.arange(len(g), dtype=np.uint64), length - gram + 1) & low
         edges = np.clip(off[i: j + 1] - lo, 0, len(part))
-        size = np.maximum(np.diff(edges) - length + 1, 0)
-        if j == i + 1 and hi < off[j]:
-            size = np.minimum(size, CHUNK)  # the rest belongs to the next piece
+        size = np.clip(np.diff(edges) - length + 1, 0, most)
         p = r.ragged(edges[:-1], size)
         if not len(p):
             continue

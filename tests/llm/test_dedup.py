@@ -63,6 +63,18 @@ def test_suffix_dedup_reads_long_texts_in_pieces(spark, monkeypatch):
     assert found == {(0, p) for p in range(2500 - 59)} | {(3, p) for p in range(600 - 59)}
 
 
+@pytest.mark.parametrize("rest", [0, 1, 59, 60, 80, 119, 120, 121, 300])
+def test_suffix_dedup_takes_each_window_of_a_long_text_once(monkeypatch, rest):
+    """The last piece may be shorter than what the piece before it reads on."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 500)
+    monkeypatch.setattr(suffix_dedup, "LENGTH_MAX", 120)
+    size = 2000 + rest
+    t = "".join(chr(97 + (k * k * 7 + k // 3) % 26) for k in range(size))
+    found = [p for _row, first, n, *_ in suffix_dedup._spans_of(__import__("pyarrow").array([t]), 60, 12)
+             for f, k in zip(first.tolist(), n.tolist(), strict=True) for p in range(f, f + k)]
+    assert sorted(found) == list(range(size - 59))
+
+
 def test_match_marks_every_repeated_window():
     import random
 
