@@ -21,7 +21,7 @@ are equal when the 64-bit window hash and 32 further bits of the anchor agree.
 
 Edge cases. Null text: no words. Null id: such rows count as one document
 that follows all others. Rows with the same id are one document; each keeps
-its own text. Documents with fewer than ``n`` words lose nothing. An empty
+its own text, and marks find their row by the id and a 64-bit hash of the text. Documents with fewer than ``n`` words lose nothing. An empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -45,7 +45,6 @@ _PART = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("tags", pa.bina
 _PART_DDL = "part int, docs binary, tags binary, cnt binary, spans binary"
 _MARK = pa.schema([("_id", pa.int64()), ("_tag", pa.int64()), ("spans", pa.binary())])
 _MARK_DDL = "_id long, _tag long, spans binary"
-TAG = 0xFFFF  # bits of the row tag that tell apart rows with one id
 
 
 def _windows(ids, tags, col, n, k):
@@ -155,7 +154,7 @@ def _map(n, k, b):
         parts, held, slice_no = [], 0, 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            tags = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint16)
+            tags = batch.column(1).to_numpy(zero_copy_only=False)
             for x in _windows(ids, tags, batch.column(2), n, k):
                 x = list(x)
                 x[3] = x[3] + (slice_no << 40)  # anchors of different slices differ
@@ -178,7 +177,7 @@ def _joined(table, name, dtype):
 def _reduce(b):
     def run(table):
         """All entries of one hash range: mark the windows that a smaller document has."""
-        docs, tags, runs = _joined(table, "docs", np.int64), _joined(table, "tags", np.uint16), _joined(table, "runs", np.uint32)
+        docs, tags, runs = _joined(table, "docs", np.int64), _joined(table, "tags", np.int64), _joined(table, "runs", np.uint32)
         p0, cnt = _joined(table, "p0", np.uint32).astype(np.int64), _joined(table, "cnt", np.uint8)
         row = np.repeat(np.repeat(np.arange(len(docs)), runs), cnt)
         p = r.ragged(p0, cnt)
@@ -192,7 +191,7 @@ def _reduce(b):
 
 def _gather(table):
     """One row per marked text of a part."""
-    docs, tags, cnt = _joined(table, "docs", np.int64), _joined(table, "tags", np.uint16), _joined(table, "cnt", np.uint32).astype(np.int64)
+    docs, tags, cnt = _joined(table, "docs", np.int64), _joined(table, "tags", np.int64), _joined(table, "cnt", np.uint32).astype(np.int64)
     pairs = _joined(table, "spans", np.uint32).reshape(-1, 2)
     at = np.cumsum(cnt) - cnt
     order = np.lexsort((tags, docs))
@@ -201,7 +200,7 @@ def _gather(table):
     new[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1])
     lo = np.flatnonzero(new)
     spans = [pairs[r.ragged(at[order[s:e]], cnt[order[s:e]])].tobytes() for s, e in zip(lo, np.append(lo[1:], len(d)), strict=True)]
-    return pa.Table.from_arrays([pa.array(d[lo]), pa.array(t[lo].astype(np.int64)), pa.array(spans, pa.binary())], schema=_MARK)
+    return pa.Table.from_arrays([pa.array(d[lo]), pa.array(t[lo]), pa.array(spans, pa.binary())], schema=_MARK)
 
 
 def _cut(n):
@@ -234,8 +233,7 @@ def _cut(n):
 
 def _source(docs, id_col, text_col):
     ship_package(docs.sparkSession)
-    tag = row_tag(F.col(text_col)).bitwiseAND(F.lit(TAG))
-    return docs.select(id_or_last(id_col).alias("_id"), tag.alias("_tag"), F.col(text_col).alias("_text"))
+    return docs.select(id_or_last(id_col).alias("_id"), row_tag(F.col(text_col)).alias("_tag"), F.col(text_col).alias("_text"))
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, k: int = GRAM) -> DataFrame:

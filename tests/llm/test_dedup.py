@@ -114,6 +114,24 @@ def test_seed_dedup_across_flushes(docs, rows, monkeypatch):
     assert got(seed_dedup.seed_dedup(docs), "n_words", "n_removed", "kept_text") == Counter(brute.seed_dedup(texts(rows)))
 
 
+def test_seed_dedup_rows_without_id_keep_their_own_marks(spark):
+    """Many different texts share the null id; two of them, a long and a short one, agree in the low 16 bits of the hash."""
+    short = [f"s{k} short" for k in range(3000)]
+    texts_ = spark.createDataFrame([(t,) for t in short], "t STRING")
+    passage = " ".join(f"p{k}" for k in range(20))
+    long = " ".join(f"w{k}" for k in range(40)) + " " + passage
+    found = []
+    for k in range(2000):  # a long text whose tag ends as that of a short one
+        found.append((f"x{k} {long}",))
+    pairs = (spark.createDataFrame(found, "l STRING").withColumn("k", seed_dedup.row_tag(F.col("l")).bitwiseAND(F.lit(0xFFFF)))
+             .join(texts_.withColumn("k", seed_dedup.row_tag(F.col("t")).bitwiseAND(F.lit(0xFFFF))), "k").limit(1).collect())
+    assert pairs
+    # other texts without id: each takes its own passage's marks only
+    rows = [(1, passage), (None, pairs[0].l), (None, pairs[0].t), *((None, t) for t in short[:300])]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    assert got(seed_dedup.seed_dedup(df), "n_words", "n_removed", "kept_text") == Counter(brute.seed_dedup(rows))
+
+
 def test_jaccard_join(docs, rows, empty):
     want = Counter(brute.jaccard(texts(rows)))
     assert got(jaccard.jaccard_join(docs), "n_shingles", "component_id") == want
