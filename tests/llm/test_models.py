@@ -161,3 +161,75 @@ def test_kneser_ney_sums_to_one():
     n = rng.integers(1, 9, len(code))
     p = np.exp(perplexity.KneserNey(code, n).log_table()).reshape(-1, 32)
     assert np.allclose(p.sum(axis=1), 1, atol=1e-9)
+
+
+def brute_log_p(texts):
+    """Perplexity of each text by counting again without each occurrence."""
+    n5, n4 = {}, {}
+    for t in texts:
+        t = " " * 4 + t
+        for k in range(4, len(t)):
+            n5[t[k - 4: k + 1]] = n5.get(t[k - 4: k + 1], 0) + 1
+    for g in n5:
+        n4[g[1:]] = n4.get(g[1:], 0) + 1
+
+    def cuts(counts):
+        d = (0.0, *perplexity._discounts(np.array(list(counts.values()))))
+        return lambda n: d[min(n, 3)]
+
+    code = {}
+    for g, k in n5.items():
+        c = perplexity.class_code([np.array([ord(x)], dtype=np.uint64) for x in g[:0:-1]])[0]
+        code[int(c)] = code.get(int(c), 0) + k
+    at = np.array(sorted(code))
+    table = np.exp(perplexity.KneserNey(at, np.array([code[x] for x in at])).log_table())
+    members = np.bincount(perplexity.CLASS[:128], minlength=32).astype(float)
+    members[perplexity._OTHER] += len({g[-1] for g in n5 if ord(g[-1]) >= 128})
+
+    def base(g):
+        c = int(perplexity.class_code([np.array([ord(x)], dtype=np.uint64) for x in g[::-1]])[0])
+        return table[c] / members[c & 31]
+
+    def level(counts, cut, g, low, gone):
+        own = {h: n - (gone if h == g else 0) for h, n in counts.items() if h[:-1] == g[:-1]}
+        total = sum(own.values())
+        return low if not total else (own[g] - cut(own[g]) + sum(map(cut, own.values())) * low) / total
+
+    cut5, cut4 = cuts(n5), cuts(n4)
+    out = {g: np.log(level(n5, cut5, g, level(n4, cut4, g[1:], base(g[1:]), int(n == 1)), 1)) for g, n in n5.items()}
+    return [float(np.exp(-np.mean([out[(" " * 4 + t)[k: k + 5]] for k in range(len(t))]))) if t else None for t in texts]
+
+
+def test_perplexity_of_real_characters(spark):
+    texts = ["the cat sat on the mat", "", "кот сидел на ковре, кот спал", "猫は敷物の上に座った 猫", "the cat 😀 sat", "the cat sat on the mat", "é"]
+    df = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id LONG, text STRING, lang STRING").repartition(3)
+    out = by_id(perplexity.quality_rules(df))
+    for k, want in enumerate(brute_log_p(texts)):
+        assert out[k][0].perplexity == (None if want is None else pytest.approx(want, rel=1e-9))
+
+
+def test_gibberish_in_any_script_is_odd(spark):
+    """Same alphabet, same word lengths: only real characters tell shuffled letters from words."""
+    rng = random.Random(8)
+    docs = []
+    for lang, letters in (("ru", "абвгдежзиклмнопрстуфхцчшщыьэюя"), ("zh", [chr(0x4E00 + 7 * k) for k in range(400)]), ("en", "abcdefghijklmnopqrstuvwxyz")):
+        vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 9))) for _ in range(150)]
+        for k in range(120):
+            w = [rng.choice(vocabulary) for _ in range(90)]
+            if k % 12 == 0:
+                pool = [c for x in w for c in x]
+                rng.shuffle(pool)
+                w = ["".join(pool.pop() for _ in x) for x in w]
+            docs.append((len(docs), " ".join(w), lang, k % 12 == 0))
+    df = spark.createDataFrame(docs, "doc_id LONG, text STRING, lang STRING, odd BOOLEAN")
+    out = perplexity.quality_rules(df).join(df.select("doc_id", "odd", "lang"), "doc_id")
+    kept = {(x.lang, x.odd): x.k for x in out.groupBy("lang", "odd").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    for lang in ("ru", "zh", "en"):
+        assert kept[lang, True] == 0 and kept[lang, False] > 0.95
+
+
+def test_model_grows_with_the_corpus(spark):
+    rng = random.Random(2)
+    docs = [("".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(2000)),) for _ in range(20)]
+    n = [perplexity.ngram_model(spark.createDataFrame(docs[:k], "text STRING")).count() for k in (5, 20)]
+    assert n[1] > 3.9 * n[0]
