@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, exact_dedup, line_dedup, mixing
+from quarry.llm import bpe, exact_dedup, hard_negatives, line_dedup, mixing
 from quarry.llm.gam_quality import quality
 from quarry.llm.jaccard import jaccard_join
 from quarry.llm.perplexity import quality_rules
@@ -86,13 +86,20 @@ def op10_bpe(spark, sf):
     return tokens(_documents(spark, sf)).drop("ids")
 
 
+def op11_hard_negatives(spark, sf):
+    by_id = F.col("vec_id")
+    label = F.when(by_id % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf, "embeddings"), by_id % 50 == 0, label)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_line_dedup, op2_gam_quality, op3_mixing, op4_toxicity, op5_suffix_dedup, op6_quality_rules, op7_exact_dedup,
-    op8_seed_dedup, op9_jaccard_join, op10_bpe)}
+    op8_seed_dedup, op9_jaccard_join, op10_bpe, op11_hard_negatives)}
 
 #: operators 2, 4, 6 (learned), 5, 8, 9, 10 (beyond SQL) are tested against brute force and held-out labels
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle(),
     "op3_mixing": mixing.oracle(),
     "op7_exact_dedup": exact_dedup.oracle(),
+    "op11_hard_negatives": hard_negatives.oracle(),
 }
