@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, exact_dedup, hard_negatives, importance, line_dedup, mixing
+from quarry.llm import bpe, exact_dedup, hard_negatives, importance, license_scan, line_dedup, mixing
 from quarry.llm.gam_quality import quality
 from quarry.llm.jaccard import jaccard_join
 from quarry.llm.perplexity import quality_rules
@@ -92,13 +92,17 @@ def op11_hard_negatives(spark, sf):
     return hard_negatives.hard_negatives(_table(spark, sf, "embeddings"), by_id % 50 == 0, label)
 
 
+def op12_license_scan(spark, sf):
+    return license_scan.license_scan(_documents(spark, sf)).drop("found")
+
+
 def op13_importance(spark, sf):
     return importance.importance_resampling(_documents(spark, sf), _table(spark, sf, "benchmark"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_line_dedup, op2_gam_quality, op3_mixing, op4_toxicity, op5_suffix_dedup, op6_quality_rules, op7_exact_dedup,
-    op8_seed_dedup, op9_jaccard_join, op10_bpe, op11_hard_negatives, op13_importance)}
+    op8_seed_dedup, op9_jaccard_join, op10_bpe, op11_hard_negatives, op12_license_scan, op13_importance)}
 
 #: operators 2, 4, 6 (learned), 5, 8, 9, 10 (beyond SQL) are tested against brute force and held-out labels
 ORACLES: dict[str, str] = {
@@ -106,5 +110,6 @@ ORACLES: dict[str, str] = {
     "op3_mixing": mixing.oracle(),
     "op7_exact_dedup": exact_dedup.oracle(),
     "op11_hard_negatives": hard_negatives.oracle(),
+    "op12_license_scan": license_scan.oracle(),
     "op13_importance": importance.oracle(),
 }
