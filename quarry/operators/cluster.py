@@ -14,12 +14,14 @@ the dot product of the entity with ``cnt``. Distances are rounded to
 distance tie whatever the order of the additions, and a tie goes to the
 smaller id.
 
-Per pass, the incidence rows (written once, balanced) meet one row per feature
-that holds the counts of up to ``GROUP`` clusters, a 1:1 join, and an
-aggregation keyed by entity sums them. More clusters are handled ``GROUP`` at a
-time with the same formula, and the nearest of the groups' best wins; no entity
-x cluster grid and no cross product is built. Two scalars per cluster (size and
-sum of squares) travel to the driver per pass.
+``assign`` and ``update`` are one pass as joins: the incidence rows meet one
+row per feature that holds the counts of up to ``GROUP`` clusters, a 1:1 join,
+and an aggregation keyed by entity sums them. More clusters are handled
+``GROUP`` at a time with the same formula, and the nearest of the groups' best
+wins; no entity x cluster grid and no cross product is built. Two scalars per
+cluster (size and sum of squares) travel to the driver per pass. ``kmeans`` runs
+such passes only where the centroids are too large to be sent whole; else it
+runs those of ``lloyd``.
 """
 
 from __future__ import annotations
@@ -31,8 +33,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import md5_order_key
+from quarry.operators import lloyd
 from quarry.operators.incidence import sizes
-from quarry.session import BROADCAST_ROWS, scratch_dir, written_table
+from quarry.operators.indexing import row_index
+from quarry.operators.lloyd import DIGITS, NotStable
+from quarry.session import BROADCAST_ROWS, drop_written, scratch_dir, written_table
 
 
 def init_centroids(entities: DataFrame, k: int, seed: int | None = None,
@@ -79,7 +84,6 @@ def initial_state(inc: DataFrame, start: DataFrame, value: str | None = None):
 
 
 GROUP = 32   # clusters whose sums one aggregate holds
-DIGITS = 9   # decimals that distances are compared at
 
 
 def wide_counts(cnt: DataFrame, clusters: Sequence[int]) -> DataFrame:
@@ -183,10 +187,6 @@ def first_iter(inc: DataFrame, start: DataFrame, value: str | None = None,
                                                                                    F.col("entity").alias("member"))
 
 
-class NotStable(RuntimeError):
-    """K-means was stopped while entities still moved."""
-
-
 class KMeansResult(NamedTuple):
     assignment: DataFrame   # (entity, cluster, dist)
     passes: int             # assignments after the first
@@ -205,15 +205,18 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int | None = None,
     distances beyond the compared digits), ``NotStable`` is raised.
     ``entities`` lists entities to cluster even when they have no feature.
 
-    The incidence is written once in balanced partitions (``written``: the
-    caller has done that) and is never shuffled while its small partner fits a
-    checked bound: one row per feature, or one per entity. Both are counted
-    once; up to ``broadcast_rows`` they are broadcast, so a hot feature or a
-    hot entity costs nothing extra, above it they are shuffle-joined. Each
-    pass's assignment and counts are written below the shared folder, so the
-    plan stays one pass long and a lost executor recomputes at most one pass.
-    (A checkpoint keeps the constraints of the plan behind it, which grow with
-    every pass.)
+    ``num_partitions`` deals the incidence anew; ``written``: the caller has
+    written it. Clusters x features and the entities are counted once.
+
+    * Centroids of at most ``broadcast_rows`` numbers go to every task, and
+      passes run over packed vectors with distance bounds (``lloyd``): only
+      entities that their bounds leave open are measured, only moved ones
+      change the centroids.
+    * Above it, a pass joins the incidence with one row per feature (shuffled),
+      and with the assignment (broadcast up to ``broadcast_rows`` entities).
+      Assignment and counts are written below the shared folder and those of
+      the pass before deleted, so the plan stays one pass long and a lost
+      executor recomputes at most one pass.
     """
     scratch_dir(inc.sparkSession)
     start = start.checkpoint()
@@ -222,19 +225,25 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int | None = None,
         base = base.repartition(num_partitions)
     inc_b = base if written and not num_partitions else base.checkpoint()
     nx = _all_norms(inc_b, value, entities).checkpoint()
-    n_entities = nx.count()
-    n_features = inc_b.select("feature").distinct().count()
-    small_cnt = n_features * min(GROUP, start.count()) <= broadcast_rows
-    small_a = n_entities <= broadcast_rows
-
+    n_entities, k = nx.count(), start.count()
+    index, n_features = row_index(inc_b.select("feature").distinct(), ["feature"], with_total=True)
     cnt, meta = initial_state(inc_b, start, value)
-    a = written_table(assign(inc_b, nx, cnt, meta, None, value, small_cnt), "kmeans-assigned")
+    if n_features * k <= broadcast_rows and sorted(meta) == list(range(k)):
+        return KMeansResult(*lloyd.passes(inc_b, nx, cnt, index, n_features, n_entities, k, max_iter, value))
+    return _joined_passes(inc_b, nx, cnt, meta, n_entities, max_iter, value, n_entities <= broadcast_rows)
+
+
+def _joined_passes(inc_b: DataFrame, nx: DataFrame, cnt: DataFrame, meta: dict, n_entities: int, max_iter: int | None,
+                   value: str | None, small_a: bool) -> KMeansResult:
+    """Passes whose centroid counts stay a table."""
+    a = written_table(assign(inc_b, nx, cnt, meta, None, value), "kmeans-assigned")
     sz = cluster_sizes(a)
     passes, moved, seen = 0, n_entities, set()
     while moved and (max_iter is None or passes < max_iter):
         passes += 1
+        before, old = cnt, a
         cnt, meta = update(inc_b, F.broadcast(a) if small_a else a, cnt, meta, checkpoint=True, sz=sz, value=value)
-        nxt = written_table(assign(inc_b, nx, cnt, meta, None, value, small_cnt)
+        nxt = written_table(assign(inc_b, nx, cnt, meta, None, value)
                             .join(a.select("entity", F.col("cluster").alias("__old")), "entity")
                             .withColumn("__changed", (F.col("cluster") != F.col("__old")).cast("int"))
                             .drop("__old"), "kmeans-assigned")
@@ -242,9 +251,11 @@ def kmeans(inc: DataFrame, start: DataFrame, max_iter: int | None = None,
         stats = (nxt.groupBy("cluster").agg(F.count(F.lit(1)).alias("sz"), F.sum("__changed").alias("moved"),
                                             F.sum(F.xxhash64("entity", "cluster").cast("decimal(38,0)")).alias("mark"))
                  .collect())
+        drop_written(*(t for t in (before, old) if hasattr(t, "_written_path")))
         sz = {r["cluster"]: r["sz"] for r in stats}
         moved = sum(r["moved"] for r in stats)
         a = nxt.drop("__changed")
+        a._written_path = nxt._written_path
         mark = sum(r["mark"] for r in stats)
         if moved and mark in seen:
             raise NotStable(f"{moved} entities still move after {passes} passes, and the state has come up before")

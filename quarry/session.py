@@ -8,8 +8,11 @@ pick a folder of our own.
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -73,6 +76,30 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable for Python workers that were not given it
+    (``--py-files``, ``PYTHONPATH``): once per application, its source goes as
+    a zip below the shared folder and from there to the executors."""
+    sc = spark.sparkContext
+    root = Path(__file__).parent
+    if sc.applicationId in _shipped or not root.is_dir():
+        return
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    path = f"{fresh_path(spark, 'package')}/quarry_source.zip"
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = to.getFileSystem(spark._jsc.hadoopConfiguration()).create(to)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def written_table(df, tag: str):
     """Write ``df`` once as parquet below the shared folder and read it back.
 

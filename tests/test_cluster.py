@@ -177,3 +177,58 @@ def test_result_has_no_move_left(spark):
         best = min((round(float(((x[e] - m) ** 2).sum()), 9), k) for k, m in cents.items())
         assert best[1] == c
     assert moved == 0 and passes > 1
+
+
+@pytest.mark.parametrize("value", [None, "value"])
+def test_bounded_passes_equal_joined_passes(spark, monkeypatch, value):
+    """Many passes, a cut every second one, blocks of few values."""
+    from quarry.operators import lloyd
+
+    monkeypatch.setattr(lloyd, "CUT", 2)
+    rng = np.random.default_rng(8)
+    if value:
+        rows = [(i, j, float(v)) for i in range(150) for j, v in enumerate(rng.normal(size=5)) if j or i % 3]
+        inc = spark.createDataFrame(rows, "entity LONG, feature INT, value DOUBLE")
+    else:
+        rows = [(i, f"f{f}") for i in range(150) for f in rng.choice(14, size=rng.integers(0, 8), replace=False)]
+        inc = spark.createDataFrame(rows, "entity LONG, feature STRING")
+    ents = spark.range(151).toDF("entity")
+    start = cl.init_centroids(ents.where("entity < 150"), 7, seed=4)
+    bound = cl.kmeans(inc, start, value=value, entities=ents)
+    joined = cl.kmeans(inc, start, value=value, entities=ents, broadcast_rows=0)
+    assert bound.moved == joined.moved == 0 and bound.passes == joined.passes > 4
+    a, b = ({r.entity: (r.cluster, r.dist) for r in x.assignment.collect()} for x in (bound, joined))
+    assert len(a) == 151 and a.keys() == b.keys()
+    assert all(a[e][0] == b[e][0] and abs(a[e][1] - b[e][1]) < 1e-8 for e in a)
+    stopped = cl.kmeans(inc, start, value=value, entities=ents, max_iter=2)
+    assert stopped.passes == 2 and stopped.moved > 0
+
+
+def test_bounds_spare_measurements(monkeypatch):
+    """Far clusters: after the first pass hardly any entity is measured again, and moved ones alone change the sums."""
+    from quarry.operators import lloyd
+
+    rng = np.random.default_rng(1)
+    pts = np.vstack([rng.normal(c, 0.1, (50, 2)) for c in (0, 10, 20)])
+    block = dict(zip(lloyd._FIELDS, ((pts ** 2).sum(axis=1), np.tile(np.arange(2, dtype=np.int32), 150), pts.ravel(),
+                                     np.arange(0, 301, 2), np.full(150, -1, dtype=np.int32), np.zeros(150), np.zeros(150))))
+    measured = []
+    real = lloyd.Centres.distances
+    monkeypatch.setattr(lloyd.Centres, "distances", lambda self, b, rows: measured.append(len(rows)) or real(self, b, rows))
+    import pyarrow as pa
+
+    def batch(x):
+        return pa.RecordBatch.from_arrays([pa.array([list(range(150))]), *(pa.array([np.ascontiguousarray(x[f], dtype=t).tobytes()], pa.binary())
+                                                                        for f, t in lloyd._KINDS.items())], ["entity", *lloyd._FIELDS])
+    first = lloyd.Centres(pts[[0, 50, 100]].T.copy(), np.ones(3))
+    out = next(lloyd._assign(first, None, True)([batch(block)]))
+    state = lloyd._read(out, 0)
+    assert state["cluster"].tolist() == [0] * 50 + [1] * 50 + [2] * 50 and measured == [150]
+    sums = np.zeros(2 * 3 + 4)
+    sums[out.column("keys")[0].as_py()] = out.column("sums")[0].as_py()
+    assert sums[6:].tolist() == [50, 50, 50, 150]
+    assert np.allclose(sums[:6].reshape(2, 3).T, [pts[i: i + 50].sum(axis=0) for i in (0, 50, 100)])
+    new = lloyd.Centres(sums[:6].reshape(2, 3), sums[6:9])
+    shift = np.sqrt(((new.sums / new.sizes - first.sums / first.sizes) ** 2).sum(axis=0))
+    out = next(lloyd._assign(new, shift, False)([batch(state)]))
+    assert measured == [150] and out.column("keys")[0].as_py() == [9] and out.column("sums")[0].as_py() == [0.0]
