@@ -75,6 +75,10 @@ SELECT userId, movieId, rating, round(user_mean, 6) AS user_mean, round(item_mea
        round(rating - (user_mean + item_mean - {G}), 6) AS user_item_interaction
 FROM {TRAIN} t JOIN {IM} im USING (movieId) JOIN {UM} um USING (userId)
 ORDER BY userId, movieId, key LIMIT 50"""
+ORACLES["means_and_interaction_batches"] = f"""
+SELECT key, userId, movieId, rating, round(user_mean, 6) AS user_mean, round(item_mean, 6) AS item_mean,
+       round(rating - (user_mean + item_mean - {G}), 6) AS user_item_interaction
+FROM {TRAIN} t JOIN {IM} im USING (movieId) JOIN {UM} um USING (userId)"""
 ORACLES["bias_predict"] = (
     f"SELECT key, userId, movieId, rating, round(prediction, 6) AS prediction FROM {BIAS} p")
 ORACLES["rmse"] = (
@@ -82,12 +86,8 @@ ORACLES["rmse"] = (
 
 PAIRS = f"""(SELECT *, {BUCKET.replace('key', "concat_ws(':', userId, movieId)")} < 80 AS is_train
   FROM (SELECT userId, movieId, avg(rating) AS rating FROM {RATINGS} pr GROUP BY userId, movieId) p0)"""
-# a test pair is predicted when both of its ids stand in a training pair
-ORACLES["predict_ratings"] = f"""
-WITH p AS {PAIRS}
-SELECT userId, movieId, round(rating, 6) AS rating, true AS predicted FROM p WHERE NOT is_train
-  AND userId IN (SELECT userId FROM p WHERE is_train) AND movieId IN (SELECT movieId FROM p WHERE is_train)"""
-
+G_P, UM_P, IM_P = (f"(SELECT {what} FROM p WHERE is_train {by})" for what, by in (
+    ("avg(rating)", ""), ("userId, avg(rating) AS user_mean", "GROUP BY userId"), ("movieId, avg(rating) AS item_mean", "GROUP BY movieId")))
 
 # ---------------------------------------------------------------- baskets
 def pylist(lst: str) -> str:
@@ -265,11 +265,15 @@ ORACLE_DIR = "/root/testdata/sf0.01"
 def _scalar(sql: str) -> int:
     import duckdb
 
+    return int(_check_data(duckdb).execute(sql).fetchone()[0])
+
+
+def _check_data(duckdb):
     con = duckdb.connect()
     con.execute("SET enable_progress_bar = false")
-    for t in ("part", "documents"):
+    for t in ("part", "documents", "lineitem", "orders"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{ORACLE_DIR}/{t}.parquet')")
-    return int(con.execute(sql).fetchone()[0])
+    return con
 
 
 def _is_prime(v: int) -> bool:
@@ -382,6 +386,70 @@ def o_doc_lsh_buckets():
     return _buckets(_bands(sig, 4))
 
 
+# ---------------------------------------------------------------- ALS
+# Start factors come from Spark's seeded generator, which SQL cannot express; a second
+# implementation (als_check) draws them, and at rank 70 fits on the check data as well.
+# Its predictions are inlined; the split, means and errors are computed in SQL.
+
+ALS_RANK, ALS_STEPS, ALS_REG, ALS_BLOCKS = 70, 5, 0.01, 10
+
+
+@functools.lru_cache(maxsize=None)
+def _als_predictions(target: str) -> str:
+    """``(userId, movieId, x)``: predicted ``target`` of every test pair with known ids."""
+    import duckdb
+    import numpy as np
+
+    from quarry.plans import als_check
+
+    con = _check_data(duckdb)
+    train = con.execute(f"WITH p AS {PAIRS} SELECT userId, movieId, {target} AS t FROM p JOIN {UM_P} USING (userId) "
+                        f"JOIN {IM_P} USING (movieId) WHERE is_train").fetchnumpy()
+    test = con.execute(f"WITH p AS {PAIRS} SELECT userId, movieId FROM p WHERE NOT is_train").fetchnumpy()
+    users, x, items, y = als_check.fit(train["userId"], train["movieId"], train["t"], 123, ALS_RANK, ALS_STEPS, ALS_REG, ALS_BLOCKS)
+    known = np.isin(test["userId"], users) & np.isin(test["movieId"], items)
+    u, i = test["userId"][known], test["movieId"][known]
+    value = (x[np.searchsorted(users, u)].astype(float) * y[np.searchsorted(items, i)]).sum(axis=1)
+    rows = ", ".join(f"({a}, {b}, {v:.9f}::DOUBLE)" for a, b, v in zip(u.tolist(), i.tolist(), value.tolist()))
+    return f"(SELECT * FROM (VALUES {rows}) v(userId, movieId, x))"
+
+
+@_lazy
+def o_als_rmse():
+    return (f"WITH p AS {PAIRS} SELECT round(sqrt(avg((rating - x) * (rating - x))), 4) AS rmse, count(*) AS n_predicted "
+            f"FROM p JOIN {_als_predictions('rating')} v USING (userId, movieId) WHERE NOT is_train")
+
+
+@_lazy
+def o_als_bias_rmse():
+    e = f"(rating - (x + user_mean + item_mean - {G_P}))"
+    v = _als_predictions(f"rating - (user_mean + item_mean - {G_P})")
+    return (f"WITH p AS {PAIRS} SELECT round(sqrt(avg({e} * {e})), 4) AS rmse, count(*) AS n_predicted FROM p "
+            f"JOIN {v} v USING (userId, movieId) JOIN {UM_P} USING (userId) JOIN {IM_P} USING (movieId) WHERE NOT is_train")
+
+
+@_lazy
+def o_predict_ratings():
+    """The whole fit of rank 1: ten half steps, each an aggregate; factors are 32-bit floats."""
+    import duckdb
+    import numpy as np
+
+    from quarry.plans import als_check
+
+    users = _check_data(duckdb).execute(f"WITH p AS {PAIRS} SELECT DISTINCT userId FROM p WHERE is_train").fetchnumpy()["userId"]
+    start = als_check.start_factors(np.asarray(users), 1, 123, ALS_BLOCKS)
+    rows = ", ".join(f"({u}, {float(f[0])!r})" for u, f in sorted(start.items()))
+    steps = [f"x0 AS (SELECT userId, CAST(x AS FLOAT) AS x FROM (VALUES {rows}) v(userId, x))"]
+    for k in range(1, ALS_STEPS + 1):
+        for new, key, old, other, prev in (("y", "movieId", "x", "userId", k - 1), ("x", "userId", "y", "movieId", k)):
+            f = f"{old}{prev}"
+            steps.append(f"{new}{k} AS MATERIALIZED (SELECT {key}, CAST(sum(r * {f}.{old}::DOUBLE) / (sum({f}.{old}::DOUBLE * {f}.{old}::DOUBLE) "
+                         f"+ {ALS_REG} * count(*)) AS FLOAT) AS {new} FROM t JOIN {f} USING ({other}) GROUP BY {key})")
+    return (f"WITH p AS MATERIALIZED {PAIRS}, t AS (SELECT userId, movieId, CAST(CAST(rating AS FLOAT) AS DOUBLE) AS r FROM p WHERE is_train), "
+            + ",\n".join(steps) + f"\nSELECT userId, movieId, round(rating, 6) AS rating, round(CAST(x * y AS DOUBLE), 6) AS prediction "
+            f"FROM p JOIN x{ALS_STEPS} USING (userId) JOIN y{ALS_STEPS} USING (movieId) WHERE NOT is_train")
+
+
 def all_oracles() -> dict[str, str]:
     out = dict(ORACLES)
     for name, fn in _LAZY.items():

@@ -178,6 +178,19 @@ def q_means_and_interaction(spark, sf):
                     rounded("user_item_interaction").alias("user_item_interaction")))
 
 
+@query
+def q_means_and_interaction_batches(spark, sf):
+    """The whole training part, its means carried on over three batches of ratings."""
+    train, _ = _split(spark, sf)
+    batch = F.pmod(F.xxhash64("key"), F.lit(3))
+    kept = written_table(rec.rating_sums(train.where(batch == 0)), "rating-sums")
+    for k in (1, 2):
+        kept = written_table(rec.merge_sums(kept, rec.rating_sums(train.where(batch == k))), "rating-sums")
+    mi = rec.means_and_interaction(train, known=rec.means_of(kept))
+    return mi.select("key", "userId", "movieId", "rating", rounded("user_mean").alias("user_mean"),
+                     rounded("item_mean").alias("item_mean"), rounded("user_item_interaction").alias("user_item_interaction"))
+
+
 @query
 def q_bias_predict(spark, sf):
     train, test = _split(spark, sf)
@@ -204,22 +217,25 @@ def _pair_split(spark, sf):
 @query
 def q_als_rmse(spark, sf):
     train, test = _pair_split(spark, sf)
-    return rec.als_rmse(train, test, b.SEED)
+    return rec.als_rmse(train, test, b.SEED, counted=True).select(F.round("rmse", 4).alias("rmse"), "n_predicted")
 
 
 @query
 def q_als_bias_rmse(spark, sf):
     train, test = _pair_split(spark, sf)
-    return rec.als_bias_rmse(train, test, b.SEED)
+    return rec.als_bias_rmse(train, test, b.SEED, counted=True).select(F.round("rmse", 4).alias("rmse"), "n_predicted")
+
+
+#: SQL writes out the whole fit at this rank, so every predicted value is compared; als_rmse scores the full rank
+PREDICT_RANK = 1
 
 
 @query
 def q_predict_ratings(spark, sf):
     train, test = _pair_split(spark, sf)
-    model = rec.als_fit(train, b.SEED)
-    # which test rows get a prediction; the predicted values are scored by als_rmse
+    model = rec.als_fit(train, b.SEED, rank=PREDICT_RANK)
     return rec.predict_ratings(model, test).select("userId", "movieId", rounded("rating").alias("rating"),
-                                                   F.col("prediction").isNotNull().alias("predicted"))
+                                                   F.round(F.col("prediction").cast("double"), 6).alias("prediction"))
 
 
 # --------------------------------------------------------------------------
