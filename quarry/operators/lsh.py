@@ -2,10 +2,10 @@
 
 Design
 ------
-* Primes come from a segmented sieve written as Spark relations: the
-  multiples of every prime ``q <= sqrt(hi)`` inside ``[lo, hi]`` are
-  generated in bounded chunks with ``explode(sequence(...))`` and removed by
-  an equi left-anti join. Work is ``(hi - lo) * log log hi`` rows.
+* Primes come from a segmented sieve: a task strikes the multiples of the
+  primes up to ``sqrt(hi)`` from the bit set of its segment. Segments are
+  independent, so a range is a map, and starts from a table are dealt to the
+  segments they lie in.
 * A hash family is ``n`` tuples ``(i, a, b, p)``: ``a`` and ``b`` drawn on the
   driver with Python's seeded ``random.randint(1, m)`` (``a`` before ``b``,
   function by function), ``p`` the ``i``-th prime ``>= m``. ``n`` is a
@@ -24,60 +24,89 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.indexing import row_index
-from quarry.session import bounded_side, scratch_dir, written_table
+from quarry.session import bounded_side, scratch_dir, ship_package, written_table
 
 LONG_SAFE = (1 << 63) - 1
 
 
 # ----------------------------------------------------------------- primes
-CHUNK = 1 << 20  # multiples generated by one row: bounds the work of one task
+SEGMENT = 1 << 22   # numbers of a segment, one bit set of a task
+BASE_PART = 1 << 22 # numbers among which base primes are found at a time
 
 
-def _composites(spark: SparkSession, lo: int, hi: int) -> DataFrame:
-    """``(v)``: composite numbers in ``[lo, hi]`` (with repeats).
+def _strike(alive: np.ndarray, lo: int, base: np.ndarray) -> None:
+    """Clear the multiples, from their squares on, of some primes in ``alive``, which starts at ``lo``."""
+    hi = lo + len(alive)
+    for q in base.tolist():
+        if q * q >= hi:
+            break
+        alive[max(q * q, -(-lo // q) * q) - lo:: q] = False
 
-    For each prime ``q <= sqrt(hi)`` its multiples in the range are cut into
-    chunks of at most ``CHUNK`` values; one row per (prime, chunk) is spread
-    over the cluster and then exploded, so the many multiples of a small
-    prime never land in one task.
-    """
+
+def sieve(lo: int, hi: int) -> np.ndarray:
+    """Primes in ``[lo, hi]``: a bit set struck by all primes up to ``sqrt(hi)``, which are
+    themselves sieved part by part, so memory follows the segment and ``BASE_PART``."""
+    lo = max(lo, 2)
+    if hi < lo:
+        return np.zeros(0, dtype=np.int64)
+    alive = np.ones(hi - lo + 1, dtype=bool)
     root = math.isqrt(hi)
-    if root < 2:
-        return spark.range(0).select(F.col("id").alias("v"))
-    small = primes_between(spark, 2, root)
-    q = F.col("q")
-    # integer arithmetic only: the smallest multiple >= lo, and the number of
-    # multiples in [first, hi] (span - span mod q is an exact multiple of q)
-    first = F.greatest(q * q, F.lit(lo).cast("long") + F.pmod(-F.lit(lo).cast("long"), q))
-    span = F.lit(hi).cast("long") - F.col("first")
-    count = ((span - F.pmod(span, q)) / q).cast("long") + 1
-    chunks = (small.select(F.col("p").alias("q")).withColumn("first", first)
-              .where(F.col("first") <= F.lit(hi))
-              .withColumn("n", count)
-              .select("q", "first", "n",
-                      F.explode(F.sequence(F.lit(0).cast("long"),
-                                           F.ceil(F.col("n") / F.lit(CHUNK)).cast("long") - 1)).alias("ch")))
-    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    start = F.col("first") + F.col("ch") * F.lit(CHUNK) * q
-    stop = F.least(start + (F.lit(CHUNK) - 1) * q, F.lit(hi).cast("long"))
-    return (chunks.repartition(n_part)
-            .select(F.explode(F.sequence(start, stop, q)).alias("v")))
+    for at in range(2, root + 1, BASE_PART):
+        _strike(alive, lo, sieve(at, min(root, at + BASE_PART - 1)))
+    return np.flatnonzero(alive) + lo
+
+
+def _segments(lo: int, hi: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(sieve(max(lo, k * SEGMENT), min(hi, (k + 1) * SEGMENT - 1)), pa.int64())], ["p"])
+    return run
 
 
 def primes_between(spark: SparkSession, lo: int, hi: int) -> DataFrame:
-    """``(p)``: all primes in ``[lo, hi]``."""
+    """``(p)``: all primes in ``[lo, hi]``, a segment at a time in every task; nothing is shuffled."""
     lo = max(lo, 2)
     if hi < lo:
         return spark.range(0).select(F.col("id").alias("p"))
-    cand = spark.range(lo, hi + 1).select(F.col("id").alias("p"))
-    comp = _composites(spark, lo, hi)
-    return cand.join(comp, cand.p == comp.v, "left_anti")
+    ship_package(spark)
+    first, last = lo // SEGMENT, hi // SEGMENT
+    n_part = min(last - first + 1, 64 * spark.sparkContext.defaultParallelism)
+    return spark.range(first, last + 1, 1, n_part).mapInArrow(_segments(lo, hi), "p long")
+
+
+def _following(n: int):
+    def run(starts: pa.Table) -> pa.Table:
+        start = np.unique(starts["start"].to_numpy())
+        last, primes, end = int(start[-1]), np.zeros(0, dtype=np.int64), int(start[0]) - 1
+        step = max(64, int(2 * n * math.log(last + n)))   # about twice the gap of n primes
+        while len(primes) - np.searchsorted(primes, last) < n:
+            upto = max(end, last) + step
+            primes = np.concatenate([primes, sieve(end + 1, upto)])
+            end = upto
+        place = np.searchsorted(primes, start)[:, None] + np.arange(n)[None, :]
+        return pa.table({"start": np.repeat(start, n), "i": pa.array(np.tile(np.arange(n), len(start)), pa.int32()), "p": primes[place].ravel()})
+    return run
+
+
+def primes_from(starts: DataFrame, col: str, n: int) -> DataFrame:
+    """``(start, i, p)``: the ``n`` smallest primes >= each different value of ``col``; values below 2 start at 2.
+
+    Starts of one segment share a bit set: distinct starts are dealt by segment
+    (so a group has at most ``SEGMENT`` of them) and its task sieves on until the
+    last start has its primes. Null starts have no rows."""
+    ship_package(starts.sparkSession)
+    at = F.greatest(F.col(col).cast("long"), F.lit(2).cast("long"))
+    return (starts.where(F.col(col).isNotNull()).select(at.alias("start")).distinct()
+            .groupBy(F.floor(F.col("start") / SEGMENT).alias("segment")).applyInArrow(_following(n), "start long, i int, p long"))
 
 
 # fixed values: bases that make Miller-Rabin exact below 3,215,031,751 and below 3.3e24
@@ -293,16 +322,24 @@ def band_plan(requests: DataFrame, n: str = "n", s: str = "s") -> DataFrame:
 
     ``b`` is the largest integer in ``[1, n]`` with ``b * ln b <= -n * ln s``,
     i.e. ``floor(exp(W(-n ln s)))`` without a Lambert-W; then ``r = n div b``,
-    ``n_real = r * b`` and ``s_real = (1/b)^(1/r)``. A per-row fold over
-    ``1..n``; no join, no shuffle. Rows without a threshold in (0, 1] or
-    without a hash function have no plan and give nulls.
+    ``n_real = r * b`` and ``s_real = (1/b)^(1/r)``. ``b * ln b`` rises with
+    ``b``, so each row bisects ``[1, n]``, a step for each bit of ``n``; no join,
+    no shuffle. Rows without a threshold in (0, 1] or without a hash function
+    have no plan and give nulls.
     """
     valid = (F.col(n) >= 1) & (F.col(s) > 0) & (F.col(s) <= 1)
     nn, ss = F.when(valid, F.col(n).cast("long")), F.when(valid, F.col(s).cast("double"))
     limit = -nn.cast("double") * F.log(ss)
-    bcol = F.aggregate(F.sequence(F.lit(1).cast("long"), nn), F.lit(0).cast("long"),
-                       lambda acc, x: F.when(x.cast("double") * F.log(x.cast("double")) <= limit, x)
-                       .otherwise(acc))
+
+    def add(limit: Column):
+        def step(found: Column, power: Column) -> Column:
+            b = found + power
+            return F.when((b <= nn) & (b.cast("double") * F.log(b.cast("double")) <= limit), b).otherwise(found)
+        return step
+
+    # bit by bit from the highest of n; the limit is bound once, not computed at every step
+    powers = F.transform(F.sequence(F.length(F.bin(nn)) - 1, F.lit(0), F.lit(-1)), lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i))
+    bcol = F.transform(F.array(limit), lambda x: F.aggregate(powers, F.lit(0).cast("long"), add(x)))[0]
     out = requests.withColumn("b", bcol)
     out = out.withColumn("r", (F.col(n).cast("long") / F.col("b")).cast("long"))
     out = out.withColumn("n_real", F.col("r") * F.col("b"))

@@ -171,7 +171,7 @@ TRADE_PAIRS = """SELECT DISTINCT n1.n_name AS entity1, n2.n_name AS entity2
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation n1 ON s_nationkey = n1.n_nationkey JOIN nation n2 ON c_nationkey = n2.n_nationkey
-  WHERE n1.n_name < n2.n_name AND n1.n_regionkey = n2.n_regionkey"""
+  WHERE n1.n_name < n2.n_name"""
 
 
 def start_sql(k: int, seed: int = 123) -> str:
@@ -313,6 +313,17 @@ SELECT CAST(row_number() OVER (ORDER BY p) - 1 AS INTEGER) AS i, p FROM (
   SELECT v AS p FROM range((SELECT count(*) FROM part), (SELECT count(*) FROM part) + 100000) t(v)
   WHERE v >= 2 AND {NO_DIVISOR.format(k='v')} ORDER BY v LIMIT 50)"""
 
+# all primes to a little beyond the largest price, then the three that follow each price
+ORACLES["primes_from"] = """
+WITH st AS (SELECT DISTINCT greatest(CAST(floor(o_totalprice) AS BIGINT), 2) AS start FROM orders),
+top AS (SELECT max(start) + 2000 AS hi FROM st),
+base AS MATERIALIZED (SELECT v AS q FROM range(2, (SELECT CAST(floor(sqrt(hi)) AS BIGINT) + 1 FROM top)) t(v)
+  WHERE NOT EXISTS (SELECT 1 FROM range(2, CAST(floor(sqrt(v)) AS BIGINT) + 1) d(d) WHERE v % d = 0)),
+comp AS (SELECT DISTINCT unnest(range(q * q, (SELECT hi FROM top) + 1, q)) AS v FROM base),
+pr AS MATERIALIZED (SELECT v AS p, row_number() OVER (ORDER BY v) AS k FROM range(2, (SELECT hi FROM top) + 1) t(v) WHERE v NOT IN (SELECT v FROM comp)),
+f AS (SELECT start, k FROM st ASOF JOIN pr ON st.start <= pr.p)
+SELECT start, CAST(pr.k - f.k AS INTEGER) AS i, p FROM f JOIN pr ON pr.k BETWEEN f.k AND f.k + 2"""
+
 PART_M = "SELECT count(*) FROM part"
 PART_IDX = "(SELECT p_partkey AS feature, row_number() OVER (ORDER BY p_partkey) - 1 AS idx FROM part)"
 
@@ -361,10 +372,9 @@ def o_lsh_buckets():
 
 
 ORACLES["lsh_band_plan"] = """
-WITH req AS (SELECT DISTINCT CAST(p_size + 50 AS BIGINT) AS n,
-                    0.5::DOUBLE + CAST(p_size % 5 AS DOUBLE) / 10.0::DOUBLE AS s FROM part),
-bb AS (SELECT n, s, (SELECT max(b) FROM range(1, n + 1) t(b)
-                     WHERE CAST(b AS DOUBLE) * ln(CAST(b AS DOUBLE)) <= -CAST(n AS DOUBLE) * ln(s)) AS b FROM req)
+WITH req AS (SELECT DISTINCT CAST(l_partkey AS BIGINT) AS n, 1.0::DOUBLE - l_discount AS s FROM lineitem),
+bb AS (SELECT n, s, list_max(list_filter(range(1, n + 1),
+    lambda b: CAST(b AS DOUBLE) * ln(CAST(b AS DOUBLE)) <= -CAST(n AS DOUBLE) * ln(s))) AS b FROM req)
 SELECT n, round(s, 9) AS s, b, n // b AS r, (n // b) * b AS n_real,
        round(pow(1.0::DOUBLE / b, 1.0::DOUBLE / (n // b)), 9) AS s_real FROM bb"""
 

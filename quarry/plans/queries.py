@@ -371,6 +371,13 @@ def q_next_primes(spark, sf):
     return lsh.next_primes(spark, N_PRIMES, m)
 
 
+@query
+def q_primes_from(spark, sf):
+    """The three primes that follow each order's price in whole units."""
+    o = Tables(spark, sf).orders.select(F.floor("o_totalprice").alias("price"))
+    return lsh.primes_from(o, "price", 3)
+
+
 def _part_family(spark, sf, n):
     m = Tables(spark, sf).part.count()
     return lsh.hash_family(spark, b.SEED, n, m), m
@@ -417,9 +424,8 @@ def q_lsh_buckets(spark, sf):
 
 @query
 def q_lsh_band_plan(spark, sf):
-    p = Tables(spark, sf).part
-    req = p.select((F.col("p_size") + 50).cast("long").alias("n"),
-                   (F.lit(0.5) + (F.col("p_size") % 5).cast("double") / F.lit(10.0)).alias("s")).distinct()
+    """Requests of the line items: part key as number of hash functions, discount below 1 as threshold."""
+    req = Tables(spark, sf).lineitem.select(F.col("l_partkey").cast("long").alias("n"), (F.lit(1.0) - F.col("l_discount")).alias("s")).distinct()
     out = lsh.band_plan(req)
     return out.select("n", rounded("s", 9).alias("s"), "b", "r", "n_real",
                       rounded("s_real", 9).alias("s_real"))

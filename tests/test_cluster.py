@@ -232,3 +232,20 @@ def test_bounds_spare_measurements(monkeypatch):
     shift = np.sqrt(((new.sums / new.sizes - first.sums / first.sizes) ** 2).sum(axis=0))
     out = next(lloyd._assign(new, shift, False)([batch(state)]))
     assert measured == [150] and out.column("keys")[0].as_py() == [9] and out.column("sums")[0].as_py() == [0.0]
+
+
+def test_sq_distance_over_pages(spark, monkeypatch):
+    """Several pages, entities that share none, repeated and unknown entities, sign bits, string features."""
+    monkeypatch.setattr(ic, "PAGE", 2)
+    rng = np.random.default_rng(6)
+    vecs = {f"e{i}": {f"f{f:04d}" for f in rng.choice(700, size=int(rng.integers(0, 500)), replace=False)} for i in range(12)}
+    vecs["all"] = {f"f{f:04d}" for f in range(700)}
+    inc = _inc(spark, {k: {int(x[1:]) for x in v} for k, v in vecs.items()})
+    names = sorted(vecs)
+    asked = [(a, b) for a in names for b in names[::3]] + [("e1", "none"), ("none", "none"), ("e1", "e2")]
+    pairs = spark.createDataFrame(asked, "entity1 STRING, entity2 STRING")
+    for table in (inc, inc.unionByName(inc), inc.withColumn("feature", inc["feature"].cast("string"))):
+        got = ic.sq_distance(table, pairs).collect()
+        assert len(got) == len(set(asked))
+        for r in got:
+            assert r.distance == len(vecs.get(r.entity1, set()) ^ vecs.get(r.entity2, set()))

@@ -77,8 +77,8 @@ def test_row_index_orders_globally(spark):
     assert got == {f"w{i:03d}": i for i in range(200)}
 
 
-def test_chunked_sieve_small_chunks(spark, monkeypatch):
-    monkeypatch.setattr(lsh, "CHUNK", 7)
+def test_sieve_in_small_segments(spark, monkeypatch):
+    monkeypatch.setattr(lsh, "SEGMENT", 7)
     got = sorted(r.p for r in lsh.primes_between(spark, 2, 3000).collect())
     want = [v for v in range(2, 3001) if all(v % d for d in range(2, math.isqrt(v) + 1))]
     assert got == want
@@ -173,3 +173,46 @@ def test_band_plan_without_a_valid_threshold(spark):
     got = {(r.n, r.s): (r.b, r.r) for r in lsh.band_plan(df).collect()}
     assert got[(10, 1.5)] == got[(10, 0.0)] == got[(0, 0.5)] == (None, None)
     assert got[(10, 1.0)] == (1, 10) and got[(100, 0.8)] == (9, 11)
+
+
+def _primes(lo, hi):
+    return [v for v in range(max(lo, 2), hi + 1) if all(v % d for d in range(2, int(v**0.5) + 1))]
+
+
+def test_sieve_of_segments(spark, monkeypatch):
+    from quarry.operators import lsh as mod
+
+    for lo, hi in ((0, 100), (2, 2), (3, 2), (90, 97), (9973, 10200), (121, 169), (10**6, 10**6 + 200)):
+        assert mod.sieve(lo, hi).tolist() == _primes(lo, hi)
+    assert mod.sieve(10**12, 10**12 + 100).tolist() == [10**12 + d for d in (39, 61, 63, 91)]
+    monkeypatch.setattr(mod, "SEGMENT", 50)
+    monkeypatch.setattr(mod, "BASE_PART", 7)
+    assert mod.sieve(5000, 5200).tolist() == _primes(5000, 5200)
+    assert sorted(r.p for r in mod.primes_between(spark, 80, 3000).collect()) == _primes(80, 3000)
+
+
+def test_primes_from_starts(spark):
+    starts = [None, -5, 0, 2, 3, 8, 8, 8, 113, 114, 10**6, lsh.SEGMENT - 1, lsh.SEGMENT, 10**9]
+    df = spark.createDataFrame([(s,) for s in starts], "c LONG")
+    got = {}
+    for r in lsh.primes_from(df, "c", 3).collect():
+        got.setdefault(r.start, {})[r.i] = r.p
+    assert set(got) == {max(s, 2) for s in starts if s is not None}
+    for s, ps in got.items():
+        assert [ps[i] for i in range(3)] == _primes(s, s + 400)[:3]
+    assert lsh.primes_from(df.where("false"), "c", 3).count() == 0
+
+
+def test_band_plan_for_very_many_functions(spark):
+    import math
+
+    rows = [(n, s) for n in (1, 2, 3, 1000, 10**6, 10**9, 10**12) for s in (1e-300, 0.001, 0.5, 0.8, 0.999999, 1.0)]
+    for r in lsh.band_plan(spark.createDataFrame(rows + [(None, 0.5), (0, 0.5), (5, 0.0), (5, 1.5)], "n LONG, s DOUBLE")).collect():
+        if r.n is None or r.n < 1 or not 0 < r.s <= 1:
+            assert r.b is None
+            continue
+        limit = -r.n * math.log(r.s)
+        slack = 1e-9 * max(1.0, limit)
+        assert 1 <= r.b <= r.n and r.b * math.log(r.b) <= limit + slack
+        assert r.b == r.n or (r.b + 1) * math.log(r.b + 1) > limit - slack
+        assert r.r == r.n // r.b and r.n_real == r.r * r.b
