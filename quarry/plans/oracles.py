@@ -471,6 +471,9 @@ def all_oracles() -> dict[str, str]:
 PART_CSV = (f"SELECT p_partkey, concat_ws(', ', p_name, p_brand) AS label, {PARK} AS park, "
             "p_size, p_retailprice FROM part")
 ORACLES["scan_csv"] = PART_CSV
+ORACLES["scan_csv_multiline"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, concat('say "', l_returnflag, '",', chr(10), l_linestatus, ', then', chr(13), chr(10), l_linestatus) AS note,
+       CAST(l_quantity AS DOUBLE) AS l_quantity FROM lineitem"""
 ORACLES["skip_header"] = PART_CSV
 ORACLES["parse_delimited"] = f"SELECT userId, movieId, rating, key FROM {RATINGS} r"
 ORACLES["parse_ragged"] = ORACLES["baskets"]

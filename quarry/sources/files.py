@@ -24,7 +24,9 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None, he
     Without a ``schema`` every column is a string named by the header (no
     type inference pass).
 
-    ``multiline`` lets a quoted field span lines (then a file is one split).
+    ``multiline`` lets a quoted field span lines. A file is then still read by
+    as many tasks as it has splits (``csv_records``); such records, but no
+    lines, are put together across splits. Always exact drops.
     With DROPMALFORMED, Spark's CSV column pruning parses only the selected
     columns, so a record with a wrong number of fields would still be counted
     (a bare row count parses none). ``exact_drops`` (default: on under
@@ -36,18 +38,45 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None, he
     original DataFrame code saw it); a file written with another null marker
     keeps ``''`` and null apart.
     """
+    if multiline:
+        return _scan_multiline(spark, path, schema, header, mode.upper(), null_value)
     if exact_drops is None:
         exact_drops = mode.upper() == "DROPMALFORMED"
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if exact_drops:
         reader = reader.option("columnPruning", False)
     return (reader
-            .option("header", header).option("mode", mode)
-            .option("multiLine", multiline).option("escape", '"')
+            .option("header", header).option("mode", mode).option("escape", '"')
             .option("nullValue", null_value)
             .csv(path))
 
 
+BAD = "__malformed"
+
+
+def _scan_multiline(spark: SparkSession, path: str, schema: StructType | str | None, header: bool, mode: str, null_value: str) -> DataFrame:
+    """Records of all lines parsed one by one; those that don't fit the schema are dropped, nulled or raise, by ``mode``."""
+    from quarry.sources.csv_records import csv_records
+
+    if schema is None:  # names from the first record, all columns strings
+        schema = spark.read.option("header", header).option("multiLine", True).option("escape", '"').csv(path).schema
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    records = csv_records(spark, path, header)
+    options = {"escape": '"', "nullValue": null_value, "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    text = F.coalesce("value", F.lit('"'))  # too long: malformed
+    parsed = records.select(F.from_csv(text, _ddl(fields.add(BAD, "string")), options).alias("r"))
+    if mode == "FAILFAST":
+        failed = F.raise_error(F.concat(F.lit("malformed CSV record: "), F.substring(F.col("r")[BAD], 1, 200)))
+        parsed = parsed.where(F.when(F.col("r")[BAD].isNull(), F.lit(True)).otherwise(failed.cast("boolean")))
+    elif mode == "DROPMALFORMED":
+        parsed = parsed.where(F.col("r")[BAD].isNull())
+    return parsed.select("r.*").drop(BAD)
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def scan_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per line, column ``value``."""
     return spark.read.text(path)

@@ -160,3 +160,88 @@ def test_to_csv_lines_doubles_like_python(spark):
     df = spark.createDataFrame([(f"r{i}", v) for i, v in enumerate(vals)], "k STRING, x DOUBLE")
     got = {r.line for r in sk.to_csv_lines(df).collect()}
     assert got == {f"r{i},{v}" for i, v in enumerate(vals)}
+
+
+def _random_csv(rng, n, end="\n"):
+    out = ["id,note,n"]
+    for i in range(n):
+        parts = [rng.choice(["x", 'q""q', "line" + end + "break", "c,c", "", "é漢", end, " ", '""'] + ["word"] * 6) for _ in range(rng.randrange(12))]
+        note = '"' + "".join(parts) + '"' if rng.random() < 0.6 else rng.choice(["plain", "", 'in"side', 'two"q"uotes'])
+        out.append(rng.choice([f"{i},{note},{i % 7}"] * 8 + [f'"{i}",{note},"{i % 7}"', f"{i},{note}", f"{i},{note},x,9", ""]))
+    return end.join(out) + (end if rng.random() < 0.5 else "")
+
+
+@pytest.mark.parametrize("size", [61, 401, 4096])
+def test_multiline_csv_over_splits_equals_one_task(spark, tmp_dir, size):
+    """Splits that end anywhere in a record give what one task reads, with several files and both line ends."""
+    import random
+
+    rng = random.Random(size)
+    for k, end in enumerate(("\n", "\r\n", "\n")):
+        _write(os.path.join(tmp_dir, f"f{k}.csv"), _random_csv(rng, 20 if size < 100 else 90, end))
+    _write(os.path.join(tmp_dir, "empty.csv"), "")
+    _write(os.path.join(tmp_dir, "head.csv"), "id,note,n\n")
+    whole = (spark.read.schema("id INT, note STRING, n INT").option("header", True).option("multiLine", True).option("escape", '"')
+             .option("mode", "DROPMALFORMED").option("columnPruning", False).option("nullValue", "").csv(tmp_dir))
+    def plain(df):  # Spark's own reader turns the two-character line end inside quotes into one
+        return sorted(str(r).replace("\\r\\n", "\\n") for r in df.collect())
+
+    want = plain(whole)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, str(size))
+    try:
+        got = src.scan_csv(spark, tmp_dir, "id INT, note STRING, n INT", multiline=True)
+        assert plain(got) == want and len(want) > 30
+        assert got.count() == len(want)
+        assert spark.read.text(tmp_dir).rdd.getNumPartitions() >= (10 if size < 400 else 3)
+    finally:
+        for n, v in zip(names, old):
+            spark.conf.set(n, v)
+
+
+def test_multiline_csv_names_modes_and_open_quote(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "m.csv")
+    _write(p, 'id,note\n1,"a\nb"\n2\n3,"never closed\n4,x\n')
+    assert src.scan_csv(spark, p, None, multiline=True).columns == ["id", "note"]
+    rows = src.scan_csv(spark, p, "id INT, note STRING", mode="PERMISSIVE", multiline=True).collect()
+    assert (1, "a\nb") in [tuple(r) for r in rows] and (2, None) in [tuple(r) for r in rows]
+    with pytest.raises(Exception, match="malformed CSV record"):
+        src.scan_csv(spark, p, "id INT, note STRING", mode="FAILFAST", multiline=True).collect()
+
+
+def test_line_as_function_of_the_open_quote():
+    from quarry.sources.csv_records import inside_after
+
+    cases = {'a,b': (0, 1), '"a': (1, 0), 'a"b': (0, 0), '"a"': (0, 0), '"a""': (1, 1), '"a"",': (1, 1), 'x,"y': (1, 0), 'y",z': (0, 0),
+             'y","z': (0, 1), '"a",b"c,"d': (1, 0), '""': (0, 1), '': (0, 1), ',,"': (1, 0), '"x"y,"z': (1, 1), 'a,"b","c""': (1, 1)}
+    for line, ends in cases.items():
+        for before in (False, True):
+            got = inside_after(line, before)
+            # by hand: character by character
+            state, at_start, i = before, not before, 0
+            while i < len(line):
+                c = line[i]
+                if state:
+                    if c == '"':
+                        if line[i + 1: i + 2] == '"':
+                            i += 1
+                        else:
+                            state, at_start = False, False
+                elif c == '"' and at_start:
+                    state = True
+                else:
+                    at_start = c == ","
+                i += 1
+            assert got == state, (line, before)
+
+
+def test_record_too_long_is_null():
+    from quarry.sources import csv_records as cr
+
+    cut = cr._Cutter("f", 0, False)
+    rows = cut.add(['1,"a', "x" * (cr.MAX_RECORD + 1), 'b",2', "3,c"]) + cut.rest()
+    assert [(r[2], r[4]) for r in rows] == [(0, None), (0, "3,c")]
+    cut = cr._Cutter("f", 9, True)
+    assert [(r[2], r[4]) for r in cut.add(["x", "y"]) + cut.rest()] == [(2, "x\ny")]
