@@ -36,7 +36,7 @@ from quarry.llm import rolling as r
 from quarry.llm.common import Scratch, attach, id_or_last, id_or_null, n_buckets, row_tag, ship_package
 
 WINDOW, GRAM = 13, 3
-FLUSH = 600_000  # windows that a map task packs at a time
+FLUSH = 200_000  # windows that a map task packs at a time
 
 _PACK = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("tags", pa.binary()), ("runs", pa.binary()),
                    ("p0", pa.binary()), ("cnt", pa.binary()), ("seed", pa.binary()), ("wh", pa.binary())])
@@ -147,8 +147,7 @@ def _map(n, k, b):
             own = int(wh[0] % r.U64(b))
             rows += [(-1 - own, *y[1:]) for y in _pack(lambda s: np.zeros(len(s), dtype=np.int64), ids[x], tags[x], p[x],
                                                        anchor[x], seed[x], wh[x], 0)]
-        for y in rows:
-            yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(y, _PACK, strict=True)], schema=_PACK)
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), _PACK, strict=True)], schema=_PACK)
 
     def run(batches):
         parts, held, slice_no = [], 0, 0
