@@ -17,8 +17,8 @@ the texts below and above it.
 
 Scale. Tasks add up their own counts before the shuffle. The character model
 grows with the corpus: it is a written table, made by joins on n-gram, context
-and suffix, and never sent whole. Texts are dealt to parts of bounded size,
-compressed; each part asks for its different n-grams, the probabilities are
+and suffix, and never sent whole. Texts are dealt to parts of ``PART`` bytes,
+about, counted from the input and compressed; each part asks for its different n-grams, the probabilities are
 joined by n-gram key and come back to the part. Only the class model, at most
 32 ** ORDER n-grams, is broadcast. Keys are exact where all characters lie
 below U+1000, else 63 bits of a hash. Medians come from exact counts over fixed
@@ -33,17 +33,19 @@ kept; other columns are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import rolling as r
-from quarry.llm.common import Scratch, attach, n_buckets, ship_package
+from quarry.llm.common import Scratch, attach, n_buckets, sent_whole, ship_package
 
 ORDER = 4
 LONG = 5      # characters of the longest n-gram; its keys are packed for five
 SLICE = 1 << 20   # bytes of text taken at a time
 HELD = 1 << 20    # counted n-grams a task holds before it adds them up
+PART = 16 << 20   # bytes of text of a part, about
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SPREAD = 8.0
 STEP = 1000   # log perplexity is counted in steps of 1 / STEP
@@ -234,6 +236,13 @@ class KneserNey:
         return np.log(np.maximum(p, 1e-12))
 
 
+def _different(k):
+    """Different keys in order of their first place, the number of each key among them, and their counts: a hash table,
+    as a slice of text has ten times as many n-grams as different ones."""
+    at, found = pd.factorize(k)
+    return found, at, np.bincount(at, minlength=len(found))
+
+
 def _added(held):
     """Sorted keys of several counted slices, and the sums of their counts."""
     k, n = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -264,7 +273,7 @@ def _count_long(batches):
                 yield _counted(*pack([x[wide[at]] for x in cs]), n)
                 k = np.delete(k, wide)
             if len(k):
-                held.append(np.unique(k, return_counts=True))
+                held.append(_different(k)[::2])
                 size += len(held[-1][0])
             if size >= HELD:
                 yield give(held)
@@ -365,11 +374,16 @@ def _dealt(table):
 
 
 def _asked(table):
-    """The different n-grams of a part."""
-    found = np.zeros(0, dtype=np.uint64)
+    """The different n-grams of a part. Sorted runs are merged in levels, each with one of its own size at most."""
+    runs = []
     for rows in _dealt(table):
         for _i, _j, _d, _o, c, off in _slices(rows.column(2)):
-            found = np.unique(np.concatenate([found, np.unique(keys(list(_before(c, off, LONG))))]))
+            runs.append(np.sort(pd.unique(keys(list(_before(c, off, LONG))))))
+            while len(runs) > 1 and len(runs[-2]) < 2 * len(runs[-1]):
+                runs.append(np.union1d(runs.pop(), runs.pop()))
+    while len(runs) > 1:
+        runs.append(np.union1d(runs.pop(), runs.pop()))
+    found = runs[0] if runs else np.zeros(0, dtype=np.uint64)
     part = table.column("part")[0].as_py()
     return pa.table([pa.array(np.full(len(found), part, dtype=np.int32)), pa.array(found.view(np.int64))], names=["part", "key"])
 
@@ -437,11 +451,11 @@ def _score(table, answers):
             size = np.diff(off)
             if not len(c):
                 continue
-            k = keys(list(_before(c, off, LONG)))
+            k, of, _ = _different(keys(list(_before(c, off, LONG))))
             at = np.minimum(np.searchsorted(known, k), len(known) - 1) if len(known) else np.zeros(0, dtype=np.int64)
             if len(at) != len(k) or (known[at] != k).any():
                 raise ValueError("an n-gram of a text isn't in the model: the input changed between two reads")
-            sums = np.bincount(np.repeat(np.arange(j - i), size), weights=log_p[at], minlength=j - i)
+            sums = np.bincount(np.repeat(np.arange(j - i), size), weights=log_p[at][of], minlength=j - i)
             ppl[i:j] = np.where(size > 0, -sums / np.maximum(size, 1), np.nan)
         out.append(pa.RecordBatch.from_arrays([rows.column(0), rows.column(1).cast(pa.string()), *(pa.array(base[:, k]) for k in range(5)),
                                                pa.array(ppl, mask=np.isnan(ppl))], schema=_SCORED))
@@ -450,7 +464,8 @@ def _score(table, answers):
 
 def with_log_ppl(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``_id``, ``_lang``, the base figures and ``log_ppl`` of every row."""
-    parts = n_buckets(docs.sparkSession, 0.5)
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
+    parts = max(n_buckets(docs.sparkSession, 0.5), -(-size // PART))
     part = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)), F.lit(parts)).cast("int").alias("part")
     texts = docs.select(part, F.col(id_col).cast("long").alias("_id"), F.col(lang_col).cast("string").alias("_lang"),
                         F.col(text_col).alias("_text")).mapInArrow(_deal, "part int, body binary")
@@ -472,8 +487,9 @@ def bands(scored: DataFrame, spread: float = SPREAD) -> DataFrame:
     """``(_lang, low, high)`` from the texts that pass the base rules."""
     passed = scored.where("NOT base_failed AND log_ppl IS NOT NULL").select(
         F.coalesce("_lang", F.lit("\0")).alias("_lang"), F.round(F.col("log_ppl") * STEP).cast("long").alias("v"))
-    middle = _median(passed, "v", "mid")
-    off = passed.join(middle, "_lang").withColumn("d", F.abs(F.col("v") - F.col("mid")))
+    scratch = Scratch(scored.sparkSession)
+    middle = scratch.write(_median(passed, "v", "mid"), "quality-middle")  # a row a language
+    off = passed.join(sent_whole(middle, F.octet_length("_lang")), "_lang").withColumn("d", F.abs(F.col("v") - F.col("mid")))
     below = _median(off.where("v <= mid"), "d", "below")
     above = _median(off.where("v >= mid"), "d", "above")
     # a language of a few equal texts still gets a band of 0.1
@@ -490,7 +506,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     model = ngram_model(docs, text_col)
     scored = Scratch(docs.sparkSession).write(
         with_log_ppl(docs, model, id_col, text_col, lang_col).withColumn("base_failed", failed), "quality-scored")
-    limits = bands(scored, spread).withColumnRenamed("_lang", "_key")
+    limits = Scratch(docs.sparkSession).write(bands(scored, spread).withColumnRenamed("_lang", "_key"), "quality-bands")
+    limits = sent_whole(limits, F.octet_length("_key"))  # few languages, of any size: the texts stay where they are
     ok = F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(False))
     return scored.join(limits, F.coalesce("_lang", F.lit("\0")) == F.col("_key"), "left").select(
         F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
