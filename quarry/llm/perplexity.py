@@ -45,7 +45,7 @@ ORDER = 4
 LONG = 5      # characters of the longest n-gram; its keys are packed for five
 SLICE = 1 << 20   # bytes of text taken at a time
 HELD = 1 << 20    # counted n-grams a task holds before it adds them up
-PART = 16 << 20   # bytes of text of a part, about
+PART = 32 << 20   # bytes of text of a part, about
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SPREAD = 8.0
 STEP = 1000   # log perplexity is counted in steps of 1 / STEP
