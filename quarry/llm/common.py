@@ -7,15 +7,10 @@ document for "smallest id" rules.
 
 from __future__ import annotations
 
-import io
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import quarry
-from quarry.session import fresh_path
+from quarry.session import fresh_path, ship_package  # noqa: F401
 
 #: fixed values: the six ASCII white-space characters of the contracts, [\x20\x09-\x0D]
 WHITE = " \t\n\x0b\x0c\r"
@@ -29,30 +24,6 @@ BROADCAST_BYTES = 24 << 20
 BROADCAST_ROWS = 400_000
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Makes this package importable for Python workers that were not given it
-    (``--py-files``, ``PYTHONPATH``): once per application, its source goes as
-    a zip below the shared folder and from there to the executors."""
-    sc = spark.sparkContext
-    root = Path(quarry.__file__).parent
-    if sc.applicationId in _shipped or not root.is_dir():
-        return
-    held = io.BytesIO()
-    with zipfile.ZipFile(held, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    path = f"{fresh_path(spark, 'package')}/quarry_source.zip"
-    to = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = to.getFileSystem(spark._jsc.hadoopConfiguration()).create(to)
-    out.write(bytearray(held.getvalue()))
-    out.close()
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
-
-
 class Scratch:
     """Tables written once below the shared checkpoint folder.
 
