@@ -372,7 +372,7 @@ def o_lsh_buckets():
 
 
 ORACLES["lsh_band_plan"] = """
-WITH req AS (SELECT DISTINCT CAST(l_partkey AS BIGINT) AS n, 1.0::DOUBLE - l_discount AS s FROM lineitem),
+WITH req AS (SELECT DISTINCT CAST(l_partkey AS BIGINT) + 1 AS n, 1.0::DOUBLE - l_discount AS s FROM lineitem),
 bb AS (SELECT n, s, list_max(list_filter(range(1, n + 1),
     lambda b: CAST(b AS DOUBLE) * ln(CAST(b AS DOUBLE)) <= -CAST(n AS DOUBLE) * ln(s))) AS b FROM req)
 SELECT n, round(s, 9) AS s, b, n // b AS r, (n // b) * b AS n_real,

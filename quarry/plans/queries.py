@@ -424,8 +424,8 @@ def q_lsh_buckets(spark, sf):
 
 @query
 def q_lsh_band_plan(spark, sf):
-    """Requests of the line items: part key as number of hash functions, discount below 1 as threshold."""
-    req = Tables(spark, sf).lineitem.select(F.col("l_partkey").cast("long").alias("n"), (F.lit(1.0) - F.col("l_discount")).alias("s")).distinct()
+    """Requests of the line items: part key + 1 as number of hash functions, discount below 1 as threshold."""
+    req = Tables(spark, sf).lineitem.select((F.col("l_partkey").cast("long") + 1).alias("n"), (F.lit(1.0) - F.col("l_discount")).alias("s")).distinct()
     out = lsh.band_plan(req)
     return out.select("n", rounded("s", 9).alias("s"), "b", "r", "n_real",
                       rounded("s_real", 9).alias("s_real"))
