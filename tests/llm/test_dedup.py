@@ -109,9 +109,27 @@ def test_seed_dedup(docs, rows, empty):
     assert seed_dedup.seed_dedup(empty).count() == 0
 
 
-def test_seed_dedup_across_flushes(docs, rows, monkeypatch):
-    monkeypatch.setattr(seed_dedup, "FLUSH", 100)
-    assert got(seed_dedup.seed_dedup(docs), "n_words", "n_removed", "kept_text") == Counter(brute.seed_dedup(texts(rows)))
+def test_seed_dedup_across_flushes(docs, rows):
+    assert got(seed_dedup.seed_dedup(docs, flush=20), "n_words", "n_removed", "kept_text") == Counter(brute.seed_dedup(texts(rows)))
+    with pytest.raises(ValueError, match="gram"):
+        seed_dedup.seed_dedup(docs, n=3, k=4)
+
+
+def test_extension_compares_words_beyond_the_anchor():
+    """Runs with one anchor; each differs from the others in one word before or after it."""
+    import numpy as np
+
+    n, k, off = 5, 2, 3
+    words = [list(range(10, 18)) for _ in range(8)]  # an anchor of words 13 and 14, four windows
+    for i, j in enumerate((0, 1, 2, 5, 6, 7)):
+        words[i + 1][j] = 100 + i
+    hit = seed_dedup.extend(np.array(words).ravel(), np.arange(8) * 8, np.full(8, off), np.full(8, 4), np.arange(8), n, k)
+    seen, want = set(), []
+    for w in words:
+        grams = [tuple(w[p: p + n]) for p in range(4)]
+        want += [g in seen for g in grams]
+        seen.update(grams)
+    assert hit.tolist() == want
 
 
 def test_seed_dedup_rows_without_id_keep_their_own_marks(spark):
