@@ -9,11 +9,11 @@ Method. Efraimidis-Spirakis sampling: a document's key is ``-ln(u) / w`` with
 every document of the source; the rest of the target takes documents by rising
 key until their words, prefix-summed, reach it; the last is taken in part.
 
-Scale. Targets come from one row per source. Keys are cut into value buckets,
-about ``BUCKET_ROWS`` rows each, by a monotone map of the key to (0, 1); bucket
-totals are prefix-summed per source and each bucket is sorted on its own, so a
-source with a third of all rows is spread over many tasks. Texts are not
-shuffled.
+Scale. Targets come from one row per source. Rows are range-partitioned by
+source and key into buckets of about ``BUCKET_ROWS`` rows, whatever the weights
+do to the keys; bucket totals are prefix-summed per source and each bucket is
+sorted on its own, so a source with a third of all rows is spread over many
+tasks. Where the edges fall doesn't change the result. Texts are not shuffled.
 
 Edge cases. A null text has no words and takes none. A null source is a source
 of its own. Rows that repeat (same id, source and words) are separate rows and
@@ -97,17 +97,19 @@ def _drawn(docs, id_col, text_col, source_col, weights, max_epochs, seed, bucket
                                  weights, max_epochs), "mix-aims")
     budget = F.round("target").cast("long")
     plan = aims.select(
-        "src", "source_size", "target", F.ceil(F.col("docs") / bucket_rows).alias("parts"),
+        "src", "source_size", "target",
         F.when(F.col("source_size") > 0, F.floor(budget / F.greatest("source_size", F.lit(1)))).otherwise(F.lit(0)).alias("epochs"),
     ).withColumn("extra", budget - F.col("epochs") * F.col("source_size"))
-    # smaller keys first: 1 - exp(-key) is their place in (0, 1)
-    placed = rows.join(plan.select("src", "parts"), "src").withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * F.col("parts"))).drop("parts")
+    n_rows = aims.agg(F.sum("docs")).first()[0] or 0
+    placed = scratch.write(rows.repartitionByRange(max(1, -(-n_rows // bucket_rows)), "src", "key", "_id", "size")
+                           .withColumn("bin", F.spark_partition_id()), "mix-placed")
+    scratch.drop(rows)
     order = Window.partitionBy("src").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     starts = (placed.groupBy("src", "bin").agg(F.sum("size").alias("words"))
               .withColumn("start", F.coalesce(F.sum("words").over(order), F.lit(0))).drop("words"))
     within = Window.partitionBy("src", "bin").orderBy("key", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     done = (placed.withColumn("upto", F.sum("size").over(within))
-            .join(starts.join(plan.drop("parts"), "src"), ["src", "bin"])
+            .join(starts.join(plan, "src"), ["src", "bin"])
             .withColumn("upto", F.col("upto") + F.col("start") - F.col("size")))
     return done.withColumn("part", F.least(F.col("size"), F.greatest(F.col("extra") - F.col("upto"), F.lit(0))))
 
