@@ -178,8 +178,9 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "x LONG, y LONG"), "x", "y").count() == 0
 
 
-def test_exact_dedup(docs, rows, empty):
-    out = exact_dedup.exact_dedup(docs, capacity=5).collect()
+@pytest.mark.parametrize("capacity", [5, exact_dedup.CAPACITY])
+def test_exact_dedup(docs, rows, empty, capacity):
+    out = exact_dedup.exact_dedup(docs, capacity=capacity).collect()
     want = Counter(brute.exact(texts(rows)))
     assert Counter((r.doc_id, brute.rank(r.keep_id), r.group_size, r.text_sha256) for r in out) == want
     kept = Counter(r.text_sha256 for r in out if r.kept)
@@ -191,6 +192,24 @@ def test_exact_dedup(docs, rows, empty):
     assert Counter(r.doc_id for r in rest.collect()) == Counter(r.doc_id for r in out if r.kept)
 
 
+def test_owner_resolves_collided_keys_by_bytes(spark, docs, rows):
+    """All texts share one of two keys; large groups are reduced before they reach the owner."""
+    def two_keys(norm):
+        return F.when(F.length(norm) % 2 == 0, F.lit(5).cast("long")).otherwise(F.lit(-(2**62)))
+
+    _, index, buckets = exact_dedup.build_index(docs, capacity=1, hot=2, key=two_keys)
+    want = {(brute.GAP.sub(" ", t or ""), k, n) for (_, t), (_, k, n, _) in zip(texts(rows), brute.exact(texts(rows)), strict=True)}
+    found = index.collect()
+    assert {(x.norm, x.keep, x.n) for x in found} == want and len(found) == len(want)
+    for k in (5, -(2**62)):
+        assert sorted(x.chain for x in found if x.key == k) == list(range(sum(x.key == k for x in found)))
+    assert len({x.bucket for x in found}) == 2
+    # a second batch is looked up in the files: a copy, a text of the same key, and a text that isn't there
+    later = spark.createDataFrame([(900, "One\ttwo  three four"), (901, "five"), (902, None)], "doc_id LONG, text STRING")
+    got_ = {x.doc_id: (x.keep_id, x.found) for x in exact_dedup.match_batch(later, index, buckets, key=two_keys).collect()}
+    assert got_ == {900: (58, True), 901: (None, False), 902: (53, True)}
+
+
 def test_directory_splits_and_doubles():
     found = exact_dedup.directory({0: 5, 1: 5, 2: 1, 7: 2}, capacity=6, max_bits=3)
     assert found == [(0, 3, 5), (1, 3, 5), (2, 2, 1), (4, 1, 2)]
