@@ -13,8 +13,8 @@ apart. A logistic regression over these sums, learned from the same sample,
 gives the score.
 
 Scale. Learning reads at most ``sample`` labelled rows whatever the corpus
-holds; the lexicon has at most ``LEXICON`` terms and is broadcast. Scoring is
-a map over rows without a shuffle. Matches of recent words are cached, with a
+holds; the lexicon holds every word of these rows that passes the tests, so the
+sample bounds it, and is broadcast. Scoring is a map over rows without a shuffle. Matches of recent words are cached, with a
 bound.
 
 Edge cases. A null or empty text scores like any text without hits. Without
@@ -39,7 +39,6 @@ from quarry.llm.labels import fold, labelled_sample
 from quarry.llm.rolling import pieces
 
 SAMPLE = 20_000        # labelled rows to learn from, at most
-LEXICON = 4_000        # terms, at most
 MIN_EVIDENCE = 10.0    # log-likelihood ratio of a term's share of toxic documents; chance words stay below
 MIN_FUZZY = 5          # shorter terms match exactly only
 NEAR = 0.8             # share of a term's weight that a word one edit away has
@@ -234,8 +233,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
              .withColumn("t", F.least("toxic", "contexts").cast("double")).withColumn("share", F.col("t") / (F.col("t") + F.col("clean")))
              .where((F.col("share") > base) & (F.col("clean") <= 0.02 * n0))
              .withColumn("odds", odds).where((F.col("odds") > 2.5) & (evidence >= MIN_EVIDENCE))
-             .orderBy(F.desc("toxic"), "word").limit(LEXICON).select("word", "odds"))
-    weights = {r["word"]: float(r["odds"]) for r in terms.collect()}  # at most LEXICON rows
+             .orderBy("word").select("word", "odds"))
+    weights = {r["word"]: float(r["odds"]) for r in terms.collect()}  # words of at most `sample` rows
     fuzzy = frozenset(weights)
     for last in (False, True):
         shared = spark.sparkContext.broadcast((weights, fuzzy, max_edits))

@@ -233,3 +233,14 @@ def test_model_grows_with_the_corpus(spark):
     docs = [("".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(2000)),) for _ in range(20)]
     n = [perplexity.ngram_model(spark.createDataFrame(docs[:k], "text STRING")).count() for k in (5, 20)]
     assert n[1] > 3.9 * n[0]
+
+
+def test_lexicon_keeps_every_term(spark):
+    """5,000 words that all stand in every toxic document and in no clean one."""
+    rng = random.Random(3)
+    terms = [f"bad{k}x" for k in range(5000)]
+    rows = [(i, " ".join(rng.sample(terms, len(terms))), 1) for i in range(12)]
+    rows += [(100 + i, " ".join(f"fine{rng.randrange(300)}" for _ in range(30)), 0) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING, toxic INT")
+    model = toxicity.train(df.drop("toxic"), df.select("doc_id", "toxic"), F.lit(False), max_edits=0)
+    assert set(model.weights) == set(terms)
