@@ -8,6 +8,8 @@ Method. The global order of shingles is cut into fragments, and overlaps are
 counted fragment by fragment.
 
 1. Equal sets form a class (128-bit signature); one document stands for it.
+   Overlaps are counted between classes, whatever ids their rows have; copies
+   are left out before the shuffle.
 2. The first third of the order (by hash), cut into fragments: each fragment
    counts how many of a document's shingles any other document has. A document
    with more than a fifth of its shingles to itself can't reach 0.8 with
@@ -18,15 +20,22 @@ counted fragment by fragment.
 4. Documents are put in blocks of like candidates. Blocks that share such a
    shingle are compared: per fragment the partial overlaps of all their
    documents, then the sum per pair, then the exact test.
-5. Links inside a pair of blocks shrink to stars, so a large group
-   of near copies costs its blocks, not its pairs; connected components follow.
+5. Each block is first compared with itself and with its hub, the smallest
+   block of most of its rare shingles. Later only blocks with documents that
+   share a rare shingle and are not in one component yet are compared, so a
+   family of m near copies costs its blocks, not its pairs of blocks; what
+   stays outside of a shingle's largest component meets all blocks of that
+   shingle.
+6. Links inside a pair of blocks shrink to stars; connected components follow.
 
 No cap, sample or probability is involved. Hash collisions aside (64 bits per
-shingle), no link between different texts is lost.
+shingle, 63 per class while overlaps are counted), no link between different
+texts is lost.
 
 Edge cases. Null or empty text: empty set, component is its own id. Null id:
-the row links with nothing and its component is null. Rows with the same id
-are one vertex. An empty table gives an empty result.
+the row links with nothing and its component is null. Rows with one id and
+different texts are one document, linked where any of its texts is. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -101,26 +110,43 @@ def _pack(parts, b, dtype):
                toks[s:e].astype(dtype).tobytes(), b"")
 
 
+def _signed(rows, g, size):
+    """Two signatures of each set, and the vertex that equal sets share."""
+    s1, s2 = (_sums(rows, r.mix(g ^ r.U64(x)), len(size)) for x in (0x1111111111111111, 0x2222222222222222))
+    return s1, s2, (r.mix(s1 ^ r.mix(s2 + size.astype(np.uint64))) >> r.U64(1)).view(np.int64)
+
+
+def _fresh(v, size, seen):
+    """Rows whose set, not an empty one, comes first here and isn't among those seen."""
+    new = np.zeros(len(v), dtype=bool)
+    new[np.unique(v, return_index=True)[1]] = True
+    for x in seen:
+        new &= ~np.isin(v, x)
+    return new & (size > 0)
+
+
 def _map_first(n, b):
-    """Set sizes and signatures, and the shingles in the first third of the order."""
+    """Sizes, signatures and vertices of the sets, and the shingles in the first third of the order: once for equal sets of a flush."""
     def run(batches):
-        parts, held = [], 0
+        parts, seen, held = [], [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, rows, g, size in shingle_sets(batch.column(1), n):
                 k = len(size)
+                s1, s2, v = _signed(rows, g, size)
                 at = ((g >> r.U64(32)) * r.U64(3 * b)) >> r.U64(32)
                 part = at < b
-                info = np.stack([ids[i: i + k], size, _sums(rows, r.mix(g ^ r.U64(0x1111111111111111)), k).view(np.int64),
-                                 _sums(rows, r.mix(g ^ r.U64(0x2222222222222222)), k).view(np.int64),
-                                 np.bincount(rows[part], minlength=k)], axis=1)
+                info = np.stack([ids[i: i + k], size, s1.view(np.int64), s2.view(np.int64), np.bincount(rows[part], minlength=k), v], axis=1)
                 own = int(info[:, 2].view(np.uint64).sum() % r.U64(b))  # spreads these rows
                 yield _batch([(-1 - own, b"", b"", b"", info.tobytes())])
-                parts.append((ids[i: i + k][rows[part]], g[part], at[part].astype(np.int64)))
+                new = _fresh(v, size, seen)
+                seen.append(v[new])
+                part &= new[rows]
+                parts.append((v[rows[part]], g[part], at[part].astype(np.int64)))
                 held += int(part.sum())
                 if held >= FLUSH:
                     yield _batch(list(_pack(parts, b, np.uint32)))
-                    parts, held = [], 0
+                    parts, seen, held = [], [], 0
         if held:
             yield _batch(list(_pack(parts, b, np.uint32)))
 
@@ -131,12 +157,12 @@ def _joined(table, name, dtype):
     return np.concatenate([np.frombuffer(x.as_buffer(), dtype=dtype) for c in table.column(name).chunks for x in c])
 
 
-_FIRST = pa.schema([*((c, pa.int64()) for c in ("_id", "n", "s1", "s2", "m")), ("part", pa.int32()), ("docs", pa.binary()), ("c", pa.binary())])
-_FIRST_DDL = "_id long, n long, s1 long, s2 long, m long, part int, docs binary, c binary"
+_FIRST = pa.schema([*((c, pa.int64()) for c in ("_id", "n", "s1", "s2", "m", "v")), ("part", pa.int32()), ("docs", pa.binary()), ("c", pa.binary())])
+_FIRST_DDL = "_id long, n long, s1 long, s2 long, m long, v long, part int, docs binary, c binary"
 
 
 def _parts(ids, b):
-    """Part that gathers each document's results: a hash of its id."""
+    """Part that gathers each set's results: a hash of its vertex."""
     return (((r.mix(ids.view(np.uint64)) >> r.U64(32)) * r.U64(b)) >> r.U64(32)).astype(np.int64)
 
 
@@ -151,12 +177,15 @@ def _by_part(ids, b):
 def _reduce_first(b):
     def run(table):
         if table.column("bucket")[0].as_py() < 0:
-            info = _joined(table, "info", np.int64).reshape(-1, 5)
+            info = _joined(table, "info", np.int64).reshape(-1, 6)
             k = len(info)
-            return pa.Table.from_arrays([*(pa.array(info[:, i]) for i in range(5)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()),
+            return pa.Table.from_arrays([*(pa.array(info[:, i]) for i in range(6)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()),
                                          pa.nulls(k, pa.binary())], schema=_FIRST)
         docs, cnt, toks = _joined(table, "docs", np.int64), _joined(table, "cnt", np.uint32), _joined(table, "toks", np.uint32)
         entry = np.repeat(np.arange(len(docs)), cnt)
+        once = np.zeros(len(docs), dtype=bool)  # equal sets come from several flushes
+        once[np.unique(docs, return_index=True)[1]] = True
+        entry, toks = entry[once[entry]], toks[once[entry]]
         order = np.argsort(toks, kind="stable")
         t, d = toks[order], docs[entry[order]]
         new = np.ones(len(t), dtype=bool)
@@ -169,26 +198,26 @@ def _reduce_first(b):
         order, parts = _by_part(ids, b)
         rows = [(k, ids[order[s:e]].tobytes(), c[order[s:e]].astype(np.int64).tobytes()) for k, s, e in parts]
         none = pa.nulls(len(rows), pa.int64())
-        return pa.Table.from_arrays([*([none] * 5), *(pa.array([y[i] for y in rows], type=t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary())))],
+        return pa.Table.from_arrays([*([none] * 6), *(pa.array([y[i] for y in rows], type=t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary())))],
                                     schema=_FIRST)
 
     return run
 
 
 def _sum_first(table):
-    """How many of its shingles each document of a part shares with others."""
+    """How many of its shingles each set of a part shares with others."""
     ids, c = _joined(table, "docs", np.int64), _joined(table, "c", np.int64)
     found, at = np.unique(ids, return_inverse=True)
-    return pa.table({"_id": pa.array(found), "c": pa.array(np.bincount(at, weights=c).astype(np.int64))})
+    return pa.table({"v": pa.array(found), "c": pa.array(np.bincount(at, weights=c).astype(np.int64))})
 
 
 def _map_all(n, b):
     def run(batches):
         parts, held = [], 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for i, rows, g, size in shingle_sets(batch.column(1), n):
-                parts.append((ids[i: i + len(size)][rows], g, (((g >> r.U64(32)) * r.U64(b)) >> r.U64(32)).astype(np.int64)))
+            for _, rows, g, size in shingle_sets(batch.column(0), n):
+                v = _signed(rows, g, size)[2]
+                parts.append((v[rows], g, (((g >> r.U64(32)) * r.U64(b)) >> r.U64(32)).astype(np.int64)))
                 held += len(g)
                 if held >= FLUSH // 2:
                     yield _batch(list(_pack(parts, b, np.uint64)))
@@ -204,7 +233,7 @@ _SHARED_DDL = "part int, docs binary, ns binary, cnt binary, toks binary, dfs bi
 
 
 def _reduce_all(b):
-    """Per document: how many shingles of this fragment it has; those that others have, with their frequency."""
+    """Per set: how many shingles of this fragment it has; those that others have, with their frequency."""
     def run(table):
         docs, cnt, toks = _joined(table, "docs", np.int64), _joined(table, "cnt", np.uint32), _joined(table, "toks", np.uint64)
         d = np.repeat(docs, cnt)
@@ -234,12 +263,12 @@ def _reduce_all(b):
     return run
 
 
-_SETS = pa.schema([("_id", pa.int64()), ("n", pa.int64()), ("toks", pa.binary()), ("prefix", pa.list_(pa.int64()))])
-_SETS_DDL = "_id long, n long, toks binary, prefix array<long>"
+_SETS = pa.schema([("v", pa.int64()), ("n", pa.int64()), ("toks", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+_SETS_DDL = "v long, n long, toks binary, prefix array<long>"
 
 
 def _prefixes(table):
-    """Documents that can still link, their shared shingles, and the rare ones that partners must share."""
+    """Sets that can still link, their shared shingles, and the rare ones that partners must share."""
     docs, ns, cnt = (_joined(table, c, np.int64) for c in ("docs", "ns", "cnt"))
     toks, dfs = _joined(table, "toks", np.uint64), _joined(table, "dfs", np.uint32)
     ids, at = np.unique(docs, return_inverse=True)
@@ -389,10 +418,54 @@ def _block_table(sets: DataFrame, tokens: DataFrame, scratch: Scratch, block_doc
         .select("_id", "n", "toks").mapInArrow(_blocks(block_docs), _BLOCK_DDL), "jaccard-blocks")
 
 
+def _hubs(by_block: DataFrame) -> DataFrame:
+    """``(a, b)``: every block b with the smaller block that comes first for most of its rare shingles."""
+    least = by_block.groupBy("tok").agg(F.min("block").alias("a"), F.max("block").alias("last")).where("a < last").drop("last")
+    shared = by_block.join(least, "tok").where("a < block").groupBy("block", "a").agg(F.count(F.lit(1)).alias("k"))
+    return shared.groupBy(F.col("block").alias("b")).agg(F.max_by("a", F.struct(F.col("k"), -F.col("a"))).alias("a")).select("a", "b")
+
+
+def _unsettled(tokens: DataFrame, where: DataFrame, comp: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(a, b)``: different blocks whose documents share a rare shingle and stand in different components.
+
+    Per shingle, what isn't in its largest component (by blocks) meets the
+    rest; the blocks of the largest one don't meet each other."""
+    own = (tokens.join(where, "_id").join(comp, F.col("_id") == F.col("vertex"), "left")
+           .select("tok", "block", F.coalesce("component", "_id").alias("c")).distinct())
+    own = scratch.write(own, "jaccard-own")
+    top = (own.groupBy("tok", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("tok")
+           .agg(F.max_by("c", F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("many")).where("many > 1").select("tok", "top"))
+    top = scratch.write(top, "jaccard-top")
+    rest = scratch.write(own.join(top, "tok").where("c != top").select("tok", F.col("block").alias("_block"), F.col("c").alias("_c")), "jaccard-rest")
+    pairs = scratch.write(
+        rest.join(own, "tok").where("c != _c AND block != _block")
+        .select(F.least("block", "_block").alias("a"), F.greatest("block", "_block").alias("b")).distinct(), "jaccard-pairs")
+    scratch.drop(own, top, rest)
+    return pairs
+
+
+def _compare(pairs: DataFrame, blocks: DataFrame, percent: int, block_docs: int, scratch: Scratch) -> DataFrame:
+    """Stars of the links between the documents of each pair of blocks."""
+    def sided(x):
+        return blocks.select(F.col("block").alias(x), "frag", *(F.col(c).alias(f"{c}_{x}") for c in ("ids", "ns", "cnt", "toks")))
+
+    parts = pairs.join(sided("a"), "a").join(sided("b"), ["b", "frag"]).groupBy("a", "b", "frag").applyInArrow(_partial(block_docs), _PART_DDL)
+    return scratch.write(parts.groupBy("a", "b").applyInArrow(_links(percent, block_docs), "x long, y long"), "jaccard-links")
+
+
+def _one_document(info: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(x, y)``: an id whose rows have different sets, with the representative of each of them."""
+    some = info.where((F.col("n") > 0) & (F.col("_id") != NO_ID))
+    several = scratch.write(some.groupBy("_id").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo < hi").select("_id"), "jaccard-several")
+    sets = some.join(several, "_id").select("_id", "n", "s1", "s2").distinct()
+    return scratch.write(sets.join(classes, ["n", "s1", "s2"]).select(F.col("_id").alias("x"), F.col("rep").alias("y")), "jaccard-rows")
+
+
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = 80,
            block_docs: int = BLOCK_DOCS):
-    """``(sets, links)``: per input row its set's size, class and class
-    representative; links between representatives that keep all components."""
+    """``(info, classes, comp)``: per input row its set's size and class; each
+    class's representative, its smallest id; ``(vertex, component)`` of the
+    representatives that have links."""
     if percent < 80:
         raise ValueError("the bounds used here hold for a similarity of 0.8 or more")
     spark = docs.sparkSession
@@ -402,39 +475,38 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     src = docs.select(id_or_last(id_col).alias("_id"), F.col(text_col).alias("_text"))
     first = scratch.write(src.mapInArrow(_map_first(n, b), _PACK_DDL).groupBy("bucket").applyInArrow(_reduce_first(b), _FIRST_DDL),
                           "jaccard-first")
-    info = first.where("n IS NOT NULL").select("_id", "n", "s1", "s2", "m")
-    classes = scratch.write(info.groupBy("n", "s1", "s2").agg(F.min("_id").alias("rep"), F.first("m").alias("m")), "jaccard-classes")
-    others = first.where("part IS NOT NULL").select("part", "docs", "c").groupBy("part").applyInArrow(_sum_first, "_id long, c long")
+    info = first.where("n IS NOT NULL").select("_id", "n", "s1", "s2", "m", "v")
+    classes = scratch.write(info.groupBy("n", "s1", "s2").agg(F.min("_id").alias("rep"), F.first("m").alias("m"), F.first("v").alias("v")),
+                            "jaccard-classes")
+    others = first.where("part IS NOT NULL").select("part", "docs", "c").groupBy("part").applyInArrow(_sum_first, "v long, c long")
     left = scratch.write(
-        classes.where((F.col("n") >= MIN_LINKED) & (F.col("rep") != NO_ID))
-        .join(others, F.col("rep") == F.col("_id"), "left")
-        .where(5 * (F.col("m") - F.coalesce("c", F.lit(0))) <= F.col("n")).select(F.col("rep").alias("_id")).distinct(), "jaccard-left")
-    packed = attach(src, left, ["_id"], "left_semi").select("_id", "_text").mapInArrow(_map_all(n, b), _PACK_DDL)
+        classes.where((F.col("n") >= MIN_LINKED) & (F.col("rep") != NO_ID)).join(others, "v", "left")
+        .where(5 * (F.col("m") - F.coalesce("c", F.lit(0))) <= F.col("n")).select("v", F.col("rep").alias("_id")), "jaccard-left")
+    packed = attach(src, left.select("_id").distinct(), ["_id"], "left_semi").select("_text").mapInArrow(_map_all(n, b), _PACK_DDL)
     shared = packed.groupBy("bucket").applyInArrow(_reduce_all(b), _SHARED_DDL)
-    sets = scratch.write(shared.groupBy("part").applyInArrow(_prefixes, _SETS_DDL), "jaccard-sets")
+    # from here on a document is the representative of its class
+    sets = scratch.write(shared.groupBy("part").applyInArrow(_prefixes, _SETS_DDL).join(left, "v").drop("v"), "jaccard-sets")
     tokens = scratch.write(sets.select(F.explode("prefix").alias("tok"), "_id"), "jaccard-tokens")
     blocks = _block_table(sets, tokens, scratch, block_docs)
     where = blocks.where("frag = 0").select("block", F.explode("ids").alias("_id"))
     by_block = scratch.write(tokens.join(where, "_id").select("tok", "block").distinct(), "jaccard-where")
-    pairs = (by_block.withColumnRenamed("block", "a").join(by_block.withColumnRenamed("block", "b"), "tok")
-             .where("a < b").select("a", "b").distinct()
-             .unionByName(blocks.where("frag = 0").select(F.col("block").alias("a"), F.col("block").alias("b"))))
-
-    def sided(x):
-        return blocks.select(F.col("block").alias(x), "frag", *(F.col(c).alias(f"{c}_{x}") for c in ("ids", "ns", "cnt", "toks")))
-
-    parts = pairs.join(sided("a"), "a").join(sided("b"), ["b", "frag"]).groupBy("a", "b", "frag").applyInArrow(_partial(block_docs), _PART_DDL)
-    links = scratch.write(parts.groupBy("a", "b").applyInArrow(_links(percent, block_docs), "x long, y long"), "jaccard-links")
-    scratch.drop(left, sets, tokens, blocks, by_block)
-    return info, classes, links
+    near = scratch.write(_hubs(by_block).unionByName(blocks.where("frag = 0").select(F.col("block").alias("a"), F.col("block").alias("b"))),
+                         "jaccard-hubs")
+    links = _compare(near, blocks, percent, block_docs, scratch)
+    comp = components(links, "x", "y")
+    more = _unsettled(tokens, where, comp, scratch).join(near, ["a", "b"], "left_anti")
+    later = _compare(more, blocks, percent, block_docs, scratch).unionByName(_one_document(info, classes, scratch))
+    if not later.isEmpty():
+        comp = components(later.unionByName(comp.select(F.col("vertex").alias("x"), F.col("component").alias("y"))), "x", "y")
+    scratch.drop(left, sets, tokens, blocks, by_block, near, links)
+    return info, classes, comp
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = 80,
                  block_docs: int = BLOCK_DOCS) -> DataFrame:
     """One row per input row: ``(id_col, n_shingles, component_id)``."""
     scratch = Scratch(docs.sparkSession)
-    info, classes, links = linked(docs, id_col, text_col, n, percent, block_docs)
-    comp = components(links, "x", "y")
+    info, classes, comp = linked(docs, id_col, text_col, n, percent, block_docs)
     named = scratch.write(
         classes.join(comp, F.col("rep") == F.col("vertex"), "left")
         .select("n", "s1", "s2", F.coalesce("component", "rep").alias("component")), "jaccard-named")

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -163,6 +164,41 @@ def test_jaccard_join_across_blocks(docs, rows):
     assert got(jaccard.jaccard_join(docs, block_docs=2), "n_shingles", "component_id") == Counter(brute.jaccard(texts(rows)))
 
 
+def _near_rows():
+    """Chains of near copies and rows with one id and different texts."""
+    rng = random.Random(11)
+    rows = []
+    for f in range(6):
+        base = [f"f{f}w{k}" for k in range(60)]
+        for k in range(12):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                w[rng.randrange(60)] = f"e{rng.randrange(40)}"
+            rows.append((100 * f + k, " ".join(w)))
+            base[rng.randrange(60)] = f"drift{f}.{k}"      # the ends of a chain link only through the middle
+    first, second, third = rows[0][1], rows[20][1], rows[40][1]
+    alone = " ".join(f"z{k}" for k in range(30))
+    rows += [(900, first), (900, alone), (901, alone.replace("z0 ", "y ")), (902, third), (902, second),
+             (903, ""), (903, alone), (904, ""), (None, first), (None, alone)]
+    return rows
+
+
+@pytest.mark.parametrize("block_docs", [2, jaccard.BLOCK_DOCS])
+def test_jaccard_join_of_repeated_ids_and_chains(spark, block_docs):
+    """A link of any text of an id counts; families over many blocks are settled through hubs."""
+    rows = _near_rows()
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+    want = Counter(brute.jaccard(rows))
+    assert got(jaccard.jaccard_join(df, block_docs=block_docs), "n_shingles", "component_id") == want
+    assert {c for i, _, c in want if i in (901, 903)} == {0, 903}  # the empty text of 903 links with nothing
+
+
+def test_equal_sets_of_many_rows_are_packed_once(spark):
+    rows = [(k, "one two three four five six seven") for k in range(500)] + [(1000, "one two three four five six seven eight")]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    assert got(jaccard.jaccard_join(df), "n_shingles", "component_id") == Counter(brute.jaccard(rows))
+
+
 def test_one_per_group(docs, rows):
     kept = jaccard.one_per_group(docs)
     assert kept.columns == docs.columns
