@@ -428,17 +428,17 @@ def _hubs(by_block: DataFrame) -> DataFrame:
 def _unsettled(tokens: DataFrame, where: DataFrame, comp: DataFrame, scratch: Scratch) -> DataFrame:
     """``(a, b)``: different blocks whose documents share a rare shingle and stand in different components.
 
-    Per shingle, what isn't in its largest component (by blocks) meets the
-    rest; the blocks of the largest one don't meet each other."""
+    Per shingle, blocks with documents outside of its largest component (by
+    blocks) meet its other blocks; the rest don't meet each other."""
     own = (tokens.join(where, "_id").join(comp, F.col("_id") == F.col("vertex"), "left")
            .select("tok", "block", F.coalesce("component", "_id").alias("c")).distinct())
     own = scratch.write(own, "jaccard-own")
     top = (own.groupBy("tok", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("tok")
            .agg(F.max_by("c", F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("many")).where("many > 1").select("tok", "top"))
     top = scratch.write(top, "jaccard-top")
-    rest = scratch.write(own.join(top, "tok").where("c != top").select("tok", F.col("block").alias("_block"), F.col("c").alias("_c")), "jaccard-rest")
+    rest = scratch.write(own.join(top, "tok").where("c != top").select("tok", F.col("block").alias("_block")).distinct(), "jaccard-rest")
     pairs = scratch.write(
-        rest.join(own, "tok").where("c != _c AND block != _block")
+        rest.join(own.select("tok", "block").distinct(), "tok").where("block != _block")
         .select(F.least("block", "_block").alias("a"), F.greatest("block", "_block").alias("b")).distinct(), "jaccard-pairs")
     scratch.drop(own, top, rest)
     return pairs
