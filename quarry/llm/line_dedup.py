@@ -64,8 +64,10 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Dat
     d = docs.select(id_or_last(id_col).alias("_id"), row_tag(F.col(text_col)).alias("_tag"),
                     F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("pos", "line"))
     # lower case doesn't change the length: it is left for the lines that are long enough
+    d = d.where(F.char_length("line") >= min_chars)
     d = d.select("_id", "_tag", "pos", trimmed(F.col("line")).alias("line")).where(F.char_length("line") >= min_chars)
-    return d.select("_id", "_tag", "pos", F.unhex(F.md5(lower_ascii(F.col("line")))).alias("key"))
+    # never null, and declared so: a join on a nullable key would filter on it, computing every key twice
+    return d.select("_id", "_tag", "pos", F.coalesce(F.unhex(F.md5(lower_ascii(F.col("line")))), F.lit(b"")).alias("key"))
 
 
 class LineRuns:

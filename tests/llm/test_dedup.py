@@ -252,3 +252,12 @@ def test_directory_splits_and_doubles():
     assert exact_dedup.directory({}, 6, 3) == [(0, 0, 0)]
     # copies can't be split by more bits: the bucket stays over capacity
     assert (0, 3, 50) in exact_dedup.directory({0: 50}, 6, 3)
+
+
+def test_line_keys_are_computed_once_for_a_join(spark):
+    from quarry.llm.line_dedup import lines_of
+
+    docs = spark.createDataFrame([(1, "a line of text\nanother line")], "doc_id long, text string")
+    lost = spark.createDataFrame([(b"x", 1)], "key binary, first long")
+    plan = lines_of(docs, "doc_id", "text", 10).join(lost, "key")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
