@@ -9,10 +9,14 @@ nulls as ``None``, doubles with the shortest round-trip digits
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import py_value
+from quarry.session import ship_package
 
 
 def to_csv_lines(df: DataFrame, name: str = "line") -> DataFrame:
@@ -25,6 +29,20 @@ def write_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).text(path)
 
 
+def headed(lines: DataFrame, header: str) -> DataFrame:
+    """One-column lines with ``header`` before those of every partition, so on top of every part file."""
+    ship_package(lines.sparkSession)
+    return lines.mapInArrow(_with_header(header), "value string")
+
+
+def _with_header(header: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([header])], ["value"])
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(b.columns, ["value"])
+    return run
+
+
 def write_sorted_lines(df: DataFrame, col: str, path: str, mode: str = "overwrite") -> None:
     """Write a column sorted: range-partitioned, so part files follow the order."""
     df.select(F.col(col).cast("string").alias("value")).orderBy("value").write.mode(mode).text(path)

@@ -245,3 +245,19 @@ def test_record_too_long_is_null():
     assert [(r[2], r[4]) for r in rows] == [(0, None), (0, "3,c")]
     cut = cr._Cutter("f", 9, True)
     assert [(r[2], r[4]) for r in cut.add(["x", "y"]) + cut.rest()] == [(2, "x\ny")]
+
+
+def test_many_line_items_are_written_by_many_tasks(spark, tmp_dir, monkeypatch):
+    import glob
+
+    from quarry.plans import queries as q
+
+    rows = [(i, i % 7, i % 50, "R", "O", float(i % 9)) for i in range(400)]
+    items = spark.createDataFrame(rows, "l_orderkey LONG, l_linenumber INT, l_partkey LONG, l_returnflag STRING, l_linestatus STRING, l_quantity DOUBLE")
+    items.repartition(4).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    paths = []
+    monkeypatch.setattr(q, "fresh_path", lambda s, tag: paths.append(f"{tmp_dir}/out-{tag}") or paths[-1])
+    monkeypatch.setattr(q, "ITEMS_A_FILE", 100, raising=False)
+    got = sorted(tuple(r) for r in q.QUERIES["scan_csv_multiline"](spark, tmp_dir).collect())
+    assert len(glob.glob(f"{paths[0]}/part-*")) > 1
+    assert got == sorted((o, n, p, f'say "{f}",\n{s}, then\r\n{s}', x) for o, n, p, f, s, x in rows)
