@@ -30,9 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quarry.operators.indexing import row_index
-from quarry.session import bounded_side, scratch_dir, ship_package, written_table
+from quarry.session import BROADCAST_ROWS, bounded_side, drop_written, release_unused, ship_package, written_table
 
 LONG_SAFE = (1 << 63) - 1
 
@@ -271,11 +272,11 @@ def lsh_buckets(bands: DataFrame, min_size: int = 2, entity: str = "entity") ->
     """``(band, bucket, member, size)`` for buckets with at least ``min_size`` members.
 
     ``bands`` is read twice (bucket sizes, then the join back); it is
-    checkpointed once (entities x bands rows) so the signature aggregate
+    written once (entities x bands rows) so the signature aggregate
     behind it runs once.
     """
-    scratch_dir(bands.sparkSession)
-    bands = bands.checkpoint()
+    bands = written_table(bands, "bands")
+    release_unused(bands.sparkSession)
     # written before it is joined: above an aggregate on the join key a hot bucket isn't split
     sizes = written_table(bands.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size"))
                           .where(F.col("size") >= min_size), "bucket-sizes")
@@ -283,9 +284,26 @@ def lsh_buckets(bands: DataFrame, min_size: int = 2, entity: str = "entity") ->
         "band", "bucket", F.col(entity).alias("member"), "size")
 
 
+def keyed_index(idx: DataFrame) -> tuple[DataFrame, int]:
+    """``(key, idx)``, a 64-bit key for every text feature but null, and the seed of the keys.
+
+    Seeds are tried until no two features share a key, so a join on keys is a join on features."""
+    seed = 0
+    while True:
+        keyed = written_table(idx.where(F.col("feature").isNotNull()).select(feature_key(seed), "idx"), "feature-keys")
+        if not keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+            return keyed, seed
+        drop_written(keyed)
+        seed += 1
+
+
+def feature_key(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col("feature")).alias("key")
+
+
 def minhash_lsh(inc: DataFrame, feature_order: Sequence[str], seed: int, n_bands: int,
                 n_rows: int, m: int | None = None, features: DataFrame | None = None,
-                materialize: bool = True):
+                materialize: bool = True, broadcast_rows: int = BROADCAST_ROWS):
     """Signatures and banded buckets for ``inc(entity, feature)``.
 
     Feature index = 0-based rank in ``feature_order`` over ``features`` (all
@@ -293,24 +311,37 @@ def minhash_lsh(inc: DataFrame, feature_order: Sequence[str], seed: int, n_bands
     number of features, as the original used the number of input lines.
     ``inc`` may repeat a pair: a repeat cannot change a minimum.
     ``inc`` is read twice (feature index, signatures). With ``materialize``
-    (default) it is checkpointed once to the shared folder: for shingles,
-    splitting and joining the words is CPU-heavy, and measured twice as slow
-    as writing the occurrences once. Pass ``False`` when ``inc`` is cheap
-    to derive and large to store.
+    it is written once to the shared folder. Pass ``False`` when ``inc`` is
+    cheaper to derive than to store, as shingles are: each holds three words.
+
+    Up to ``broadcast_rows`` features, the index goes to every task. Above it,
+    text features meet their index by 64-bit keys (``keyed_index``), so that no
+    text is shuffled for the join, and the pairs (entity, index) are dealt by
+    entity before the minima are taken: in the order of the join, a task has few
+    features of every entity, and a row of ``n_bands * n_rows`` minima for each
+    is many times the pairs. Adaptive execution splits an entity with very many.
     Returns ``(signature_wide, bands, buckets)``.
     """
     spark = inc.sparkSession
     if materialize:
-        scratch_dir(spark)
-        inc = inc.checkpoint()
+        inc = written_table(inc, "incidence")
     feats = features if features is not None else inc.select("feature").distinct()
     idx, total = row_index(feats.select("feature", *[c for c in feature_order if c != "feature"]),
                            feature_order, with_total=True)
-    idx = bounded_side(idx.select("feature", "idx"), total)
+    release_unused(spark)
     m = m if m is not None else total
     family = hash_family(spark, seed, n_bands * n_rows, m)
     x_max = max(m - 1, 0)
-    inc_i = inc.join(idx, "feature")
+    if total <= broadcast_rows:
+        inc_i = inc.join(bounded_side(idx.select("feature", "idx"), total), "feature")
+    else:
+        if isinstance(inc.schema["feature"].dataType, StringType):
+            keyed, key_seed = keyed_index(idx)
+            drop_written(idx)
+            pairs = inc.where(F.col("feature").isNotNull()).select("entity", feature_key(key_seed)).join(keyed.hint("merge"), "key")
+        else:
+            pairs = inc.join(idx.select("feature", "idx").hint("merge"), "feature")
+        inc_i = pairs.select("entity", "idx").hint("rebalance", "entity")
     sig = signatures_wide(inc_i, family, x_max)
     bands = band_hashes(sig, n_bands, n_rows)
     return sig, bands, lsh_buckets(bands)

@@ -216,3 +216,35 @@ def test_band_plan_for_very_many_functions(spark):
         assert 1 <= r.b <= r.n and r.b * math.log(r.b) <= limit + slack
         assert r.b == r.n or (r.b + 1) * math.log(r.b + 1) > limit - slack
         assert r.r == r.n // r.b and r.n_real == r.r * r.b
+
+
+def test_many_features_meet_their_index_by_key(spark):
+    rows = [(e, f"w{(e * 7 + j * j) % 61}") for e in range(40) for j in range(9)] + [(3, None)]
+    inc = spark.createDataFrame(rows, "entity LONG, feature STRING")
+    small = lsh.minhash_lsh(inc, ["feature"], 123, 4, 3)
+    large = lsh.minhash_lsh(inc, ["feature"], 123, 4, 3, broadcast_rows=1)
+    assert {(r.entity, *r.sig) for r in small[0].collect()} == {(r.entity, *r.sig) for r in large[0].collect()}
+    assert {tuple(r) for r in small[2].collect()} == {tuple(r) for r in large[2].collect()}
+    plan = large[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and "Rebalance" in plan  # no text in the join, pairs dealt by entity
+
+
+def test_feature_keys_of_a_seed_without_collisions(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(lsh, "feature_key", lambda s: F.pmod(F.xxhash64(F.lit(s), F.col("feature")), F.lit(8)).alias("key"))
+    idx = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2), ("d", 3), (None, 4)], "feature STRING, idx LONG")
+    keyed, seed = lsh.keyed_index(idx)
+    got = [r.key for r in keyed.collect()]
+    assert len(got) == 4 and len(set(got)) == 4 and seed >= 0
+
+
+def test_band_rows_are_not_kept_as_row_checkpoints(spark, tmp_dir):
+    import glob
+
+    from quarry.session import scratch_dir
+
+    inc = spark.createDataFrame([(e, f"w{j}") for e in range(5) for j in range(4)], "entity LONG, feature STRING")
+    before = set(glob.glob(f"{scratch_dir(spark).removeprefix('file:')}/rdd-*"))
+    assert lsh.minhash_lsh(inc, ["feature"], 123, 2, 2, materialize=False)[2].count()
+    assert set(glob.glob(f"{scratch_dir(spark).removeprefix('file:')}/rdd-*")) == before
