@@ -234,6 +234,39 @@ def test_bounds_spare_measurements(monkeypatch):
     assert measured == [150] and out.column("keys")[0].as_py() == [9] and out.column("sums")[0].as_py() == [0.0]
 
 
+def test_full_passes_are_few_and_decided_entities_stay_out(spark, monkeypatch):
+    """Every pass went over all vectors before."""
+    from quarry.operators import lloyd
+
+    full, kept = [], []
+    assign, dealt = lloyd._assign, lloyd._dealt
+
+    def held(*a):
+        vectors = dealt(*a)
+        kept.append(vectors.map(lambda b: len(b["nx"])).sum())
+        return vectors
+
+    monkeypatch.setattr(lloyd, "CUT", 6)
+    monkeypatch.setattr(lloyd, "_assign", lambda *a: full.append(1) or assign(*a))
+    monkeypatch.setattr(lloyd, "_dealt", held)
+    rng = np.random.default_rng(1)
+    pts = np.vstack([rng.normal(0, 1, (500, 3)), rng.normal(1000, 0.1, (100, 3))])
+    inc = spark.createDataFrame([(i, j, float(v)) for i, p in enumerate(pts) for j, v in enumerate(p)], "entity LONG, feature INT, value DOUBLE")
+    chosen = [1, 2, 3, 4, 5, 550]
+    found = cl.kmeans(inc, cl.init_centroids(inc, 6, chosen=chosen), value="value")
+    cents, want, passes = pts[chosen], None, -1
+    while True:
+        new = ((pts[:, None] - cents) ** 2).sum(axis=2).argmin(axis=1)
+        passes += 1
+        if want is not None and (new == want).all():
+            break
+        want = new
+        cents = np.array([pts[want == c].mean(axis=0) for c in range(6)])
+    assert {r.entity: r.cluster for r in found.assignment.collect()} == dict(enumerate(want.tolist()))
+    assert found.passes == passes > 20 and found.moved == 0
+    assert len(full) * 2 <= passes and min(kept) <= 500 < len(pts)
+
+
 def test_sq_distance_over_pages(spark, monkeypatch):
     """Several pages, entities that share none, repeated and unknown entities, sign bits, string features."""
     monkeypatch.setattr(ic, "PAGE", 2)
