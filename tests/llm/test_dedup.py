@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import exact_dedup, jaccard, line_dedup, seed_dedup, suffix_dedup
 from quarry.llm.components import components
+from quarry.llm.queries import QUERIES
 
 from . import brute
 
@@ -50,6 +51,25 @@ def test_suffix_dedup(docs, rows, empty, hot):
         suffix_dedup.suffix_dedup(empty, length=5, gram=5)
 
 
+def test_op5_removes_planted_passages_from_400_bytes_on(spark, tmp_path):
+    """The contract counts bytes, not words: of passages of over 50 words those under 400 bytes stay whole."""
+    rng = random.Random(3)
+    rows, want = [], {}
+    for size in (330, 398, 399, 400, 401, 520):
+        passage = " ".join("%05x" % rng.randrange(16**5) for _ in range(size // 6 + 1))[:size]  # 55 to 87 words
+        assert len(brute.WORD.findall(passage)) > 50
+        for k in "xy":  # its neighbours differ on both sides
+            around = ["".join(rng.choice("klmnop ") for _ in range(600)) for _ in range(2)]
+            want[len(rows)] = size if size >= 400 else 0
+            rows.append((len(rows), f"{around[0]}{k}{passage}{k}{around[1]}"))
+    spark.createDataFrame(rows, "doc_id LONG, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    df = QUERIES["op5_suffix_dedup"](spark, str(tmp_path)).cache()
+    assert {r.doc_id: r.n_removed for r in df.collect()} == want
+    brutes = Counter((i, n, gone, spans, brute.sha(kept)) for i, n, gone, spans, kept in brute.suffix_dedup(rows, 400))
+    assert got(df, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brutes
+    df.unpersist()
+
+
 def test_suffix_dedup_reads_long_texts_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 500)
     monkeypatch.setattr(suffix_dedup, "LENGTH_MAX", 60)
